@@ -22,14 +22,14 @@ def mark_duplicates(rows: DataFrame, known: DataFrame | None = None, key: str =
                     site: str = "site_id", min_rows: int | None = None) -> DataFrame:
     """Add original_id and original_site_id to each row that is a copy, null for originals.
 
-    ``rows`` has key, order, site and html_hash. ``known`` holds earlier pages (id, site_id, html_content_hash), which
+    ``rows`` has key, order, site and html_hash. ``known`` holds earlier pages (key, site_id, html_content_hash), which
     come before any row of the batch. A page is never a copy of itself. Rows without a hash pass through.
     """
     first = originals(rows.filter(F.col("html_hash").isNotNull()), order, [key, site])
     first = first.select("html_hash", "n", F.col(f"first.{key}").alias("_id"), F.col(f"first.{site}").alias("_site"))
     if known is not None:
         earlier = known.filter(F.col("html_content_hash").isNotNull()).select(
-            F.col("html_content_hash").alias("html_hash"), F.col("id").alias("_kid"), F.col("site_id").alias("_ksite"))
+            F.col("html_content_hash").alias("html_hash"), F.col(key).alias("_kid"), F.col("site_id").alias("_ksite"))
         first = first.join(earlier, "html_hash", "left").select(
             "html_hash", "n", F.coalesce("_kid", "_id").alias("_id"),
             F.when(F.col("_kid").isNotNull(), F.col("_ksite")).otherwise(F.col("_site")).alias("_site"))

@@ -144,7 +144,7 @@ def find_links(pages: DataFrame, policies: DataFrame | None = None, key: str = "
 
 def find_images(pages: DataFrame, carry: list[str], html: str = "html",
                 extensions: list[str] | None = None) -> DataFrame:
-    """Images with a known extension: carry columns, filename, content_type. Repeats stay."""
+    """Images with a known extension: carry columns, pos, filename, content_type. Repeats stay."""
     found = _selected(pages, carry, html, lambda t: t.rlike(r"(?i)^<img[\s/>]"), ["src"])
     found = found.filter(F.col("src").isNotNull())
     found = found.withColumn("_base", F.regexp_extract(U.path(F.col("src")), r"(?s)([^/]*)\z", 1))
@@ -152,7 +152,7 @@ def find_images(pages: DataFrame, carry: list[str], html: str = "html",
     found = found.withColumn("_ext", F.regexp_extract(base, r"(?s)^\.*[^.].*?(\.[^.]*)\z", 1))
     ext = F.col("_ext")
     return (found.filter(F.lower(ext).isin(extensions or C.IMAGE_EXTENSIONS))
-            .select(*carry, F.substring(base, F.lit(1), F.length(base) - F.length(ext)).alias("filename"),
+            .select(*carry, "pos", F.substring(base, F.lit(1), F.length(base) - F.length(ext)).alias("filename"),
                     U.extension_type(ext).alias("content_type")))
 
 

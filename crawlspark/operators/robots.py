@@ -29,20 +29,21 @@ def _tidy_path(value: Column) -> Column:
     return U.percent_encode(F.regexp_replace(F.regexp_replace(value, r"#\z", ""), r"\?(?=#|\z)", ""), "/")
 
 
-def _tagged(line: Column) -> Column:
-    """``E`` for an empty line, tag and value for a directive, null for anything else."""
-    text = _strip(F.regexp_replace(line, r"(?s)#.*\z", ""))
-    name = F.lower(_strip(F.regexp_extract(text, r"(?s)^([^:]*):", 1)))
-    value = U.percent_decode(_strip(F.regexp_extract(text, r"(?s)^[^:]*:(.*)\z", 1)))
-    tag = F.when(name == "user-agent", "A")
-    for directive, letter in list(_TAGS.items())[1:]:
-        tag = tag.when(name == directive, letter)
-    value = F.when(name.isin("allow", "disallow"), _tidy_path(value)).otherwise(F.translate(value, "\n", " "))
-    return F.when(line == "", F.lit("E")).otherwise(F.concat(tag, value))
-
-
 def _directives(content: Column) -> Column:
-    lines = F.transform(F.split(content, _LINE_END), _tagged)
+    """Tagged lines: ``E`` for an empty line, tag and value for a directive; other lines are left out.
+
+    Staged as one array function per step, so that no step is repeated in the expression of the next.
+    """
+    texts = F.transform(F.split(content, _LINE_END), lambda line: F.when(line == "", "\x00:").otherwise(
+        _strip(F.regexp_replace(line, r"(?s)#.*\z", ""))))
+    pairs = F.transform(texts, lambda text: F.struct(
+        F.lower(_strip(F.regexp_extract(text, r"(?s)^([^:]*):", 1))).alias("name"),
+        U.percent_decode(_strip(F.regexp_extract(text, r"(?s)^[^:]*:(.*)\z", 1))).alias("value")))
+    tags = F.create_map(*[F.lit(x) for pair in {**_TAGS, "\x00": "E"}.items() for x in pair])
+    lines = F.transform(pairs, lambda pair: F.concat(
+        F.try_element_at(tags, pair["name"]),
+        F.when(pair["name"].isin("allow", "disallow"), _tidy_path(pair["value"]))
+        .otherwise(F.translate(pair["value"], "\n", " "))))
     return F.filter(lines, lambda x: x.isNotNull())
 
 
