@@ -1,2 +1,108 @@
-QUERIES = {}
-ORACLES = {}
+"""Crawl waves over the fetches of all pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from crawlspark import schemas
+from crawlspark.catalog.fixtures import AGENT, PATTERN, canonical_sql
+from crawlspark.catalog.pages import OUTCOME_SQL
+from crawlspark.checkpoints import scratch_folder
+from crawlspark.plans.discovery import discover
+from crawlspark.plans.wave import crawl_wave, empty_state
+from crawlspark.sources.store import CrawlStore
+
+
+def _inputs(t):
+    return {"robots_files": t.fx_robots, "sitemap_files": t.fx_sitemaps, "agent": AGENT, "pattern": PATTERN}
+
+
+def _wave(t):
+    """The first wave of a crawl that has just popped every page."""
+    page = t.pages.select((F.col("page_id") + 1).alias("id"), F.lit("CRAWLING").alias("page_type_code"), "url")
+    return crawl_wave(empty_state(page), schemas.conform(t.fx_fetches, "fetches"), **_inputs(t))
+
+
+def _page(t):
+    return _wave(t)["page"].select("id", "site_id", "page_type_code", "url", F.length("html_content").cast("long").alias("n_chars"),
+                                   "html_content_hash", "http_status_code", F.col("accessed_time").cast("string").alias("accessed_time"))
+
+
+def _discovery(t):
+    """From every third page on until the frontier is empty: how each page ended."""
+    store = CrawlStore(t.spark, scratch_folder(t.spark, "discovery"))
+    store.reset_from(t.pages.filter("page_id % 3 = 0").select("url"))
+    discover(store, schemas.conform(t.fx_fetches, "fetches"), **_inputs(t))
+    return store.page().select("id", "url", "page_type_code")
+
+
+QUERIES = {
+    "wave_site": lambda t: _wave(t)["site"],
+    "wave_page": _page,
+    "wave_frontier": lambda t: _wave(t)["page"].filter("page_type_code = 'FRONTIER'").select("url").distinct(),
+    "wave_image": lambda t: _wave(t)["image"].select("id", "page_id", "filename", "content_type", F.col("accessed_time").cast("string").alias("accessed_time")),
+    "wave_page_data": lambda t: _wave(t)["page_data"].select("id", "page_id", "data_type_code"),
+    "wave_link": lambda t: _wave(t)["link"],
+    "discovery": _discovery,
+}
+
+_PATH = "regexp_extract(url, '^[a-z]+://[^/]*(.*)$', 1)"
+_OK = f"""CASE WHEN r.http_status IN (403, 500) THEN false WHEN r.http_status = 404 THEN true WHEN starts_with({_PATH}, '/the') THEN false
+    WHEN starts_with({_PATH}, '/d/') THEN true WHEN starts_with({_PATH}, '/p/1') THEN false ELSE true END"""
+_BASE = "split_part(requested_url, '://', 1) || '://' || host"
+_DOC = "(ends_with(url, '.pdf') OR ends_with(url, '.docx'))"
+
+# The wave step by step: batch, sites, copies, links, sitemap links, first events, ids, changes.
+_WAVE = rf"""WITH
+b AS (SELECT o.*, f.http_status, f.html, f.accessed_time, split_part(o.requested_url, '/', 3) AS host,
+  replace(split_part(o.requested_url, '/', 3), 'www.', '') AS domain, CASE WHEN is_redirect THEN page_url ELSE o.requested_url END AS own_url
+  FROM ({OUTCOME_SQL}) AS o JOIN fx_fetches f ON f.seq = o.seq),
+s AS (SELECT row_number() OVER (ORDER BY b.seq) AS id, b.domain, b.host, b.seq, b.requested_url FROM b
+  JOIN (SELECT domain, min(seq) AS seq FROM b WHERE ip IS NOT NULL GROUP BY domain) AS m ON m.seq = b.seq),
+t AS (SELECT b.*, s.id AS site_id, s.host AS first_host FROM b LEFT JOIN s ON s.domain = b.domain),
+d AS (SELECT seq, first_value(own_url) OVER w AS original_url, first_value(site_id) OVER w AS original_site FROM t WHERE outcome = 'HTML'
+  WINDOW w AS (PARTITION BY html ORDER BY seq)),
+x AS (SELECT t.*, CASE WHEN original_url <> own_url THEN original_url END AS original, original_site,
+  CASE WHEN original_url <> own_url THEN 'DUPLICATE' ELSE outcome END AS final FROM t LEFT JOIN d ON d.seq = t.seq),
+raw AS (SELECT seq, first_host, {_BASE} || unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS url FROM x WHERE final = 'HTML'
+  UNION ALL SELECT seq, first_host, {_BASE} || regexp_extract(html, '^<div onclick=''location[^"]*"([^"]*)"', 1) FROM x
+  WHERE final = 'HTML' AND starts_with(html, '<div onclick=''location')),
+links AS (SELECT DISTINCT seq, {canonical_sql('url')} AS url FROM raw JOIN fx_robots r ON r.domain = raw.first_host WHERE {_OK}),
+leaves AS (SELECT DISTINCT s.seq, s.host, {canonical_sql('p.url')} AS url FROM s JOIN fx_robots q ON q.domain = s.host
+  JOIN pages p ON split_part(p.url, '/', 3) = s.host WHERE p.page_id % 9 <> 0
+  AND ((q.http_status = 200 AND length(s.host) % 3 <> 0) OR starts_with(s.requested_url, 'https://'))),
+found AS (SELECT seq, url FROM links WHERE NOT {_DOC} UNION SELECT seq, url FROM leaves JOIN fx_robots r ON r.domain = leaves.host WHERE {_OK}),
+events AS (SELECT url, found.seq, 1 AS kind, own_url AS source, NULL AS site_id FROM found JOIN x ON x.seq = found.seq
+  UNION ALL SELECT page_url, seq, 0, NULL, site_id FROM x WHERE is_redirect),
+fresh AS (SELECT *, (SELECT max(page_id) + 1 FROM pages) + row_number() OVER (ORDER BY seq, kind, url) AS id FROM
+  (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq, kind) AS n FROM events WHERE url NOT IN (SELECT url FROM pages)) AS e WHERE n = 1),
+numbered AS (SELECT url, page_id + 1 AS id FROM pages UNION ALL SELECT url, id FROM fresh),
+changes AS (SELECT requested_url AS url, seq, 0 AS step, 'REDIRECT' AS page_type_code, site_id, 301 AS http_status_code, accessed_time, NULL AS html FROM x
+  WHERE is_redirect
+  UNION ALL SELECT own_url, seq, 1, final, CASE WHEN final = 'DUPLICATE' THEN original_site ELSE site_id END, CASE WHEN final <> 'FAILED' THEN http_status END,
+  CASE WHEN final <> 'FAILED' THEN accessed_time END, CASE WHEN final = 'HTML' THEN html END FROM x WHERE outcome <> 'CRAWLING'
+  UNION ALL SELECT requested_url, seq, -1, 'CRAWLING', NULL, NULL, NULL, NULL FROM x WHERE outcome = 'CRAWLING' AND NOT is_redirect),
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC, step DESC) AS n FROM changes) AS c WHERE n = 1),
+page AS (SELECT numbered.id, site_id, page_type_code, latest.url, length(html) AS n_chars, sha256(html) AS html_content_hash, http_status_code,
+  CAST(accessed_time AS VARCHAR) AS accessed_time FROM latest JOIN numbered ON numbered.url = latest.url
+  UNION ALL SELECT id, site_id, 'FRONTIER', url, NULL, NULL, NULL, NULL FROM fresh WHERE url NOT IN (SELECT url FROM latest))
+"""
+
+ORACLES = {
+    "wave_site": _WAVE + """SELECT s.id, s.domain, CASE WHEN r.http_status <> 200 THEN '' ELSE 'User-agent: other' || chr(10) || 'Disallow: /' || chr(10) || chr(10)
+        || 'User-agent: *' || chr(10) || CASE WHEN length(host) % 5 <> 0 THEN 'Crawl-delay: ' || length(host) % 9 || chr(10) ELSE '' END
+        || 'Disallow: /the' || chr(10) || 'Allow: /d/' || chr(10) || 'Disallow: /p/1' END AS robots_content,
+        CASE WHEN r.http_status = 200 AND length(host) % 3 <> 0 THEN 'https://' || host || '/sitemap.xml,https://' || host || '/more.xml' END AS sitemap_content
+        FROM s JOIN fx_robots r ON r.domain = s.host""",
+    "wave_page": _WAVE + "SELECT * FROM page",
+    "wave_frontier": _WAVE + "SELECT DISTINCT url FROM page WHERE page_type_code = 'FRONTIER'",
+    "wave_image": _WAVE + """SELECT row_number() OVER (ORDER BY seq) AS id, numbered.id AS page_id, regexp_extract(html, '<img src="/i/([0-9]+)[.]PNG', 1) AS filename,
+        'PNG' AS content_type, CAST(accessed_time AS VARCHAR) AS accessed_time FROM x JOIN numbered ON numbered.url = x.own_url
+        WHERE final = 'HTML' AND contains(html, '.PNG?x=1">')""",
+    "wave_page_data": _WAVE + f"""SELECT row_number() OVER (ORDER BY a.seq, a.url) AS id, numbered.id AS page_id, code AS data_type_code FROM
+        (SELECT seq, url, CASE WHEN ends_with(url, '.pdf') THEN 'PDF' ELSE 'DOCX' END AS code FROM links WHERE {_DOC}
+        UNION ALL SELECT seq, '', document FROM x WHERE final = 'BINARY') AS a JOIN x ON x.seq = a.seq JOIN numbered ON numbered.url = x.own_url""",
+    "wave_link": _WAVE + """SELECT DISTINCT f.id AS from_page, g.id AS to_page FROM
+        (SELECT requested_url AS source, page_url AS target FROM x WHERE is_redirect UNION ALL SELECT own_url, original FROM x WHERE final = 'DUPLICATE'
+        UNION ALL SELECT source, url FROM fresh WHERE kind = 1) AS e JOIN numbered f ON f.url = e.source JOIN numbered g ON g.url = e.target""",
+}

@@ -97,7 +97,7 @@ def with_fixtures(sql: str, base: dict[str, str] | None = None) -> str:
     if not parts:
         return body
     head = "WITH " + ",\n".join(parts)
-    return f"{head},\n{body[5:]}" if body.startswith("WITH ") else f"{head}\n{body}"
+    return f"{head},\n{body[5:]}" if re.match(r"WITH\s", body) else f"{head}\n{body}"
 
 
 class Tables:

@@ -1,2 +1,39 @@
-QUERIES = {}
-ORACLES = {}
+"""Streams over the given tables, run until all files are read."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from crawlspark.checkpoints import scratch_folder
+from crawlspark.operators import html
+from crawlspark.streaming import jobs
+
+
+def _dedupe(t):
+    """Texts of all documents, one row each: the hash, as which copy comes first depends on arrival."""
+    stream = (t.spark.readStream.schema(t.documents.schema).option("pathGlobFilter", "documents.parquet").parquet(t.folder)
+              .select("doc_id", F.col("text").alias("html")))
+    folder = scratch_folder(t.spark, "dedupe")
+    query = (jobs.dedupe_stream(stream).select("html_hash", F.length("html").alias("n_chars")).writeStream.format("parquet")
+             .option("checkpointLocation", folder + "/checkpoint").trigger(availableNow=True).start(folder + "/out"))
+    query.awaitTermination()
+    return t.spark.read.schema("html_hash string, n_chars int").parquet(folder + "/out")
+
+
+def _requests(t, folder):
+    """All requests as four files, in the order of arrival."""
+    parts = t.fx_requests.repartitionByRange(4, "arrival", "id").sortWithinPartitions("arrival", "id")
+    parts.write.parquet(folder)
+    return t.spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(folder)
+
+
+def _schedule(t):
+    folder = scratch_folder(t.spark, "schedule")
+    jobs.schedule_stream(_requests(t, folder + "/in"), folder, folder + "/checkpoint").awaitTermination()
+    done = t.spark.read.schema("id long, host long, delay long, arrival long, start long").parquet(folder + "/schedule")
+    return done.select("id", "host", "start")
+
+
+QUERIES = {"stream_dedupe": _dedupe, "stream_schedule": _schedule}
+
+ORACLES = {"stream_dedupe": "SELECT sha256(text) AS html_hash, length(text) AS n_chars FROM (SELECT DISTINCT text FROM documents) AS d"}

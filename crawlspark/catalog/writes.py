@@ -94,8 +94,8 @@ QUERIES = {
     "remove_pages": lambda t: tables.remove_pages(t.fx_page, t.fx_updates).select("id", "url"),
     "surrogate_ids": lambda t: tables.ids.with_rank(t.orders.select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], "id")
         .select("id", "o_orderkey"),
-    "site_lookup": lambda t: t.pages.select("page_id", U.site_key(U.netloc(F.col("url"))).alias("domain"))
-        .join(_site(t), "domain", "left").select("page_id", "domain", F.col("id").alias("site_id")),
+    "site_lookup": lambda t: tables.site_lookup(
+        t.pages.select("page_id", U.site_key(U.netloc(F.col("url"))).alias("domain")), _site(t), ["page_id"]),
     "url_union": lambda t: _url_sets[0](t).unionByName(_url_sets[1](t)).distinct(),
     "url_difference": lambda t: _url_sets[0](t).distinct().join(_url_sets[1](t), "url", "left_anti"),
     "discovery_edges": _discovery,

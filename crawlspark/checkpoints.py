@@ -3,21 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the session's checkpoint folder and go on from the written rows.
-
-    The folder is ``spark.checkpoint.dir``. Only a local session without one gets a folder of its own.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, ``spark.checkpoint.dir``. Only a local session without one gets its own."""
+    context = spark.sparkContext
+    folder = context.getCheckpointDir()
+    if folder is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="crawlspark-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the written rows."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared one, for tables of one run."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

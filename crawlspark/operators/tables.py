@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlspark import constants as C
 from crawlspark.functions import urls as U
-from crawlspark.operators import ids
+from crawlspark.operators import ids, skew
 from crawlspark.schemas import conform
 
 
@@ -79,6 +79,13 @@ def get_or_create_sites(site: DataFrame, wanted: DataFrame, order: list[str]) ->
     return new, hosts.join(known, "domain").select(F.col("host").alias("domain"), "id")
 
 
+def site_lookup(rows: DataFrame, site: DataFrame, spread: list[str], min_rows: int | None = None) -> DataFrame:
+    """Add ``site_id`` to rows with a ``domain``. Hosts are a skewed key, so the rows of large ones are dealt out."""
+    numbers = site.select("domain", F.col("id").alias("site_id"))
+    heavy = skew.heavy_keys(skew.key_counts(rows, "domain"), "domain", min_rows=min_rows)
+    return skew.lookup(rows, numbers, "domain", heavy, spread)
+
+
 def append_images(image: DataFrame, new: DataFrame, order: list[str]) -> DataFrame:
     rows = conform(ids.assign_ids(new, ids.max_id(image), order), "image")
     return image.unionByName(rows)

@@ -51,7 +51,7 @@ def _sites(site: DataFrame, batch: DataFrame, robots_files: DataFrame | None, ag
         policies = robots.policies(files, agent).unionByName(robots.saved_policies(known, agent))
     new = ids.assign_ids(described, ids.max_id(site), ["seq"])
     numbers = known.select("domain", "id").unionByName(new.select("domain", "id"))
-    return conform(new, "site"), numbers.withColumnRenamed("id", "site_id"), policies, new.select("domain", "host", "seq", "current_url")
+    return conform(new, "site"), numbers, policies, new.select("domain", "host", "seq", "current_url")
 
 
 def _page_links(fetches: DataFrame, parsed: DataFrame, policies: DataFrame | None, pattern: str, mode: str,
@@ -85,9 +85,7 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     batch = _batch(page, fetches, expansions)
     new_sites, site_ids, policies, firsts = _sites(site, batch, robots_files, agent)
 
-    # Site ids by domain: hosts are a skewed key.
-    heavy = skew.heavy_keys(skew.key_counts(batch, "domain"), "domain")
-    batch = skew.lookup(batch, site_ids, "domain", heavy, ["seq"])
+    batch = tables.site_lookup(batch, site_ids, ["seq"])
 
     texts = batch.filter(F.col("outcome") == "HTML")
     earlier = page.filter(F.col("html_content_hash").isNotNull()).select(

@@ -60,7 +60,7 @@ def seed_tables(spark: SparkSession, seeds: list[str] | None = None) -> dict[str
     tables["data_type"] = spark.createDataFrame([(c,) for c in C.DATA_TYPES], schema("data_type"))
     tables["page_type"] = spark.createDataFrame([(c,) for c in C.PAGE_TYPES], schema("page_type"))
     tables["page"] = spark.createDataFrame(
-        [(i, None, "FRONTIER", url, None, None, None, None) for i, url in enumerate(seeds or C.SEED_URLS, 1)], schema("page"))
+        [(i, None, "FRONTIER", url, None, None, None, None) for i, url in enumerate(C.SEED_URLS if seeds is None else seeds, 1)], schema("page"))
     return tables
 
 

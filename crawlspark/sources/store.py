@@ -27,9 +27,16 @@ class CrawlStore:
 
     def reset(self, seeds: list[str] | None = None) -> "CrawlStore":
         """Start over: empty tables, the type dimensions, and the start URLs. Later waves are no longer read."""
-        state = seed_tables(self.spark, seeds)
-        start = self._marked() + 1
-        self._write(start, state["page"], {n: state[n] for n in _APPENDED}, first=True)
+        return self._begin(seed_tables(self.spark, seeds))
+
+    def reset_from(self, urls: DataFrame) -> "CrawlStore":
+        """Start over with a table of start URLs (column ``url``) instead of a list."""
+        state = seed_tables(self.spark, [])
+        state["page"] = tables.add_to_frontier(state["page"], urls.select("url"))
+        return self._begin(state)
+
+    def _begin(self, state: dict[str, DataFrame]) -> "CrawlStore":
+        self._write(self._marked() + 1, state["page"], {n: state[n] for n in _APPENDED}, first=True)
         return self
 
     def _schema(self, name: str) -> T.StructType:

@@ -15,7 +15,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def rows(records, names):
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted(tuple(None if r[i] is None else str(r[i]) for i in order) for r in records), sorted(names)
+    found = [tuple(None if r[i] is None else str(r[i]) for i in order) for r in records]
+    return sorted(found, key=lambda r: tuple((v is not None, v or "") for v in r)), sorted(names)
 
 
 def compare(spark, folder, name, query, sql):
@@ -30,8 +31,6 @@ def compare(spark, folder, name, query, sql):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     result = con.execute(sql)
     want, wanted = rows(result.fetchall(), [d[0] for d in result.description])
-    nulls_first = lambda r: tuple((v is not None, v or "") for v in r)
-    got, want = sorted(got, key=nulls_first), sorted(want, key=nulls_first)
     ok = names == wanted and got == want
     text = f"{name:28} rows {len(got):7} {'ok' if ok else 'DIFFERENT':10} {took:6.1f}s"
     if not ok:
