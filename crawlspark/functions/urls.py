@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 from crawlspark import constants as C
 
-# RFC 3986 appendix B split, and the schemes whose last path segment may carry ``;params``.
-_SPLIT = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
+# The parts of RFC 3986 appendix B, one pattern each so that none reads further than it must, and the
+# schemes whose last path segment may carry ``;params``.
+_SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.\-]*+):"
+_NETLOC = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*+:)?+//([^/?#]*)"
+_RAW_PATH = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*+:)?+(?://[^/?#]*+)?+([^?#]*)"
+_QUERY = r"^[^?#]*+\?([^#]*)"
+_FRAGMENT = r"(?s)^[^#]*+#(.*)\z"
 _PARAM_SCHEMES = ["", "ftp", "hdl", "prospero", "http", "https", "imap", "itms-services", "mms", "rtsp", "rtsps",
                   "rtspu", "sftp", "shttp", "sip", "sips", "tel"]
 _PARAMS = r"(?s)^((?:.*/)?[^/;]*);([^/]*)\z"
@@ -25,20 +30,21 @@ _DOT_SCHEMES = ["", "http", "https", "ftp", "file"]
 
 def _clean(url: Column) -> Column:
     """Leading control characters and spaces, and tabs or line breaks anywhere, are not part of a URL."""
-    return F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
+    cleaned = F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
+    return F.when(url.rlike(r"^[\x00-\x20]|[\t\r\n]"), cleaned).otherwise(url)
 
 
 def scheme(url: Column) -> Column:
-    return F.lower(F.regexp_extract(_clean(url), _SPLIT, 1))
+    return F.lower(F.regexp_extract(_clean(url), _SCHEME, 1))
 
 
 def netloc(url: Column) -> Column:
-    return F.regexp_extract(_clean(url), _SPLIT, 2)
+    return F.regexp_extract(_clean(url), _NETLOC, 1)
 
 
 def raw_path(url: Column) -> Column:
     """Path with its ``;params`` still attached."""
-    return F.regexp_extract(_clean(url), _SPLIT, 3)
+    return F.regexp_extract(_clean(url), _RAW_PATH, 1)
 
 
 def _has_params(url: Column) -> Column:
@@ -56,11 +62,11 @@ def params(url: Column) -> Column:
 
 
 def query(url: Column) -> Column:
-    return F.regexp_extract(_clean(url), _SPLIT, 4)
+    return F.regexp_extract(_clean(url), _QUERY, 1)
 
 
 def fragment(url: Column) -> Column:
-    return F.regexp_extract(_clean(url), _SPLIT, 5)
+    return F.regexp_extract(_clean(url), _FRAGMENT, 1)
 
 
 def split_url(url: Column) -> Column:
@@ -215,14 +221,14 @@ def normalize_url(df: DataFrame, column: str, out: str | None = None, default_sc
     tidy = F.trim(F.regexp_replace(F.replace(absolute, F.lit("#!"), F.lit("?_escaped_fragment_=")), "[?& ]+$", ""))
     df = df.withColumn("_nu", tidy)
     nu = F.col("_nu")
-    df = df.withColumns({"_scheme": scheme(nu), "_netloc": netloc(nu), "_path": raw_path(nu),
+    df = df.withColumns({"_scheme": scheme(nu), "_netloc": netloc(nu), "_path": percent_decode(raw_path(nu)),
                          "_rest": F.regexp_extract(nu, r"(?s)^[^?#]*(.*)\z", 1)})
     loc = F.col("_netloc")
     df = df.withColumns({
         "_user": F.regexp_extract(loc, r"^([^@]*@)?", 1),
         "_host": F.regexp_replace(F.lower(F.regexp_extract(loc, r"^(?:[^@]*@)?([^:]*)", 1)), r"^\.+|\.+$", ""),
         "_port": F.regexp_extract(loc, r"^(?:[^@]*@)?[^:]*:(.*)$", 1),
-        "_path": percent_encode(percent_decode(F.col("_path")), PATH_SAFE),
+        "_path": percent_encode(F.col("_path"), PATH_SAFE),
     })
     host, port, sch, p = F.col("_host"), F.col("_port"), F.col("_scheme"), F.col("_path")
     df = df.withColumns({

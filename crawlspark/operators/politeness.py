@@ -39,11 +39,11 @@ def wait_times(requests: DataFrame, domain_free: DataFrame, ip_free: DataFrame)
 
 
 def schedule(requests: DataFrame, available: DataFrame | None = None, key: str = "host",
-             max_clock_rows: int | None = None) -> DataFrame:
+             max_clock_rows: int | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Add ``start`` to each request (id, key, arrival, delay), in the order of arrival and id per clock.
 
     ``available`` (key, free_at) is the state before the batch. If no clock has more than ``max_clock_rows`` requests
-    each is one window; otherwise all are cut into chunks by :func:`_chunked`.
+    each is one window; otherwise all are cut into chunks of about ``chunk_rows`` by :func:`_chunked`.
     """
     if available is not None:
         floor = available.select(key, F.col("free_at").alias("_free"))
@@ -54,7 +54,7 @@ def schedule(requests: DataFrame, available: DataFrame | None = None, key: str =
     limit = MAX_CLOCK_ROWS if max_clock_rows is None else max_clock_rows
     longest = requests.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first().n or 0
     if longest > limit:
-        return _chunked(requests, key, limit)
+        return _chunked(requests, key, chunk_rows or MAX_CLOCK_ROWS)
     line = Window.partitionBy(key).orderBy("arrival", "id")
     return _scan(requests, line).withColumn("start", F.col("_sum") + F.col("_peak")).drop("_from", "_sum", "_peak")
 

@@ -143,18 +143,28 @@ def can_fetch(policy: Column, target: Column) -> Column:
             .otherwise(False))
 
 
-def with_verdict(links: DataFrame, known: DataFrame, url: str = "url", min_rows: int | None = None) -> DataFrame:
+def busy_hosts(pages: DataFrame, host: Column, min_pages: int | None = None) -> DataFrame:
+    """The hosts with most pages, which also hold most links. Reads one narrow column, not the links."""
+    counts = skew.key_counts(pages.select(host.alias("domain")), "domain")
+    return skew.heavy_keys(counts, "domain", min_rows=skew.MIN_ROWS // 20 if min_pages is None else min_pages)
+
+
+def with_verdict(links: DataFrame, known: DataFrame, url: str = "url", min_rows: int | None = None,
+                 heavy: DataFrame | None = None) -> DataFrame:
     """Add ``allowed`` to ``links`` (with column ``domain``). A domain without a policy was not read: not allowed.
 
-    Hosts are a skewed key, so the hosts that hold most links are dealt out over salted partitions.
+    Hosts are a skewed key, so the hosts that hold most links are dealt out over salted partitions. ``heavy`` names
+    them where they are known more cheaply than by counting ``links``.
     """
-    heavy = skew.heavy_keys(skew.key_counts(links, "domain"), "domain", min_rows=min_rows)
+    if heavy is None:
+        heavy = skew.heavy_keys(skew.key_counts(links, "domain"), "domain", min_rows=min_rows)
     joined = skew.lookup(links.withColumn("_target", _target(F.col(url))), known, "domain", heavy, ["_target"])
     return joined.withColumn("allowed", can_fetch(F.col("policy"), F.col("_target"))).drop("_target", "policy")
 
 
-def filter_allowed(links: DataFrame, known: DataFrame, url: str = "url", min_rows: int | None = None) -> DataFrame:
-    return with_verdict(links, known, url, min_rows).filter("allowed").drop("allowed")
+def filter_allowed(links: DataFrame, known: DataFrame, url: str = "url", min_rows: int | None = None,
+                   heavy: DataFrame | None = None) -> DataFrame:
+    return with_verdict(links, known, url, min_rows, heavy).filter("allowed").drop("allowed")
 
 
 def sitemaps(content: Column) -> Column:

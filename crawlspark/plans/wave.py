@@ -48,7 +48,9 @@ def _sites(site: DataFrame, batch: DataFrame, robots_files: DataFrame | None, ag
         files = new.join(of_host, "host", "left")
         texts = robots.site_columns(files)
         described = new.join(texts, "domain")
-        policies = robots.policies(files, agent).unionByName(robots.saved_policies(known, agent))
+        told = files.select("domain", "http_status", "content").unionByName(
+            known.select("domain", F.lit(200).alias("http_status"), F.col("robots_content").alias("content")))
+        policies = robots.policies(told, agent)
     new = ids.assign_ids(described, ids.max_id(site), ["seq"])
     numbers = known.select("domain", "id").unionByName(new.select("domain", "id"))
     return conform(new, "site"), numbers, policies, new.select("domain", "host", "seq", "current_url")
@@ -60,8 +62,10 @@ def _page_links(fetches: DataFrame, parsed: DataFrame, policies: DataFrame | Non
     pages = fetches.select("seq", "html").join(parsed.select("seq", "current_url"), "seq")
     links = html.filled_links(pages, "seq", "current_url", "html", mode, pattern)
     if policies is not None:
-        host = F.col("host") if robots_scope == "source" else U.netloc(F.col("url"))
-        links = robots.filter_allowed(links.withColumn("domain", U.site_key(host)), policies)
+        source = robots_scope == "source"
+        heavy = robots.busy_hosts(parsed, F.col("domain")) if source else None
+        links = links.withColumn("domain", U.site_key(F.col("host") if source else U.netloc(F.col("url"))))
+        links = robots.filter_allowed(links, policies, heavy=heavy)
     return U.canonicalize(links.select("seq", "url"), "url").distinct()
 
 

@@ -11,6 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     session = (SparkSession.builder.master("local[4]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-               .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate())
+               .config("spark.sql.session.timeZone", "UTC").config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.driver.memory", "6g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -121,7 +121,7 @@ def test_schedule_equals_the_sequential_loop(spark, limit):
     before = {1: 50, 4: 900}
     df = spark.createDataFrame(rows, "id long, host long, arrival long, delay long")
     free = spark.createDataFrame(list(before.items()), "host long, free_at long")
-    got = politeness.schedule(df, free, max_clock_rows=limit)
+    got = politeness.schedule(df, free, max_clock_rows=limit, chunk_rows=limit)
     clock, want = dict(before), {}
     for i, host, arrival, delay in sorted(rows, key=lambda r: (r[2], r[0])):
         want[i] = max(arrival, clock.get(host, 0))
