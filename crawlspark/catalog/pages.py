@@ -14,8 +14,8 @@ def _find(t, policies=True):
 
 
 def _marked(t):
-    rows = t.documents.select("doc_id", F.col("doc_id").alias("seq"), F.lit(None).cast("long").alias("site_id"),
-                              html.content_hash(F.col("text")).alias("html_hash"))
+    rows = dedupe.hashed(t.documents, "text", ["doc_id"])
+    rows = rows.withColumns({"seq": F.col("doc_id"), "site_id": F.lit(None).cast("long")})
     return dedupe.mark_duplicates(rows, key="doc_id")
 
 

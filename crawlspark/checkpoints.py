@@ -22,12 +22,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, for tables of one run."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` once, as Parquet below the shared folder, and go on from the written rows.
+
+    Against ``DataFrame.checkpoint`` this keeps column pruning for later readers, and gives the planner the true size,
+    by which it decides whether a join may broadcast.
+    """
+    folder = scratch_folder(df.sparkSession, "rows")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.checkpoints import checkpointed
 from crawlspark.operators import skew
 
 
+def hashed(rows: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    """carry columns and html_hash, written once: what follows reads hashes several times, but the texts no more."""
+    return checkpointed(rows.select(*carry, F.sha2(F.col(text), 256).alias("html_hash")))
+
+
 def originals(rows: DataFrame, order: str = "seq", payload: list[str] | None = None) -> DataFrame:
     """First row per hash and the number of copies: html_hash, n, first (order and payload columns).
 

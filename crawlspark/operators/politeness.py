@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlspark import constants as C
 from crawlspark.checkpoints import checkpointed
+from crawlspark.operators import skew
 
 # Above this many requests on one clock its line is cut into chunks that are scanned in parallel.
 MAX_CLOCK_ROWS = 1_000_000
@@ -28,12 +29,13 @@ def clock_key(ip: Column, domain: Column) -> Column:
 def wait_times(requests: DataFrame, domain_free: DataFrame, ip_free: DataFrame) -> DataFrame:
     """Add ``wait``: how long domain and address stay blocked after ``now``, at least 0.
 
-    ``domain_free`` has domain, free_at; ``ip_free`` ip, free_at.
+    ``domain_free`` has domain, free_at; ``ip_free`` ip, free_at. Both keys are skewed.
     """
-    by_domain = domain_free.select("domain", F.col("free_at").alias("_d"))
-    by_ip = ip_free.select("ip", F.col("free_at").alias("_i"))
-    return (requests.join(by_domain, "domain", "left").join(by_ip, "ip", "left")
-            .withColumn("wait", F.greatest(F.coalesce(F.col("_d") - F.col("now"), F.lit(0)),
+    columns = requests.columns
+    for key, free, name in (("domain", domain_free, "_d"), ("ip", ip_free, "_i")):
+        heavy = skew.heavy_keys(skew.key_counts(requests.select(key), key), key)
+        requests = skew.lookup(requests, free.select(key, F.col("free_at").alias(name)), key, heavy, columns)
+    return (requests.withColumn("wait", F.greatest(F.coalesce(F.col("_d") - F.col("now"), F.lit(0)),
                                            F.coalesce(F.col("_i") - F.col("now"), F.lit(0)), F.lit(0)))
             .drop("_d", "_i"))
 
@@ -45,15 +47,20 @@ def schedule(requests: DataFrame, available: DataFrame | None = None, key: str =
     ``available`` (key, free_at) is the state before the batch. If no clock has more than ``max_clock_rows`` requests
     each is one window; otherwise all are cut into chunks of about ``chunk_rows`` by :func:`_chunked`.
     """
+    limit = MAX_CLOCK_ROWS if max_clock_rows is None else max_clock_rows
+    counts = skew.key_counts(requests.select(key), key)
+    long_lines = (counts.agg(F.max("n").alias("n")).first().n or 0) > limit
     if available is not None:
         floor = available.select(key, F.col("free_at").alias("_free"))
-        requests = requests.join(floor, key, "left").withColumn(
+        if long_lines:
+            requests = skew.lookup(requests, floor, key, skew.heavy_keys(counts, key), ["id"])
+        else:
+            requests = requests.join(floor, key, "left")
+        requests = requests.withColumn(
             "_from", F.greatest(F.col("arrival"), F.coalesce(F.col("_free"), F.col("arrival")))).drop("_free")
     else:
         requests = requests.withColumn("_from", F.col("arrival"))
-    limit = MAX_CLOCK_ROWS if max_clock_rows is None else max_clock_rows
-    longest = requests.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first().n or 0
-    if longest > limit:
+    if long_lines:
         return _chunked(requests, key, chunk_rows or MAX_CLOCK_ROWS)
     line = Window.partitionBy(key).orderBy("arrival", "id")
     return _scan(requests, line).withColumn("start", F.col("_sum") + F.col("_peak")).drop("_from", "_sum", "_peak")

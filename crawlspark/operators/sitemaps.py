@@ -40,15 +40,16 @@ def is_index_entry(loc: Column) -> Column:
 def sitemap_tree(roots: DataFrame, files: DataFrame) -> DataFrame:
     """Leaf URLs below the root sitemaps: domain, url. ``roots`` has domain, url; ``files`` url, http_status, xml.
 
-    One round per level of the index. A sitemap is opened once per domain, so a cycle ends. The opened set and the
-    leaves stay distributed; only the emptiness test comes back.
+    One round per level of the index. A sitemap is opened once per domain, so a cycle ends. The files are read once;
+    the rounds join their entry lists, one row per file. The opened set and the leaves stay distributed; only the
+    emptiness test comes back.
     """
     level = checkpointed(roots.select("domain", "url").distinct())
     opened, leaves = [level], []
-    served = files.select("url", "http_status", "xml")
+    served = checkpointed(files.filter(F.col("http_status") == 200).select("url", locs(F.col("xml")).alias("locs")))
     while not level.isEmpty():
-        found = sitemap_locs(level.join(served, "url"), ["domain"])
-        found = checkpointed(found.select("domain", F.col("loc").alias("url")).distinct())
+        found = level.join(served, "url").select("domain", F.explode("locs").alias("url"))
+        found = checkpointed(found.distinct())
         leaves.append(found.filter(~is_index_entry(F.col("url"))))
         seen = reduce(DataFrame.unionByName, opened)
         level = checkpointed(found.filter(is_index_entry(F.col("url"))).join(seen, ["domain", "url"], "left_anti"))

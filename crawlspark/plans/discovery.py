@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.checkpoints import checkpointed
 from crawlspark.operators import tables
 from crawlspark.plans.wave import crawl_wave
 from crawlspark.schemas import conform
@@ -28,15 +29,17 @@ def discover(store: CrawlStore, fetches: DataFrame, per_wave: int | None = None,
              **inputs) -> int:
     """Pop, look up the fetches, fold; until no page is in state FRONTIER. Returns the number of waves.
 
-    Each wave starts from the committed files, so the plan does not grow. Every page leaves the frontier once, so the
-    loop ends on cyclic sites too.
+    Each wave starts from the committed files, so the plan does not grow. Its fetches are written out once, as a wave
+    reads their text three times. Every page leaves the frontier once, so the loop ends on cyclic sites too.
     """
     waves = 0
     while max_waves is None or waves < max_waves:
         popped = tables.pop_frontier(store.open_pages(), per_wave)
         if popped.isEmpty():
             break
+        popped = checkpointed(popped)
         batch = fetches.join(popped.select(F.col("url").alias("requested_url")), "requested_url", "left_semi")
+        batch = checkpointed(batch.select(*fetches.columns))
         fold(store, batch, popped=popped, **inputs)
         waves += 1
     return waves

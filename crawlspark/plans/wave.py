@@ -110,7 +110,7 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     links = checkpointed(_page_links(fetches, parsed, policies, pattern, mode, robots_scope))
     documents = html.document_links(links, "seq").join(unfit, "seq", "left_anti")
     found = html.page_links(links)
-    if sitemap_files is not None and robots_files is not None:
+    if sitemap_files is not None and robots_files is not None and not firsts.isEmpty():
         hosts = firsts.select(F.col("host").alias("domain"), F.col("current_url").alias("url"), "seq")
         own_files = robots_files.join(hosts.select("domain"), "domain", "left_semi")
         mapped = sitemaps.find_sitemap_links(hosts.select("domain", "url"), own_files, sitemap_files, agent, pattern)
@@ -181,6 +181,7 @@ def _page_rows(page: DataFrame, fetches: DataFrame, changed: DataFrame) -> DataF
     """Full page rows. Texts come from the fetches; those of pages that moved or failed after an earlier visit stay."""
     is_text = F.col("page_type_code") == "HTML"
     with_text = changed.filter(is_text).join(fetches.select("seq", F.col("html").alias("html_content")), "seq")
+    with_text = with_text.withColumn("page_type_code", F.lit("HTML"))  # a literal lets readers of other types skip the join
     failed = F.col("page_type_code") == "FAILED"
     others = changed.filter(~is_text).withColumns({
         "site_id": F.when(failed | (F.col("page_type_code") == "CRAWLING"), F.coalesce("site_id", "old_site"))
