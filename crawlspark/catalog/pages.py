@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crawlspark.catalog.fixtures import AGENT, PATTERN, canonical_sql
-from crawlspark.operators import dedupe, html, outcome, robots
+from crawlspark.operators import dedupe, html, outcome, robots, tables
 
 
 def _find(t, policies=True):
@@ -21,7 +21,6 @@ def _marked(t):
 
 def frontier(t):
     """New URLs of all pages with the page that finds each first."""
-    from crawlspark.operators import tables
     found = html.find_links(t.pages, pattern=PATTERN).select("url", F.col("page_id").alias("seq"), F.col("page_id").alias("from_page"))
     return tables.discovery_edges(found, t.pages).select("url", "from_page")
 

@@ -17,7 +17,7 @@ from crawlspark import constants as C
 from crawlspark.checkpoints import checkpointed
 from crawlspark.functions import urls as U
 from crawlspark.operators import dedupe, html, ids, outcome, robots, sitemaps, skew, tables
-from crawlspark.schemas import conform, empty
+from crawlspark.schemas import conform, empty, seed_tables
 
 
 def _batch(page: DataFrame, fetches: DataFrame, expansions: DataFrame | None) -> DataFrame:
@@ -248,7 +248,6 @@ def apply_wave(state: dict[str, DataFrame], delta: dict[str, DataFrame]) -> dict
 
 def empty_state(page: DataFrame) -> dict[str, DataFrame]:
     """State with ``page`` and the type dimensions only."""
-    from crawlspark.schemas import seed_tables
     spark = page.sparkSession
     state = seed_tables(spark)
     state["page"] = conform(page, "page")

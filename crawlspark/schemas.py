@@ -6,6 +6,7 @@ import mimetypes
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlspark import constants as C
@@ -40,13 +41,8 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Columns of ``table`` in order, cast, with null for those ``df`` lacks."""
-    return df.to(schema(table)) if set(df.columns) >= set(schema(table).names) else df.select(
-        *[(df[f.name] if f.name in df.columns else _null()).cast(f.dataType).alias(f.name) for f in schema(table)])
-
-
-def _null():
-    from pyspark.sql import functions as F
-    return F.lit(None)
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema(table)])
 
 
 def create_tables(spark: SparkSession) -> dict[str, DataFrame]:
