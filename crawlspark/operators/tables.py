@@ -58,8 +58,11 @@ def first_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def insert_missing(table: DataFrame, wanted: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
-    """Rows of ``wanted`` whose key ``table`` does not have, first per key, with fresh ids, shaped as ``name``."""
-    fresh = first_by(wanted.join(table.select(key), key, "left_anti"), key, order)
+    """Rows of ``wanted`` whose key ``table`` does not have, first per key, with fresh ids, shaped as ``name``.
+
+    Keys fold before they meet the table, so one that comes up very often is a single row in the join.
+    """
+    fresh = first_by(wanted, key, order).join(table.select(key), key, "left_anti")
     return conform(ids.assign_ids(fresh, ids.max_id(table), list(dict.fromkeys(order + [key]))), name)
 
 
@@ -125,8 +128,8 @@ def remove_pages(page: DataFrame, gone: DataFrame) -> DataFrame:
 
 def discovery_edges(found: DataFrame, page: DataFrame) -> DataFrame:
     """First finder of each URL that no page has: url, seq, from_page. ``found`` has seq, from_page, url."""
-    return first_by(found.join(page.select("url"), "url", "left_anti").select("url", "seq", "from_page"), "url",
-                    ["seq", "from_page"])
+    firsts = first_by(found.select("url", "seq", "from_page"), "url", ["seq", "from_page"])
+    return firsts.join(page.select("url"), "url", "left_anti")
 
 
 def edge_table(*kinds: DataFrame) -> DataFrame:
