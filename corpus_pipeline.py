@@ -5,18 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import sentencepiece_bpe
+from crawlspark.llm import mixing, sentencepiece_bpe, toxicity
 from crawlspark.llm.catalog import tokenizer_path
 from crawlspark.llm.shared import staged, table
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model doesn't reject; a document needs a score of 0.5 to go."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, name="_score").filter(F.col("_score") < 0.5).drop("_score")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: a row for each pass that takes words of a document, with those words."""
+    return mixing.mixed_documents(docs)
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, end id included."""
     encoded = sentencepiece_bpe.encode(docs, tokenizer_path(), ids="ids", decoded="decoded")
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
-STAGES = [("sentencepiece", tokenize)]
+STAGES = [("toxicity", clean), ("mixing", mix), ("sentencepiece", tokenize)]
 # Trained models and keyed replacements have no SQL form; the stages are tested against brute force instead.
 ORACLE_SQL = None
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import sentencepiece_bpe
+from crawlspark.llm import mixing, sentencepiece_bpe, toxicity
 from crawlspark.llm.shared import table
 
 
@@ -32,7 +32,21 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
                           hex_digest(F.col("decoded")).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece}
+def fold(modulus: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, folder, "labels"), fold(5) != 0)
+    return toxicity.score(documents, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_toxicity": op2_toxicity, "op4_mixing": op4_mixing}
 ORACLES: dict[str, str] = {}
 
 
