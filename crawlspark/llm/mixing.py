@@ -171,18 +171,16 @@ def mix(documents: DataFrame, weights=None, seed: int = 0, most: float = MOST) -
 def taken_words(documents: DataFrame, weights=None, seed: int = 0) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: how much of each text the mix takes, repeats counted."""
     sources, placed, chosen = mix(documents, weights, seed)
-    sums = drawn(placed, chosen).groupBy("doc_id", "tie").agg(F.sum(F.col("words") * F.size("passes")).alias("all"), F.sum("words").alias("_"))
-    # Equal rows of one id share its words alike.
-    twins = placed.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("twins")).filter("twins > 1")
-    table = documents.sparkSession.createDataFrame([(s["source"], s["source_size"], s["target"]) for s in sources], "source string, source_size long, target double")
-    rows = placed.join(sums, _same("doc_id", "tie", placed, sums), "left").drop(sums["doc_id"]).drop(sums["tie"])
-    rows = rows.join(twins, _same("doc_id", "tie", rows, twins), "left").drop(twins["doc_id"]).drop(twins["tie"])
-    out = rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["source"])).drop(table["source"])
-    return out.select("doc_id", "source", "size", "source_size", "target", F.expr("coalesce(`all`, 0) div coalesce(twins, 1)").cast("long").alias("taken"))
-
-
-def _same(a: str, b: str, left: DataFrame, right: DataFrame):
-    return left[a].eqNullSafe(right[a]) & (left[b] == right[b])
+    none = F.lit(0).cast("long")
+    own = placed.select("doc_id", "tie", "source", "size", F.lit(1).cast("long").alias("rows"), none.alias("words"))
+    took = drawn(placed, chosen).select("doc_id", "tie", "source", F.lit(None).cast("long").alias("size"), none.alias("rows"), (F.col("words") * F.size("passes")).alias("words"))
+    sums = own.unionByName(took).groupBy("doc_id", "tie", "source").agg(F.max("size").alias("size"), F.sum("rows").alias("rows"), F.sum("words").alias("words"))
+    # Rows that are equal in id, text and source share their words.
+    each = sums.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    table = documents.sparkSession.createDataFrame([(s["source"], s["source_size"], s["target"]) for s in sources], "_source string, source_size long, target double")
+    out = each.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source")))
+    share = F.expr("words div rows") + F.when(F.col("row") <= F.col("words") % F.col("rows"), 1).otherwise(0)
+    return out.select("doc_id", "source", "size", "source_size", "target", share.cast("long").alias("taken"))
 
 
 def mixed_documents(documents: DataFrame, weights=None, seed: int = 0) -> DataFrame:
