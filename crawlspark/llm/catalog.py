@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import mixing, sentencepiece_bpe, toxicity
+from crawlspark.llm import mixing, sentencepiece_bpe, surrogates, toxicity
 from crawlspark.llm.shared import table
 
 
@@ -46,7 +46,11 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_toxicity": op2_toxicity, "op4_mixing": op4_mixing}
+def op6_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"), count="n_entities")
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_toxicity": op2_toxicity, "op4_mixing": op4_mixing, "op6_surrogates": op6_surrogates}
 ORACLES: dict[str, str] = {}
 
 
