@@ -224,12 +224,12 @@ def redraws(df: DataFrame, text: str = "text", key: bytes = KEY) -> DataFrame:
             state.select("kind", F.col("entity").alias("form"), F.lit(-1).alias("attempt"), "entity"))
         first = F.min(F.struct("attempt", "entity"))
         firsts = marked.groupBy("kind", "form").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        lost = (state.join(firsts, (state["kind"] == firsts["kind"]) & (state["drawn"] == firsts["form"])).filter(F.struct("attempt", "entity") != F.col("first"))
-                .select(state["kind"].alias("_kind"), state["entity"].alias("_entity")))
-        lost = staged(lost, "redrawn")
+        firsts = firsts.select(F.col("kind").alias("_kind"), F.col("form").alias("_form"), "first")
+        lost = state.join(firsts, (F.col("kind") == F.col("_kind")) & (F.col("drawn") == F.col("_form"))).filter(F.struct("attempt", "entity") != F.col("first"))
+        lost = staged(lost.select(F.col("kind").alias("_kind"), F.col("entity").alias("_entity")), "redrawn")
         if lost.isEmpty():
             return state.filter("attempt > 0").select("kind", "entity", "attempt")
-        again = state.join(lost, (state["kind"] == lost["_kind"]) & (state["entity"] == lost["_entity"]), "left")
+        again = state.join(lost, (F.col("kind") == F.col("_kind")) & (F.col("entity") == F.col("_entity")), "left")
         attempt = F.col("attempt") + F.when(F.col("_kind").isNull(), 0).otherwise(1)
         state = staged(again.select("kind", "entity", attempt.alias("attempt"), "drawn", F.col("_kind").alias("_lost"))
                        .withColumn("drawn", F.when(F.col("_lost").isNull(), F.col("drawn")).otherwise(draw("kind", "entity", "attempt"))).drop("_lost"), "entities")
