@@ -10,8 +10,8 @@ the template's distinct words. The join is exact:
 * positional filter: what it holds of the prefix, and all of the template behind the prefix, must reach ``needed``;
 * the blocks left are compared in full.
 
-A match falls to the template with the larger word set where one set holds the other and both match in a block. Beside
-that, plain phrases are found where their words stand consecutively. Words are runs of letters, digits and non-ASCII
+Where templates with mostly the same words match in one block, the label is that of the best containment, and of the larger
+word set among equals. Beside that, plain phrases are found where their words stand consecutively. Words are runs of letters, digits and non-ASCII
 characters, A-Z in lower case. Null and empty texts have no words, labels or places. The templates are a fixed list of a
 few hundred words: they are broadcast, texts are not shuffled. Rows that share an id are scanned one by one.
 """
@@ -24,7 +24,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, STEP, THRESHOLD = 64, 32, 0.85
+BLOCK, STEP, THRESHOLD, RIVAL = 64, 32, 0.85, 0.5
 # Phrases, and notices of common licenses (their first sentences, at most STEP words).
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 TEMPLATES = {
@@ -102,9 +102,14 @@ def matches(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     shared = F.size(F.array_intersect("own", "words"))
     found = shaped.filter(long_enough & reachable).withColumn("shared", shared).filter(F.col("shared") >= F.col("needed"))
     sets = [(t, set(own)) for t, _, own, _, _ in shapes]
-    over = F.array(*[F.lit(f"{a}<{b}") for a, x in sets for b, y in sets if x < y])
-    per_block = found.groupBy(*key, "block").agg(F.collect_set(F.struct("template", "label", (F.col("shared") / F.size("words")).alias("containment"))).alias("all"))
-    best = F.filter("all", lambda m: ~F.exists("all", lambda o: F.array_contains(over, F.concat_ws("<", m["template"].cast("string"), o["template"].cast("string")))))
+    rivals = F.array(*[F.lit(f"{a}<{b}") for a, x in sets for b, y in sets if a != b and len(x & y) >= RIVAL * min(len(x), len(y))])
+    match = F.struct("template", "label", (F.col("shared") / F.size("words")).alias("containment"), F.size("words").alias("size"))
+    per_block = found.groupBy(*key, "block").agg(F.collect_set(match).alias("all"))
+
+    def beaten(m):
+        return F.exists("all", lambda o: F.array_contains(rivals, F.concat_ws("<", m["template"].cast("string"), o["template"].cast("string")))
+                        & ((o["containment"] > m["containment"]) | ((o["containment"] == m["containment"]) & (o["size"] > m["size"]))))
+    best = F.filter("all", lambda m: ~beaten(m))
     return per_block.select(*key, "block", F.explode(best).alias("m")).select(*key, "block", "m.label", "m.containment")
 
 
