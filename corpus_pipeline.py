@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import mixing, sentencepiece_bpe, surrogates, toxicity
+from crawlspark.llm import chosen_path, mixing, sentencepiece_bpe, surrogates, toxicity
 from crawlspark.llm.catalog import tokenizer_path
 from crawlspark.llm.shared import staged, table
 
@@ -16,6 +16,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, name="_score").filter(F.col("_score") < 0.5).drop("_score")
 
 
+def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of the smallest id, of each group of near duplicates: five words, similarity 0.8."""
+    return chosen_path.deduplicated(docs)
+
+
 def anonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its personal data and secrets replaced; surrogates keep most lengths, ``n_chars`` is counted anew."""
     return surrogates.replace(docs).withColumn("n_chars", F.length("text").cast("long"))
@@ -32,7 +37,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
-STAGES = [("toxicity", clean), ("surrogates", anonymize), ("mixing", mix), ("sentencepiece", tokenize)]
+STAGES = [("toxicity", clean), ("near_duplicates", dedupe), ("surrogates", anonymize), ("mixing", mix), ("sentencepiece", tokenize)]
 # Trained models and keyed replacements have no SQL form; the stages are tested against brute force instead.
 ORACLE_SQL = None
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import license_scan, mixing, multiset_hash, sentencepiece_bpe, surrogates, toxicity
+from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, sentencepiece_bpe, surrogates, toxicity
 from crawlspark.llm.shared import table
 
 
@@ -50,6 +50,10 @@ def op6_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"), count="n_entities")
 
 
+def op7_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, folder, "documents"), size=4)
+
+
 def op9_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
     return multiset_hash.edit_report(table(spark, folder, "documents"))
 
@@ -58,7 +62,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op4_mixing, op6_surrogates, op9_multiset_hash, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op4_mixing, op6_surrogates, op7_chosen_path, op9_multiset_hash, op10_license_scan)}
 ORACLES: dict[str, str] = {}
 
 
