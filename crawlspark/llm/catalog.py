@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, sentencepiece_bpe, surrogates, toxicity
+from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, sentencepiece_bpe, sphere_filters, surrogates, toxicity
 from crawlspark.llm.shared import table
 
 
@@ -42,6 +42,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_sphere_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return sphere_filters.links(table(spark, folder, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -62,7 +66,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op4_mixing, op6_surrogates, op7_chosen_path, op9_multiset_hash, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_sphere_filters, op4_mixing, op6_surrogates, op7_chosen_path, op9_multiset_hash, op10_license_scan)}
 ORACLES: dict[str, str] = {}
 
 
