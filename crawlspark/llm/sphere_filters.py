@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from crawlspark.llm.components import components
 from crawlspark.llm.shared import staged
 
-HITS, CAP, TILE, PACK = 14, 32, 256, 16
+HITS, CAP, TILE, PACK = 26, 32, 256, 16
 LEAST_SHARE, MOST_SHARE = 1e-9, 2e-3
 
 
