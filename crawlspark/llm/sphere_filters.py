@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from crawlspark.llm.components import components
 from crawlspark.llm.shared import staged
 
-HITS, CAP, TILE, PACK = 26, 32, 256, 16
+HITS, CAP, TILE, PACK = 18, 32, 256, 16
 LEAST_SHARE, MOST_SHARE = 1e-9, 2e-3
 
 
@@ -44,6 +44,7 @@ class Code:
         z = normal.inv_cdf(1 - share)
         again = 1 - normal.cdf((z - cosine * (z + 1 / z)) / (1 - cosine**2) ** 0.5)  # a pair at the threshold, the other one in
         self.entries = int(np.ceil((HITS / again / share) ** 0.5))
+        self.fewest = int(HITS / again)
         self.rotation = np.linalg.qr(rng.standard_normal((dimension, dimension)))[0]
         self.half = dimension // 2
         self.lists = [self._units(rng, self.entries, self.half), self._units(rng, self.entries, dimension - self.half)]
@@ -73,13 +74,18 @@ class Code:
         return (first @ self.lists[0].T if self.half else np.zeros((len(v), self.entries))), second @ self.lists[1].T
 
     def decode(self, v: np.ndarray) -> list[np.ndarray]:
-        """The filters of each unit vector, ascending."""
+        """The filters of each unit vector, ascending; where the code is thin, the cap widens until ``fewest`` are in it."""
         out = []
         for a, b in zip(*self.scores(v), strict=True):
-            order = np.argsort(-b)
-            rows = np.flatnonzero(a + b[order[0]] >= self.least)
-            ends = np.searchsorted(-b[order], a[rows] - self.least, side="right")
-            out.append(np.sort(np.concatenate([i * self.entries + order[:e] for i, e in zip(rows, ends, strict=True)]).astype("int64")) if len(rows) else np.zeros(0, "int64"))
+            order, least = np.argsort(-b), self.least
+            falling = -b[order]
+            while True:
+                rows = np.flatnonzero(a + b[order[0]] >= least)
+                ends = np.searchsorted(falling, a[rows] - least, side="right")
+                if ends.sum() >= min(self.fewest, self.entries**2):
+                    break
+                least -= 0.05 * abs(self.least) + 1e-3
+            out.append(np.sort(np.concatenate([i * self.entries + order[:e] for i, e in zip(rows, ends, strict=True)]).astype("int64")))
         return out
 
 
