@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, sentencepiece_bpe, sphere_filters, surrogates, toxicity
+from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, ngram_trie, sentencepiece_bpe, sphere_filters, surrogates, toxicity
 from crawlspark.llm.shared import table
 
 
@@ -50,6 +50,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_trie.score(table(spark, folder, "documents"), fold(10) == 0)
+
+
 def op6_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"), count="n_entities")
 
@@ -66,7 +70,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_sphere_filters, op4_mixing, op6_surrogates, op7_chosen_path, op9_multiset_hash, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_sphere_filters, op4_mixing, op5_ngram_trie, op6_surrogates, op7_chosen_path, op9_multiset_hash, op10_license_scan)}
 ORACLES: dict[str, str] = {}
 
 
