@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, ngram_trie, sentencepiece_bpe, sphere_filters, surrogates, toxicity
+from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, ngram_trie, sentencepiece_bpe, sphere_filters, suffix_dedup, surrogates, toxicity
 from crawlspark.llm.shared import table
 
 
@@ -62,6 +62,10 @@ def op7_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, folder, "documents"), size=4)
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, folder, "documents"), report=True)
+
+
 def op9_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
     return multiset_hash.edit_report(table(spark, folder, "documents"))
 
@@ -70,7 +74,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_sphere_filters, op4_mixing, op5_ngram_trie, op6_surrogates, op7_chosen_path, op9_multiset_hash, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_sphere_filters, op4_mixing, op5_ngram_trie, op6_surrogates, op7_chosen_path, op8_suffix_dedup, op9_multiset_hash, op10_license_scan)}
 ORACLES: dict[str, str] = {}
 
 
