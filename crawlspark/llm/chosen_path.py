@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.components import components
-from crawlspark.llm.shared import staged
+from crawlspark.llm.shared import fresh, staged
 
 COORDINATES, TREES, DEPTH, NODE = 128, 8, 3, 128
 # Signatures that agree in this share leave no doubt.
@@ -289,6 +289,8 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
 
 
 def deduplicated(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` with one row of each group of near duplicates, that of the smallest id; rows without words stay."""
-    kept = near_duplicates(documents, size, percent).filter(F.col("kept") | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_kept")).distinct()
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """``documents`` with one row of each group of near duplicates, that of the smallest id; rows without words
+    stay, and rows that repeat the kept one, id and all, stay with it."""
+    own, = fresh(documents, "_kept")
+    kept = near_duplicates(documents.select("doc_id", "text"), size, percent).filter(F.col("kept") | F.col("doc_id").isNull()).select(F.col("doc_id").alias(own)).distinct()
+    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import staged, tasks
+from crawlspark.llm.shared import fresh, staged, tasks
 
 BLOCK = 64
 MOST = 3
@@ -192,14 +192,15 @@ def mixed_documents(documents: DataFrame, weights=None, seed: int = 0) -> DataFr
     _, placed, chosen = mix(documents, weights, seed)
     runs = (drawn(placed, chosen).select("doc_id", "tie", "first", "words", F.explode("passes").alias("_pass"))
             .groupBy("doc_id", "tie", "_pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_runs")))
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "_pass", "_runs")
-    joined = documents.join(runs, documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_tie")))
+    own_id, own_tie, own_pass, own_runs, row_tie = fresh(documents, "_id", "_tie", "_pass", "_runs", "_row")
+    runs = runs.toDF(own_id, own_tie, own_pass, own_runs)
+    joined = documents.withColumn(row_tie, F.xxhash64("text")).join(runs, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(row_tie) == F.col(own_tie)))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, chosen: pd.Series) -> pd.Series:
         return pd.Series([_cut(t, r) for t, r in zip(text, chosen, strict=True)], dtype="object")
 
-    out = joined.withColumn("text", cut("text", F.to_json("_runs")))
+    out = joined.withColumn("text", cut("text", F.to_json(own_runs)))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return out.select(*documents.columns)

@@ -21,3 +21,13 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
 def tasks(df: DataFrame) -> int:
     """Shuffle partitions of the session, for repartitions by key."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` doesn't have, after ``names``."""
+    out: list[str] = []
+    for name in names:
+        while name.lower() in {c.lower() for c in [*df.columns, *out]}:
+            name += "_"
+        out.append(name)
+    return out

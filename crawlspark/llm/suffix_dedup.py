@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import staged, tasks
+from crawlspark.llm.shared import fresh, staged, tasks
 
 LENGTH, GRAM, SIDE, SHALLOW = 50, 12, 25, 32
 BATCH_BYTES = 4_000_000
@@ -333,10 +333,11 @@ def remove(documents: DataFrame, shards: int | None = None, report: bool = False
 
     With ``report``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes instead.
     """
-    found = spans(documents, shards)
+    own_key, own_id, own_spans = fresh(documents, "_key", "_id", "_spans")
+    found = spans(documents, shards).toDF(own_id, own_spans)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL).cast("long"))
-    rows = (documents.select("doc_id", "text") if report else documents).withColumn("_key", key)
-    joined = rows.join(found, F.col("_key") == F.col("_id"), "left").drop("_key", "_id")
+    rows = (documents.select("doc_id", "text") if report else documents).withColumn(own_key, key)
+    joined = rows.join(found, F.col(own_key) == F.col(own_id), "left").drop(own_key, own_id)
 
     def cut(text, lists):
         text = (text or "").encode()
@@ -353,7 +354,7 @@ def remove(documents: DataFrame, shards: int | None = None, report: bool = False
 
     def run(batches):
         for rows_ in batches:
-            done = [cut(t.as_py(), s.as_py()) for t, s in zip(rows_.column("text"), rows_.column("spans"), strict=True)]
+            done = [cut(t.as_py(), s.as_py()) for t, s in zip(rows_.column("text"), rows_.column(own_spans), strict=True)]
             if report:
                 yield pa.RecordBatch.from_arrays([rows_.column("doc_id"), pa.array([len(x) + n for x, n, _ in done], pa.int64()), pa.array([n for _, n, _ in done], pa.int64()),
                                                   pa.array([k for _, _, k in done], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x, _, _ in done])],
@@ -364,4 +365,4 @@ def remove(documents: DataFrame, shards: int | None = None, report: bool = False
 
     if report:
         return joined.mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return joined.select(*names, "spans").mapInArrow(run, documents.schema)
+    return joined.select(*names, own_spans).mapInArrow(run, documents.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlspark.llm.shared import staged
+from crawlspark.llm.shared import fresh, staged
 
 KEY = b"surrogates"
 CARRIED = 10_000
@@ -246,10 +246,10 @@ def replace(df: DataFrame, text: str = "text", key: bytes = KEY, count: str | No
         shared = {(r["kind"], r["entity"]): r["attempt"] for r in some}
         rows, extra = df.select(*names), None
     else:
-        shared, extra = {}, "_redrawn"
-        own = mentions(df.select(text, F.xxhash64(text).alias("_row")), text, ["_row"]).distinct()
-        per_row = own.join(again, ["kind", "entity"]).groupBy("_row").agg(F.to_json(F.collect_list(F.struct("kind", "entity", "attempt"))).alias(extra))
-        rows = df.select(*names, F.xxhash64(text).alias("_row")).join(per_row, "_row", "left").drop("_row")
+        shared, (extra, row) = {}, fresh(df, "_redrawn", "_row")
+        own = mentions(df.select(text, F.xxhash64(text).alias(row)), text, [row]).distinct()
+        per_row = own.join(again, ["kind", "entity"]).groupBy(row).agg(F.to_json(F.collect_list(F.struct("kind", "entity", "attempt"))).alias(extra))
+        rows = df.select(*names, F.xxhash64(text).alias(row)).join(per_row, row, "left").drop(row)
 
     def run(batches):
         import pyarrow as pa

@@ -1,0 +1,471 @@
+"""Each operator on small odd tables and against a plain version of itself."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from crawlspark.llm import (catalog, chosen_path, components, license_scan, mixing, multiset_hash, ngram_trie, sentencepiece_bpe, sphere_filters, suffix_dedup, surrogates,
+                            toxicity)
+
+LONG = "lorem ipsum dolor " * 3000
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "One two three four five six."), (5, "one TWO three four five six."), (6, LONG), (6, LONG), (8, LONG + "end"),
+       (None, "no id here, mail a.b@c.example.org"), (10, "É à la cc by mit ▁ 😀 \x00 x")]
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(i, t, None if i == 4 else "en", None if i in (2, 5) else f"s{(i or 0) % 3}", None) for i, t in ODD], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    """Invented texts with copies, near copies, shared passages."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice(["ta", "mo", "re", "li", "nu", "sk"]) for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 250))) for _ in range(60)]
+    passage = " ".join(rng.choices(words, k=30))
+    for k in range(60):
+        own = texts[k].split(" ")
+        if k % 3 == 0:
+            own[rng.randrange(len(own))] = rng.choice(words)
+        elif k % 3 == 1:
+            own[rng.randrange(len(own)):0] = passage.split(" ")
+        texts.append(" ".join(own) if k % 5 else texts[k])
+    rows = [(i * 3, t, "en", f"s{i % 4}", len(t)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def rows(df):
+    return sorted(df.collect(), key=lambda r: (r[0] is not None, r[0], str(r)))
+
+
+def texts_of(df):
+    return {r.doc_id: r.text or "" for r in df.collect() if r.doc_id is not None}
+
+
+# 1
+
+def test_encoding_equals_the_library(spark, odd, made, none):
+    import sentencepiece
+
+    path = catalog.tokenizer_path()
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    for df in (odd, made):
+        df = df.withColumn("extra", F.lit(1)).withColumn("ids", F.lit("clash"))
+        found = sentencepiece_bpe.encode(df, path, decoded="decoded").collect()
+        assert len(found) == df.count()
+        for r in found:
+            ids = library.encode(r.text or "") + [library.eos_id()]
+            assert r.ids == ids and r.decoded == library.decode(ids) and r.extra == 1
+    again = sentencepiece_bpe.decode(sentencepiece_bpe.encode(made, path), path).collect()
+    assert all(r.decoded == r.text for r in again)
+    assert sentencepiece_bpe.encode(none, path).count() == 0
+
+
+def test_encoding_of_random_strings_equals_the_library():
+    import sentencepiece
+
+    path = catalog.tokenizer_path()
+    library, rng = sentencepiece.SentencePieceProcessor(model_file=path), random.Random(1)
+    with open(path, "rb") as file:
+        model = sentencepiece_bpe.Model(file.read())
+    for _ in range(3000):
+        text = "".join(rng.choice(" ▁\n\tabcdeёж中�😀\x00  aaaaattthe.,0123") for _ in range(rng.randint(0, 40)))
+        ids = library.encode(text)
+        assert list(model.encode(text)) == ids and model.decode(ids) == library.decode(ids)
+
+
+# 2
+
+def test_toxicity_finds_held_out_rows(spark):
+    rng = random.Random(3)
+    syllables = ["ba", "ko", "mi", "ter", "lun", "sa"]
+    rows_, labels = [], []
+    for i in range(400):
+        words = ["".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(60)]
+        toxic = int(i % 5 == 0)
+        if toxic:
+            for _ in range(4):
+                words.insert(rng.randrange(60), "zorg" + rng.choice(syllables))
+        rows_.append((i, " ".join(words), "en", "s", 0))
+        labels.append((i, 1, 1 - toxic if rng.random() < 0.03 else toxic))
+    documents = spark.createDataFrame(rows_, SCHEMA).withColumn("score", F.lit("clash"))
+    marks = spark.createDataFrame(labels + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents, marks, F.col("doc_id") % 4 != 0)
+    scores = {r.doc_id: r.score for r in toxicity.score(documents, model).collect()}
+    right = [(scores[i] >= 0.5) == (i % 5 == 0) for i in range(0, 400, 4)]
+    assert sum(right) >= 97, sum(right)  # a mark may come in one form only
+    assert all(0 <= s <= 1 for s in scores.values())
+
+
+def test_toxicity_of_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(odd, labels)
+    found = toxicity.score(odd, model).collect()
+    assert len(found) == len(ODD) and all(0 <= r.score < 0.5 for r in found)
+    bad = spark.createDataFrame([(1, "you idiot, you moron")], "doc_id long, text string")
+    assert toxicity.score(bad, model).first().score >= 0.5
+    assert toxicity.score(none, model).count() == 0
+
+
+def test_label_model_prefers_accurate_voters():
+    rng = np.random.default_rng(0)
+    y = rng.random(3000) < 0.3
+    good, poor = np.where(rng.random(3000) < 0.9, y, ~y), rng.random(3000) < 0.5
+    votes = np.stack([good, poor, poor, poor, np.where(rng.random(3000) < 0.85, y, ~y), np.where(rng.random(3000) < 0.85, y, ~y)], 1).astype(float)
+    noisy = np.where(rng.random(3000) < 0.8, y, ~y)
+    p, rates, share = toxicity.posterior(votes, np.ones(3000), np.where(noisy, 0.9, 0.02))
+    assert ((p > 0.5) == y).mean() > 0.9
+    assert share[1] < 0.5 < share[0] and rates[1, 0] > rates[0, 0]
+
+
+# 3
+
+def brute_links(v, cosine=0.9):
+    u = np.array(v, "float64")
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    return (u @ u.T >= cosine) & ~np.eye(len(u), dtype=bool)
+
+
+def test_embedding_links(spark):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((300, 24))
+    near = base[:150] + rng.standard_normal((150, 24)) * rng.choice([0.02, 0.35, 0.5], (150, 1))
+    v = np.concatenate([base, near, base[:40], base[:20] * 2]).astype("float32")
+    odd = [(1000, None), (1001, []), (1002, [0.0] * 24), (1003, [float("nan")] + [1.0] * 23), (1004, [None] + [1.0] * 23), (1005, [1.0, 2.0]), (None, [1.0] * 24)]
+    data = [(i, x.tolist(), i % 3) for i, x in enumerate(v)] + [(i, x, 0) for i, x in odd]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").repartition(5)
+    found = {r.vec_id: r for r in sphere_filters.links(df).collect()}
+    linked = brute_links(v)
+    edges = spark.createDataFrame([(int(a), int(b)) for a, b in zip(*np.nonzero(linked), strict=True)], "a long, b long")
+    component = {r.node: r.component for r in components.components(edges).collect()}
+    wrong = [i for i in range(len(v)) if (found[i].n_links, found[i].component_id) != (linked[i].sum(), component.get(i, i))]
+    assert not wrong
+    assert all(found[i].n_links == 0 for i, _ in odd)
+    assert found[None].component_id is None and not found[None].kept and found[1000].kept
+    assert sphere_filters.links(df.filter("vec_id > 5000")).count() == 0
+
+
+def test_large_groups_are_tiled(spark, monkeypatch):
+    monkeypatch.setattr(sphere_filters, "TILE", 16)
+    rng = np.random.default_rng(4)
+    v = (np.ones((150, 16)) + rng.standard_normal((150, 16)) * 0.25).astype("float32")
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    found = {r.vec_id: r.n_links for r in sphere_filters.links(df).collect()}
+    assert [found[i] for i in range(150)] == brute_links(v).sum(1).tolist()
+
+
+# 4
+
+def test_targets_are_capped_and_reshared():
+    t = mixing.targets(np.array([10, 100, 1000]), np.array([1.0, 2.0, 3.0]))
+    assert t.tolist() == [30.0, 300.0, 780.0]
+    assert mixing.targets(np.array([5, 0]), np.array([1.0, 2.0])).tolist() == [5.0, 0.0]
+
+
+def test_draws_fill_every_shard_and_meet_the_totals():
+    slots = np.array([5, 0, 700, 33])
+    drawn = mixing.draw(slots, 7, 1)
+    assert drawn.sum(0).tolist() == slots.tolist() and set(drawn.sum(1)) <= {105, 106}
+    assert (mixing.draw(slots, 7, 1) == drawn).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
+def test_permutation(n):
+    for key in (0, 12345):
+        assert sorted(mixing.permute(np.arange(n), np.full(n, n), np.full(n, key, "uint64"))) == list(range(n))
+
+
+def test_mix(spark, odd, made, none):
+    found = rows(mixing.taken_words(made))
+    again = rows(mixing.taken_words(made.repartition(2)))
+    assert found == again
+    sizes = {i: len(WORD.findall(t)) for i, t in texts_of(made).items()}
+    assert all(r["size"] == sizes[r.doc_id] and 0 <= r.taken <= 3 * r["size"] for r in found)
+    for s in {r.source for r in found}:
+        part = [r for r in found if r.source == s]
+        assert part[0].source_size == sum(r["size"] for r in part)
+        assert abs(sum(r.taken for r in part) - part[0].target) <= mixing.BLOCK
+    assert sum(r.target for r in found if r.doc_id in {min(q.doc_id for q in found if q.source == s) for s in {q.source for q in found}}) == pytest.approx(sum(sizes.values()))
+    weird = rows(mixing.taken_words(odd))
+    assert len(weird) == len(ODD) and all(r.taken <= 3 * r["size"] for r in weird)
+    assert mixing.taken_words(none).count() == 0 and mixing.mixed_documents(none).count() == 0
+    taken, words = Counter(), Counter({(r.doc_id): 0 for r in found})
+    mixed = mixing.mixed_documents(made.withColumn("_pass", F.lit(1)))
+    assert mixed.columns[-1] == "_pass"
+    for r in mixed.collect():
+        taken[r.doc_id] += len(WORD.findall(r.text))
+        assert r.n_chars == len(r.text)
+    words.update({r.doc_id: r.taken for r in found})
+    assert +taken == +words
+
+
+# 5
+
+def test_elias_fano():
+    rng = np.random.default_rng(1)
+    for n, universe in ((0, 10), (1, 1), (1000, 1 << 48), (5000, 6000)):
+        values = np.sort(rng.integers(0, universe, n, dtype="uint64"))
+        coded = ngram_trie.EliasFano.encode(values, universe)
+        assert (coded[np.arange(n)] == values).all()
+        if n:
+            ends = np.full(n, n)
+            assert (values[coded.find(values, np.zeros(n, "int64"), ends)] == values).all()
+            absent = np.setdiff1d(np.arange(min(universe, 3000), dtype="uint64"), values)
+            assert (coded.find(absent, np.zeros(len(absent), "int64"), np.full(len(absent), n)) == -1).all()
+
+
+def plain_scores(texts, held):
+    tokens = {i: lower(t).encode().split() + [0] for i, t in texts.items()}
+    count, pairs = Counter(), Counter()
+    for i, w in tokens.items():
+        if not held(i):
+            count.update(w)
+            pairs.update(zip([1] + w, w, strict=False))
+    followers, total = Counter(a for a, _ in pairs), Counter()
+    for (a, _), c in pairs.items():
+        total[a] += c
+    n, v = sum(count.values()), len(count)
+    for i, w in tokens.items():
+        chance = [math.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w]
+        score = 0.0
+        for a, b, p in zip([1] + w, w, chance, strict=False):
+            c = pairs[a, b]
+            score += math.log10((c - 0.75) / total[a]) if c else p + (math.log10(0.75 * followers[a] / total[a]) if total[a] else 0)
+        yield i, (len(w), sum(count[x] > 0 for x in w), n), sum(chance), score
+
+
+def test_scores(spark, odd, made, none):
+    for df, shards in ((made, 5), (odd.filter("doc_id is not null").dropDuplicates(["doc_id"]), 3)):
+        found = {r.doc_id: r for r in ngram_trie.score(df, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)) == 0, shards).collect()}
+        texts = texts_of(df)
+        assert found.keys() == texts.keys()
+        for i, counts, base, score in plain_scores(texts, lambda i: zlib.crc32(str(i).encode()) % 10 == 0):
+            r = found[i]
+            assert (r.n_tokens, r.n_known, r.train_tokens) == counts
+            assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score, abs=2e-4 * counts[0])
+    twice = [r for r in ngram_trie.score(odd, F.lit(False), 3).collect() if r.doc_id == 6]
+    assert len(twice) == 2 and twice[0] == twice[1] and twice[0].n_tokens == 9001
+    assert ngram_trie.score(none, F.lit(False), 2).count() == 0
+    unseen = ngram_trie.score(odd, F.lit(True), 2).collect()
+    assert len(unseen) == len(ODD) and all(r.n_known == 0 and r.train_tokens == 0 for r in unseen)
+
+
+# 6
+
+def test_surrogates_keep_kind_and_format():
+    text = "hein.19@mail5.example.com calls +1 (743) 555-3824 or +1 743 555 3824; card 4111 1111 1111 1111, 4111111111111111; ip 70.23.22.57. Mr. John Smith, Mrs Smith, Анна Иванова. ssn 123-45-6789"
+    new, n = surrogates.rewrite(text, b"k", {})
+    assert n == 12 and surrogates.rewrite(text, b"k", {})[0] == new != surrogates.rewrite(text, b"other", {})[0]
+    for private in ("hein.19", "555-3824", "4111", "70.23", "John", "Smith", "Анна", "Иванова", "123-45"):
+        assert private not in new
+    mail = re.search(r"[a-z]{4}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.com", new)
+    phones = re.search(r"\+1 \((\d{3})\) (\d{3})-(\d{4}) or \+1 (\d{3}) (\d{3}) (\d{4})", new).groups()
+    cards = re.search(r"card ([\d ]{19}), (\d{16})", new).groups()
+    assert mail and phones[:3] == phones[3:] and cards[0].replace(" ", "") == cards[1] and surrogates.luhn(cards[1]) == 0
+    man, family = re.search(r"Mr\. (\w+) (\w+), Mrs (?=\2)", new).groups()
+    assert man in surrogates.GIVEN["m", "latin"]
+    woman = re.search(r"([А-я]+) [А-я]+\. ssn \d{3}-\d\d-\d{4}", new)[1]
+    assert woman in surrogates.GIVEN["f", "cyrillic"]
+    clean = "Licensed under CC BY-NC 4.0, version 3 of 2024-01-02, chapter 12.3.4, 100000 words."
+    assert surrogates.rewrite(clean, b"k", {}) == (clean, 0)
+
+
+def test_surrogates_are_distinct(spark, odd, none):
+    people = [f"Mr. {g} {f}" for g in surrogates.GIVEN["m", "latin"] for f in ("Abel", "Baker", "Cole")]
+    df = spark.createDataFrame([(i, p, "x") for i, p in enumerate(people)] + [(900, None, "x"), (901, "", "x")], "doc_id long, text string, n_entities string").repartition(4)
+    few = {r.doc_id: r for r in surrogates.replace(df, count="n_entities").collect()}
+    joined = {r.doc_id: r for r in surrogates.replace(df, count="n_entities", carried=0).collect()}
+    assert few == joined and few[900].text is None and few[901].text == "" and few[0].n_entities == 2
+    new = defaultdict(set)
+    for i, p in enumerate(people):
+        assert not set(few[i].text.split(" ")[1:]) & {w for q in people for w in q.split(" ")[1:]}
+        for old, now in zip(p.split(" ")[1:], few[i].text.split(" ")[1:], strict=True):
+            new[old].add(now)
+    assert all(len(s) == 1 for s in new.values())
+    assert len({next(iter(s)) for s in new.values()}) == len(new)
+    assert surrogates.replace(odd, count="n").count() == len(ODD) and surrogates.replace(none).count() == 0
+
+
+# 7
+
+def brute_components(texts, size, percent):
+    sets = {}
+    for i, t in texts.items():
+        w = lower(t).encode().split()
+        sets[i] = {tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
+    names = {i: i for i in sets}
+
+    def top(i):
+        while names[i] != i:
+            i = names[i]
+        return i
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1:]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                x, y = top(a), top(b)
+                names[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), top(i)) for i in sets}
+
+
+@pytest.mark.parametrize("node", [128, 4])
+def test_near_duplicates(spark, odd, made, none, monkeypatch, node):
+    monkeypatch.setattr(chosen_path, "NODE", node)
+    for df in (made, odd.filter("doc_id is not null")):
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(df, 4).collect()}
+        assert found == brute_components(texts_of(df), 4, 80)
+    assert chosen_path.near_duplicates(none).count() == 0
+
+
+def test_near_copies_beyond_doubt_fall_back(spark, made, monkeypatch):
+    monkeypatch.setattr(chosen_path, "SURE", 0.5)  # every candidate counts as sure, many fail
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(made, 4).collect()}
+    assert found == brute_components(texts_of(made), 4, 80)
+
+
+def test_one_document_of_each_group_stays(spark, odd):
+    kept = chosen_path.deduplicated(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 6, 8, 10]
+
+
+def test_components(spark):
+    edges = [(k, k + 1) for k in range(1, 40)] + [(100, 90), (90, 95), (7, 7), (None, 3), (100, 90)]
+    found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{k: 1 for k in range(1, 41)}, **{k: 90 for k in (90, 95, 100)}}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# 8
+
+def brute_removal(texts):
+    seen = {}
+    for i in sorted(texts):
+        content = texts[i].encode()
+        gone = bytearray(len(content))
+        for p in range(len(content) - 49):
+            if seen.setdefault(content[p:p + 50], i) < i:
+                gone[p:p + 50] = b"\1" * 50
+        kept = bytes(b for b, g in zip(content, gone, strict=True) if not g)
+        runs = len(re.findall(b"\1+", bytes(gone)))
+        yield i, (len(content), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+
+
+@pytest.mark.parametrize("batch", [4_000_000, 700])
+def test_repeated_passages(spark, odd, made, none, monkeypatch, batch):
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
+    for df in (made, odd.filter("doc_id is not null").dropDuplicates(["doc_id"])):
+        found = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove(df, 3, report=True).collect()}
+        assert found == dict(brute_removal(texts_of(df)))
+    assert suffix_dedup.remove(none, 2).count() == 0
+    cut = suffix_dedup.remove(odd.withColumn("_spans", F.lit("clash")), 2)
+    assert cut.columns == [*odd.columns, "_spans"] and cut.count() == len(ODD)
+
+
+def test_deep_shallow_order():
+    rng = np.random.default_rng(3)
+    content = np.concatenate([rng.integers(97, 99, 60, dtype="uint8")] * 6 + [rng.integers(97, 99, 400, dtype="uint8"), np.zeros(112, "uint8")])
+    position = np.arange(700)
+    document = position // 100
+    raw = content.tobytes()
+    least = {}
+    for p in position:
+        least.setdefault(raw[p:p + 50], document[p])
+    assert suffix_dedup.repeated(content, position, document).tolist() == [bool(document[p] > least[raw[p:p + 50]]) for p in position]
+    trie = suffix_dedup.BlindTrie(0)
+    strings = [bytes(rng.integers(97, 100, 8, dtype="uint8")) for _ in range(300)]
+    for k, s in enumerate(strings):
+        trie.add(s, k)
+    assert [sorted(g) for g in trie.ordered()] == [sorted(k for k, s in enumerate(strings) if s == t) for t in sorted(set(strings))]
+
+
+# 9
+
+def test_fingerprints(spark, odd, made, none):
+    for df in (made, odd):
+        ordered = sorted(((r.doc_id, r.text or "") for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+        found = {(r.doc_id, r.n_chars): r for r in multiset_hash.edit_report(df).collect()}
+        assert sum(1 for _ in multiset_hash.edit_report(df).collect()) == len(ordered)
+        for k, (i, text) in enumerate(ordered):
+            after = ordered[(k + 1) % len(ordered)][1]
+            half = len(text) // 2
+            edited = text[:len(text) - half] + after[:half]
+            r = found[i, len(text)]
+            if i != 6:  # rows that share an id and a text stand in either order
+                assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+            assert (r.fingerprint == r.edited_fingerprint) == (r.near_edited == 1.0) or text.split() == edited.split()
+            assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    assert multiset_hash.edit_report(none).count() == 0
+
+
+def test_fingerprints_add_and_ignore_order(spark):
+    data = [(1, "a b c d\nx y z"), (2, "x y z\n\n a b c d"), (3, "a b c d"), (4, "x y z"), (5, ""), (6, None), (7, "a b c d\nx y z\nx y z")]
+    df = spark.createDataFrame(data, "k long, text string")
+    v = {r.k: r for r in multiset_hash.vectors(df, ["k"]).withColumn("print", multiset_hash.fingerprint(F.struct("identity", "lanes", "shingles"))).collect()}
+    assert v[1].print == v[2].print != v[7].print and v[5].print == v[6].print == "0" * len(v[5].print)
+    pair = multiset_hash.vectors(df, ["k"]).withColumn("v", F.struct("identity", "lanes", "shingles")).select("k", "v")
+    both = pair.filter("k = 3").select(F.col("v").alias("a")).join(pair.filter("k = 4").select(F.col("v").alias("b")))
+    both = both.select(multiset_hash.plus(F.col("a"), F.col("b")).alias("s"), "b")
+    r = both.select(multiset_hash.fingerprint(F.col("s")).alias("s"), multiset_hash.fingerprint(multiset_hash.minus(F.col("s"), F.col("b"))).alias("d")).first()
+    assert r.s == v[1].print and r.d == v[3].print
+
+
+# 10
+
+def test_license_scan(spark, odd, made, none):
+    gpl3 = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"
+    data = [(1, "Mit License, apache-license! x MIT\nLicense"), (2, "a " * 100 + gpl3 + " b" * 70), (3, "Licensed under the GNU Lesser General Public License."), (4, "licensed under cc by-nc 4.0"),
+            (5, "permission to use nothing"), (6, None), (7, ""), (8, "gnu general public license gnu general public license é mit licenses")]
+    df = spark.createDataFrame(data, "doc_id long, text string").withColumn("words", F.lit(1)).withColumn("labels", F.lit("clash"))
+    r = {x.doc_id: x for x in license_scan.scan(df).collect()}
+    assert (r[1].n_words, r[1].n_base, r[1].first_word, r[1].last_word, r[1].base_labels) == (7, 3, 0, 5, "apache,mit")
+    assert r[2].labels == "gpl,gpl-notice" and r[2].score == 1.0 and r[2].first_word == 100 + gpl3.lower().replace("/", " ").split().index("gnu")
+    assert r[3].labels == "lgpl-notice" and r[3].base_labels == ""
+    assert r[4].labels == "cc-by,cc-by-nc-4.0" and r[5].labels == "" and r[5].score == 0
+    assert (r[6].n_words, r[6].n_base, r[6].first_word, r[6].labels) == (0, 0, None, "") and r[7].n_words == 0
+    assert (r[8].n_base, r[8].first_word, r[8].last_word) == (2, 0, 4)
+    assert license_scan.scan(odd).count() == len(ODD) and license_scan.scan(none).count() == 0
+
+
+def test_license_join_equals_comparing_every_block(spark):
+    rng, shapes = random.Random(8), license_scan.templates()
+    pool = sorted({w for _, own in shapes for w in own})
+    data = []
+    for i in range(40):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            own = rng.choice(shapes)[1]
+            words += rng.sample(own, rng.randint(len(own) // 2, len(own))) + rng.choices(pool + ["z"] * 60, k=rng.randint(0, 50))
+        data.append((i, " ".join(words)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    expected = set()
+    for i, text in data:
+        words = text.split()
+        for b in range(max(1, 1 + math.ceil((len(words) - license_scan.BLOCK) / license_scan.STEP))):
+            block = set(words[b * license_scan.STEP:b * license_scan.STEP + license_scan.BLOCK])
+            hits = [(label, set(own), len(block & set(own)) / len(own)) for label, own in shapes if len(block & set(own)) >= math.ceil(license_scan.THRESHOLD * len(own) - 1e-9)]
+            for label, own, share in hits:
+                rivals = [(s, len(o)) for _, o, s in hits if o != own and len(o & own) >= license_scan.RIVAL * min(len(o), len(own))]
+                if not any(r > (share, len(own)) for r in rivals):
+                    expected.add((i, b, label))
+    assert {(r.doc_id, r.block, r.label) for r in license_scan.matches(df, ["doc_id"]).collect()} == expected
