@@ -13,14 +13,14 @@ from crawlspark.plans.wave import crawl_wave, empty_state
 from crawlspark.sources.store import CrawlStore
 
 
-def _inputs(t):
+def crawl_inputs(t):
     return {"robots_files": t.fx_robots, "sitemap_files": t.fx_sitemaps, "agent": AGENT, "pattern": PATTERN}
 
 
 def _wave(t):
     """The first wave of a crawl that has just popped every page."""
     page = t.pages.select((F.col("page_id") + 1).alias("id"), F.lit("CRAWLING").alias("page_type_code"), "url")
-    return crawl_wave(empty_state(page), schemas.conform(t.fx_fetches, "fetches"), **_inputs(t))
+    return crawl_wave(empty_state(page), schemas.conform(t.fx_fetches, "fetches"), **crawl_inputs(t))
 
 
 def _page(t):
@@ -32,7 +32,7 @@ def _discovery(t):
     """From every third page on until the frontier is empty: how each page ended."""
     store = CrawlStore(t.spark, scratch_folder(t.spark, "discovery"))
     store.reset_from(t.pages.filter("page_id % 3 = 0").select("url"))
-    discover(store, schemas.conform(t.fx_fetches, "fetches"), **_inputs(t))
+    discover(store, schemas.conform(t.fx_fetches, "fetches"), **crawl_inputs(t))
     return store.page().select("id", "url", "page_type_code")
 
 
@@ -53,7 +53,7 @@ _BASE = "split_part(requested_url, '://', 1) || '://' || host"
 _DOC = "(ends_with(url, '.pdf') OR ends_with(url, '.docx'))"
 
 # The wave step by step: batch, sites, copies, links, sitemap links, first events, ids, changes.
-_WAVE = rf"""WITH
+WAVE_SQL = rf"""WITH
 b AS (SELECT o.*, f.http_status, f.html, f.accessed_time, split_part(o.requested_url, '/', 3) AS host,
   replace(split_part(o.requested_url, '/', 3), 'www.', '') AS domain, CASE WHEN is_redirect THEN page_url ELSE o.requested_url END AS own_url
   FROM ({OUTCOME_SQL}) AS o JOIN fx_fetches f ON f.seq = o.seq),
@@ -89,20 +89,20 @@ page AS (SELECT numbered.id, site_id, page_type_code, latest.url, length(html) A
 """
 
 ORACLES = {
-    "wave_site": _WAVE + """SELECT s.id, s.domain, CASE WHEN r.http_status <> 200 THEN '' ELSE 'User-agent: other' || chr(10) || 'Disallow: /' || chr(10) || chr(10)
+    "wave_site": WAVE_SQL + """SELECT s.id, s.domain, CASE WHEN r.http_status <> 200 THEN '' ELSE 'User-agent: other' || chr(10) || 'Disallow: /' || chr(10) || chr(10)
         || 'User-agent: *' || chr(10) || CASE WHEN length(host) % 5 <> 0 THEN 'Crawl-delay: ' || length(host) % 9 || chr(10) ELSE '' END
         || 'Disallow: /the' || chr(10) || 'Allow: /d/' || chr(10) || 'Disallow: /p/1' END AS robots_content,
         CASE WHEN r.http_status = 200 AND length(host) % 3 <> 0 THEN 'https://' || host || '/sitemap.xml,https://' || host || '/more.xml' END AS sitemap_content
         FROM s JOIN fx_robots r ON r.domain = s.host""",
-    "wave_page": _WAVE + "SELECT * FROM page",
-    "wave_frontier": _WAVE + "SELECT DISTINCT url FROM page WHERE page_type_code = 'FRONTIER'",
-    "wave_image": _WAVE + """SELECT row_number() OVER (ORDER BY seq) AS id, numbered.id AS page_id, regexp_extract(html, '<img src="/i/([0-9]+)[.]PNG', 1) AS filename,
+    "wave_page": WAVE_SQL + "SELECT * FROM page",
+    "wave_frontier": WAVE_SQL + "SELECT DISTINCT url FROM page WHERE page_type_code = 'FRONTIER'",
+    "wave_image": WAVE_SQL + """SELECT row_number() OVER (ORDER BY seq) AS id, numbered.id AS page_id, regexp_extract(html, '<img src="/i/([0-9]+)[.]PNG', 1) AS filename,
         'PNG' AS content_type, CAST(accessed_time AS VARCHAR) AS accessed_time FROM x JOIN numbered ON numbered.url = x.own_url
         WHERE final = 'HTML' AND contains(html, '.PNG?x=1">')""",
-    "wave_page_data": _WAVE + f"""SELECT row_number() OVER (ORDER BY a.seq, a.url) AS id, numbered.id AS page_id, code AS data_type_code FROM
+    "wave_page_data": WAVE_SQL + f"""SELECT row_number() OVER (ORDER BY a.seq, a.url) AS id, numbered.id AS page_id, code AS data_type_code FROM
         (SELECT seq, url, CASE WHEN ends_with(url, '.pdf') THEN 'PDF' ELSE 'DOCX' END AS code FROM links WHERE {_DOC}
         UNION ALL SELECT seq, '', document FROM x WHERE final = 'BINARY') AS a JOIN x ON x.seq = a.seq JOIN numbered ON numbered.url = x.own_url""",
-    "wave_link": _WAVE + """SELECT DISTINCT f.id AS from_page, g.id AS to_page FROM
+    "wave_link": WAVE_SQL + """SELECT DISTINCT f.id AS from_page, g.id AS to_page FROM
         (SELECT requested_url AS source, page_url AS target FROM x WHERE is_redirect UNION ALL SELECT own_url, original FROM x WHERE final = 'DUPLICATE'
         UNION ALL SELECT source, url FROM fresh WHERE kind = 1) AS e JOIN numbered f ON f.url = e.source JOIN numbered g ON g.url = e.target""",
 }

@@ -14,10 +14,6 @@ def _links(t):
     return html.filled_links(t.fx_pages, pattern=PATTERN).withColumnRenamed("host", "domain")
 
 
-def _busy(t):
-    return robots.busy_hosts(t.pages, U.netloc(F.col("url")))
-
-
 def _saved(t):
     """Site rows with robots text as a first visit keeps it."""
     return robots.site_columns(t.fx_robots)
@@ -36,14 +32,14 @@ def _known_sites(t):
 QUERIES = {
     "robots_rules": lambda t: robots.robots_rules(t.fx_robots).select(
         "domain", "group", F.array_join("agents", ",").alias("agents"), "rule", "allow", "path", "delay"),
-    "robots_allowed": lambda t: robots.with_verdict(_links(t), robots.policies(t.fx_robots, AGENT), heavy=_busy(t))
+    "robots_allowed": lambda t: robots.with_verdict(_links(t), robots.policies(t.fx_robots, AGENT))
         .select("page_id", "url", "allowed"),
     "robots_status": lambda t: t.fx_robots.select("domain", robots.mode(F.col("http_status"), F.col("content")).alias("mode")),
     "crawl_delays": lambda t: robots.crawl_delays(t.fx_robots, AGENT),
     "robots_sitemaps": lambda t: robots.robots_sitemaps(t.fx_robots),
     "sitemap_csv": lambda t: _saved(t).select("domain", "sitemap_content"),
     "robots_text": lambda t: _saved(t).select("domain", "robots_content"),
-    "saved_robots": lambda t: robots.with_verdict(_links(t), robots.saved_policies(_saved(t), AGENT), heavy=_busy(t))
+    "saved_robots": lambda t: robots.with_verdict(_links(t), robots.saved_policies(_saved(t), AGENT))
         .select("page_id", "url", "allowed"),
     "sitemap_locs": lambda t: sitemaps.sitemap_locs(t.fx_sitemaps),
     "sitemap_tree": lambda t: sitemaps.sitemap_tree(sitemaps.root_sitemaps(_sites(t), t.fx_robots), t.fx_sitemaps),

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark import schemas
+from crawlspark.catalog.crawl import WAVE_SQL, crawl_inputs
 from crawlspark.checkpoints import scratch_folder
 from crawlspark.operators import html
+from crawlspark.sources.store import CrawlStore
 from crawlspark.streaming import jobs
 
 
@@ -34,6 +40,37 @@ def _schedule(t):
     return done.select("id", "host", "start")
 
 
-QUERIES = {"stream_dedupe": _dedupe, "stream_schedule": _schedule}
+def _stream_wave(t):
+    """All fetches as a stream, folded into a store that starts with every page; then the same stream again, which adds nothing."""
+    folder = scratch_folder(t.spark, "stream-wave")
+    schemas.conform(t.fx_fetches, "fetches").coalesce(1).write.parquet(folder + "/in")
+    store = CrawlStore(t.spark, folder + "/store").reset_from(t.pages.select("url"))
+    for _ in range(2):
+        stream = t.spark.readStream.schema(schemas.schema("fetches")).parquet(folder + "/in")
+        jobs.crawl_stream(stream, store, folder + "/checkpoint", **crawl_inputs(t)).awaitTermination()
+    return store.page().select("url", "page_type_code")
+
+
+def _created(t):
+    """Rows of each table of a store that starts with all pages."""
+    store = CrawlStore(t.spark, scratch_folder(t.spark, "created")).reset_from(t.pages.select("url"))
+    return reduce(DataFrame.unionByName, [store.table(n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "n_rows") for n in schemas.CRAWL_TABLES])
+
+
+def _reset(t):
+    """The pages of a store that held all pages, after a reset to every second one."""
+    store = CrawlStore(t.spark, scratch_folder(t.spark, "reset")).reset_from(t.pages.select("url"))
+    return store.reset_from(t.pages.filter("page_id % 2 = 0").select("url")).page().select("url", "page_type_code")
+
+
+QUERIES = {"stream_dedupe": _dedupe, "stream_schedule": _schedule, "stream_wave": _stream_wave, "create_tables": _created, "reset_tables": _reset}
 
-ORACLES = {"stream_dedupe": "SELECT sha256(text) AS html_hash, length(text) AS n_chars FROM (SELECT DISTINCT text FROM documents) AS d"}
+ORACLES = {
+    "stream_schedule": """SELECT id, host, CAST(before + max(arrival - before) OVER (PARTITION BY host ORDER BY arrival, id) AS BIGINT) AS start
+        FROM (SELECT r.*, coalesce(sum(delay) OVER (PARTITION BY host ORDER BY arrival, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM fx_requests r) AS w""",
+    "stream_wave": WAVE_SQL + "SELECT url, page_type_code FROM page",
+    "create_tables": """SELECT 'page' AS name, count(DISTINCT url) AS n_rows FROM pages UNION ALL SELECT 'data_type', 10 UNION ALL SELECT 'page_type', 7
+        UNION ALL SELECT 'site', 0 UNION ALL SELECT 'image', 0 UNION ALL SELECT 'link', 0 UNION ALL SELECT 'page_data', 0""",
+    "reset_tables": "SELECT DISTINCT url, 'FRONTIER' AS page_type_code FROM pages WHERE page_id % 2 = 0",
+    "stream_dedupe": "SELECT sha256(text) AS html_hash, length(text) AS n_chars FROM (SELECT DISTINCT text FROM documents) AS d"}

@@ -95,7 +95,7 @@ QUERIES = {
     "surrogate_ids": lambda t: tables.ids.with_rank(t.orders.select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], "id")
         .select("id", "o_orderkey"),
     "site_lookup": lambda t: tables.site_lookup(
-        t.pages.select("page_id", U.site_key(U.netloc(F.col("url"))).alias("domain")), _site(t), ["page_id"]),
+        t.pages.select("page_id", U.site_key(U.netloc(F.col("url"))).alias("domain")), _site(t)),
     "url_union": lambda t: _url_sets[0](t).unionByName(_url_sets[1](t)).distinct(),
     "url_difference": lambda t: _url_sets[0](t).distinct().join(_url_sets[1](t), "url", "left_anti"),
     "discovery_edges": _discovery,

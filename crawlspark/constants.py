@@ -26,14 +26,12 @@ RELATIVE_URL = r"^(?:/[^\n]*)?$"
 ONCLICK_ASSIGN = r"""^[^\n]*location(?:[^\n]href)? = ["']([^\n]*)["']"""
 ONCLICK_CALL = r"""^[^\n]*location(?:[^\n]href)?[^\n][^\n]*\(["']([^\n]*)["']\)"""
 
-# Politeness, statuses and column limits.
+# Politeness and statuses.
 DEFAULT_DELAY_SECONDS = 5
 REDIRECT_STATUS = 301
 QUIET_ERRORS = ["net::ERR_BAD_SSL_CLIENT_AUTH_CERT", "net::ERR_CONNECTION_RESET", "net::ERR_ABORTED",
                 "net::ERR_EMPTY_RESPONSE"]
 DOWNLOAD_ERROR = "net::ERR_ABORTED"
-MAX_URL_LENGTH = 3000
-MAX_FILENAME_LENGTH = 255
 
 # The robots.txt name this crawler answers to; pass your own to the robots functions.
 DEFAULT_AGENT = "crawlspark"

@@ -25,7 +25,7 @@ def originals(rows: DataFrame, order: str = "seq", payload: list[str] | None = N
 
 
 def mark_duplicates(rows: DataFrame, known: DataFrame | None = None, key: str = "id", order: str = "seq",
-                    site: str = "site_id", min_rows: int | None = None) -> DataFrame:
+                    site: str = "site_id") -> DataFrame:
     """Add original_id and original_site_id to each row that is a copy, null for originals.
 
     ``rows`` has key, order, site and html_hash. ``known`` holds earlier pages (key, site_id, html_content_hash), which
@@ -39,8 +39,7 @@ def mark_duplicates(rows: DataFrame, known: DataFrame | None = None, key: str =
         first = first.join(earlier, "html_hash", "left").select(
             "html_hash", "n", F.coalesce("_kid", "_id").alias("_id"),
             F.when(F.col("_kid").isNotNull(), F.col("_ksite")).otherwise(F.col("_site")).alias("_site"))
-    heavy = skew.heavy_keys(first, "html_hash", min_rows=min_rows)
-    found = skew.lookup(rows, first.drop("n"), "html_hash", heavy, [key, order])
+    found = skew.lookup(rows, first.drop("n"), "html_hash")
     copy = F.col("_id") != F.col(key)
     return (found.withColumns({"original_id": F.when(copy, F.col("_id")), "original_site_id": F.when(copy, F.col("_site"))})
             .drop("_id", "_site"))

@@ -137,9 +137,8 @@ def find_links(pages: DataFrame, policies: DataFrame | None = None, key: str = "
     links = filled_links(pages, key, url, html, mode, pattern)
     if policies is not None:
         source = robots_scope == "source"
-        heavy = robots.busy_hosts(pages, U.netloc(F.col(url))) if source else None
         links = links.withColumn("domain", F.col("host") if source else U.netloc(F.col("url")))
-        links = robots.filter_allowed(links, policies, heavy=heavy)
+        links = robots.filter_allowed(links, policies)
     return U.canonicalize(links.select(key, "url"), "url").distinct()
 
 

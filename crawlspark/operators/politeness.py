@@ -31,10 +31,8 @@ def wait_times(requests: DataFrame, domain_free: DataFrame, ip_free: DataFrame)
 
     ``domain_free`` has domain, free_at; ``ip_free`` ip, free_at. Both keys are skewed.
     """
-    columns = requests.columns
     for key, free, name in (("domain", domain_free, "_d"), ("ip", ip_free, "_i")):
-        heavy = skew.heavy_keys(skew.key_counts(requests.select(key), key), key)
-        requests = skew.lookup(requests, free.select(key, F.col("free_at").alias(name)), key, heavy, columns)
+        requests = skew.lookup(requests, free.select(key, F.col("free_at").alias(name)), key)
     return (requests.withColumn("wait", F.greatest(F.coalesce(F.col("_d") - F.col("now"), F.lit(0)),
                                            F.coalesce(F.col("_i") - F.col("now"), F.lit(0)), F.lit(0)))
             .drop("_d", "_i"))
@@ -52,11 +50,7 @@ def schedule(requests: DataFrame, available: DataFrame | None = None, key: str =
     long_lines = (counts.agg(F.max("n").alias("n")).first().n or 0) > limit
     if available is not None:
         floor = available.select(key, F.col("free_at").alias("_free"))
-        if long_lines:
-            requests = skew.lookup(requests, floor, key, skew.heavy_keys(counts, key), ["id"])
-        else:
-            requests = requests.join(floor, key, "left")
-        requests = requests.withColumn(
+        requests = skew.lookup(requests, floor, key).withColumn(
             "_from", F.greatest(F.col("arrival"), F.coalesce(F.col("_free"), F.col("arrival")))).drop("_free")
     else:
         requests = requests.withColumn("_from", F.col("arrival"))

@@ -118,8 +118,13 @@ def policies(files: DataFrame, agent: str = C.DEFAULT_AGENT) -> DataFrame:
     return with_policy(files, agent).select("domain", "policy")
 
 
+def status_of(mode_name: Column) -> Column:
+    """A status that stands for a kept mode: null counts as ``rules``."""
+    return F.when(mode_name == "none", 403).when(mode_name == "all", 404).otherwise(200)
+
+
 def saved_policies(sites: DataFrame, agent: str = C.DEFAULT_AGENT) -> DataFrame:
-    """domain, policy from the robots text kept in ``site.robots_content``."""
+    """domain, policy from the robots text kept in ``site.robots_content``; the text alone doesn't tell why it is empty."""
     kept = with_policy(sites, agent, F.lit(200), "robots_content")
     return kept.select("domain", "policy")
 
@@ -143,28 +148,17 @@ def can_fetch(policy: Column, target: Column) -> Column:
             .otherwise(False))
 
 
-def busy_hosts(pages: DataFrame, host: Column, min_pages: int | None = None) -> DataFrame:
-    """The hosts with most pages, which also hold most links. Reads one narrow column, not the links."""
-    counts = skew.key_counts(pages.select(host.alias("domain")), "domain")
-    return skew.heavy_keys(counts, "domain", min_rows=skew.MIN_ROWS // 20 if min_pages is None else min_pages)
-
-
-def with_verdict(links: DataFrame, known: DataFrame, url: str = "url", min_rows: int | None = None,
-                 heavy: DataFrame | None = None) -> DataFrame:
+def with_verdict(links: DataFrame, known: DataFrame, url: str = "url") -> DataFrame:
     """Add ``allowed`` to ``links`` (with column ``domain``). A domain without a policy was not read: not allowed.
 
-    Hosts are a skewed key, so the hosts that hold most links are dealt out over salted partitions. ``heavy`` names
-    them where they are known more cheaply than by counting ``links``.
+    The rows of a large host are read by several tasks whatever they link to, so one link on all its pages is no hot key.
     """
-    if heavy is None:
-        heavy = skew.heavy_keys(skew.key_counts(links, "domain"), "domain", min_rows=min_rows)
-    joined = skew.lookup(links.withColumn("_target", _target(F.col(url))), known, "domain", heavy, ["_target"])
+    joined = skew.lookup(links.withColumn("_target", _target(F.col(url))), known, "domain")
     return joined.withColumn("allowed", can_fetch(F.col("policy"), F.col("_target"))).drop("_target", "policy")
 
 
-def filter_allowed(links: DataFrame, known: DataFrame, url: str = "url", min_rows: int | None = None,
-                   heavy: DataFrame | None = None) -> DataFrame:
-    return with_verdict(links, known, url, min_rows, heavy).filter("allowed").drop("allowed")
+def filter_allowed(links: DataFrame, known: DataFrame, url: str = "url") -> DataFrame:
+    return with_verdict(links, known, url).filter("allowed").drop("allowed")
 
 
 def sitemaps(content: Column) -> Column:

@@ -40,15 +40,15 @@ def is_index_entry(loc: Column) -> Column:
 def sitemap_tree(roots: DataFrame, files: DataFrame) -> DataFrame:
     """Leaf URLs below the root sitemaps: domain, url. ``roots`` has domain, url; ``files`` url, http_status, xml.
 
-    One round per level of the index. A sitemap is opened once per domain, so a cycle ends. The files are read once;
-    the rounds join their entry lists, one row per file. The opened set and the leaves stay distributed; only the
-    emptiness test comes back.
+    One round per level of the index. A sitemap is opened once per domain, so a cycle ends. The files are read once,
+    into rows of (sitemap, entry) that the rounds join: no file's list moves as a whole, and a sitemap that many domains
+    share is split like any hot key. The opened set and the leaves stay distributed; only the emptiness test comes back.
     """
     level = checkpointed(roots.select("domain", "url").distinct())
     opened, leaves = [level], []
-    served = checkpointed(files.filter(F.col("http_status") == 200).select("url", locs(F.col("xml")).alias("locs")))
+    served = checkpointed(sitemap_locs(files))
     while not level.isEmpty():
-        found = level.join(served, "url").select("domain", F.explode("locs").alias("url"))
+        found = served.join(level, "url").select("domain", F.col("loc").alias("url"))
         found = checkpointed(found.distinct())
         leaves.append(found.filter(~is_index_entry(F.col("url"))))
         seen = reduce(DataFrame.unionByName, opened)
@@ -57,19 +57,24 @@ def sitemap_tree(roots: DataFrame, files: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, leaves).distinct() if leaves else level
 
 
-def root_sitemaps(sites: DataFrame, files: DataFrame) -> DataFrame:
+def root_sitemaps(sites: DataFrame, files: DataFrame | None) -> DataFrame:
     """Sitemaps to open per site: those its robots file names, else ``/sitemap.xml``.
 
-    ``sites`` has domain and url (any URL of the site); ``files`` are the robots files.
+    ``sites`` has domain and url (any URL of the site); ``files`` are the robots files, if there are any.
     """
+    if files is None:
+        return sites.select("domain", U.sitemap_url(F.col("url")).alias("url")).distinct()
     named = robots.robots_sitemaps(files).select("domain", F.col("url").alias("_named")).distinct()
     return (sites.select("domain", "url").join(named, "domain", "left")
             .select("domain", F.coalesce(F.col("_named"), U.sitemap_url(F.col("url"))).alias("url")).distinct())
 
 
-def find_sitemap_links(sites: DataFrame, robots_files: DataFrame, sitemap_files: DataFrame,
+def find_sitemap_links(sites: DataFrame, robots_files: DataFrame | None, sitemap_files: DataFrame,
                        agent: str = C.DEFAULT_AGENT, pattern: str = C.ALLOWED_NETLOC) -> DataFrame:
-    """Canonical sitemap links per site that robots and domain filters let through: domain, url."""
+    """Canonical sitemap links per site that robots and domain filters let through: domain, url.
+
+    Without ``robots_files`` nothing is disallowed.
+    """
     leaves = sitemap_tree(root_sitemaps(sites, robots_files), sitemap_files)
     links = U.canonicalize(leaves, "url").distinct().filter(U.is_domain_allowed(F.col("url"), pattern))
-    return robots.filter_allowed(links, robots.policies(robots_files, agent))
+    return links if robots_files is None else robots.filter_allowed(links, robots.policies(robots_files, agent))

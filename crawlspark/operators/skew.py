@@ -1,39 +1,21 @@
-"""Joins that stay balanced when a few keys hold a large share of the rows."""
+"""Joins of rows with a skewed key to a table that has one row per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy from MIN_ROWS rows on. At most MAX_HEAVY keys are kept, the largest first, so the set that is
-# broadcast has a fixed bound, and no other key holds more than 1/MAX_HEAVY of all rows.
-MIN_ROWS = 1_000_000
-MAX_HEAVY = 1_000
-SALTS = 256
-
-
-def heavy_keys(counts: DataFrame, key: str, count: str = "n", min_rows: int | None = None) -> DataFrame:
-    """The heaviest keys of a (key, count) table."""
-    return (counts.filter(F.col(count) >= (MIN_ROWS if min_rows is None else min_rows))
-            .orderBy(F.col(count).desc(), key).limit(MAX_HEAVY).select(key))
-
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per key; folds before the shuffle."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, spread: list[str],
-           how: str = "left", salts: int | None = None) -> DataFrame:
-    """Join ``left`` to ``right`` (one row per key), with the rows of heavy keys dealt out over salted partitions.
+def lookup(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join ``left`` to ``right`` (one row per key) where a few keys may hold most of ``left``.
 
-    Only the heavy keys themselves are broadcast; their ``right`` rows are repeated once per salt. ``spread`` names the
-    columns that tell the rows of one key apart.
+    A plain equi-join on purpose: adaptive execution cuts an oversized shuffle partition by the map tasks that wrote it,
+    so one key, or any number of them, is read by several tasks, each with its copy of the few ``right`` rows. That
+    needs no counting pass, no list of heavy keys and no second column that tells their rows apart.
     """
-    salts = salts or SALTS
-    flags = F.broadcast(heavy.select(F.col(key), F.lit(True).alias("_heavy")))
-    dealt = left.join(flags, key, "left").withColumn(
-        "_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0))
-    copies = right.join(flags, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    return dealt.drop("_heavy").join(copies.drop("_heavy"), [key, "_salt"], how).drop("_salt")
+    return left.join(right, key, how)

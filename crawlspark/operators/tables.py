@@ -1,7 +1,7 @@
 """Writes of the crawl tables as set operations: keyed merges, inserts that skip known keys, appends, reports.
 
-Updates never join the wide table as a whole: rows that do not change pass an anti-join on the key, which Spark turns
-into a broadcast when the update is small.
+Updates read the wide table once: a left join with the narrow updates, which Spark turns into a broadcast when they are
+small.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from crawlspark.schemas import conform
 
 def _merge(page: DataFrame, updates: DataFrame, values: dict[str, Column]) -> DataFrame:
     """Replace columns of the pages that ``updates`` (one row per id) names; others keep their row."""
-    new = updates.select("id", *[F.col(c).alias(f"_{c}") for c in updates.columns if c != "id"])
-    touched = page.join(new, "id").withColumns(values).select(*page.columns)
-    return page.join(updates.select("id"), "id", "left_anti").select(*page.columns).unionByName(touched)
+    new = updates.select("id", F.lit(True).alias("_touched"), *[F.col(c).alias(f"_{c}") for c in updates.columns if c != "id"])
+    changed = {c: F.when(F.col("_touched"), v).otherwise(F.col(c)) for c, v in values.items()}
+    return page.join(new, "id", "left").withColumns(changed).select(*page.columns)
 
 
 def _new(updates: DataFrame, column: str, default=None) -> Column:
@@ -82,11 +82,9 @@ def get_or_create_sites(site: DataFrame, wanted: DataFrame, order: list[str]) ->
     return new, hosts.join(known, "domain").select(F.col("host").alias("domain"), "id")
 
 
-def site_lookup(rows: DataFrame, site: DataFrame, spread: list[str], min_rows: int | None = None) -> DataFrame:
-    """Add ``site_id`` to rows with a ``domain``. Hosts are a skewed key, so the rows of large ones are dealt out."""
-    numbers = site.select("domain", F.col("id").alias("site_id"))
-    heavy = skew.heavy_keys(skew.key_counts(rows, "domain"), "domain", min_rows=min_rows)
-    return skew.lookup(rows, numbers, "domain", heavy, spread)
+def site_lookup(rows: DataFrame, site: DataFrame) -> DataFrame:
+    """Add ``site_id`` to rows with a ``domain``."""
+    return skew.lookup(rows, site.select("domain", F.col("id").alias("site_id")), "domain")
 
 
 def append_images(image: DataFrame, new: DataFrame, order: list[str]) -> DataFrame:

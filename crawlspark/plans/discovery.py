@@ -12,17 +12,22 @@ from crawlspark.schemas import conform
 from crawlspark.sources.store import CrawlStore
 
 
-def fold(store: CrawlStore, fetches: DataFrame, wave: int | None = None, popped: DataFrame | None = None, **inputs) -> int:
-    """Run one wave over ``fetches`` and commit it. Popped pages without a fetch stay in state CRAWLING."""
+def fold(store: CrawlStore, fetches: DataFrame, wave: int | None = None, popped: DataFrame | None = None, batch: tuple[str, int] | None = None, **inputs) -> int:
+    """Run one wave over ``fetches`` and commit it. Popped pages without a fetch stay in state CRAWLING.
+
+    A wave number, or a ``batch`` (stream, number), that the store has finished already is skipped.
+    """
     if wave is not None and wave <= store.wave():
         return wave
+    if batch is not None and store.has_batch(*batch):
+        return store.wave()
     delta = crawl_wave(store.state(), fetches, **inputs)
     if popped is not None:
         missed = popped.join(fetches.select(F.col("requested_url").alias("url")), "url", "left_anti")
         missed = missed.join(delta["page"].select("id"), "id", "left_anti")
         kept = store.open_pages().join(missed.select("id"), "id", "left_semi").withColumn("page_type_code", F.lit("CRAWLING"))
         delta["page"] = delta["page"].unionByName(conform(kept, "page"))
-    return store.commit(delta, wave)
+    return store.commit(delta, wave, batch)
 
 
 def discover(store: CrawlStore, fetches: DataFrame, per_wave: int | None = None, max_waves: int | None = None,

@@ -33,8 +33,11 @@ def _batch(page: DataFrame, fetches: DataFrame, expansions: DataFrame | None) ->
     return checkpointed(rows.withColumn("own_url", own).drop("html", "content_type", "error", "final_url"))
 
 
-def _sites(site: DataFrame, batch: DataFrame, robots_files: DataFrame | None, agent: str):
-    """New site rows, (domain, id) and (domain, policy) of the batch, and the first fetch of each new site."""
+def _sites(site: DataFrame, modes: DataFrame | None, batch: DataFrame, robots_files: DataFrame | None, agent: str, everywhere: bool):
+    """New site rows and their robots modes, (domain, id) of the batch, (domain, policy), and the first fetch of each new site.
+
+    Policies are those of the batch's sites; ``everywhere`` takes all hosts with a robots file or a site row instead.
+    """
     firsts = tables.first_by(batch.filter(F.col("ip").isNotNull()).select("domain", "seq", "host", "current_url"),
                              "domain", ["seq"])
     known = site.join(firsts.select("domain"), "domain", "left_semi")
@@ -42,18 +45,26 @@ def _sites(site: DataFrame, batch: DataFrame, robots_files: DataFrame | None, ag
     if robots_files is None:
         described = new.withColumns({"robots_content": F.lit(None).cast("string"),
                                      "sitemap_content": F.lit(None).cast("string")})
-        policies = None
+        policies = new_modes = None
     else:
         of_host = robots_files.withColumnRenamed("domain", "host").select("host", "http_status", "content")
         files = new.join(of_host, "host", "left")
         texts = robots.site_columns(files)
         described = new.join(texts, "domain")
-        told = files.select("domain", "http_status", "content").unionByName(
-            known.select("domain", F.lit(200).alias("http_status"), F.col("robots_content").alias("content")))
+        new_modes = files.select("domain", robots.mode(F.col("http_status"), F.col("content")).alias("mode"))
+        kept = site if everywhere else known
+        kept = (kept.withColumn("mode", F.lit(None).cast("string")) if modes is None else kept.join(modes, "domain", "left"))
+        kept = kept.select("domain", robots.status_of(F.col("mode")).alias("http_status"), F.col("robots_content").alias("content"))
+        if everywhere:
+            given = robots_files.select(U.site_key(F.col("domain")).alias("domain"), F.col("domain").alias("host"), "http_status", "content")
+            given = tables.first_by(given, "domain", ["host"]).drop("host")
+            told = given.unionByName(kept.join(given.select("domain"), "domain", "left_anti"))
+        else:
+            told = files.select("domain", "http_status", "content").unionByName(kept)
         policies = robots.policies(told, agent)
     new = ids.assign_ids(described, ids.max_id(site), ["seq"])
     numbers = known.select("domain", "id").unionByName(new.select("domain", "id"))
-    return conform(new, "site"), numbers, policies, new.select("domain", "host", "seq", "current_url")
+    return conform(new, "site"), new_modes, numbers, policies, new.select("domain", "host", "seq", "current_url")
 
 
 def _page_links(fetches: DataFrame, parsed: DataFrame, policies: DataFrame | None, pattern: str, mode: str,
@@ -63,9 +74,8 @@ def _page_links(fetches: DataFrame, parsed: DataFrame, policies: DataFrame | Non
     links = html.filled_links(pages, "seq", "current_url", "html", mode, pattern)
     if policies is not None:
         source = robots_scope == "source"
-        heavy = robots.busy_hosts(parsed, F.col("domain")) if source else None
         links = links.withColumn("domain", U.site_key(F.col("host") if source else U.netloc(F.col("url"))))
-        links = robots.filter_allowed(links, policies, heavy=heavy)
+        links = robots.filter_allowed(links, policies)
     return U.canonicalize(links.select("seq", "url"), "url").distinct()
 
 
@@ -77,19 +87,24 @@ def _page_images(fetches: DataFrame, parsed: DataFrame) -> DataFrame:
 def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: DataFrame | None = None,
                sitemap_files: DataFrame | None = None, expansions: DataFrame | None = None,
                agent: str = C.DEFAULT_AGENT, pattern: str = C.ALLOWED_NETLOC, mode: str = "concat",
-               robots_scope: str = "source", edges: str = "discovery") -> dict[str, DataFrame]:
+               robots_scope: str = "source", edges: str = "discovery", max_url_length: int | None = None,
+               max_filename_length: int | None = None) -> dict[str, DataFrame]:
     """What a batch of fetches adds to the tables.
 
     ``state`` holds the crawl tables. The result has new rows for ``site``, ``image``, ``page_data`` and ``link``, new
-    or changed rows for ``page``, and ``rejects`` (url, reason) for URLs the table cannot hold. ``seq`` is unique.
-    Without ``robots_files`` nothing is disallowed. ``edges`` is ``discovery`` (a link counts where its URL was new) or
+    or changed rows for ``page``, ``site_mode`` (domain, mode: how each new site's robots file was answered), and
+    ``rejects`` (url, reason). ``seq`` is unique. Every found URL and file name is kept; ``max_url_length`` turns longer
+    found URLs into rejects, ``max_filename_length`` makes pages with a longer image name FAILED. Redirect targets are
+    kept whatever their length, as a page goes with them. Without ``robots_files`` nothing is disallowed, and sitemaps
+    are looked for at ``/sitemap.xml``. With ``robots_scope="target"`` a link is judged by its own host's file, given in
+    ``robots_files`` or kept from an earlier wave; hosts with neither were not read and are not allowed. ``edges`` is ``discovery`` (a link counts where its URL was new) or
     ``all``.
     """
     page, site = state["page"], state["site"]
     batch = _batch(page, fetches, expansions)
-    new_sites, site_ids, policies, firsts = _sites(site, batch, robots_files, agent)
+    new_sites, new_modes, site_ids, policies, firsts = _sites(site, state.get("site_mode"), batch, robots_files, agent, robots_scope == "target")
 
-    batch = tables.site_lookup(batch, site_ids, ["seq"])
+    batch = tables.site_lookup(batch, site_ids)
 
     texts = batch.filter(F.col("outcome") == "HTML")
     earlier = page.filter(F.col("html_content_hash").isNotNull()).select(
@@ -99,9 +114,9 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     batch = checkpointed(batch.join(marked, "seq", "left"))
     parsed = batch.filter((F.col("outcome") == "HTML") & F.col("original_url").isNull())
 
-    # Images whose name does not fit make their page fail.
     images = checkpointed(_page_images(fetches, parsed))
-    unfit = images.filter(F.length("filename") > C.MAX_FILENAME_LENGTH).select("seq").distinct()
+    too_long = F.lit(False) if max_filename_length is None else F.length("filename") > max_filename_length
+    unfit = images.filter(too_long).select("seq").distinct()
     batch = batch.join(unfit.withColumn("_unfit", F.lit(True)), "seq", "left").withColumn(
         "outcome", F.when(F.col("_unfit"), "FAILED").when(F.col("original_url").isNotNull(), "DUPLICATE")
         .otherwise(F.col("outcome"))).drop("_unfit")
@@ -110,9 +125,9 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     links = checkpointed(_page_links(fetches, parsed, policies, pattern, mode, robots_scope))
     documents = html.document_links(links, "seq").join(unfit, "seq", "left_anti")
     found = html.page_links(links)
-    if sitemap_files is not None and robots_files is not None and not firsts.isEmpty():
+    if sitemap_files is not None and not firsts.isEmpty():
         hosts = firsts.select(F.col("host").alias("domain"), F.col("current_url").alias("url"), "seq")
-        own_files = robots_files.join(hosts.select("domain"), "domain", "left_semi")
+        own_files = None if robots_files is None else robots_files.join(hosts.select("domain"), "domain", "left_semi")
         mapped = sitemaps.find_sitemap_links(hosts.select("domain", "url"), own_files, sitemap_files, agent, pattern)
         found = found.unionByName(mapped.join(hosts.select("domain", "seq"), "domain").select("seq", "url")).distinct()
     found = found.join(batch.select("seq", "own_url"), "seq")
@@ -128,8 +143,9 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     needed = checkpointed(needed.join(page.select("url", "id", F.col("html_content_hash").isNotNull().alias("had_text"),
                                                   F.col("site_id").alias("old_site")), "url", "left"))
     fresh = needed.filter(F.col("id").isNull())
-    rejects = fresh.filter(F.length("url") > C.MAX_URL_LENGTH).select("url", F.lit("url too long").alias("reason"))
-    fresh = fresh.filter(F.length("url") <= C.MAX_URL_LENGTH).select(
+    unkept = F.lit(False) if max_url_length is None else (F.length("url") > max_url_length) & F.coalesce(F.col("event.kind") == 1, F.lit(False))
+    rejects = fresh.filter(unkept).select("url", F.lit("url too long").alias("reason"))
+    fresh = fresh.filter(~unkept).select(
         "url", "event.seq", "event.kind", "event.source", "event.site_id")
     fresh = ids.assign_ids(fresh, ids.max_id(page), ["seq", "kind", "url"])
     numbered = needed.filter(F.col("id").isNotNull()).select("url", "id").unionByName(fresh.select("url", "id"))
@@ -137,6 +153,7 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     changed = _page_changes(batch, numbered, needed, fresh)
     return {
         "site": new_sites,
+        "site_mode": page.sparkSession.createDataFrame([], "domain string, mode string") if new_modes is None else new_modes,
         "page": _page_rows(page, fetches, changed),
         "image": _with_page(images, numbered, state["image"], "image", ["seq", "pos"]),
         "page_data": _page_data(batch, documents, numbered, state),
@@ -229,10 +246,9 @@ def _links(batch: DataFrame, found: DataFrame, fresh: DataFrame, numbered: DataF
     else:
         raise ValueError(f"unknown edges {edges!r}")
     pairs = checkpointed(moved.unionByName(copies).unionByName(seen).distinct())
-    for end, other, name in (("source", "target", "from_page"), ("target", "source", "to_page")):
-        heavy = skew.heavy_keys(skew.key_counts(pairs, end), end)
+    for end, name in (("source", "from_page"), ("target", "to_page")):
         number = numbered.select(F.col("url").alias(end), F.col("id").alias(name))
-        pairs = skew.lookup(pairs, number, end, heavy, [other], how="inner")
+        pairs = skew.lookup(pairs, number, end, how="inner")
     return tables.new_links(link, pairs)
 
 
@@ -243,6 +259,7 @@ def apply_wave(state: dict[str, DataFrame], delta: dict[str, DataFrame]) -> dict
     after["page"] = tables.remove_pages(state["page"], changed).unionByName(changed)
     for name in ("site", "image", "page_data", "link"):
         after[name] = state[name].unionByName(delta[name])
+    after["site_mode"] = state["site_mode"].unionByName(delta["site_mode"]) if "site_mode" in state else delta["site_mode"]
     return after
 
 

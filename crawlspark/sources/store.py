@@ -2,7 +2,8 @@
 
 Finished pages are only ever appended: a wave adds ``page_done/wave=k``, and lists in ``page_gone/wave=k`` the earlier
 rows it replaces. Pages still to visit carry no text and are rewritten as ``page_open/wave=k``. A wave counts once its
-marker in ``commits`` is written, which is last; running it again replaces what an interrupted run left behind.
+marker in ``commits`` is written, which is last; running it again replaces what an interrupted run left behind. A wave that
+folds a batch of a stream names both in its marker, so a batch that comes again is known whatever wave it was.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlspark.operators import tables
-from crawlspark.schemas import empty, schema, seed_tables
+from crawlspark.schemas import schema, seed_tables
 
-_APPENDED = ("data_type", "page_type", "site", "image", "page_data", "link")
+_APPENDED = ("data_type", "page_type", "site", "site_mode", "image", "page_data", "link")
 _OPEN = ("FRONTIER", "CRAWLING")
-_EXTRA = {"page_gone": "id long, in_wave int", "rejects": "url string, reason string", "commits": "committed boolean"}
+_EXTRA = {"page_gone": "id long, in_wave int", "rejects": "url string, reason string", "site_mode": "domain string, mode string",
+          "commits": "committed boolean, stream string, batch long"}
 
 
 class CrawlStore:
@@ -36,7 +38,7 @@ class CrawlStore:
         return self._begin(state)
 
     def _begin(self, state: dict[str, DataFrame]) -> "CrawlStore":
-        self._write(self._marked() + 1, state["page"], {n: state[n] for n in _APPENDED}, first=True)
+        self._write(self._marked() + 1, state["page"], {n: state[n] for n in _APPENDED if n in state}, first=True)
         return self
 
     def _schema(self, name: str) -> T.StructType:
@@ -89,17 +91,22 @@ class CrawlStore:
     def state(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in (*_APPENDED, "page")}
 
-    def commit(self, delta: dict[str, DataFrame], wave: int | None = None) -> int:
-        """Write the result of a wave. ``wave`` is given when a batch may come twice: a finished one is skipped."""
+    def has_batch(self, stream: str, number: int) -> bool:
+        """Whether a finished wave has folded this batch."""
+        return not self._raw("commits").filter((F.col("stream") == stream) & (F.col("batch") == number)).isEmpty()
+
+    def commit(self, delta: dict[str, DataFrame], wave: int | None = None, batch: tuple[str, int] | None = None) -> int:
+        """Write the result of a wave. ``wave`` is given when a batch may come twice: a finished one is skipped.
+        ``batch`` names the batch of a stream that the wave folds."""
         wave = self._marked() + 1 if wave is None else wave
         if wave > self._marked():
-            self._write(wave, delta["page"], delta)
+            self._write(wave, delta["page"], delta, batch=batch)
         return wave
 
     def _put(self, name: str, wave: int, rows: DataFrame) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{name}/wave={wave}")
 
-    def _write(self, wave: int, page: DataFrame, rest: dict[str, DataFrame], first: bool = False) -> None:
+    def _write(self, wave: int, page: DataFrame, rest: dict[str, DataFrame], first: bool = False, batch: tuple[str, int] | None = None) -> None:
         is_open = F.col("page_type_code").isin(*_OPEN)
         waiting = page.filter(is_open)
         gone = empty_gone = self.spark.createDataFrame([], self._schema("page_gone"))
@@ -111,6 +118,6 @@ class CrawlStore:
         self._put("page_done", wave, page.filter(~is_open))
         self._put("page_open", wave, waiting)
         for name in _APPENDED:
-            self._put(name, wave, rest.get(name, empty(self.spark, name)))
+            self._put(name, wave, rest[name] if name in rest else self.spark.createDataFrame([], self._schema(name)))
         self._put("rejects", wave, rest.get("rejects", self.spark.createDataFrame([], self._schema("rejects"))))
-        self._put("commits", wave, self.spark.createDataFrame([(not first,)], self._schema("commits")).coalesce(1))
+        self._put("commits", wave, self.spark.createDataFrame([(not first, *(batch or (None, None)))], self._schema("commits")).coalesce(1))

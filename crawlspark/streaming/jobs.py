@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -38,26 +38,15 @@ def _start(stream: DataFrame, work, checkpoint: str) -> StreamingQuery:
 def crawl_stream(stream: DataFrame, store: CrawlStore, checkpoint: str, **inputs) -> StreamingQuery:
     """Fold a stream of fetches into the store, one wave per micro-batch.
 
-    The wave number follows from the batch id, so a batch that is delivered again after a failure is not folded twice.
+    The wave's marker names the checkpoint and the batch. It is written last, so a batch that comes again, whether the
+    driver was lost before the marker or between the marker and the stream's own commit, is folded exactly once.
     """
-    first = store.wave() + 1 - _next_batch(stream.sparkSession, checkpoint)
-
     def work(batch: DataFrame, number: int) -> None:
-        fold(store, batch, wave=first + number, **inputs)
+        fold(store, batch, batch=(checkpoint, number), **inputs)
 
     return _start(stream, work, checkpoint)
 
 
-def _next_batch(spark: SparkSession, checkpoint: str) -> int:
-    """Number of batches the checkpoint has finished."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return 0
-    names = [f.getPath().getName() for f in files.listStatus(folder)]
-    return max((int(n) for n in names if n.isdigit()), default=-1) + 1
-
-
 def schedule_stream(stream: DataFrame, path: str, checkpoint: str, key: str = "host",
                     max_clock_rows: int | None = None) -> StreamingQuery:
     """Schedule a stream of requests (id, key, arrival, delay), batch after batch.

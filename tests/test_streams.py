@@ -1,6 +1,7 @@
 import datetime
 import random
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -65,6 +66,23 @@ def test_crawl_stream(spark):
     assert read_input(spark, source).count() == 3
 
 
+def test_crawl_stream_folds_a_batch_once(spark):
+    """The driver dies after the wave's marker and before the stream's own commit: the batch comes again."""
+    source, checkpoint, path = folder(), folder(), folder()
+    store = CrawlStore(spark, path).reset([A + "/"])
+    put(spark, source, [fetch(1, "/", '<a href="/x"></a><img src="/i.png"><a href="/d.pdf"></a>')])
+    jobs.crawl_stream(stream_input(spark, source, max_files=1), store, checkpoint).awaitTermination()
+    commits = [p for p in Path(checkpoint, "commits").iterdir() if p.name.lstrip(".").split(".")[0] == "0"]
+    for file in commits:
+        file.unlink()
+    again = CrawlStore(spark, path)
+    jobs.crawl_stream(stream_input(spark, source, max_files=1), again, checkpoint).awaitTermination()
+    assert again.wave() == 1 and again.table("image").count() == 1 and again.table("page_data").count() == 1
+    put(spark, source, [fetch(2, "/x/", "<p>x")])
+    jobs.crawl_stream(stream_input(spark, source, max_files=1), again, checkpoint).awaitTermination()
+    assert again.wave() == 2
+
+
 def test_schedule_stream_equals_the_batch(spark):
     rnd = random.Random(4)
     rows = [(i, rnd.randint(1, 3), i, rnd.randint(1, 9)) for i in range(200)]

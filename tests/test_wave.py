@@ -71,12 +71,65 @@ def test_all_edges_and_long_values(spark):
     urls = [f"{A}/1/", f"{A}/2/"]
     long_url = "/" + "x" * 3000
     rows = [fetch(1, urls[0], f'<a href="/2/"></a><a href="{long_url}"></a>'), fetch(2, urls[1], f'<img src="{"y" * 256}.png"><a href="/1/"></a><a href="/z.pdf">')]
-    before, delta = run(spark, urls, rows, edges="all")
+    before, delta = run(spark, urls, rows, edges="all", max_url_length=3000, max_filename_length=255)
     after = apply_wave(before, delta)
     assert table(after["link"], "from_page", "to_page") == [(1, 2), (2, 1)]
     assert table(after["page"], "id", "page_type_code") == [(1, "HTML"), (2, "FAILED")]
     assert delta["rejects"].count() == 1 and delta["image"].count() == 0 and delta["page_data"].count() == 0
 
+    # Without limits nothing is lost.
+    before, delta = run(spark, urls, rows, edges="all")
+    after = apply_wave(before, delta)
+    assert table(after["page"], "id", "page_type_code", "url") == [(1, "HTML", urls[0]), (2, "HTML", urls[1]), (3, "FRONTIER", A + long_url + "/")]
+    assert table(after["link"], "from_page", "to_page") == [(1, 2), (1, 3), (2, 1)]
+    assert delta["rejects"].count() == 0 and delta["image"].count() == 1 and delta["page_data"].count() == 1
+
+
+def test_overlong_redirect_keeps_its_page(spark):
+    urls, target = [f"{A}/r/"], A + "/" + "t" * 4000 + "/"
+    html = '<a href="/n"></a><a href="/d.pdf"></a><img src="/i.png">'
+    for limits in ({}, {"max_url_length": 3000}):
+        before, delta = run(spark, urls, [fetch(1, urls[0], html, final=target)], **limits)
+        after = apply_wave(before, delta)
+        pages = {r.url: r for r in after["page"].collect()}
+        assert pages[urls[0]].page_type_code == "REDIRECT" and pages[target].html_content == html
+        owners = {pages[target].id}
+        assert {r.page_id for r in after["image"].collect()} == {r.page_id for r in after["page_data"].collect()} == owners
+        assert (pages[target].id, pages[A + "/n/"].id) in table(after["link"], "from_page", "to_page")
+        assert delta["rejects"].count() == 0
+
+
+def test_target_scope_reads_the_files_of_all_hosts(spark):
+    urls = [f"{A}/p/"]
+    html = "".join(f'<a href="https://{h}.gov.si/{p}"></a>' for h in "abc" for p in ("ok", "no"))
+    files = robots(spark, ("a.gov.si", 200, "User-agent: *\nDisallow: /no"), ("b.gov.si", 200, "User-agent: *\nDisallow: /no"))
+    before, delta = run(spark, urls, [fetch(1, urls[0], html)], robots_files=files, robots_scope="target")
+    assert table(delta["page"].filter("page_type_code = 'FRONTIER'"), "url") == [("https://a.gov.si/ok/",), ("https://b.gov.si/ok/",)]
+    # A later wave without these files knows the hosts from their site rows.
+    known = apply_wave(before, delta)
+    extra = schemas.conform(spark.createDataFrame([(9, "CRAWLING", f"{A}/q/")], "id long, page_type_code string, url string"), "page")
+    known["page"] = known["page"].unionByName(extra)
+    later = crawl_wave(known, fetches(spark, fetch(2, f"{A}/q/", '<a href="/no"></a><a href="/yes"></a>')), robots_files=robots(spark, ("z.gov.si", 200, "")), robots_scope="target")
+    assert table(later["page"].filter("page_type_code = 'FRONTIER'"), "url") == [("https://a.gov.si/yes/",)]
+
+
+def test_sitemaps_without_robots_files(spark):
+    maps = spark.createDataFrame([("https://a.gov.si/sitemap.xml", "a.gov.si", 200, "<loc>https://a.gov.si/mapped</loc>")], schemas.schema("sitemap_files"))
+    _, delta = run(spark, [f"{A}/p/"], [fetch(1, f"{A}/p/", "<p>")], sitemap_files=maps)
+    assert table(delta["page"].filter("page_type_code = 'FRONTIER'"), "url") == [("https://a.gov.si/mapped/",)]
+
+
+def test_forbidden_site_stays_forbidden(spark):
+    urls = [f"{A}/1/", f"{A}/2/"]
+    files = robots(spark, ("a.gov.si", 403, None))
+    for status, opened in ((403, 0), (404, 1)):
+        files = robots(spark, ("a.gov.si", status, None))
+        before, delta = run(spark, urls, [fetch(1, urls[0], '<a href="/x"></a>')], robots_files=files)
+        assert delta["page"].filter("page_type_code = 'FRONTIER'").count() == opened
+        known = apply_wave(before, delta)
+        later = crawl_wave(known, fetches(spark, fetch(2, urls[1], '<a href="/y"></a>')), robots_files=files)
+        assert later["page"].filter("page_type_code = 'FRONTIER'").count() == opened
+
 
 def test_redirect_onto_known_page_keeps_it(spark):
     urls = [f"{A}/old/", f"{A}/r/"]
