@@ -38,7 +38,7 @@ from crawlspark.llm.shared import staged, tasks
 DISCOUNT, ADDED = 0.75, 0.1
 WORD_BITS, FOLLOWER_BITS = 48, 40
 START, END = 1, 2  # hashes kept free for the marks
-BATCH_BYTES, CACHE = 32_000_000, 1_500_000
+BATCH_BYTES, CACHE = 10_000_000, 600_000
 U = np.uint64
 
 
@@ -324,7 +324,7 @@ def score(documents: DataFrame, held: Column, shards: int | None = None) -> Data
 
     ``held`` is a condition on doc_id: the rows that are not learned from.
     """
-    shards = shards or max(8, tasks(documents) // 2)
+    shards = shards or max(8, tasks(documents) * 2 // 3)
     rows = documents.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
     counts = staged(word_counts(rows.filter(~F.col("held"))), "words")
     n, v, ends = counts.filter(F.col("word") != START).agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.col("word") == END, F.col("c"))), F.lit(0))).first()
