@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlspark import schemas
 from crawlspark.catalog.crawl import WAVE_SQL, crawl_inputs
-from crawlspark.checkpoints import scratch_folder
+from crawlspark.checkpoints import checkpointed, scratch_folder
 from crawlspark.operators import html
 from crawlspark.sources.store import CrawlStore
 from crawlspark.streaming import jobs
@@ -27,9 +27,11 @@ def _dedupe(t):
 
 
 def _requests(t, folder):
-    """All requests as four files, in the order of arrival."""
-    parts = t.fx_requests.repartitionByRange(4, "arrival", "id").sortWithinPartitions("arrival", "id")
-    parts.write.parquet(folder)
+    """All requests as four files, written one after the other in the order of arrival, as a stream reads them."""
+    parts = checkpointed(t.fx_requests.repartitionByRange(4, "arrival", "id").withColumn("_part", F.spark_partition_id()))
+    for k in range(4):
+        parts.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(folder)
+    parts = parts.drop("_part")
     return t.spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(folder)
 
 
