@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from crawlspark.llm.shared import fresh, staged, tasks
 
 LENGTH, GRAM, SIDE, SHALLOW = 50, 12, 25, 32
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 3_000_000
 U = np.uint64
 NULL = -2**63
 
@@ -48,7 +48,17 @@ def _words(buffer: np.ndarray) -> np.ndarray:
     """The eight bytes from each position as a big-endian number; the buffer must have eight bytes to spare."""
     out = np.zeros(len(buffer) - 8, "uint64")
     for k in range(8):
-        out = out << U(8) | buffer[k:len(buffer) - 8 + k].astype("uint64")
+        out <<= U(8)
+        out |= buffer[k:len(buffer) - 8 + k]
+    return out
+
+
+def _word_at(buffer: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """The same at some positions; a shard's buffer is too large for a number at each byte."""
+    out = np.zeros(len(position), "uint64")
+    for k in range(8):
+        out <<= U(8)
+        out |= buffer[position + k]
     return out
 
 
@@ -79,10 +89,9 @@ def stretches(content: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
 def _digests(buffer: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """64-bit hashes of slices of up to 96 bytes; the buffer must have 104 bytes to spare."""
     out = length.astype("uint64") * U(0x9E3779B97F4A7C15)
-    words = _words(buffer)
     for k in range(0, int(length.max(initial=0)), 8):
         left = np.clip(length - k, 0, 8).astype("uint64")
-        word = words[start + k] >> ((U(8) - left) * U(8) & U(63))
+        word = _word_at(buffer, start + k) >> ((U(8) - left) * U(8) & U(63))
         out = np.where(left > 0, _mix(out ^ word), out)
     return out
 
@@ -151,7 +160,7 @@ def blocks(documents: DataFrame, shards: int) -> DataFrame:
     return documents.mapInArrow(run, "shard int, " + ", ".join(f"{n} binary" for n in names))
 
 
-def shallow(words: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shallow(buffer: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Multikey quicksort by eight-byte symbols down to ``SHALLOW`` bytes: the order, and the group of each sorted suffix.
 
     Every round sorts within the groups that still tie by their next symbol and splits them; others are left where they are.
@@ -163,7 +172,7 @@ def shallow(words: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.nda
         if not len(open_):
             break
         part = order[open_]
-        symbol = words[position[part] + depth]
+        symbol = _word_at(buffer, position[part] + depth)
         inner = np.lexsort((symbol, group[open_]))
         order[open_] = part[inner]
         symbol, own = symbol[inner], group[open_]
@@ -222,14 +231,14 @@ class BlindTrie:
 
 def repeated(buffer: np.ndarray, position: np.ndarray, document: np.ndarray) -> np.ndarray:
     """For each suffix whether its first ``LENGTH`` bytes also start in a smaller document."""
-    order, group = shallow(_words(buffer), position)
+    order, group = shallow(buffer, position)
     out = np.zeros(len(position), bool)
     cuts = np.flatnonzero(np.diff(group, prepend=-1))
     sizes = np.diff(np.append(cuts, len(group)))
-    content = buffer.tobytes()
+    content = memoryview(np.ascontiguousarray(buffer))
     for begin, size in zip(cuts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
         members = order[begin:begin + size].tolist()
-        texts = [content[p:p + LENGTH] for p in position[members].tolist()]
+        texts = [bytes(content[p:p + LENGTH]) for p in position[members].tolist()]
         if size == 2:
             equal = [members] if texts[0] == texts[1] else []
         else:
@@ -322,7 +331,7 @@ def _united(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 def spans(documents: DataFrame, shards: int | None = None) -> DataFrame:
     """_id (null ids as the smallest number) and the lists of spans to remove from it, one list for each shard that has some."""
-    shards = shards or tasks(documents)
+    shards = shards or 2 * tasks(documents)
     packed = blocks(documents.select("doc_id", "text"), shards)
     found = packed.groupBy("shard").applyInPandas(settle, "doc_id long, spans binary")
     return staged(found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("spans").alias("spans")), "spans")
