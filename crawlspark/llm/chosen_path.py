@@ -11,10 +11,12 @@ exhaustively, pair by pair, larger ones branch on; what is still large after ``D
 parts) is compared in tiles of ``NODE`` by ``NODE``, each a group of its own, so no node has to fit one task. A pair is a
 candidate if its signatures agree in at least the threshold less five standard deviations and its sizes allow it.
 
-Links are confirmed on the full sets, by counting common shingles. Of pairs whose signatures leave no doubt only a
-spanning forest is confirmed; where one of these pairs fails, its nodes are compared again without that shortcut.
-Components come from the confirmed links. A pair at the threshold is missed with probability (1 - t) ^ (2 * TREES) at the
-first level, 7e-12 at 0.8; deeper levels lose more, measured in the tests.
+Links are confirmed on the full sets, by counting common shingles, in two rounds. The first takes one tree and of each
+node's candidates a maximum spanning forest, whose links join almost all documents that belong together. The second takes
+all trees and every candidate between documents that are not joined yet; a node whose documents are all joined has nothing
+left to find and is dropped. So the pairs of a group of near copies are never emitted, yet no candidate that could change
+a component goes unchecked. Two documents at the threshold miss each other at the first level with probability
+(1 - t) ^ (2 * TREES), 7e-12 at 0.8; deeper levels lose more, measured in the tests.
 
 Null, empty and blank texts have the empty set and link with nothing. Rows that share an id are one node in the graph.
 Further columns are left alone.
@@ -30,11 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.components import components
-from crawlspark.llm.shared import fresh, staged
+from crawlspark.llm.shared import fresh, staged, tasks
 
 COORDINATES, TREES, DEPTH, NODE = 128, 8, 3, 128
-# Signatures that agree in this share leave no doubt.
-SURE = 0.93
 DEVIATIONS = 5
 CACHE = 500_000
 _RNG = np.random.default_rng(20240229)
@@ -107,18 +107,18 @@ def _numbers(seed: int, path: np.ndarray) -> np.ndarray:
     return mixed(path + np.uint64(seed % 2**64) * FACTOR)
 
 
-def roots(nodes: DataFrame) -> DataFrame:
+def roots(nodes: DataFrame, trees: int) -> DataFrame:
     """Every node set under the first level of each tree: two coordinates a tree."""
-    picks = np.random.default_rng(7).permutation(COORDINATES)[:2 * TREES]
+    picks = np.random.default_rng(7).permutation(COORDINATES)[:2 * trees]
 
     def run(batches):
         for rows in batches:
             signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "uint32").reshape(-1, COORDINATES)
-            for tree, at in enumerate(picks):
-                path = mixed(signs[:, at].astype("uint64") + np.uint64((int(at) << 32) + (tree // 2 << 48)))
-                yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(path.view("int64")), pa.array(np.full(len(path), tree // 2, "int32"))], names=["node", "path", "tree"])
+            for k, at in enumerate(picks):
+                path = mixed(signs[:, at].astype("uint64") + np.uint64((int(at) << 32) + (k // 2 << 48)))
+                yield pa.RecordBatch.from_arrays([rows.column("node"), rows.column("label"), pa.array(path.view("int64"))], names=["node", "label", "path"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "node long, path long, tree int")
+    return nodes.select("node", "label", "signature").mapInArrow(run, "node long, label long, path long")
 
 
 def branch(rows: DataFrame, percent: int) -> DataFrame:
@@ -135,46 +135,60 @@ def branch(rows: DataFrame, percent: int) -> DataFrame:
                 child = mixed(path * FACTOR + np.uint64(turn) + (at.astype("uint64") << np.uint64(8)) + signs[np.arange(len(at)), at])
                 on = np.ones(len(at), bool) if turn == 0 else twice
                 chosen = batch.filter(pa.array(on))
-                yield pa.RecordBatch.from_arrays([chosen.column("node"), chosen.column("size"), chosen.column("brief"), pa.array(child[on].view("int64"))], names=["node", "size", "brief", "path"])
+                yield pa.RecordBatch.from_arrays([*(chosen.column(c) for c in ("node", "label", "size", "brief")), pa.array(child[on].view("int64"))], names=["node", "label", "size", "brief", "path"])
 
-    return rows.select("node", "size", "brief", "path").mapInArrow(run, "node long, size long, brief binary, path long")
+    return rows.select("node", "label", "size", "brief", "path").mapInArrow(run, "node long, label long, size long, brief binary, path long")
 
 
-def _pairs(frame: pd.DataFrame, percent: int, sure: float) -> pd.DataFrame:
-    """Candidates of one node or tile: (a, b), forest edges of sure pairs, and doubtful pairs that no sure pairs join."""
-    frame = frame.drop_duplicates("node").sort_values("node", ignore_index=True)
-    ids, size, side = frame["node"].to_numpy(), frame["size"].to_numpy(), frame["side"].to_numpy()
+def _forest(weight: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a maximum spanning forest of a symmetric matrix; zero is no edge."""
+    n = len(weight)
+    best, parent, left = np.zeros(n), np.full(n, -1), np.ones(n, bool)
+    out = []
+    for _ in range(n):
+        v = int(np.argmax(np.where(left, best, -1)))
+        if best[v] > 0:
+            out.append((int(parent[v]), v))
+        left[v] = False
+        closer = weight[v] > best
+        best, parent = np.where(closer, weight[v], best), np.where(closer, v, parent)
+    return out
+
+
+def _pairs(frame: pd.DataFrame, percent: int, forest: bool) -> pd.DataFrame:
+    """Candidates (a, b), a < b, of the nodes and tiles in a frame: all between different labels, or a spanning forest of them."""
+    frame = frame.drop_duplicates(["path", "node"]).sort_values(["path", "node"], ignore_index=True)
+    path, ids, label, size, side = (frame[c].to_numpy() for c in ("path", "node", "label", "size", "side"))
     signs = np.frombuffer(b"".join(frame["brief"]), "uint8").reshape(-1, COORDINATES)
     share = percent / 100
     least = share - DEVIATIONS * (share * (1 - share) / COORDINATES) ** 0.5
-    a, b, agree = [], [], []
-    for i in range(len(ids) - 1):
-        # Tiles of two blocks compare across only; blocks by themselves have one side.
-        near = (np.minimum(size[i], size[i + 1:]) * 100 >= np.maximum(size[i], size[i + 1:]) * percent) & ((side[i + 1:] != side[i]) | (side[i] == 2))
-        at = np.flatnonzero(near) + i + 1
-        if len(at):
-            same = (signs[at] == signs[i]).mean(1)
-            on = same >= least
-            b += at[on].tolist()
-            a += [i] * int(on.sum())
-            agree += same[on].tolist()
-    root = list(range(len(ids)))
-
-    def top(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    out = []
-    for i, j, s in zip(a, b, agree, strict=True):
-        if s >= sure and (x := top(i)) != (y := top(j)):
-            root[max(x, y)] = min(x, y)
-            out.append((ids[i], ids[j], True))
-    out += [(ids[i], ids[j], False) for i, j, s in zip(a, b, agree, strict=True) if s < sure and top(i) != top(j)]
-    if sure > 1:
-        out = [(ids[i], ids[j], False) for i, j in zip(a, b, strict=True)]
-    return pd.DataFrame(out, columns=["a", "b", "sure"]).astype({"a": "int64", "b": "int64", "sure": "bool"})
+    heads = np.flatnonzero(np.diff(path, prepend=path[0] - 1 if path[0] > -2**63 else 0))
+    sizes = np.diff(np.append(heads, len(path)))
+    # Nodes of two, most of all, at once.
+    i = heads[sizes == 2]
+    fits = (np.minimum(size[i], size[i + 1]) * 100 >= np.maximum(size[i], size[i + 1]) * percent) & (label[i] != label[i + 1]) & ((side[i] != side[i + 1]) | (side[i] == 2))
+    i = i[fits]
+    i = i[(signs[i] == signs[i + 1]).mean(1) >= least]
+    found = [np.stack([ids[i], ids[i + 1]], 1)]
+    for begin, n in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+        part = slice(begin, begin + n)
+        z, kind, own = size[part], side[part], label[part]
+        fits = np.minimum(z[:, None], z) * 100 >= np.maximum(z[:, None], z) * percent
+        fits &= (own[:, None] != own) & ((kind[:, None] != kind) | (kind[:, None] == 2))
+        x, y = np.nonzero(np.triu(fits, 1))
+        if not len(x):
+            continue
+        same = np.concatenate([(signs[begin + x[k:k + 8192]] == signs[begin + y[k:k + 8192]]).mean(1) for k in range(0, len(x), 8192)])
+        x, y, same = x[same >= least], y[same >= least], same[same >= least]
+        if not len(x):
+            continue
+        if forest and len(x) > 1:
+            weight = np.zeros((n, n))
+            weight[x, y] = weight[y, x] = same
+            edges = np.array(_forest(weight))
+            x, y = edges.min(1), edges.max(1)
+        found.append(np.stack([ids[begin + x], ids[begin + y]], 1))
+    return pd.DataFrame(np.concatenate(found).astype("int64"), columns=["a", "b"])
 
 
 def tiles(rows: DataFrame) -> DataFrame:
@@ -184,27 +198,29 @@ def tiles(rows: DataFrame) -> DataFrame:
     spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
-    return spread.select("node", "size", "brief", F.xxhash64("path", low, high).alias("path"), side.alias("side"))
+    return spread.select("node", "label", "size", "brief", F.xxhash64("path", low, high).alias("path"), side.alias("side"))
 
 
-def leaves(nodes: DataFrame, percent: int) -> DataFrame:
-    """(path, node, size, brief, side): all groups to compare, each of bounded size."""
+def leaves(nodes: DataFrame, percent: int, trees: int) -> DataFrame:
+    """(path, node, label, size, brief, side): all groups to compare, each of bounded size and with more than one label."""
     def counted(rows):
-        n = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumnRenamed("path", "_path")
-        return rows.join(n, rows["path"] == n["_path"]).drop("_path")
+        n = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+        n = n.filter("_low <> _high").select(F.col("path").alias("_path"), "n")
+        return rows.join(n, F.col("path") == F.col("_path")).drop("_path")
 
+    columns = ["path", "node", "label", "size", "brief"]
     brief = nodes.select(F.col("node").alias("_node"), F.col("n_shingles").alias("size"), F.col("brief"))
-    level = counted(staged(roots(nodes), "roots")).join(brief, F.col("node") == F.col("_node")).drop("_node", "tree")
+    level = counted(staged(roots(nodes, trees), "roots")).join(brief, F.col("node") == F.col("_node")).drop("_node")
     level = staged(level, "level")
     done = []
-    for depth in range(DEPTH):
-        done.append(level.filter(F.col("n") <= NODE).select("path", "node", "size", "brief", F.lit(2).alias("side")))
+    for _ in range(DEPTH):
+        done.append(level.filter(F.col("n") <= NODE).select(*columns, F.lit(2).alias("side")))
         large = level.filter(F.col("n") > NODE)
         if large.isEmpty():
             return _union(done)
-        level = staged(counted(branch(large, percent).distinct()), "level")
-    done.append(level.filter(F.col("n") <= NODE).select("path", "node", "size", "brief", F.lit(2).alias("side")))
-    done.append(tiles(level.filter(F.col("n") > NODE)).select("path", "node", "size", "brief", "side"))
+        level = staged(counted(branch(large, percent).dropDuplicates(["path", "node"])), "level")
+    done.append(level.filter(F.col("n") <= NODE).select(*columns, F.lit(2).alias("side")))
+    done.append(tiles(level.filter(F.col("n") > NODE)).select(*columns, "side"))
     return _union(done)
 
 
@@ -228,43 +244,43 @@ def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
                 x, y = np.frombuffer(x.as_py(), "uint64"), np.frombuffer(y.as_py(), "uint64")
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "sure")] + [pa.array(linked, pa.bool_())], names=["a", "b", "sure", "linked"])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+
+    return both.select("a", "b", "_x", "_y").mapInArrow(run, "a long, b long, linked boolean")
 
-    return both.select("a", "b", "sure", "_x", "_y").mapInArrow(run, "a long, b long, sure boolean, linked boolean")
 
+def candidates(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Distinct candidates (a, b). Several nodes go to one call, so that small ones cost little."""
+    packs = tasks(groups) * 8
+    packed = groups.withColumn("pack", F.pmod(F.xxhash64("path"), F.lit(packs)))
+    return packed.groupBy("pack").applyInPandas(lambda frame: _pairs(frame, percent, forest), "a long, b long").distinct()
+
+
+def full_sets(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(node, shingles): the sets of the nodes in ``pairs``, from the rows with these ids; only their texts move."""
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+    def run(batches):
+        shingle = Shingler(size)
+        for rows in batches:
+            found = [shingle(t.as_py()).tobytes() for t in rows.column("text")]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
 
-def candidates(groups: DataFrame, percent: int, sure: float) -> DataFrame:
-    found = groups.groupBy("path").applyInPandas(lambda frame: _pairs(frame, percent, sure), "a long, b long, sure boolean")
-    return found.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    rows = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("node"), "left_semi")
+    return staged(rows.mapInArrow(run, "node long, shingles binary").filter(F.length("shingles") > 0).dropDuplicates(["node"]), "sets")
 
 
 def links(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between nodes, enough of them to connect every component."""
-    groups = staged(leaves(nodes, percent), "leaves")
-    pairs = staged(candidates(groups, percent, SURE), "pairs")
-
-    def full_sets(wanted):
-        # A node's text is that of the row with its id and digest; only these rows' texts move.
-        ids = wanted.select(F.col("a").alias("node")).union(wanted.select("b")).distinct()
-
-        def run(batches):
-            shingle = Shingler(size)
-            for rows in batches:
-                found = [shingle(t.as_py()).tobytes() for t in rows.column("text")]
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
-        rows = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("node"), "left_semi")
-        return staged(rows.mapInArrow(run, "node long, shingles binary").filter(F.length("shingles") > 0).dropDuplicates(["node"]), "sets")
-
-    checked = staged(confirm(pairs, full_sets(pairs), percent), "checked")
-    failed = checked.filter("sure and not linked")
-    if failed.isEmpty():
-        return checked.filter("linked").select("a", "b")
-    ends = failed.select(F.col("a").alias("_n")).union(failed.select("b")).distinct()
-    paths = groups.join(ends, F.col("node") == F.col("_n"), "left_semi").select(F.col("path").alias("_p")).distinct()
-    again = candidates(groups.join(paths, F.col("path") == F.col("_p"), "left_semi"), percent, 2.0)
-    again = staged(again.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    more = staged(confirm(again, full_sets(again), percent), "checked")
-    return checked.unionByName(more).filter("linked").select("a", "b")
+    alone = nodes.withColumn("label", F.col("node"))
+    pairs = staged(candidates(leaves(alone, percent, 1), percent, True), "pairs")
+    first = staged(confirm(pairs, full_sets(documents, pairs, size), percent), "checked")
+    joined = components(first.filter("linked")).select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    labelled = nodes.join(joined, F.col("node") == F.col("_n"), "left").withColumn("label", F.coalesce("_c", "node")).drop("_n", "_c")
+    rest = candidates(leaves(labelled, percent, TREES), percent, False).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    rest = staged(rest, "pairs")
+    second = staged(confirm(rest, full_sets(documents, rest, size), percent), "checked")
+    return first.unionByName(second).filter("linked").select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -337,10 +337,25 @@ def test_near_duplicates(spark, odd, made, none, monkeypatch, node):
     assert chosen_path.near_duplicates(none).count() == 0
 
 
-def test_near_copies_beyond_doubt_fall_back(spark, made, monkeypatch):
-    monkeypatch.setattr(chosen_path, "SURE", 0.5)  # every candidate counts as sure, many fail
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(made, 4).collect()}
-    assert found == brute_components(texts_of(made), 4, 80)
+def test_near_copies_that_link_in_part(spark, monkeypatch):
+    """Documents along a chain: neighbours link, others don't, and many candidates fail."""
+    monkeypatch.setattr(chosen_path, "NODE", 16)
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(100)]
+    data = []
+    for i in range(90):
+        data.append((i, " ".join(words)))
+        words[rng.randrange(100)] = f"x{i}"
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(df, 4).collect()}
+    assert found == brute_components(texts_of(df), 4, 80)
+
+
+def test_spanning_forest():
+    w = np.zeros((5, 5))
+    for a, b, x in ((0, 1, 0.9), (1, 2, 0.8), (0, 2, 0.95), (3, 4, 0.7)):
+        w[a, b] = w[b, a] = x
+    assert sorted(tuple(sorted(e)) for e in chosen_path._forest(w)) == [(0, 1), (0, 2), (3, 4)]
 
 
 def test_one_document_of_each_group_stays(spark, odd):
