@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.shared import fresh, staged, tasks
 
-BLOCK = 64
+BLOCK = 32
 MOST = 3
 SHARDS = 64
 SOURCES = 100_000
@@ -110,7 +110,7 @@ def plan(sizes: DataFrame, weights=None, most: float = MOST) -> list[dict]:
     goal = targets(amount, weight, most) if amount.sum() and weight.sum() else np.zeros(len(found))
     blocks = -(-amount // BLOCK)
     whole = np.minimum(np.floor(goal / np.maximum(amount, 1) + 1e-12), most)  # full passes, then blocks of the next one
-    rest = np.rint((goal - whole * amount) / BLOCK)
+    rest = np.rint((goal - whole * amount) * blocks / np.maximum(amount, 1))
     slots = np.minimum(whole * blocks + rest, most * blocks).astype("int64")
     return [{"source": s, "source_size": n, "weight": float(w), "target": float(g), "blocks": int(b), "slots": int(k)}
             for (s, n), w, g, b, k in zip(found, weight, goal, blocks, slots, strict=True)]
