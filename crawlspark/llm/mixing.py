@@ -165,7 +165,8 @@ def mix(documents: DataFrame, weights=None, seed: int = 0, most: float = MOST) -
     """(sources, texts placed in their source's stream, slots of the mix) of ``documents`` (doc_id, text, source)."""
     placed = staged(positions(sizes(documents)), "placed")
     sources = plan(placed, weights, most)
-    return sources, placed, slots(documents.sparkSession, sources, seed)
+    # Written, so that Spark joins slots by their true size: what unfolds from a few rows looks small enough to broadcast.
+    return sources, placed, staged(slots(documents.sparkSession, sources, seed), "slots")
 
 
 def taken_words(documents: DataFrame, weights=None, seed: int = 0) -> DataFrame:
