@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline
 from crawlspark.llm import catalog, mixing, surrogates, toxicity
 
-from test_operators import WORD, brute_components, texts_of
+from test_llm_operators import WORD, brute_components, texts_of
 
 FOLDER = "/root/testdata/sf0.001"
 
