@@ -10,9 +10,11 @@ the template's distinct words. The join is exact:
 * positional filter: what it holds of the prefix, and all of the template behind the prefix, must reach ``needed``;
 * the blocks left are compared in full.
 
-Where templates with mostly the same words match in one block, the label is that of the best containment, and of the larger
-word set among equals. Beside that, plain phrases are found where their words stand consecutively. Words are runs of letters, digits and non-ASCII
-characters, A-Z in lower case. Null and empty texts have no words, labels or places. The templates are a fixed list of a
+Where templates with mostly the same words match in one block, ``matches`` gives the best containment, and the larger word set
+among equals. ``scan`` keeps all of them, but for a match that better ones explain: all its words found are also words of the
+better templates, and the block doesn't hold enough of them more often than those notices stand there. So the GPL isn't read
+into a notice of the LGPL, and where both stand both are named. Beside that, plain phrases are found where their words stand
+consecutively. Words are runs of letters, digits and non-ASCII characters, A-Z in lower case. Null and empty texts have no words, labels or places. The templates are a fixed list of a
 few hundred words: they are broadcast, texts are not shuffled. Rows that share an id are scanned one by one.
 """
 
@@ -74,8 +76,11 @@ def places_of(w: Column, phrase: list[str]) -> Column:
     return F.filter(begins, lambda i: F.array_join(F.slice(w, i + 1, len(phrase)), " ") == " ".join(phrase))
 
 
-def matches(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """key, block, label, containment of every block that reaches a template's threshold."""
+def matches(df: DataFrame, key: list[str], text: str = "text", every: bool = False) -> DataFrame:
+    """key, block, label, containment where a block reaches a template's threshold: the best of similar templates.
+
+    With ``every``: all of them that better ones don't explain.
+    """
     counts = frequencies(df, text)
     index, shapes = [], []
     for t, (label, own) in enumerate(templates()):
@@ -92,15 +97,17 @@ def matches(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size("w") - BLOCK) / STEP)).cast("int"))
     # One block after another as arrays: only blocks that hold a prefix word are opened.
     rare_words = F.array(*[F.lit(w) for w in sorted({w for w, _ in index})])
-    blocks = cut.select(*key, F.explode(F.filter(F.transform(starts, lambda b: F.struct(b.alias("block"), F.array_distinct(F.slice("w", b * STEP + 1, BLOCK)).alias("words"))),
+    blocks = cut.select(*key, F.explode(F.filter(F.transform(starts, lambda b: F.struct(b.alias("block"), F.slice("w", b * STEP + 1, BLOCK).alias("words"))),
                                                  lambda b: F.arrays_overlap(b["words"], rare_words))).alias("b")).select(*key, "b.block", "b.words")
     hits = blocks.withColumn("word", F.explode(F.array_intersect("words", rare_words))).join(prefixes, "word")
     counted = hits.groupBy(*key, "block", "template", "words").agg(F.count(F.lit(1)).alias("held"))
-    shaped = counted.withColumnRenamed("words", "own").join(table, "template")
+    shaped = counted.withColumnRenamed("words", "block_words").withColumn("own", F.array_distinct("block_words")).join(table, "template")
     long_enough = F.size("own") >= F.col("needed")
     reachable = F.col("held") + F.size("words") - F.col("prefix") >= F.col("needed")
     shared = F.size(F.array_intersect("own", "words"))
     found = shaped.filter(long_enough & reachable).withColumn("shared", shared).filter(F.col("shared") >= F.col("needed"))
+    if every:
+        return _unexplained(found, key)
     sets = [(t, set(own)) for t, _, own, _, _ in shapes]
     rivals = F.array(*[F.lit(f"{a}<{b}") for a, x in sets for b, y in sets if a != b and len(x & y) >= RIVAL * min(len(x), len(y))])
     match = F.struct("template", "label", (F.col("shared") / F.size("words")).alias("containment"), F.size("words").alias("size"))
@@ -113,6 +120,29 @@ def matches(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     return per_block.select(*key, "block", F.explode(best).alias("m")).select(*key, "block", "m.label", "m.containment")
 
 
+def _unexplained(found: DataFrame, key: list[str]) -> DataFrame:
+    """key, block, label, containment of verified matches, but for those that better matches of their block explain."""
+    match = F.struct("template", "label", (F.col("shared") / F.size("words")).alias("containment"), F.size("words").alias("size"), "needed", "words",
+                     F.array_intersect("own", "words").alias("held"))
+    per_block = found.groupBy(*key, "block").agg(F.collect_list(match).alias("all"), F.first("block_words").alias("block_words"))
+
+    def times(word):
+        return F.size(F.filter("block_words", lambda x: x == word))
+
+    def explains(o, m):
+        better = (o["containment"] > m["containment"]) | ((o["containment"] == m["containment"]) & (o["size"] > m["size"]))
+        return better & (F.size(F.array_except(m["held"], o["words"])) == 0)
+
+    def stands(o, m):
+        # As often as the rarest of its words that the other lacks; without such a word it is the same place.
+        return F.coalesce(F.array_min(F.transform(F.array_except(o["held"], m["words"]), times)), F.lit(BLOCK))
+
+    def own_place(m):
+        taken = F.aggregate(F.filter("all", lambda o: explains(o, m)), F.lit(0), lambda n, o: n + stands(o, m))
+        return F.size(F.filter(m["held"], lambda w: times(w) > taken)) >= m["needed"]
+    return per_block.select(*key, "block", F.explode(F.filter("all", own_place)).alias("m")).select(*key, "block", "m.label", "m.containment")
+
+
 def scan(df: DataFrame, row: str = "doc_id", text: str = "text") -> DataFrame:
     """n_words, n_base, first_word, last_word, base_labels, labels, score for each row of ``df``, with its ``row`` column.
 
@@ -130,7 +160,7 @@ def scan(df: DataFrame, row: str = "doc_id", text: str = "text") -> DataFrame:
     base = F.filter(F.array(*[F.when(F.size(f"_at{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(phrases)]), lambda x: x.isNotNull())
     counted = cut.select("_id", "_tie", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).cast("long").alias("first_word"),
                          F.array_max(places).cast("long").alias("last_word"), F.array_sort(F.array_distinct(base)).alias("_base"))
-    found = matches(plain, ["_id", "_tie"], "_text").groupBy("_id", "_tie").agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_best"))
+    found = matches(plain, ["_id", "_tie"], "_text", every=True).groupBy("_id", "_tie").agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_best"))
     found = found.toDF("_id2", "_tie2", "_labels", "_best")
     rows = counted.join(found, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_tie") == F.col("_tie2")), "left")
     labels = F.array_sort(F.array_union("_base", F.coalesce("_labels", F.array().cast("array<string>"))))

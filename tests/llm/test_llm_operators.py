@@ -484,3 +484,17 @@ def test_license_join_equals_comparing_every_block(spark):
                 if not any(r > (share, len(own)) for r in rivals):
                     expected.add((i, b, label))
     assert {(r.doc_id, r.block, r.label) for r in license_scan.matches(df, ["doc_id"]).collect()} == expected
+
+
+def test_notices_that_stand_side_by_side_keep_their_labels(spark):
+    cc = "licensed under a creative commons attribution {}4.0 international license"
+    gpl, lgpl = "Licensed under the GNU General Public License. ", "Licensed under the GNU Lesser General Public License. "
+    cases = [("Licensed under the MIT License or licensed under the Apache License, Version 2.0", {"mit-notice", "apache-2.0"}),
+             ("Licensed under the MIT License and the Apache License, Version 2.0", {"mit-notice", "apache-2.0"}),
+             (cc.format("") + ", " + cc.format("noncommercial "), {"cc-by-4.0", "cc-by-nc-4.0"}), (cc.format("sharealike ") + ", " + cc.format(""), {"cc-by-4.0", "cc-by-sa-4.0"}),
+             (cc.format("noncommercial ") + ", " + cc.format("sharealike "), {"cc-by-nc-4.0", "cc-by-sa-4.0"}), (cc.format(""), {"cc-by-4.0"}), (cc.format("sharealike "), {"cc-by-sa-4.0"}),
+             (gpl + lgpl, {"gpl-notice", "lgpl-notice"}), (lgpl, {"lgpl-notice"}), (lgpl + lgpl, {"lgpl-notice"}), (gpl + gpl, {"gpl-notice"}),
+             (gpl + lgpl + lgpl, {"gpl-notice", "lgpl-notice"}), (lgpl + lgpl.replace("Lesser", "Affero"), {"lgpl-notice", "agpl-notice"})]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: set(r.labels.split(",")) - set(r.base_labels.split(",")) for r in license_scan.scan(df).collect()}
+    assert found == {i: labels for i, (_, labels) in enumerate(cases)}
