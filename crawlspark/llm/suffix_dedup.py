@@ -5,8 +5,12 @@ strings must be sorted, over all documents, and equal ones brought together.
 
 * Partition. Each string has an anchor, its ``GRAM``-byte piece of least hash (the leftmost of equals); equal strings have
   equal anchors. Consecutive strings with one anchor make a stretch of text, about twenty strings long; stretches go to
-  shards by their anchor, packed into one block for each batch and shard. Within a batch equal stretches are settled at
-  once: only those of the smallest id go on.
+  shards by their anchor, packed into blocks for each batch and shard. Within a batch equal stretches are settled at
+  once: only those of the smallest id go on, as one text with all its places, where starts at most ``LENGTH`` apart are one
+  place: what goes at each of them touches. So a run of one byte is a few stretches, however long it is.
+* Hot anchors. Anchors with more than about ``HOT`` different stretches, by a sample of one part in ``SAMPLE``, are split:
+  strings that hold the 25 bytes from their anchor on go by the anchor and those bytes, the others by it and the 25 bytes
+  before it. Equal strings still meet; what the sample says only moves the load.
 * Prune. A string holds the 25 bytes on one side of its anchor, so a stretch can only repeat if the 25 bytes on its left or
   its right are those of another document's stretch. Equal stretches settle by their smallest id. Of stretches left alone
   on both sides nothing repeats.
@@ -22,6 +26,7 @@ share an id are one document in the order of ids, so they don't remove each othe
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -34,6 +39,8 @@ from crawlspark.llm.shared import fresh, staged, tasks
 
 LENGTH, GRAM, SIDE, SHALLOW = 50, 12, 25, 32
 BATCH_BYTES = 3_000_000
+PIECE_BYTES = 8_000_000
+HOT, SAMPLE, PART = 1 << 14, 16, 1 << 16
 U = np.uint64
 NULL = -2**63
 
@@ -96,9 +103,46 @@ def _digests(buffer: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.nd
     return out
 
 
-def blocks(documents: DataFrame, shards: int) -> DataFrame:
-    """Stretches of each batch for each shard. ``settled`` ones repeat an earlier document of the batch."""
-    names = ["ids", "text", "length", "anchor", "place", "start", "settled_place", "settled_start", "settled_length"]
+def _anchors(buffer: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    return _mix(_word_at(buffer, anchor) ^ _mix(_word_at(buffer, anchor + GRAM - 8) + U(7)))
+
+
+def hot_anchors(documents: DataFrame) -> np.ndarray:
+    """Hashes of the anchors that a sample of the texts shows with many different stretches, sorted."""
+    def count(parts):
+        content = np.frombuffer(b"".join(parts), "uint8")
+        start, strings, anchor, _ = stretches(content, np.cumsum([len(t) for t in parts]))
+        buffer = np.concatenate([content, np.zeros(112, "uint8")])
+        _, one = np.unique(_digests(buffer, start, strings + LENGTH - 1), return_index=True)
+        found, n = np.unique(_anchors(buffer, anchor[one]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view("int64")), pa.array(n.astype("int64"))], names=["anchor", "n"])
+
+    def run(frames):
+        parts, size = [], 0
+        for frame in frames:
+            for i, t in zip(frame.column("doc_id"), frame.column("text"), strict=True):
+                text, own = (t.as_py() or "").encode(), i.as_py()
+                for base in range(0, len(text), PART):
+                    if len(text) <= PART or zlib.crc32(f"{own}:{base}".encode()) % SAMPLE == 0:
+                        parts.append(text[base:base + PART + LENGTH - 1])
+                        size += len(parts[-1])
+                        if size > BATCH_BYTES:
+                            yield count(parts)
+                            parts, size = [], 0
+        if parts:
+            yield count(parts)
+
+    # A short text is taken whole, by its id; of a long one (by bytes) some parts are.
+    chosen = documents.filter((F.octet_length("text") > PART) | (F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(SAMPLE)) == 0))
+    counted = chosen.select("doc_id", "text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    hot = counted.filter(F.col("n") * SAMPLE > HOT).select("anchor").collect()
+    return np.sort(np.array([r["anchor"] for r in hot], "int64").view("uint64"))
+
+
+def blocks(documents: DataFrame, shards: int, hot: np.ndarray | None = None) -> DataFrame:
+    """Stretches of each batch for each shard. ``settled`` spans repeat an earlier document of the batch."""
+    names = ["ids", "text", "length", "anchor", "place", "places", "start", "reach", "settled_place", "settled_start", "settled_length"]
+    hot = np.zeros(0, "uint64") if hot is None else hot
 
     def pack(array, dtype):
         return zstandard.compress(np.ascontiguousarray(array.astype(dtype)).tobytes(), 3)
@@ -108,8 +152,9 @@ def blocks(documents: DataFrame, shards: int) -> DataFrame:
         ends = np.cumsum([len(t) for t in texts])
         start, count, anchor, document = stretches(content, ends)
         if not len(start):
-            return []
+            return
         buffer = np.concatenate([content, np.zeros(112, "uint8")])
+        begins = np.concatenate([[0], ends[:-1]])
         length = count + LENGTH - 1
         digest = _digests(buffer, start, length)
         own = ids[document]
@@ -117,29 +162,78 @@ def blocks(documents: DataFrame, shards: int) -> DataFrame:
         first = np.ones(len(order), bool)
         first[1:] = digest[order][1:] != digest[order][:-1]
         least = own[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-        settled = np.zeros(len(order), bool)
-        settled[order] = own[order] > least
-        words = _words(buffer)
-        shard = (_mix(words[anchor] ^ _mix(words[anchor + GRAM - 8] + U(7))) % U(shards)).astype("int64")
-        begins = np.concatenate([[0], ends[:-1]])
-        inside = start - begins[document] + bases[document]
-        order = np.argsort(shard, kind="stable")
+        settled = own[order] > least
+        # What goes at once needs no other stretch: it is united, and dealt to shards by document.
+        gone = np.sort(order[settled])
+        united = _united(start[gone] + document[gone], start[gone] + document[gone] + length[gone]) if len(gone) else np.zeros((0, 2), "int64")
+        apart = ends + np.arange(len(ends))
+        gone_document = np.searchsorted(apart, united[:, 0], side="right")
+        gone_start = united[:, 0] - gone_document - begins[gone_document] + bases[gone_document]
+        gone_length = united[:, 1] - united[:, 0]
+        gone_shard = (_mix(ids[gone_document].view("uint64")) % U(shards)).astype("int64")
+        # The others: one text each, with its places.
+        kept, first = order[~settled], np.flatnonzero(first[~settled])
+        new = np.ones(len(kept), bool)
+        new[1:] = (document[kept][1:] != document[kept][:-1]) | (np.diff(start[kept]) > LENGTH)
+        new[first] = True
+        heads = np.flatnonzero(new)
+        lead = kept[heads]
+        place_start = start[lead] - begins[document[lead]] + bases[document[lead]]
+        reach = start[kept[np.append(heads[1:], len(kept)) - 1]] - start[lead]
+        place_cut = np.searchsorted(heads, np.append(first, len(kept)))
+        texts_at = kept[first]
+        key = _anchors(buffer, anchor[texts_at])
+        middle = anchor[texts_at] - start[texts_at]
+        text = np.arange(len(texts_at))
+        skip, strings = np.zeros(len(text), "int64"), count[texts_at]
+        if len(hot):
+            split = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key)
+            before = np.clip(middle[split] - SIDE, 0, strings[split])
+            side = np.full(len(split), SIDE)
+            at = anchor[texts_at[split]]
+            left, right = before > 0, before < strings[split]
+            left_key = _mix(key[split] ^ _digests(buffer, np.where(left, at - SIDE, 0), side))
+            right_key = _mix(key[split] ^ (_digests(buffer, np.where(right, at, 0), side) + U(1)))
+            whole = np.ones(len(text), bool)
+            whole[split] = False
+            key = np.concatenate([key[whole], left_key[left], right_key[right]])
+            skip = np.concatenate([skip[whole], np.zeros(left.sum(), "int64"), before[right]])
+            strings = np.concatenate([strings[whole], before[left], (strings[split] - before)[right]])
+            text = np.concatenate([text[whole], split[left], split[right]])
+        shard = (key % U(shards)).astype("int64")
+        order = np.lexsort((texts_at[text], shard))
+        text, skip, strings = text[order], skip[order], strings[order]
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-        shared, out = pack(ids, "int64"), []
-        for s in np.flatnonzero(np.diff(cuts)):
-            o = order[cuts[s]:cuts[s + 1]]
-            go, gone = o[~settled[o]], o[settled[o]]
-            at = np.repeat(start[go] - np.concatenate([[0], np.cumsum(length[go])[:-1]]), length[go]) + np.arange(length[go].sum())
-            out.append((int(s), shared, pack(content[at], "uint8"), pack(length[go], "uint8"), pack(anchor[go] - start[go], "uint8"), pack(document[go], "uint32"), pack(inside[go], "uint32"),
-                        pack(document[gone], "uint32"), pack(inside[gone], "uint32"), pack(length[gone], "uint8")))
-        return out
+        gone_order = np.argsort(gone_shard, kind="stable")
+        gone_cuts = np.searchsorted(gone_shard[gone_order], np.arange(shards + 1))
+        shared = pack(ids, "int64")
+        for s in np.flatnonzero(np.diff(cuts) + np.diff(gone_cuts)):
+            span = strings[cuts[s]:cuts[s + 1]] + LENGTH - 1
+            g = gone_order[gone_cuts[s]:gone_cuts[s + 1]]
+            borders = np.flatnonzero(np.diff((np.cumsum(span) - 1) // PIECE_BYTES)) + 1
+            for a, b in zip([0, *borders], [*borders, len(span)], strict=True):
+                own, off, n = text[cuts[s] + a:cuts[s] + b], skip[cuts[s] + a:cuts[s] + b], span[a:b]
+                from_ = start[texts_at[own]] + off
+                at = np.repeat(from_ - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                places = np.diff(place_cut)[own]
+                c = np.repeat(place_cut[own] - (np.cumsum(places) - places), places) + np.arange(places.sum())
+                yield (int(s), shared, pack(content[at], "uint8"), pack(n, "uint8"), pack(middle[own] - off, "uint8"), pack(document[texts_at[own]], "uint32"), pack(places, "uint32"),
+                       pack(place_start[c] + np.repeat(off, places), "uint32"), pack(reach[c], "uint32"),
+                       pack(gone_document[g], "uint32"), pack(gone_start[g], "uint32"), pack(gone_length[g], "uint32"))
+                g = g[:0]
 
     schema = pa.schema([("shard", pa.int32())] + [(n, pa.binary()) for n in names])
 
     def emit(parts):
         ids, texts, bases = zip(*parts, strict=True)
-        rows = batch(np.array(ids, "int64"), texts, np.array(bases, "int64"))
-        return pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
+        rows, size = [], 0
+        for r in batch(np.array(ids, "int64"), texts, np.array(bases, "int64")):
+            rows.append(dict(zip(schema.names, r, strict=True)))
+            size += len(r[2])
+            if size > PIECE_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows, size = [], 0
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def run(frames):
         for frame in frames:
@@ -150,12 +244,12 @@ def blocks(documents: DataFrame, shards: int) -> DataFrame:
                 for base in range(0, max(1, len(text)), BATCH_BYTES):
                     part = text[base:base + BATCH_BYTES + LENGTH - 1]
                     if size + len(part) > BATCH_BYTES and parts:
-                        yield emit(parts)
+                        yield from emit(parts)
                         parts, size = [], 0
                     parts.append((NULL if (x := i.as_py()) is None else x, part, base))
                     size += len(part)
             if parts:
-                yield emit(parts)
+                yield from emit(parts)
 
     return documents.mapInArrow(run, "shard int, " + ", ".join(f"{n} binary" for n in names))
 
@@ -273,16 +367,26 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
     def unpack(content, dtype):
         return np.frombuffer(zstandard.decompress(content), dtype)
 
-    texts, fields, gone = [], [], []
+    texts, fields, places, gone = [], [], [], []
     for r in frame.itertuples(index=False):
         ids = unpack(r.ids, "int64")
         texts.append(unpack(r.text, "uint8"))
-        fields.append((unpack(r.length, "uint8").astype("int64"), unpack(r.anchor, "uint8").astype("int64"), ids[unpack(r.place, "uint32")], unpack(r.start, "uint32").astype("int64")))
+        fields.append((unpack(r.length, "uint8").astype("int64"), unpack(r.anchor, "uint8").astype("int64"), ids[unpack(r.place, "uint32")], unpack(r.places, "uint32").astype("int64")))
+        places.append((unpack(r.start, "uint32").astype("int64"), unpack(r.reach, "uint32").astype("int64")))
         begin = unpack(r.settled_start, "uint32").astype("int64")
-        gone.append((ids[unpack(r.settled_place, "uint32")], begin, begin + unpack(r.settled_length, "uint8")))
+        gone.append((ids[unpack(r.settled_place, "uint32")], begin, begin + unpack(r.settled_length, "uint32")))
     buffer = np.concatenate(texts + [np.zeros(112, "uint8")])
     del texts
-    length, anchor, ids, start = (np.concatenate(x) for x in zip(*fields, strict=True))
+    length, anchor, ids, n_places = (np.concatenate(x) for x in zip(*fields, strict=True))
+    start, reach = (np.concatenate(x) for x in zip(*places, strict=True))
+    first_place = np.cumsum(n_places) - n_places
+
+    def placed(at, begin, end):
+        # What goes from a text goes at all its places.
+        n = n_places[at]
+        of = np.repeat(np.arange(len(at)), n)
+        c = np.repeat(first_place[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return ids[at][of], start[c] + begin[of], start[c] + reach[c] + end[of]
     found = [tuple(np.concatenate(x) for x in zip(*gone, strict=True))]
     offset = np.cumsum(length) - length
     middle = offset + anchor
@@ -299,7 +403,7 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
     least[order] = ids[live][order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
     later = ids[live] > least
     at = live[later]
-    found.append((ids[at], start[at], start[at] + length[at]))
+    found.append(placed(at, np.zeros(len(at), "int64"), length[at]))
     live = live[~later]
     mixed = _shared(keys[0][0][live], ids[live], right[live]) | _shared(keys[1][0][live], ids[live], left[live])
     live = live[mixed]
@@ -308,7 +412,7 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
     owner = np.repeat(live, count)
     on = repeated(buffer, offset[owner] + inside, ids[owner])
     at, inside = owner[on], inside[on]
-    found.append((ids[at], start[at] + inside, start[at] + inside + LENGTH))
+    found.append(placed(at, inside, inside + LENGTH))
 
     ids, begin, end = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((begin, ids))
@@ -332,7 +436,7 @@ def _united(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 def spans(documents: DataFrame, shards: int | None = None) -> DataFrame:
     """_id (null ids as the smallest number) and the lists of spans to remove from it, one list for each shard that has some."""
     shards = shards or 2 * tasks(documents)
-    packed = blocks(documents.select("doc_id", "text"), shards)
+    packed = blocks(documents.select("doc_id", "text"), shards, hot_anchors(documents))
     found = packed.groupBy("shard").applyInPandas(settle, "doc_id long, spans binary")
     return staged(found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("spans").alias("spans")), "spans")
 

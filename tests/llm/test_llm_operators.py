@@ -397,6 +397,33 @@ def test_repeated_passages(spark, odd, made, none, monkeypatch, batch):
     assert cut.columns == [*odd.columns, "_spans"] and cut.count() == len(ODD)
 
 
+def test_runs_of_bytes_and_hot_anchors(spark, made, monkeypatch):
+    rng = random.Random(4)
+
+    def noise(n):
+        return "".join(rng.choices("abcdefgh", k=n))
+    passage = noise(40) + "=" * 12 + noise(40)
+    texts = [noise(30) + "-" * 9000 + noise(99), "-=" * 700 + noise(9), noise(5) + "-" * 3000, noise(70) + "-=" * 900 + "-" * 77, "=" * 49, "é" * 400 + noise(3) + "é" * 30]
+    texts += [noise(60) + "=" * 12 + noise(60) for _ in range(60)] + [noise(9) + passage + noise(9), noise(3) + passage[20:] + noise(50), noise(50) + passage[:75]]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    runs = suffix_dedup.blocks(spark.createDataFrame([(1, "-" * 200_000)], "doc_id long, text string"), 2).collect()
+    assert sum(len(suffix_dedup.zstandard.decompress(r["text"])) for r in runs) < 1000
+    for hot, piece in ((1 << 14, 500), (0, 8_000_000), (0, 300)):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+        monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", piece)
+        for d in (df, made):
+            assert {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove(d, 3, report=True).collect()} == dict(brute_removal(texts_of(d)))
+    contexts = spark.createDataFrame([(i, noise(60) + "=" * 12 + noise(60)) for i in range(400)], "doc_id long, text string")
+    hot = suffix_dedup.hot_anchors(contexts)
+    one = suffix_dedup._anchors(np.frombuffer(b"=" * 30, "uint8"), np.array([0]))
+    assert one[0] in hot
+
+    def shards_with(found):
+        return {r["shard"] for r in suffix_dedup.blocks(contexts, 8, found).collect() if b"=" * 12 in suffix_dedup.zstandard.decompress(r["text"])}
+    assert len(shards_with(np.sort(one))) == 8
+
+
 def test_deep_shallow_order():
     rng = np.random.default_rng(3)
     content = np.concatenate([rng.integers(97, 99, 60, dtype="uint8")] * 6 + [rng.integers(97, 99, 400, dtype="uint8"), np.zeros(112, "uint8")])
