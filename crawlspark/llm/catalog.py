@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.llm import chosen_path, license_scan, mixing, multiset_hash, ngram_trie, sentencepiece_bpe, sphere_filters, suffix_dedup, surrogates, toxicity
+from crawlspark.llm import (chosen_path, compression_bands, impact_ranges, license_scan, mixing, multiset_hash, ngram_trie, sentencepiece_bpe, sphere_filters, suffix_dedup,
+                            surrogates, tiled_phrases, toxicity)
+from crawlspark.llm.oracles import ORACLES
 from crawlspark.llm.shared import table
 
 
@@ -74,8 +76,20 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_sphere_filters, op4_mixing, op5_ngram_trie, op6_surrogates, op7_chosen_path, op8_suffix_dedup, op9_multiset_hash, op10_license_scan)}
-ORACLES: dict[str, str] = {}
+def op11_impact_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    return impact_ranges.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_tiled_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return tiled_phrases.top_phrases(table(spark, folder, "documents"))
+
+
+def op13_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return compression_bands.measure(table(spark, folder, "documents")).select("doc_id", *compression_bands.COUNTS, "base_failed", "kept", "ratio", "bad_share", "reason")
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_sphere_filters, op4_mixing, op5_ngram_trie, op6_surrogates, op7_chosen_path, op8_suffix_dedup, op9_multiset_hash,
+                                   op10_license_scan, op11_impact_ranges, op12_tiled_phrases, op13_compression_bands)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
