@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from crawlspark import schemas
 from crawlspark.catalog.fixtures import AGENT, PATTERN, canonical_sql
 from crawlspark.catalog.pages import OUTCOME_SQL
+from crawlspark.catalog.schedule import starts_sql
 from crawlspark.checkpoints import scratch_folder
 from crawlspark.plans.discovery import discover
 from crawlspark.plans.wave import crawl_wave, empty_state
@@ -23,6 +24,15 @@ def _wave(t):
     return crawl_wave(empty_state(page), schemas.conform(t.fx_fetches, "fetches"), **crawl_inputs(t))
 
 
+def _requests(t):
+    """What the wave asks its hosts for, and when, with the clocks of an earlier wave."""
+    page = t.pages.select((F.col("page_id") + 1).alias("id"), F.lit("CRAWLING").alias("page_type_code"), "url")
+    before = (t.fx_hosts.filter("length(host) % 2 = 0").select(F.regexp_replace("host", "www[.]", "").alias("domain"), F.length("host").cast("long").alias("free_at")).groupBy("domain").agg(F.max("free_at").alias("free_at")),
+              t.fx_fetches.filter("ip IS NOT NULL").select("ip").distinct().withColumn("free_at", F.lit(3).cast("long")))
+    wave = crawl_wave(empty_state(page), schemas.conform(t.fx_fetches, "fetches"), now=0, clocks=before, **crawl_inputs(t))
+    return wave["schedule"].select("seq", "kind", "url", "domain", "ip", "delay", "start")
+
+
 def _page(t):
     return _wave(t)["page"].select("id", "site_id", "page_type_code", "url", F.length("html_content").cast("long").alias("n_chars"),
                                    "html_content_hash", "http_status_code", F.col("accessed_time").cast("string").alias("accessed_time"))
@@ -44,6 +54,7 @@ QUERIES = {
     "wave_page_data": lambda t: _wave(t)["page_data"].select("id", "page_id", "data_type_code"),
     "wave_link": lambda t: _wave(t)["link"],
     "discovery": _discovery,
+    "wave_requests": _requests,
 }
 
 _PATH = "regexp_extract(url, '^[a-z]+://[^/]*(.*)$', 1)"
@@ -88,7 +99,28 @@ page AS (SELECT numbered.id, site_id, page_type_code, latest.url, length(html) A
   UNION ALL SELECT id, site_id, 'FRONTIER', url, NULL, NULL, NULL, NULL FROM fresh WHERE url NOT IN (SELECT url FROM latest))
 """
 
+# A wave's requests in order: robots file and sitemaps of new sites, pages, downloads.
+_REQUESTS = """SELECT *, row_number() OVER (ORDER BY seq, step, level, url) AS id, 0 AS arrival,
+    greatest(0, coalesce((SELECT max(length(host)) FROM fx_hosts h WHERE length(host) % 2 = 0 AND replace(h.host, 'www.', '') = u.domain), 0), CASE WHEN ip IS NULL THEN 0 ELSE 3 END) AS floor_at FROM (
+    SELECT b.seq, 2 + k AS step, 0 AS level, CASE k WHEN 0 THEN 'page' ELSE 'download' END AS kind, b.requested_url AS url, b.domain, ip,
+      CASE WHEN q.http_status = 200 AND length(q.domain) % 5 <> 0 THEN length(q.domain) % 9 ELSE 5 END AS delay
+      FROM b JOIN s ON s.domain = b.domain JOIN fx_robots q ON q.domain = s.host, (VALUES (0), (1)) AS t(k)
+      WHERE ip IS NOT NULL AND (k = 0 OR (html IS NULL AND (error IS NULL OR split_part(error, ' at ', 1) = 'net::ERR_ABORTED')))
+    UNION ALL SELECT b.seq, 0, 0, 'robots', split_part(b.requested_url, '://', 1) || '://' || b.host || '/robots.txt', b.domain, ip, 5 FROM b JOIN s ON s.seq = b.seq
+    UNION ALL SELECT b.seq, 1, level, 'sitemap', m.url, b.domain, ip, CASE WHEN q.http_status = 200 AND length(q.domain) % 5 <> 0 THEN length(q.domain) % 9 ELSE 5 END
+      FROM b JOIN s ON s.seq = b.seq JOIN fx_robots q ON q.domain = s.host JOIN opened m ON m.seq = s.seq) AS u"""
+_OPENED = """,
+roots AS (SELECT s.seq, s.host, CASE WHEN q.http_status = 200 AND length(s.host) % 3 <> 0 THEN 'https://' || s.host || n
+    ELSE split_part(s.requested_url, '://', 1) || '://' || s.host || '/sitemap.xml' END AS url FROM s JOIN fx_robots q ON q.domain = s.host, (VALUES ('/sitemap.xml'), ('/more.xml')) AS t(n)),
+opened AS (SELECT DISTINCT seq, 0 AS level, url FROM roots
+    UNION ALL SELECT DISTINCT r.seq, 1, 'https://' || r.host || '/sitemap' || p.page_id || '.xml' FROM roots r JOIN pages p ON split_part(p.url, '/', 3) = r.host WHERE r.url = 'https://' || r.host || '/sitemap.xml'
+    UNION ALL SELECT DISTINCT r.seq, 2, 'https://' || r.host || '/s/' || p.page_id || '.xml' FROM roots r JOIN pages p ON split_part(p.url, '/', 3) = r.host
+      WHERE r.url = 'https://' || r.host || '/sitemap.xml' AND p.page_id % 9 <> 0),
+"""
+
 ORACLES = {
+    "wave_requests": WAVE_SQL.replace("WITH", "WITH RECURSIVE", 1).replace("f.http_status, f.html,", "f.http_status, f.html, f.error,").rstrip() + _OPENED
+        + starts_sql(_REQUESTS, "seq, kind, url, domain, ip, CAST(rq.delay AS BIGINT) AS delay, CAST(start AS BIGINT) AS start"),
     "wave_site": WAVE_SQL + """SELECT s.id, s.domain, CASE WHEN r.http_status <> 200 THEN '' ELSE 'User-agent: other' || chr(10) || 'Disallow: /' || chr(10) || chr(10)
         || 'User-agent: *' || chr(10) || CASE WHEN length(host) % 5 <> 0 THEN 'Crawl-delay: ' || length(host) % 9 || chr(10) ELSE '' END
         || 'Disallow: /the' || chr(10) || 'Allow: /d/' || chr(10) || 'Disallow: /p/1' END AS robots_content,

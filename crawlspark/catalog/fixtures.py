@@ -66,6 +66,11 @@ SELECT page_id AS seq, page_id AS from_page, CASE WHEN page_id % 4 = 0 THEN url
 SELECT event_id AS id, user_id AS host, CAST(floor(value) AS BIGINT) % 9 + 1 AS delay,
   CAST((extract(DAY FROM ts) - 1) * 86400 + extract(HOUR FROM ts) * 3600 + extract(MINUTE FROM ts) * 60 + floor(extract(SECOND FROM ts)) AS BIGINT)
   AS arrival FROM events""",
+    # Requests that take two clocks: some hosts have several addresses, some have none.
+    "fx_shared_requests": """
+SELECT id, 'h' || CAST(host AS VARCHAR(9)) AS domain, CASE WHEN id % 11 = 0 THEN NULL
+  ELSE 'i' || CAST((host * 7 + CASE WHEN host % 4 = 0 THEN id % 3 ELSE 0 END) % 60 AS VARCHAR(9)) END AS ip, arrival % 3000 AS arrival, delay
+FROM fx_requests""",
     # Links of pages: plain anchors and onclick targets, completed with the page's own scheme and host.
     "ox_links": r"""
 SELECT page_id, host, lower(split_part(url, '://', 1)) || '://' || host || unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS url
@@ -96,8 +101,9 @@ def with_fixtures(sql: str, base: dict[str, str] | None = None) -> str:
     body = sql.strip()
     if not parts:
         return body
-    head = "WITH " + ",\n".join(parts)
-    return f"{head},\n{body[5:]}" if re.match(r"WITH\s", body) else f"{head}\n{body}"
+    begin = re.match(r"WITH\s+(RECURSIVE\s)?", body)
+    head = f"WITH {begin[1] or '' if begin else ''}" + ",\n".join(parts)
+    return f"{head},\n{body[begin.end():]}" if begin else f"{head}\n{body}"
 
 
 class Tables:

@@ -53,7 +53,7 @@ QUERIES = {
 
 
 def _outcomes(t):
-    return outcome.with_outcome(t.fx_fetches.withColumn("html", F.substring("html", 1, 1)).withColumn("current_url", F.col("requested_url")))
+    return outcome.with_outcome(t.fx_fetches.withColumn("has_text", F.col("html") != "").drop("html").withColumn("current_url", F.col("requested_url")))
 
 
 _CANON = canonical_sql("url")

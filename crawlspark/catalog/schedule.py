@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crawlspark.operators import politeness
+from crawlspark.operators import politeness, two_clocks
 
 
 def _before(t):
@@ -24,7 +24,15 @@ def _waits(t):
     return politeness.wait_times(requests, by_domain, by_ip).select("id", "wait")
 
 
+def _two_clocks(t):
+    domains = t.fx_shared_requests.filter("id % 40 = 0").groupBy("domain").agg((F.min("arrival") + 300).alias("free_at"))
+    addresses = t.fx_shared_requests.filter("id % 25 = 0 AND ip IS NOT NULL").groupBy("ip").agg((F.min("arrival") + 900).alias("free_at"))
+    done = two_clocks.schedule(t.fx_shared_requests, domains, addresses, chunk_rows=5_000)
+    return done.select("id", "domain", "ip", "start")
+
+
 QUERIES = {
+    "schedule_two_clocks": _two_clocks,
     "wait_times": _waits,
     "fetch_schedule": lambda t: _scheduled(t).select("id", "host", "start"),
     # The same schedule with the clocks cut into chunks, as a host with very many requests needs it.
@@ -42,7 +50,25 @@ _STARTS = f"""SELECT id, host, delay, before + max(floor_at - before) OVER (PART
       FROM fx_requests r LEFT JOIN ({_BEFORE}) AS b ON b.host = r.host) AS w"""
 _SCHEDULE = f"SELECT id, host, CAST(start AS BIGINT) AS start FROM ({_STARTS}) AS s"
 
+
+
+def starts_sql(requests: str, columns: str) -> str:
+    """Text that schedules ``requests`` (id, domain, ip, arrival, delay, floor_at): starts grow along the two lines of each
+    request, of its host and of its address, until none has to wait longer."""
+    return f"""rq AS ({requests}),
+    rq_next AS (SELECT lag(id) OVER (PARTITION BY domain ORDER BY arrival, id) AS pred, id, delay FROM rq
+      UNION SELECT lag(id) OVER (PARTITION BY ip ORDER BY arrival, id), id, delay FROM rq WHERE ip IS NOT NULL),
+    rq_start(id, start, delay) USING KEY (id) AS (SELECT id, floor_at, delay FROM rq
+      UNION SELECT n.id, max(w.start + w.delay) AS start, n.delay FROM rq_start AS w JOIN rq_next AS n ON n.pred = w.id JOIN recurring.rq_start AS o ON o.id = n.id
+      WHERE w.start + w.delay > o.start GROUP BY n.id, n.delay)
+    SELECT {columns} FROM rq JOIN rq_start ON rq_start.id = rq.id"""
+
+
 ORACLES = {
+    "schedule_two_clocks": "WITH RECURSIVE " + starts_sql("""SELECT q.*, greatest(arrival, coalesce(d.free_at, arrival), coalesce(i.free_at, arrival)) AS floor_at FROM fx_shared_requests q
+        LEFT JOIN (SELECT domain, min(arrival) + 300 AS free_at FROM fx_shared_requests WHERE id % 40 = 0 GROUP BY domain) AS d ON d.domain = q.domain
+        LEFT JOIN (SELECT ip, min(arrival) + 900 AS free_at FROM fx_shared_requests WHERE id % 25 = 0 AND ip IS NOT NULL GROUP BY ip) AS i ON i.ip = q.ip""",
+        "rq.id, domain, ip, CAST(start AS BIGINT) AS start"),
     "wait_times": """SELECT r.id, greatest(coalesce(d.free_at - r.arrival, 0), coalesce(i.free_at - r.arrival, 0), 0) AS wait FROM fx_requests r
         LEFT JOIN (SELECT host, max(arrival) AS free_at FROM fx_requests WHERE id % 50 = 0 GROUP BY host) AS d ON d.host = r.host
         LEFT JOIN (SELECT host % 7 AS ip, min(arrival) + 5000 AS free_at FROM fx_requests WHERE id % 30 = 0 GROUP BY 1) AS i ON i.ip = r.host % 7""",

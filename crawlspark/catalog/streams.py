@@ -27,9 +27,12 @@ def _dedupe(t):
 
 
 def _requests(t, folder):
-    """All requests as four files, written one after the other in the order of arrival, as a stream reads them."""
-    parts = checkpointed(t.fx_requests.repartitionByRange(4, "arrival", "id").withColumn("_part", F.spark_partition_id()))
-    for k in range(4):
+    """All requests as files of a range each, written one after the other in the order of arrival, as a stream reads them.
+
+    The number of ranges follows the table, so the task that writes one has about a million rows at most."""
+    ranges = max(4, -(-t.events.count() // 1_000_000))
+    parts = checkpointed(t.fx_requests.repartitionByRange(ranges, "arrival", "id").withColumn("_part", F.spark_partition_id()))
+    for k in range(ranges):
         parts.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(folder)
     parts = parts.drop("_part")
     return t.spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(folder)
@@ -45,7 +48,7 @@ def _schedule(t):
 def _stream_wave(t):
     """All fetches as a stream, folded into a store that starts with every page; then the same stream again, which adds nothing."""
     folder = scratch_folder(t.spark, "stream-wave")
-    schemas.conform(t.fx_fetches, "fetches").coalesce(1).write.parquet(folder + "/in")
+    schemas.conform(t.fx_fetches, "fetches").write.parquet(folder + "/in")
     store = CrawlStore(t.spark, folder + "/store").reset_from(t.pages.select("url"))
     for _ in range(2):
         stream = t.spark.readStream.schema(schemas.schema("fetches")).parquet(folder + "/in")

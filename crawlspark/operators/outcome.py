@@ -45,15 +45,21 @@ def expand_urls(df: DataFrame, expansions: DataFrame | None, column: str, out: s
     return joined.withColumn(out, F.coalesce(F.col("_real"), F.col(column))).drop("_short", "_real")
 
 
+def is_download(has_text: Column, error: Column) -> Column:
+    """Whether the browser gave no text and the URL was asked for once more, as a document."""
+    return has_text.isNull() & (error.isNull() | (error_class(error) == C.DOWNLOAD_ERROR))
+
+
 def with_outcome(fetches: DataFrame) -> DataFrame:
     """Classify fetches (with ``current_url``, the expanded request).
 
     Adds ``page_url`` (canonical final URL), ``document`` (type code of a download), ``is_redirect`` and ``outcome``:
     CRAWLING without an address or content, FAILED, BINARY, or HTML for pages whose hash is still to be looked up.
-    A download's final URL is its request.
+    A download's final URL is its request. The text itself is not needed where ``has_text`` (false: empty, null: no
+    text) stands for ``html``.
     """
-    error = error_class(F.col("error"))
-    download = F.col("html").isNull() & (F.col("error").isNull() | (error == C.DOWNLOAD_ERROR))
+    has_text = F.col("has_text") if "has_text" in fetches.columns else F.col("html") != ""
+    download = is_download(has_text, F.col("error"))
     fetches = fetches.withColumns({
         "_download": download,
         "document": F.when(download & (F.col("http_status") == 200), data_type(F.col("content_type"))),
@@ -62,7 +68,7 @@ def with_outcome(fetches: DataFrame) -> DataFrame:
     failed = ((F.col("error").isNotNull() & ~F.col("_download"))
               | (F.col("_download") & (F.col("document").isNull() | (F.col("document") == "HTML"))))
     outcome = (F.when(F.col("ip").isNull(), "CRAWLING").when(failed, "FAILED").when(F.col("_download"), "BINARY")
-               .when(F.coalesce(F.col("html"), F.lit("")) == "", "CRAWLING").otherwise("HTML"))
+               .when(~F.coalesce(has_text, F.lit(False)), "CRAWLING").otherwise("HTML"))
     return fetches.withColumn("outcome", outcome).withColumn(
         "is_redirect", F.col("ip").isNotNull() & (F.col("outcome") != "FAILED")
         & (F.col("current_url") != F.col("page_url"))).drop("_download")

@@ -37,15 +37,17 @@ def is_index_entry(loc: Column) -> Column:
     return loc.endswith(".xml") | loc.contains("sitemap.xml")
 
 
-def sitemap_tree(roots: DataFrame, files: DataFrame) -> DataFrame:
-    """Leaf URLs below the root sitemaps: domain, url. ``roots`` has domain, url; ``files`` url, http_status, xml.
+def sitemap_walk(roots: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leaf URLs below the root sitemaps (domain, url) and the sitemaps opened on the way (domain, url, level).
+
+    ``roots`` has domain, url; ``files`` url, http_status, xml.
 
     One round per level of the index. A sitemap is opened once per domain, so a cycle ends. The files are read once,
     into rows of (sitemap, entry) that the rounds join: no file's list moves as a whole, and a sitemap that many domains
     share is split like any hot key. The opened set and the leaves stay distributed; only the emptiness test comes back.
     """
     level = checkpointed(roots.select("domain", "url").distinct())
-    opened, leaves = [level], []
+    opened, leaves = [level.withColumn("level", F.lit(0))], []
     served = checkpointed(sitemap_locs(files))
     while not level.isEmpty():
         found = served.join(level, "url").select("domain", F.col("loc").alias("url"))
@@ -53,8 +55,13 @@ def sitemap_tree(roots: DataFrame, files: DataFrame) -> DataFrame:
         leaves.append(found.filter(~is_index_entry(F.col("url"))))
         seen = reduce(DataFrame.unionByName, opened)
         level = checkpointed(found.filter(is_index_entry(F.col("url"))).join(seen, ["domain", "url"], "left_anti"))
-        opened.append(level)
-    return reduce(DataFrame.unionByName, leaves).distinct() if leaves else level
+        opened.append(level.withColumn("level", F.lit(len(opened))))
+    return (reduce(DataFrame.unionByName, leaves).distinct() if leaves else level), reduce(DataFrame.unionByName, opened)
+
+
+def sitemap_tree(roots: DataFrame, files: DataFrame) -> DataFrame:
+    """Leaf URLs below the root sitemaps: domain, url."""
+    return sitemap_walk(roots, files)[0]
 
 
 def root_sitemaps(sites: DataFrame, files: DataFrame | None) -> DataFrame:
@@ -75,6 +82,9 @@ def find_sitemap_links(sites: DataFrame, robots_files: DataFrame | None, sitemap
 
     Without ``robots_files`` nothing is disallowed.
     """
-    leaves = sitemap_tree(root_sitemaps(sites, robots_files), sitemap_files)
+    return allowed_leaves(sitemap_tree(root_sitemaps(sites, robots_files), sitemap_files), robots_files, agent, pattern)
+
+
+def allowed_leaves(leaves: DataFrame, robots_files: DataFrame | None, agent: str, pattern: str) -> DataFrame:
     links = U.canonicalize(leaves, "url").distinct().filter(U.is_domain_allowed(F.col("url"), pattern))
     return links if robots_files is None else robots.filter_allowed(links, robots.policies(robots_files, agent))

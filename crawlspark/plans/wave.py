@@ -16,21 +16,22 @@ from pyspark.sql import functions as F
 from crawlspark import constants as C
 from crawlspark.checkpoints import checkpointed
 from crawlspark.functions import urls as U
-from crawlspark.operators import dedupe, html, ids, outcome, robots, sitemaps, skew, tables
+from crawlspark.operators import dedupe, html, ids, outcome, requests, robots, sitemaps, skew, tables, two_clocks
 from crawlspark.schemas import conform, empty, seed_tables
 
 
 def _batch(page: DataFrame, fetches: DataFrame, expansions: DataFrame | None) -> DataFrame:
-    """Narrow rows of the fetches of known pages, classified; ``html`` shrinks to its first character."""
+    """Narrow rows of the fetches of known pages, classified; of ``html`` remain its hash and whether there is any."""
     narrow = fetches.select(
-        "seq", "requested_url", "final_url", "http_status", "content_type", F.substring("html", 1, 1).alias("html"),
+        "seq", "requested_url", "final_url", "http_status", "content_type", (F.col("html") != "").alias("has_text"),
         F.when(F.col("html") != "", html.content_hash(F.col("html"))).alias("html_hash"), "error", "ip", "accessed_time")
     known = page.select(F.col("id").alias("page_id"), F.col("url").alias("requested_url"))
     rows = outcome.expand_urls(narrow.join(known, "requested_url"), expansions, "requested_url", "current_url")
     rows = rows.withColumn("host", U.netloc(F.col("current_url")))
     rows = outcome.with_outcome(rows.withColumn("domain", U.site_key(F.col("host"))))
+    rows = rows.withColumn("retried", outcome.is_download(F.col("has_text"), F.col("error")))
     own = F.when(F.col("is_redirect"), F.col("page_url")).otherwise(F.col("requested_url"))
-    return checkpointed(rows.withColumn("own_url", own).drop("html", "content_type", "error", "final_url"))
+    return checkpointed(rows.withColumn("own_url", own).drop("has_text", "content_type", "error", "final_url"))
 
 
 def _sites(site: DataFrame, modes: DataFrame | None, batch: DataFrame, robots_files: DataFrame | None, agent: str, everywhere: bool):
@@ -88,7 +89,8 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
                sitemap_files: DataFrame | None = None, expansions: DataFrame | None = None,
                agent: str = C.DEFAULT_AGENT, pattern: str = C.ALLOWED_NETLOC, mode: str = "concat",
                robots_scope: str = "source", edges: str = "discovery", max_url_length: int | None = None,
-               max_filename_length: int | None = None) -> dict[str, DataFrame]:
+               max_filename_length: int | None = None, now: int | None = None,
+               clocks: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
     """What a batch of fetches adds to the tables.
 
     ``state`` holds the crawl tables. The result has new rows for ``site``, ``image``, ``page_data`` and ``link``, new
@@ -98,7 +100,8 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     kept whatever their length, as a page goes with them. Without ``robots_files`` nothing is disallowed, and sitemaps
     are looked for at ``/sitemap.xml``. With ``robots_scope="target"`` a link is judged by its own host's file, given in
     ``robots_files`` or kept from an earlier wave; hosts with neither were not read and are not allowed. ``edges`` is ``discovery`` (a link counts where its URL was new) or
-    ``all``.
+    ``all``. With ``now`` (seconds) the result has ``schedule``, when each request of the wave may start from then on, and
+    ``clock``, when the hosts and addresses asked are free again; ``clocks`` are (domain, free_at) and (ip, free_at) before.
     """
     page, site = state["page"], state["site"]
     batch = _batch(page, fetches, expansions)
@@ -125,10 +128,12 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     links = checkpointed(_page_links(fetches, parsed, policies, pattern, mode, robots_scope))
     documents = html.document_links(links, "seq").join(unfit, "seq", "left_anti")
     found = html.page_links(links)
+    opened = None
     if sitemap_files is not None and not firsts.isEmpty():
         hosts = firsts.select(F.col("host").alias("domain"), F.col("current_url").alias("url"), "seq")
         own_files = None if robots_files is None else robots_files.join(hosts.select("domain"), "domain", "left_semi")
-        mapped = sitemaps.find_sitemap_links(hosts.select("domain", "url"), own_files, sitemap_files, agent, pattern)
+        leaves, opened = sitemaps.sitemap_walk(sitemaps.root_sitemaps(hosts.select("domain", "url"), own_files), sitemap_files)
+        mapped = sitemaps.allowed_leaves(leaves, own_files, agent, pattern)
         found = found.unionByName(mapped.join(hosts.select("domain", "seq"), "domain").select("seq", "url")).distinct()
     found = found.join(batch.select("seq", "own_url"), "seq")
 
@@ -151,7 +156,8 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     numbered = needed.filter(F.col("id").isNotNull()).select("url", "id").unionByName(fresh.select("url", "id"))
 
     changed = _page_changes(batch, numbered, needed, fresh)
-    return {
+    timed = {} if now is None else _schedule(batch, firsts, policies, opened, now, clocks)
+    return timed | {
         "site": new_sites,
         "site_mode": page.sparkSession.createDataFrame([], "domain string, mode string") if new_modes is None else new_modes,
         "page": _page_rows(page, fetches, changed),
@@ -162,6 +168,14 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     }
 
 
+def _schedule(batch: DataFrame, firsts: DataFrame, policies: DataFrame | None, opened: DataFrame | None, now: int, clocks) -> dict[str, DataFrame]:
+    asked = requests.wave_requests(batch, firsts, policies, opened, now)
+    done = checkpointed(two_clocks.schedule(asked, *(clocks or (None, None))))
+    domains, addresses = two_clocks.free_times(done)
+    return {"schedule": done, "clock": domains.select(F.lit("domain").alias("kind"), F.col("domain").alias("name"), "free_at").unionByName(
+        addresses.select(F.lit("ip").alias("kind"), F.col("ip").alias("name"), "free_at"))}
+
+
 def _only_url(batch: DataFrame, column: str) -> DataFrame:
     none = F.lit(None).cast("struct<seq:bigint,kind:int,source:string,site_id:bigint>")
     return batch.filter(F.col(column).isNotNull()).select(F.col(column).alias("url"), none.alias("event"))

@@ -17,7 +17,10 @@ from crawlspark.schemas import schema, seed_tables
 
 _APPENDED = ("data_type", "page_type", "site", "site_mode", "image", "page_data", "link")
 _OPEN = ("FRONTIER", "CRAWLING")
-_EXTRA = {"page_gone": "id long, in_wave int", "rejects": "url string, reason string", "site_mode": "domain string, mode string",
+_LOGGED = ("rejects", "schedule", "clock")
+_EXTRA = {"schedule": "id long, seq long, kind string, url string, domain string, ip string, arrival long, delay long, start long",
+          "clock": "kind string, name string, free_at long",
+          "page_gone": "id long, in_wave int", "rejects": "url string, reason string", "site_mode": "domain string, mode string",
           "commits": "committed boolean, stream string, batch long"}
 
 
@@ -91,9 +94,19 @@ class CrawlStore:
     def state(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in (*_APPENDED, "page")}
 
+    def clocks(self) -> tuple[DataFrame, DataFrame]:
+        """When each host (domain, free_at) and each address (ip, free_at) is free. A wave adds the clocks it has moved;
+        clocks only go forward, so the latest time counts."""
+        rows = self._current("clock")
+        return tuple(rows.filter(F.col("kind") == kind).groupBy(F.col("name").alias(kind)).agg(F.max("free_at").alias("free_at")) for kind in ("domain", "ip"))
+
+    def now(self) -> int | None:
+        """When the last request of all scheduled waves starts; null without any."""
+        return self._current("schedule").agg(F.max("start").alias("t")).first().t
+
     def has_batch(self, stream: str, number: int) -> bool:
-        """Whether a finished wave has folded this batch."""
-        return not self._raw("commits").filter((F.col("stream") == stream) & (F.col("batch") == number)).isEmpty()
+        """Whether a wave since the last reset has folded this batch."""
+        return not self._current("commits").filter((F.col("stream") == stream) & (F.col("batch") == number)).isEmpty()
 
     def commit(self, delta: dict[str, DataFrame], wave: int | None = None, batch: tuple[str, int] | None = None) -> int:
         """Write the result of a wave. ``wave`` is given when a batch may come twice: a finished one is skipped.
@@ -119,5 +132,7 @@ class CrawlStore:
         self._put("page_open", wave, waiting)
         for name in _APPENDED:
             self._put(name, wave, rest[name] if name in rest else self.spark.createDataFrame([], self._schema(name)))
-        self._put("rejects", wave, rest.get("rejects", self.spark.createDataFrame([], self._schema("rejects"))))
+        for name in _LOGGED:
+            rows = rest[name] if name in rest else self.spark.createDataFrame([], self._schema(name))
+            self._put(name, wave, rows.select(self._schema(name).names))
         self._put("commits", wave, self.spark.createDataFrame([(not first, *(batch or (None, None)))], self._schema("commits")).coalesce(1))

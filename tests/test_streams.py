@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crawlspark import schemas
 from crawlspark.operators import politeness
+from crawlspark.plans.discovery import fold
 from crawlspark.sources.inputs import read_input, stream_input
 from crawlspark.sources.store import CrawlStore
 from crawlspark.streaming import jobs
@@ -96,3 +97,15 @@ def test_schedule_stream_equals_the_batch(spark):
     assert got == {r.id: r.start for r in want.collect()}
     clocks = spark.read.parquet(out + "/clocks").filter(F.col("batch") == 3).select("host", "free_at")
     assert {r.host: r.free_at for r in clocks.collect()} == {r.host: r.free_at for r in politeness.next_available(want).collect()}
+
+
+def test_batches_come_again_after_a_reset(spark):
+    source, path = folder(), folder()
+    put(spark, source, [fetch(1, "/", '<a href="/x"></a>')])
+    store = CrawlStore(spark, path).reset([A + "/"])
+    batch = read_input(spark, source)
+    assert fold(store, batch, batch=("c", 0)) == 1 and fold(store, batch, batch=("c", 0)) == 1
+    store.reset([A + "/"])
+    assert not store.has_batch("c", 0)
+    assert fold(store, batch, batch=("c", 0)) == 3
+    assert sorted((r.url, r.page_type_code) for r in store.page().collect()) == [(A + "/", "HTML"), (A + "/x/", "FRONTIER")]

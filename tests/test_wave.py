@@ -173,3 +173,32 @@ def test_store_skips_finished_waves(spark):
     assert table(store.page(), "id", "url", "page_type_code") == first == [(1, A + "/", "HTML"), (2, A + "/x/", "FRONTIER")]
     fold(store, fetches(spark, fetch(2, A + "/x/", "<p>", final=A + "/")), wave=2)
     assert table(store.page(), "id", "page_type_code", "html_content") == [(1, "HTML", "<p>"), (2, "REDIRECT", None)]
+
+
+def test_requests_of_a_wave(spark):
+    """Robots file first, then sitemaps, pages and downloads; a host without an address asks nobody."""
+    urls = [f"{A}/{n}/" for n in ("p", "doc", "nodns", "b")]
+    rows = [fetch(1, urls[0], "<p>one"), fetch(2, urls[1], None, kind="application/x-tar"), fetch(3, urls[2], "<p>x", ip=None), fetch(4, "https://b.gov.si/", "<p>b", ip="1")]
+    files = robots(spark, ("a.gov.si", 200, "User-agent: *\nCrawl-delay: 7\nSitemap: https://a.gov.si/s.xml"), ("b.gov.si", 404, ""))
+    maps = spark.createDataFrame([("https://a.gov.si/s.xml", "a.gov.si", 200, "<loc>https://a.gov.si/t.xml</loc><loc>https://a.gov.si/mapped</loc>")], schemas.schema("sitemap_files"))
+    before = state(spark, [*urls[:3], "https://b.gov.si/"])
+    clocks = (spark.createDataFrame([("a.gov.si", 100)], "domain string, free_at long"), spark.createDataFrame([("1", 90)], "ip string, free_at long"))
+    delta = crawl_wave(before, fetches(spark, *rows), robots_files=files, sitemap_files=maps, now=50, clocks=clocks)
+    assert table(delta["schedule"], "id", "kind", "url", "delay", "start") == sorted([
+        (1, "robots", f"{A}/robots.txt", 5, 100), (2, "sitemap", f"{A}/s.xml", 7, 105), (3, "sitemap", f"{A}/t.xml", 7, 112), (4, "page", urls[0], 7, 119),
+        (5, "page", urls[1], 7, 126), (6, "download", urls[1], 7, 133), (7, "robots", "https://b.gov.si/robots.txt", 5, 140),
+        (8, "sitemap", "https://b.gov.si/sitemap.xml", 5, 145), (9, "page", "https://b.gov.si/", 5, 150)], key=str)
+    assert table(delta["clock"], "kind", "name", "free_at") == [("domain", "a.gov.si", 140), ("domain", "b.gov.si", 155), ("ip", "1", 155)]
+
+
+def test_discovery_obeys_its_schedule(spark):
+    pages = [fetch(1, f"{A}/", '<a href="/x"></a><a href="/y"></a>'), fetch(2, f"{A}/x/", '<a href="/z"></a>'), fetch(3, f"{A}/y/", "<p>y", ip="2"), fetch(4, f"{A}/z/", "<p>z")]
+    store = CrawlStore(spark, tempfile.mkdtemp(prefix="run-")).reset([f"{A}/"])
+    assert discover(store, fetches(spark, *pages), now=0) == 3
+    assert table(store.table("schedule"), "seq", "kind", "arrival", "start") == [(1, "page", 0, 0), (2, "page", 0, 5), (3, "page", 0, 10), (4, "page", 10, 15)]
+    domains, addresses = store.clocks()
+    assert table(domains, "domain", "free_at") == [("a.gov.si", 20)] and table(addresses, "ip", "free_at") == [("1", 20), ("2", 15)]
+    store.reset([f"{A}/"])
+    assert store.now() is None and store.clocks()[0].collect() == []
+    assert discover(store, fetches(spark, *pages), now=0, until=6) == 2  # the third wave would begin at 10
+    assert table(store.page().filter("page_type_code = 'FRONTIER'"), "url") == [(f"{A}/z/",)]
