@@ -1,25 +1,27 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
-A document is its set of word shingles. Equal sets are joined first, by a digest; what follows works on one
-representative of each set.
+A document is its set of word shingles. Equal sets are one node, known by a digest; what follows works on nodes.
 
-Candidates come from ``TREES`` independent trees over minwise signatures of ``COORDINATES`` values. A tree's node picks
+Candidates come from ``TREES`` independent trees over minwise values of ``COORDINATES`` hash functions. A tree's node picks
 coordinates by a hash of its path, and each document goes on to the children named by its values there; a document of
-similarity s to another follows it through a picked coordinate with probability s, and a node picks ``1 / threshold`` of
-them on average, so pairs at the threshold keep meeting while others part. Nodes of up to ``NODE`` documents are compared
-exhaustively, pair by pair, larger ones branch on; what is still large after ``DEPTH`` levels (near copies, which nothing
-parts) is compared in tiles of ``NODE`` by ``NODE``, each a group of its own, so no node has to fit one task. A pair is a
-candidate if its signatures agree in at least the threshold less five standard deviations and its sizes allow it.
-
-Links are confirmed on the full sets, by counting common shingles, in two rounds. The first takes one tree and of each
-node's candidates a maximum spanning forest, whose links join almost all documents that belong together. The second takes
-all trees and every candidate between documents that are not joined yet; a node whose documents are all joined has nothing
-left to find and is dropped. So the pairs of a group of near copies are never emitted, yet no candidate that could change
-a component goes unchecked. Two documents at the threshold miss each other at the first level with probability
-(1 - t) ^ (2 * TREES), 7e-12 at 0.8; deeper levels lose more, measured in the tests.
-
-Null, empty and blank texts have the empty set and link with nothing. Rows that share an id are one node in the graph.
-Further columns are left alone.
+similarity s to another follows it through a picked coordinate with probability s, and a tree node picks ``1 / threshold`` of
+them on average, so pairs at the threshold keep meeting while others part. Tree nodes of up to ``NODE`` documents are compared
+exhaustively by signature, larger ones branch on. A pair may link if its signatures agree in at least the threshold less five
+standard deviations and its sizes allow it; of a tree node's such pairs a maximum spanning forest goes out, which says what
+hangs together with one row a document. What is still large after ``DEPTH`` levels (near copies, which nothing parts) goes
+out as a star. The components of all these edges are clusters: two documents that link and meet anywhere are in one.
+
+Links are decided on the full sets, cluster by cluster. A cluster is cut into blocks of about ``WEIGHT`` shingles, and every
+block holds the cluster's hub besides, the document that most edges lead to. A set moves once to its block, where posting
+lists count the common shingles of one document and all others of the block; hubs come first, and a document whose component
+is the block's largest need not be counted against its own kind. What the hub's links have not joined across blocks is then
+compared between blocks, again without those already joined. Blocks give back one row a document, its component; pairs are
+never written. Two documents at the threshold miss each other at the first level with probability (1 - t) ^ (2 * TREES),
+7e-12 at 0.8; deeper levels lose more, measured in the tests.
+
+Null, empty and blank texts have the empty set and link with nothing. Each distinct set is a node of its own whatever the ids
+of its rows, so two texts under one id keep their links apart; a component bears the smallest id of its rows, null ids
+counting last. Very long texts are read whole, and a set larger than a block is a block. Further columns are left alone.
 """
 
 from __future__ import annotations
@@ -32,10 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.components import components
-from crawlspark.llm.shared import fresh, staged, tasks
+from crawlspark.llm.shared import fresh, released, staged
 
 COORDINATES, TREES, DEPTH, NODE = 128, 8, 3, 128
 DEVIATIONS = 5
+WEIGHT = 1 << 18  # shingles of a block
+FRAME = 8 * WEIGHT  # bytes of candidate rows compared in one call, about
 CACHE = 500_000
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1, 2**63, COORDINATES, dtype="uint64") * np.uint64(2) + np.uint64(1)
@@ -85,40 +89,46 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (mixed(out) >> np.uint64(32)).astype("uint32")
 
 
+PICKS = np.random.default_rng(7).permutation(COORDINATES)[:2 * TREES]  # coordinates of the first levels, two a tree
+
+
 def sets(df: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest (null for the empty set), signature."""
+    """doc_id, tie (hash of the text), n_shingles, digest (null for the empty set), heads (the values at ``PICKS``), brief
+    (eight bits of each value)."""
     def run(batches):
         shingle = Shingler(size)
         for rows in batches:
-            counts, digests, signs = [], [], []
-            for text in rows.column("text"):
-                found = shingle(text.as_py())
+            counts, digests, heads, briefs, ties = [], [], [], [], []
+            for value in rows.column("text"):
+                text = value.as_py()
+                found = shingle(text)
                 counts.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                signs.append(signature(found).tobytes() if len(found) else None)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
-                                             names=["doc_id", "n_shingles", "digest", "signature"])
+                signs = signature(found) if len(found) else None
+                heads.append(None if signs is None else signs[PICKS].tobytes())
+                briefs.append(None if signs is None else (signs & 255).astype("uint8").tobytes())
+                ties.append(xxhash.xxh3_128_digest((text or "").encode()))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ties, pa.binary()), pa.array(counts, pa.int64()), *(pa.array(c, pa.binary()) for c in (digests, heads, briefs))],
+                                             names=["doc_id", "tie", "n_shingles", "digest", "heads", "brief"])
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, signature binary")
+    return df.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, tie binary, n_shingles long, digest binary, heads binary, brief binary")
 
 
 def _numbers(seed: int, path: np.ndarray) -> np.ndarray:
     return mixed(path + np.uint64(seed % 2**64) * FACTOR)
 
 
-def roots(nodes: DataFrame, trees: int) -> DataFrame:
-    """Every node set under the first level of each tree: two coordinates a tree."""
-    picks = np.random.default_rng(7).permutation(COORDINATES)[:2 * trees]
-
+def roots(nodes: DataFrame) -> DataFrame:
+    """Every node under the first level of each tree: two coordinates a tree."""
     def run(batches):
         for rows in batches:
-            signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "uint32").reshape(-1, COORDINATES)
-            for k, at in enumerate(picks):
-                path = mixed(signs[:, at].astype("uint64") + np.uint64((int(at) << 32) + (k // 2 << 48)))
-                yield pa.RecordBatch.from_arrays([rows.column("node"), rows.column("label"), pa.array(path.view("int64"))], names=["node", "label", "path"])
+            heads = np.frombuffer(b"".join(rows.column("heads").to_pylist()), "uint32").reshape(-1, len(PICKS))
+            for k, at in enumerate(PICKS):
+                path = mixed(heads[:, k].astype("uint64") + np.uint64((int(at) << 32) + (k // 2 << 48)))
+                yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(path.view("int64"))], names=["node", "path"])
 
-    return nodes.select("node", "label", "signature").mapInArrow(run, "node long, label long, path long")
+    return nodes.select("node", "heads").mapInArrow(run, "node long, path long")
 
 
 def branch(rows: DataFrame, percent: int) -> DataFrame:
@@ -135,9 +145,9 @@ def branch(rows: DataFrame, percent: int) -> DataFrame:
                 child = mixed(path * FACTOR + np.uint64(turn) + (at.astype("uint64") << np.uint64(8)) + signs[np.arange(len(at)), at])
                 on = np.ones(len(at), bool) if turn == 0 else twice
                 chosen = batch.filter(pa.array(on))
-                yield pa.RecordBatch.from_arrays([*(chosen.column(c) for c in ("node", "label", "size", "brief")), pa.array(child[on].view("int64"))], names=["node", "label", "size", "brief", "path"])
+                yield pa.RecordBatch.from_arrays([*(chosen.column(c) for c in ("node", "size", "brief")), pa.array(child[on].view("int64"))], names=["node", "size", "brief", "path"])
 
-    return rows.select("node", "label", "size", "brief", "path").mapInArrow(run, "node long, label long, size long, brief binary, path long")
+    return rows.select("node", "size", "brief", "path").mapInArrow(run, "node long, size long, brief binary, path long")
 
 
 def _forest(weight: np.ndarray) -> list[tuple[int, int]]:
@@ -155,158 +165,234 @@ def _forest(weight: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _pairs(frame: pd.DataFrame, percent: int, forest: bool) -> pd.DataFrame:
-    """Candidates (a, b), a < b, of the nodes and tiles in a frame: all between different labels, or a spanning forest of them."""
+def _edges(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Spanning forests (a, b), a < b, of the pairs that may link in each tree node of a frame."""
     frame = frame.drop_duplicates(["path", "node"]).sort_values(["path", "node"], ignore_index=True)
-    path, ids, label, size, side = (frame[c].to_numpy() for c in ("path", "node", "label", "size", "side"))
+    path, ids, size = (frame[c].to_numpy() for c in ("path", "node", "size"))
     signs = np.frombuffer(b"".join(frame["brief"]), "uint8").reshape(-1, COORDINATES)
     share = percent / 100
     least = share - DEVIATIONS * (share * (1 - share) / COORDINATES) ** 0.5
-    heads = np.flatnonzero(np.diff(path, prepend=path[0] - 1 if path[0] > -2**63 else 0))
+    heads = np.flatnonzero(np.append(True, path[1:] != path[:-1]))
     sizes = np.diff(np.append(heads, len(path)))
     # Nodes of two, most of all, at once.
     i = heads[sizes == 2]
-    fits = (np.minimum(size[i], size[i + 1]) * 100 >= np.maximum(size[i], size[i + 1]) * percent) & (label[i] != label[i + 1]) & ((side[i] != side[i + 1]) | (side[i] == 2))
-    i = i[fits]
+    i = i[np.minimum(size[i], size[i + 1]) * 100 >= np.maximum(size[i], size[i + 1]) * percent]
     i = i[(signs[i] == signs[i + 1]).mean(1) >= least]
     found = [np.stack([ids[i], ids[i + 1]], 1)]
     for begin, n in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-        part = slice(begin, begin + n)
-        z, kind, own = size[part], side[part], label[part]
-        fits = np.minimum(z[:, None], z) * 100 >= np.maximum(z[:, None], z) * percent
-        fits &= (own[:, None] != own) & ((kind[:, None] != kind) | (kind[:, None] == 2))
-        x, y = np.nonzero(np.triu(fits, 1))
-        if not len(x):
-            continue
-        same = np.concatenate([(signs[begin + x[k:k + 8192]] == signs[begin + y[k:k + 8192]]).mean(1) for k in range(0, len(x), 8192)])
+        z = size[begin:begin + n]
+        x, y = np.nonzero(np.triu(np.minimum(z[:, None], z) * 100 >= np.maximum(z[:, None], z) * percent, 1))
+        same = np.concatenate([(signs[begin + x[k:k + 8192]] == signs[begin + y[k:k + 8192]]).mean(1) for k in range(0, max(len(x), 1), 8192)])
         x, y, same = x[same >= least], y[same >= least], same[same >= least]
-        if not len(x):
-            continue
-        if forest and len(x) > 1:
+        if len(x):
             weight = np.zeros((n, n))
             weight[x, y] = weight[y, x] = same
             edges = np.array(_forest(weight))
-            x, y = edges.min(1), edges.max(1)
-        found.append(np.stack([ids[begin + x], ids[begin + y]], 1))
+            found.append(np.stack([ids[begin + edges.min(1)], ids[begin + edges.max(1)]], 1))
     return pd.DataFrame(np.concatenate(found).astype("int64"), columns=["a", "b"])
 
 
-def tiles(rows: DataFrame) -> DataFrame:
-    """Large nodes (with their number of documents, ``n``) cut into blocks; a group for each block and each pair of blocks."""
-    blocks = F.ceil(F.col("n") / NODE).cast("int")
-    own = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
-    spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
-    return spread.select("node", "label", "size", "brief", F.xxhash64("path", low, high).alias("path"), side.alias("side"))
-
-
-def leaves(nodes: DataFrame, percent: int, trees: int) -> DataFrame:
-    """(path, node, label, size, brief, side): all groups to compare, each of bounded size and with more than one label."""
+def candidates(nodes: DataFrame, percent: int) -> DataFrame:
+    """Distinct edges (a, b) that hold together what may link."""
     def counted(rows):
-        n = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"))
-        n = n.filter("_low <> _high").select(F.col("path").alias("_path"), "n")
+        n = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumnRenamed("path", "_path")
         return rows.join(n, F.col("path") == F.col("_path")).drop("_path")
 
-    columns = ["path", "node", "label", "size", "brief"]
-    brief = nodes.select(F.col("node").alias("_node"), F.col("n_shingles").alias("size"), F.col("brief"))
-    level = counted(staged(roots(nodes, trees), "roots")).join(brief, F.col("node") == F.col("_node")).drop("_node")
-    level = staged(level, "level")
-    done = []
-    for _ in range(DEPTH):
-        done.append(level.filter(F.col("n") <= NODE).select(*columns, F.lit(2).alias("side")))
+    brief = nodes.select(F.col("node").alias("_node"), F.col("n_shingles").alias("size"), "brief")
+    first = staged(roots(nodes), "roots")
+    level = released(staged(counted(first).join(brief, F.col("node") == F.col("_node")).drop("_node"), "level"), first)
+    found, kept = [], []
+    for depth in range(DEPTH + 1):
+        kept.append(level)
+        small = level.filter(F.col("n") <= NODE)
+        packs = max(1, small.count() * 3 * COORDINATES // (2 * FRAME))
+        packed = small.withColumn("pack", F.pmod(F.xxhash64("path"), F.lit(packs)))
+        found.append(packed.groupBy("pack").applyInPandas(lambda frame: _edges(frame, percent), "a long, b long"))
         large = level.filter(F.col("n") > NODE)
         if large.isEmpty():
-            return _union(done)
-        level = staged(counted(branch(large, percent).dropDuplicates(["path", "node"])), "level")
-    done.append(level.filter(F.col("n") <= NODE).select(*columns, F.lit(2).alias("side")))
-    done.append(tiles(level.filter(F.col("n") > NODE)).select(*columns, "side"))
-    return _union(done)
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` with ``linked``: whether the full sets reach the threshold."""
-    one = full.select(F.col("node").alias("_a"), F.col("shingles").alias("_x"))
-    two = full.select(F.col("node").alias("_b"), F.col("shingles").alias("_y"))
-    both = pairs.join(one, F.col("a") == F.col("_a")).drop("_a").join(two, F.col("b") == F.col("_b")).drop("_b")
-
-    def run(batches):
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("_x"), batch.column("_y"), strict=True):
-                x, y = np.frombuffer(x.as_py(), "uint64"), np.frombuffer(y.as_py(), "uint64")
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-
-    return both.select("a", "b", "_x", "_y").mapInArrow(run, "a long, b long, linked boolean")
+            break
+        if depth == DEPTH:
+            hubs = large.groupBy("path").agg(F.min("node").alias("a")).withColumnRenamed("path", "_path")
+            found.append(large.join(hubs, F.col("path") == F.col("_path")).select("a", F.col("node").alias("b")).filter("a <> b"))
+        else:
+            level = staged(counted(branch(large, percent).dropDuplicates(["path", "node"])), "level")
+    edges = found[0]
+    for more in found[1:]:
+        edges = edges.unionByName(more)
+    return released(staged(edges.distinct(), "edges"), *kept)
+
+
+class _Union:
+    """Components under growth; each has its number of members at its root."""
+
+    def __init__(self, labels: np.ndarray):
+        first: dict[int, int] = {}
+        self.root = [first.setdefault(x, k) for k, x in enumerate(labels.tolist())]
+        self.size = np.bincount(self.root, minlength=len(self.root)).tolist()
+        self.left = len(first)
+
+    def find(self, k: int) -> int:
+        while self.root[k] != k:
+            self.root[k] = k = self.root[self.root[k]]
+        return k
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            if self.size[a] < self.size[b]:
+                a, b = b, a
+            self.root[b] = a
+            self.size[a] += self.size[b]
+            self.left -= 1
+
+
+def block_components(ids: np.ndarray, labels: np.ndarray, hub: np.ndarray, found: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set of a block the smallest id (node) that it is joined to, by links inside the block or equal labels before.
+
+    Common shingles of one set with all others are counted along posting lists, hubs first, then sets outside the largest
+    component only: a link between two components has at least one end there.
+    """
+    lengths = np.array([len(x) for x in found])
+    heads = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(found)), lengths)
+    _, number, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+    order = np.argsort(number, kind="stable")
+    lists, starts = owner[order], np.cumsum(times) - times
+    union = _Union(labels)
+    for k in np.lexsort((ids, -lengths, ~hub)).tolist():
+        if union.left == 1:
+            break
+        if not hub[k] and 2 * union.size[union.find(k)] > len(ids):
+            continue
+        own = number[heads[k]:heads[k] + lengths[k]]
+        own = own[times[own] > 1]
+        n = times[own]
+        places = np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(lists[places], minlength=len(found))
+        for other in np.flatnonzero(100 * common >= percent * (lengths + lengths[k] - common)).tolist():
+            union.join(k, other)
+    root = np.array([union.find(k) for k in range(len(ids))])
+    least = np.full(len(ids), np.iinfo("int64").max)
+    np.minimum.at(least, root, ids)
+    return least[root]
+
+
+def _settled(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(a, b): each node of the blocks in a frame with the smallest node that it is joined to."""
+    out = []
+    for _, part in frame.groupby("block", sort=False):
+        part = part.drop_duplicates("node").sort_values("node")
+        if len(part) > 1:
+            ids = part["node"].to_numpy()
+            least = block_components(ids, part["label"].to_numpy(), part["hub"].to_numpy(), [np.frombuffer(x, "uint64") for x in part["shingles"]], percent)
+            out.append(pd.DataFrame({"a": ids[ids != least], "b": least[ids != least]}))
+    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}).astype("int64")
 
 
-def candidates(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Distinct candidates (a, b). Several nodes go to one call, so that small ones cost little."""
-    packs = tasks(groups) * 8
-    packed = groups.withColumn("pack", F.pmod(F.xxhash64("path"), F.lit(packs)))
-    return packed.groupBy("pack").applyInPandas(lambda frame: _pairs(frame, percent, forest), "a long, b long").distinct()
+def _joined(placed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Edges that the blocks give: ``placed`` has block, pack, node, label, hub."""
+    rows = placed.join(full.select(F.col("node").alias("_node"), "shingles"), F.col("node") == F.col("_node")).drop("_node")
+    return rows.groupBy("pack").applyInPandas(lambda frame: _settled(frame, percent), "a long, b long")
 
 
-def full_sets(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles): the sets of the nodes in ``pairs``, from the rows with these ids; only their texts move."""
-    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of the nodes in ``wanted`` (node, doc_id, tie), from one row each; only the sets of their rows move."""
+    by_row = wanted.select("node", F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    ids = wanted.select(F.col("doc_id").alias("_id")).distinct()
+    rows = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
     def run(batches):
         shingle = Shingler(size)
-        for rows in batches:
-            found = [shingle(t.as_py()).tobytes() for t in rows.column("text")]
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), pa.array(found, pa.binary())], names=["node", "shingles"])
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            found = [shingle(t).tobytes() for t in texts]
+            ties = [xxhash.xxh3_128_digest((t or "").encode()) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ties, pa.binary()), pa.array(found, pa.binary())], names=["doc_id", "tie", "shingles"])
 
-    rows = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("node"), "left_semi")
-    return staged(rows.mapInArrow(run, "node long, shingles binary").filter(F.length("shingles") > 0).dropDuplicates(["node"]), "sets")
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    made = rows.mapInArrow(run, f"doc_id {kind}, tie binary, shingles binary").filter(F.length("shingles") > 0)
+    return made.join(by_row, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "shingles").dropDuplicates(["node"])
 
 
 def links(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between nodes, enough of them to connect every component."""
-    alone = nodes.withColumn("label", F.col("node"))
-    pairs = staged(candidates(leaves(alone, percent, 1), percent, True), "pairs")
-    first = staged(confirm(pairs, full_sets(documents, pairs, size), percent), "checked")
-    joined = components(first.filter("linked")).select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-    labelled = nodes.join(joined, F.col("node") == F.col("_n"), "left").withColumn("label", F.coalesce("_c", "node")).drop("_n", "_c")
-    rest = candidates(leaves(labelled, percent, TREES), percent, False).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    rest = staged(rest, "pairs")
-    second = staged(confirm(rest, full_sets(documents, rest, size), percent), "checked")
-    return first.unionByName(second).filter("linked").select("a", "b")
+    """(node, component) of the nodes that link with others; a component is named by its smallest node."""
+    edges = candidates(nodes, percent)
+    clusters = components(edges).select(F.col("node").alias("_node"), F.col("component").alias("cluster"))
+    degree = edges.select(F.explode(F.array("a", "b")).alias("_end")).groupBy("_end").agg(F.count(F.lit(1)).alias("degree"))
+    members = nodes.join(clusters, F.col("node") == F.col("_node")).join(degree, F.col("node") == F.col("_end"))
+    members = released(staged(members.select("node", "cluster", "doc_id", "tie", "n_shingles", "degree"), "members"), edges)
+    full = staged(full_sets(documents, members, size), "sets")
+
+    shape = members.groupBy("cluster").agg(F.sum("n_shingles").alias("weight"), F.max(F.struct("degree", -F.col("node"))).alias("top"))
+    shape = shape.select(F.col("cluster").alias("_cluster"), "weight", (-F.col("top.col2")).alias("top"), F.ceil(F.col("weight") / WEIGHT).cast("long").alias("blocks"))
+    placed = members.join(shape, F.col("cluster") == F.col("_cluster"))
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
+    hub = F.col("node") == F.col("top")
+    placed = placed.select("node", "cluster", "n_shingles", "weight", "blocks", hub.alias("hub"), F.explode(F.when(hub, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(part))).alias("part"))
+    packs = max(1, (members.agg(F.sum("n_shingles").alias("n")).first().n or 0) // WEIGHT)
+    pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(packs))).otherwise(F.xxhash64("cluster", "part"))
+    placed = staged(placed.select("node", "cluster", "hub", "part", "blocks", F.col("node").alias("label"), F.xxhash64("cluster", "part").alias("block"), pack.alias("pack")), "placed")
+    first = staged(_joined(placed, full, percent), "joined")
+
+    # Clusters of several blocks whose parts the hub has not joined: block against block, without what is joined already.
+    spread = placed.filter((F.col("blocks") > 1) & (~F.col("hub") | (F.col("part") == 0)))
+    if spread.isEmpty():
+        return released(components(first), members, full, placed, first)
+    known = components(first)
+    names = known.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
+    spread = spread.join(names, F.col("node") == F.col("_node"), "left").select("node", "cluster", "hub", "part", "blocks", F.coalesce("_label", "node").alias("label"))
+    spread = staged(spread, "spread")
+    big = spread.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    big = big.select(F.col("cluster").alias("_cluster"), F.col("most.label").alias("main"))
+    open_ = spread.join(big, F.col("cluster") == F.col("_cluster")).drop("_cluster")
+    odd = F.col("label") != F.col("main")
+    # Sets outside a cluster's main component, dealt into blocks of their own, meet all blocks of the cluster.
+    share = open_.groupBy("cluster").agg(F.greatest(F.lit(1), F.ceil(F.max("blocks") * F.sum(odd.cast("long")) / F.count(F.lit(1)))).cast("long").alias("cuts")).withColumnRenamed("cluster", "_cluster")
+    open_ = open_.join(share, F.col("cluster") == F.col("_cluster")).drop("_cluster")
+    every = open_.select("node", "cluster", "label", F.col("part").alias("right"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("left"))
+    cut = F.pmod(F.xxhash64("node", F.lit(2)), F.col("cuts"))
+    alone = open_.filter(odd).select("node", "cluster", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("right"), cut.alias("left"))
+    tiles = every.unionByName(alone.select(every.columns)).withColumn("block", F.xxhash64("cluster", "left", "right"))
+    tiles = tiles.select("node", "label", F.lit(False).alias("hub"), "block", F.col("block").alias("pack"))
+    second = staged(_joined(tiles, full, percent), "joined")
+    return released(components(first.unionByName(second)), members, full, placed, first, spread, second, known)
+
+
+def grouped(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, tie, n_shingles, node (null without words), best (doc_id and tie of the row that stands for the group)."""
+    found = staged(sets(documents, size), "sets")
+    row = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "tie")
+    nodes = found.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("heads").alias("heads"), F.first("brief").alias("brief"))
+    nodes = staged(nodes.select("digest", "row.doc_id", "row.tie", "row", "n_shingles", "heads", "brief").withColumn("node", F.monotonically_increasing_id()), "nodes")
+    joined = links(documents, nodes, size, percent).select(F.col("node").alias("_n"), "component")
+    named = nodes.join(joined, F.col("node") == F.col("_n"), "left").select("digest", "node", "row", F.coalesce("component", "node").alias("group"))
+    least = named.groupBy("group").agg(F.min("row").alias("best")).withColumnRenamed("group", "_group")
+    named = named.join(least, F.col("group") == F.col("_group")).select(F.col("digest").alias("_digest"), "node", "best")
+    rows = found.select("doc_id", "tie", "n_shingles", "digest").join(named, F.col("digest") == F.col("_digest"), "left").select("doc_id", "tie", "n_shingles", "node", "best")
+    return released(staged(rows, "rows"), found, nodes)
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (doc_id = component_id) of each row of ``documents`` (doc_id, text)."""
-    found = staged(sets(documents, size), "sets")
-    least = found.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").cast("long").alias("node"))
-    least = staged(least, "nodes")
-    marked = least.select(F.col("digest").alias("_digest"), "node")
-    nodes = found.join(marked, (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("node"))).select("node", "n_shingles", "signature").dropDuplicates(["node"])
-
-    def shorten(batches):
-        for rows in batches:
-            brief = [(np.frombuffer(s, "uint32") & 255).astype("uint8").tobytes() for s in rows.column("signature").to_pylist()]
-            yield pa.RecordBatch.from_arrays([rows.column("node"), rows.column("n_shingles"), rows.column("signature"), pa.array(brief, pa.binary())], names=["node", "n_shingles", "signature", "brief"])
-
-    nodes = staged(nodes.mapInArrow(shorten, "node long, n_shingles long, signature binary, brief binary"), "nodes")
-    joined = components(links(documents, nodes, size, percent))
-    named = least.join(joined.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(F.col("digest").alias("_digest"), F.coalesce("component", "node").alias("component_id"))
-    rows = found.select("doc_id", "n_shingles", "digest").join(named, F.col("digest") == F.col("_digest"), "left")
-    component = F.coalesce("component_id", F.col("doc_id").cast("long"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    component = F.coalesce(F.col("best.doc_id").cast("long"), F.col("doc_id").cast("long"))
+    return grouped(documents, size, percent).select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
 def deduplicated(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` with one row of each group of near duplicates, that of the smallest id; rows without words
-    stay, and rows that repeat the kept one, id and all, stay with it."""
-    own, = fresh(documents, "_kept")
-    kept = near_duplicates(documents.select("doc_id", "text"), size, percent).filter(F.col("kept") | F.col("doc_id").isNull()).select(F.col("doc_id").alias(own)).distinct()
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
+    """``documents`` with one row of each group of near duplicates: one of the smallest id, null ids last. Rows without words
+    stay, as nothing equals them."""
+    rows = grouped(documents, size, percent)
+    own_id, own_tie = fresh(documents, "_kept", "_tie")
+    chosen = rows.filter(F.col("best").isNull() | (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tie") == F.col("best.tie"))))
+    chosen = staged(chosen.groupBy(F.col("doc_id").alias(own_id), F.col("tie").alias(own_tie)).agg(F.count(F.lit(1)).alias("n"), F.first("node").isNull().alias("blank")), "kept")
+    @F.pandas_udf("binary")
+    def hashed(text: pd.Series) -> pd.Series:
+        return pd.Series([xxhash.xxh3_128_digest((t or "").encode()) for t in text], dtype="object")
+
+    def matching(keys):
+        few = documents.join(keys.select(own_id).distinct(), F.col("doc_id").eqNullSafe(F.col(own_id)), "left_semi").withColumn("__tie", hashed("text"))
+        return few.join(keys.select(own_id, own_tie), F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col("__tie") == F.col(own_tie)), "left_semi")
+
+    once = matching(chosen.filter("blank OR n = 1"))
+    again = matching(chosen.filter("NOT blank AND n > 1")).dropDuplicates(["doc_id", "__tie"])
+    return once.unionByName(again).select(*documents.columns)

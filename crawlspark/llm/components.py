@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import staged
+from crawlspark.llm.shared import released, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,13 +26,13 @@ def components(edges: DataFrame) -> DataFrame:
         moves.append(move)
         first = left.join(move, left["a"] == move["node"]).select(F.col("to").alias("a"), "b")
         other = move.select(F.col("node").alias("_n"), F.col("to").alias("_t"))
-        left = staged(first.join(other, first["b"] == other["_n"]).select("a", F.col("_t").alias("b")).filter("a <> b").distinct(), "edges")
+        left = released(staged(first.join(other, first["b"] == other["_n"]).select("a", F.col("_t").alias("b")).filter("a <> b").distinct(), "edges"), left)
     if not moves:
-        return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return staged(left.select(F.col("a").alias("node"), F.col("b").alias("component")), "components")
     found = moves[0]
     for k, move in enumerate(moves[1:]):
         step = move.select(F.col("node").alias(f"_n{k}"), F.col("to").alias(f"_t{k}"))
         found = found.join(step, found["to"] == step[f"_n{k}"], "left").select("node", F.coalesce(f"_t{k}", "to").alias("to"))
-    found = staged(found, "joined")
+    found = released(staged(found, "joined"), left, *moves)
     names = found.groupBy("to").agg(F.min("node").alias("component")).withColumnRenamed("to", "_to")
-    return staged(found.join(names, found["to"] == names["_to"]).select("node", "component"), "components")
+    return released(staged(found.join(names, found["to"] == names["_to"]).select("node", "component"), "components"), found)

@@ -15,7 +15,20 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` below the shared folder and go on from the written rows: lineage is cut, a lost executor costs nothing."""
     folder = scratch_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out.staged_in = folder
+    return out
+
+
+def released(result: DataFrame, *before: DataFrame) -> DataFrame:
+    """``result``, a staged frame, after the folders of the staged frames that it was made from are deleted.
+
+    A written table needs nothing that stood before it, so a lost executor costs no more than with the folders kept.
+    """
+    for df in before:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_in)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    return result
 
 
 def tasks(df: DataFrame) -> int:

@@ -361,7 +361,41 @@ def test_spanning_forest():
 def test_one_document_of_each_group_stays(spark, odd):
     kept = chosen_path.deduplicated(odd)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 6, 8, 10]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 8, 10]
+
+
+def test_near_duplicates_go_by_rows(spark, monkeypatch):
+    """Two texts under one id keep their links apart, repeated rows count once, null ids come last."""
+    monkeypatch.setattr(chosen_path, "WEIGHT", 40)
+    rng = random.Random(2)
+    x, y, z = (" ".join(rng.choices(["ta", "mo", "re", "li", "nu", "sk", "po", "da"], k=60)) for _ in range(3))
+    data = [(5, y), (5, x), (7, x + " tail"), (9, y + " tail"), (None, x), (None, z), (None, z), (3, ""), (3, ""), (5, x)]
+    df = spark.createDataFrame([(i, t, "own") for i, t in data], "doc_id long, text string, _tie string")
+    got = sorted(((r.doc_id, r.component_id) for r in chosen_path.near_duplicates(df, 4).collect()), key=str)
+    assert got == sorted([(5, 5), (5, 5), (5, 5), (7, 5), (9, 5), (None, 5), (None, None), (None, None), (3, 3), (3, 3)], key=str)
+    kept = chosen_path.deduplicated(df, 4)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, x), (5, y), (None, z), (3, ""), (3, "")], key=str)
+    assert sorted((r.doc_id, r.text) for r in chosen_path.deduplicated(spark.createDataFrame([(1, x), (1, x), (1, y)], "doc_id long, text string"), 4).collect()) == sorted([(1, x), (1, y)])
+
+
+@pytest.mark.parametrize("weight,depth", [(60, 3), (400, 0), (1 << 18, 1)])
+def test_large_groups_of_near_copies(spark, monkeypatch, weight, depth):
+    """A hub with copies that link to it, to each other or to few others, over many blocks."""
+    monkeypatch.setattr(chosen_path, "NODE", 8)
+    monkeypatch.setattr(chosen_path, "WEIGHT", weight)
+    monkeypatch.setattr(chosen_path, "DEPTH", depth)
+    rng = random.Random(17)
+    base = [f"w{k}" for k in range(80)]
+    data = []
+    for i in range(150):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+            own[rng.randrange(80)] = f"x{rng.randrange(400)}"
+        data.append((i * 2 % 151, " ".join(own)))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(df, 4).collect()}
+    assert found == brute_components(texts_of(df), 4, 80)
 
 
 def test_components(spark):
