@@ -85,7 +85,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(documents: DataFrame, most_ranges: int = 1_000) -> DataFrame:
-    """doc_id, tie, text of each row, and next_id, next_tie, next_text of the row after it by id; the first follows the last.
+    """range, place, doc_id, tie, text of each row, and next_id, next_tie, next_text of the row after it by id; the first
+    follows the last. Range and place number the rows, so rows that are equal in id and text stay apart.
 
     Rows are dealt to ranges of ids, cut at quantiles (at most ``most_ranges`` numbers go to the driver), and each range
     also gets the first row of the range after it; so texts are shuffled once, and no task sees more than its range.
@@ -105,8 +106,8 @@ def with_next(documents: DataFrame, most_ranges: int = 1_000) -> DataFrame:
     guests = guests.dropDuplicates(["range", "doc_id", "tie"]).select("doc_id", "tie", "text", "range", F.lit(True).alias("guest"))
     all_rows = dealt.withColumn("guest", F.lit(False)).unionByName(guests)
     after = Window.partitionBy("range").orderBy("guest", "doc_id", "tie")
-    return (all_rows.withColumns({f"next_{c}": F.lead(c if c != "id" else "doc_id").over(after) for c in ("id", "tie", "text")})
-            .filter(~F.col("guest")).drop("guest", "range"))
+    return (all_rows.withColumns({"place": F.row_number().over(after), **{f"next_{c}": F.lead(c if c != "id" else "doc_id").over(after) for c in ("id", "tie", "text")}})
+            .filter(~F.col("guest")).drop("guest"))
 
 
 def halved(documents: DataFrame) -> DataFrame:
@@ -118,21 +119,20 @@ def halved(documents: DataFrame) -> DataFrame:
 
 def edit_report(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each document."""
-    keys = ["doc_id", "tie", "next_id", "next_tie", "kind", "n_chars", "digest"]
+    row = ["range", "place", "doc_id", "tie", "next_id", "next_tie"]
+    keys = [*row, "kind", "n_chars", "digest"]
     pairs = halved(documents)
     texts = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))
-    each = pairs.select("doc_id", "tie", "next_id", "next_tie", F.inline(texts))
-    each = each.select("doc_id", "tie", "next_id", "next_tie", "kind", F.length("text").cast("long").alias("n_chars"),
+    each = pairs.select(*row, F.inline(texts))
+    each = each.select(*row, "kind", F.length("text").cast("long").alias("n_chars"),
                        F.when(F.col("kind") == 1, F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), "text")
     found = vectors(each, keys).withColumn("v", F.struct("identity", "lanes", "shingles"))
-    # Rows equal in id and text have one entry for each row after them; the counts of rows are kept apart.
     found = staged(found.select(*keys, "v"), "vectors")
     own, edited = found.filter("kind = 0").alias("o"), found.filter("kind = 1").alias("e")
     after = found.filter("kind = 0").groupBy("doc_id", "tie").agg(F.first("v").alias("v")).alias("n")
-
-    def same(a, b, left, right):
-        return F.col(f"{left}.{a}_id").eqNullSafe(F.col(f"{right}.{b}_id")) & F.col(f"{left}.{a}_tie" if a == "next" else f"{left}.tie").eqNullSafe(F.col(f"{right}.{b}_tie" if b == "next" else f"{right}.tie"))
-    rows = own.join(edited, same("doc", "doc", "o", "e") & same("next", "next", "o", "e")).join(after, same("next", "doc", "o", "n"))
+    same_row = (F.col("o.range") == F.col("e.range")) & (F.col("o.place") == F.col("e.place"))
+    is_next = F.col("o.next_id").eqNullSafe(F.col("n.doc_id")) & F.col("o.next_tie").eqNullSafe(F.col("n.tie"))
+    rows = own.join(edited, same_row).join(after, is_next)
     return rows.select("o.doc_id", "o.n_chars", F.col("e.digest").alias("edited_sha256"), fingerprint(F.col("o.v")).alias("fingerprint"),
                        fingerprint(F.col("e.v")).alias("edited_fingerprint"), likeness(F.col("o.v"), F.col("e.v")).alias("near_edited"),
                        likeness(F.col("o.v"), F.col("n.v")).alias("near_next"))

@@ -405,6 +405,21 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_fingerprints_of_rows_repeated_often(spark):
+    data = [(1, "a b c d"), (6, "one two three\nfour five six"), (6, "one two three\nfour five six"), (6, "one two three\nfour five six"), (6, "other text here"), (9, None), (9, None), (9, None)]
+    got = multiset_hash.edit_report(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(data)
+    prints = {}
+    for r in got:
+        prints.setdefault((r.doc_id, r.n_chars), set()).add(r.fingerprint)
+    assert all(len(p) == 1 for p in prints.values())
+    twice = multiset_hash.edit_report(spark.createDataFrame([data[0], data[1]], "doc_id long, text string")).collect()
+    assert {r.fingerprint for r in twice if r.doc_id == 6} == prints[(6, 27)]
+    # Two of the three equal rows stand before an equal one: nothing is edited.
+    same = [r for r in got if r.n_chars == 27 and r.near_next == 1.0]
+    assert len(same) == 2 and all(r.edited_sha256 == hashlib.sha256(("one two three\n" + "one two three").encode()).hexdigest() for r in same)
+
+
 # 8
 
 def brute_removal(texts):
