@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.llm.components import components
@@ -40,7 +40,7 @@ COORDINATES, TREES, DEPTH, NODE = 128, 8, 3, 128
 DEVIATIONS = 5
 WEIGHT = 1 << 18  # shingles of a block
 FRAME = 8 * WEIGHT  # bytes of candidate rows compared in one call, about
-CACHE = 500_000
+CACHE, PART = 100_000, 512  # words whose hashes a task keeps; rows it works on at a time
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1, 2**63, COORDINATES, dtype="uint64") * np.uint64(2) + np.uint64(1)
 OFFSETS = _RNG.integers(0, 2**63, COORDINATES, dtype="uint64")
@@ -92,27 +92,35 @@ def signature(found: np.ndarray) -> np.ndarray:
 PICKS = np.random.default_rng(7).permutation(COORDINATES)[:2 * TREES]  # coordinates of the first levels, two a tree
 
 
+def text_tie() -> F.Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def parts(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART):
+            yield batch.slice(at, PART)
+
+
 def sets(df: DataFrame, size: int) -> DataFrame:
     """doc_id, tie (hash of the text), n_shingles, digest (null for the empty set), heads (the values at ``PICKS``), brief
     (eight bits of each value)."""
     def run(batches):
         shingle = Shingler(size)
-        for rows in batches:
-            counts, digests, heads, briefs, ties = [], [], [], [], []
+        for rows in parts(batches):
+            counts, digests, heads, briefs = [], [], [], []
             for value in rows.column("text"):
-                text = value.as_py()
-                found = shingle(text)
+                found = shingle(value.as_py())
                 counts.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 signs = signature(found) if len(found) else None
                 heads.append(None if signs is None else signs[PICKS].tobytes())
                 briefs.append(None if signs is None else (signs & 255).astype("uint8").tobytes())
-                ties.append(xxhash.xxh3_128_digest((text or "").encode()))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ties, pa.binary()), pa.array(counts, pa.int64()), *(pa.array(c, pa.binary()) for c in (digests, heads, briefs))],
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("tie"), pa.array(counts, pa.int64()), *(pa.array(c, pa.binary()) for c in (digests, heads, briefs))],
                                              names=["doc_id", "tie", "n_shingles", "digest", "heads", "brief"])
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, tie binary, n_shingles long, digest binary, heads binary, brief binary")
+    return df.select("doc_id", "text", text_tie().alias("tie")).mapInArrow(run, f"doc_id {kind}, tie binary, n_shingles long, digest binary, heads binary, brief binary")
 
 
 def _numbers(seed: int, path: np.ndarray) -> np.ndarray:
@@ -296,22 +304,17 @@ def _joined(placed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the nodes in ``wanted`` (node, doc_id, tie), from one row each; only the sets of their rows move."""
+    """(node, shingles) of the nodes in ``wanted`` (node, doc_id, tie), from the rows that have their id and text."""
     by_row = wanted.select("node", F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
-    ids = wanted.select(F.col("doc_id").alias("_id")).distinct()
-    rows = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = documents.select("doc_id", "text", text_tie().alias("tie")).join(by_row, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "text")
 
     def run(batches):
         shingle = Shingler(size)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [shingle(t).tobytes() for t in texts]
-            ties = [xxhash.xxh3_128_digest((t or "").encode()) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ties, pa.binary()), pa.array(found, pa.binary())], names=["doc_id", "tie", "shingles"])
+        for batch in parts(batches):
+            found = [shingle(t.as_py()).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"])
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    made = rows.mapInArrow(run, f"doc_id {kind}, tie binary, shingles binary").filter(F.length("shingles") > 0)
-    return made.join(by_row, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "shingles").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
 
 def links(documents: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -381,18 +384,12 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
 def deduplicated(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` with one row of each group of near duplicates: one of the smallest id, null ids last. Rows without words
     stay, as nothing equals them."""
-    rows = grouped(documents, size, percent)
-    own_id, own_tie = fresh(documents, "_kept", "_tie")
-    chosen = rows.filter(F.col("best").isNull() | (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tie") == F.col("best.tie"))))
-    chosen = staged(chosen.groupBy(F.col("doc_id").alias(own_id), F.col("tie").alias(own_tie)).agg(F.count(F.lit(1)).alias("n"), F.first("node").isNull().alias("blank")), "kept")
-    @F.pandas_udf("binary")
-    def hashed(text: pd.Series) -> pd.Series:
-        return pd.Series([xxhash.xxh3_128_digest((t or "").encode()) for t in text], dtype="object")
-
-    def matching(keys):
-        few = documents.join(keys.select(own_id).distinct(), F.col("doc_id").eqNullSafe(F.col(own_id)), "left_semi").withColumn("__tie", hashed("text"))
-        return few.join(keys.select(own_id, own_tie), F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col("__tie") == F.col(own_tie)), "left_semi")
-
-    once = matching(chosen.filter("blank OR n = 1"))
-    again = matching(chosen.filter("NOT blank AND n > 1")).dropDuplicates(["doc_id", "__tie"])
-    return once.unionByName(again).select(*documents.columns)
+    own_id, own_tie, row_tie, place = fresh(documents, "_id", "_kept", "_tie", "_place")
+    rows = grouped(documents, size, percent).filter(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tie") == F.col("best.tie")))
+    chosen = staged(rows.select(F.col("doc_id").alias(own_id), F.col("tie").alias(own_tie)).distinct(), "kept")
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = documents.filter(has_word).withColumn(row_tie, text_tie()).join(chosen, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(row_tie) == F.col(own_tie)))
+    # Rows equal in id and text stand together after the join; the first of them stays.
+    line = Window.partitionBy(F.col("doc_id"), F.col(row_tie)).orderBy(F.xxhash64(*[F.col(c) for c in documents.columns if c != "text"]))
+    found = found.withColumn(place, F.row_number().over(line)).filter(F.col(place) == 1)
+    return found.select(*documents.columns).unionByName(documents.filter(~has_word))

@@ -39,7 +39,7 @@ INSULTS = ("asshole bastard bitch clown creep cretin disgusting dumb dumbass foo
 PATTERNS = {"shouting": re.compile(r"(?:\b[A-Z]{3,}\b[^\w\n]*){4}"), "marks": re.compile(r"[!?]{3,}"), "masked": re.compile(r"\b\w+[*@#$]{2,}\w*\b"),
             "address": re.compile(r"\byou(?:'re| are)? (?:such )?an? \w+", re.I)}
 WORD = re.compile(r"\w+")
-CACHE = 500_000
+CACHE = 100_000
 
 
 def stems(word: str) -> list[str]:
