@@ -13,9 +13,10 @@ A pair that meets in several filters counts in the first one only. Filters with
 ``TILE`` by ``TILE``, so none has to fit one task, and a tile returns sums and a component leader for each member, never
 its pairs. Equal vectors are compared once and counted by their number.
 
-Vectors that are null, zero, of another length than most, or hold null or non-finite components link with nothing. Rows
-that share an id are one node; a row without an id has no links. An empty table has an empty result. Other columns,
-labels among them, are not looked at.
+Vectors that are null, zero, or hold null or non-finite components link with nothing. Vectors link with those of their own
+length only; each length that two vectors have gets a code of its own, made in the tasks that meet it. Each different vector
+is a node, so rows that share an id keep links of their own; a row without an id has no links. An empty table has an empty
+result. Other columns, labels among them, are not looked at.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ def _leaders(linked: np.ndarray) -> np.ndarray:
 def compare(frame: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """node, links, leader of the members of each filter or tile in a frame."""
     out = []
-    for (f, _, _), part in frame.groupby(["filter", "low", "high"], sort=False):
+    for (_, f, _, _), part in frame.groupby(["bytes", "filter", "low", "high"], sort=False):
         part = part.drop_duplicates("node").sort_values("node")
         if len(part) < 2:
             continue
@@ -149,34 +150,40 @@ def links(df: DataFrame, key: str = "vec_id", column: str = "embedding", cosine:
     """key, n_links, component_id, kept for each row of ``df``."""
     rows = staged(vectors(df, key, column).withColumn("digest", F.sha2("content", 256)), "vectors")
     usable = rows.filter(F.col("digest").isNotNull() & F.col(key).isNotNull())
-    sizes = usable.groupBy(F.length("content").alias("bytes")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "bytes").first()
-    if sizes is None:
-        own = F.col(key).cast("long")
-        return rows.select(key, F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.col(key).isNotNull().alias("kept"))
-    usable = usable.filter(F.length("content") == sizes["bytes"])
-    code = Code(sizes["bytes"] // 8, sizes["n"], cosine)
-    groups = staged(usable.groupBy("digest").agg(F.min(key).cast("long").alias("node"), F.count(F.lit(1)).alias("n")), "groups")
-    named = groups.select(F.col("digest").alias("_digest"), F.col("node"), F.col("n"))
-    members = rows.join(named, F.col("digest") == F.col("_digest"))
-    nodes = members.filter(F.col(key) == F.col("node")).select("node", "n", "content").dropDuplicates(["node"])
+    groups = usable.groupBy("digest", F.length("content").alias("bytes")).agg(F.min(key).cast("long").alias("least"), F.count(F.lit(1)).alias("n"))
+    groups = staged(groups.withColumn("node", F.monotonically_increasing_id()), "groups")
+    # One row for each length of vector that occurs more than once.
+    lengths = {r["bytes"]: r["n"] for r in groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").collect()}
+    named = groups.select(F.col("digest").alias("_digest"), "bytes", "least", "node", "n")
+    contents = usable.groupBy("digest").agg(F.min("content").alias("content"))
+    nodes = contents.join(named.filter(F.col("bytes").isin(list(lengths))), F.col("digest") == F.col("_digest")).select("node", "n", "content")
 
     def decode(batches):
+        codes = {}
         for batch in batches:
-            found = code.decode(units(batch.column("content").to_pylist())) if batch.num_rows else []
+            content = batch.column("content").to_pylist()
+            found = [None] * len(content)
+            size = np.array([len(c) for c in content], "int64")
+            for length in np.unique(size).tolist():
+                if length not in codes:
+                    codes[length] = Code(length // 8, lengths[length], cosine)
+                at = np.flatnonzero(size == length).tolist()
+                for k, x in zip(at, codes[length].decode(units([content[k] for k in at])), strict=True):
+                    found[k] = x
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("node", "n", "content")] + [pa.array([x.tobytes() for x in found], pa.binary()), pa.array([x.tolist() for x in found], pa.list_(pa.int64()))],
                                              names=["node", "n", "content", "filters", "each"])
 
     decoded = staged(nodes.mapInArrow(decode, "node long, n long, content binary, filters binary, each array<long>"), "decoded")
-    met = decoded.select("node", F.explode("each").alias("filter"))
-    counts = met.groupBy("filter").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").withColumnRenamed("filter", "_filter")
+    met = decoded.select("node", F.length("content").alias("bytes"), F.explode("each").alias("filter"))
+    counts = met.groupBy(F.col("bytes").alias("_bytes"), F.col("filter").alias("_filter")).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / TILE).cast("int")
-    dealt = met.join(counts, F.col("filter") == F.col("_filter")).withColumn("blocks", blocks)
+    dealt = met.join(counts, (F.col("filter") == F.col("_filter")) & (F.col("bytes") == F.col("_bytes"))).withColumn("blocks", blocks)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     tiled = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
-    pack = F.when(F.col("blocks") == 1, F.xxhash64(F.expr(f"filter div {PACK}"))).otherwise(F.xxhash64("filter", low, high))
-    placed = tiled.select("node", "filter", low.alias("low"), high.alias("high"), side.alias("side"), pack.alias("pack"))
+    pack = F.when(F.col("blocks") == 1, F.xxhash64("bytes", F.expr(f"filter div {PACK}"))).otherwise(F.xxhash64("bytes", "filter", low, high))
+    placed = tiled.select("node", "bytes", "filter", low.alias("low"), high.alias("high"), side.alias("side"), pack.alias("pack"))
     content = decoded.select(F.col("node").alias("_node"), "n", "content", "filters")
     full = placed.join(content, F.col("node") == F.col("_node")).drop("_node")
     found = staged(full.groupBy("pack").applyInPandas(lambda frame: compare(frame, cosine), "node long, links long, leader long"), "links")
@@ -184,7 +191,9 @@ def links(df: DataFrame, key: str = "vec_id", column: str = "embedding", cosine:
     sums = found.groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "_a")
     joined = components(found.select(F.col("node").alias("a"), F.col("leader").alias("b"))).withColumnRenamed("node", "_b")
     summed = named.join(sums, F.col("node") == F.col("_a"), "left").join(joined, F.col("node") == F.col("_b"), "left")
-    summed = summed.select("_digest", (F.coalesce("links", F.lit(0).cast("long")) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    summed = staged(summed.select("_digest", (F.coalesce("links", F.lit(0).cast("long")) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("_named"), "least"), "summed")
+    least = summed.groupBy("_named").agg(F.min("least").alias("component_id")).withColumnRenamed("_named", "_component")
+    summed = summed.join(least, F.col("_named") == F.col("_component")).select("_digest", "n_links", "component_id")
     out = rows.select(key, "digest").join(summed, (F.col("digest") == F.col("_digest")) & F.col(key).isNotNull(), "left")
     component = F.coalesce("component_id", F.col(key).cast("long"))
     return out.select(key, F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.coalesce(F.col(key) == component, F.lit(False)).alias("kept"))
