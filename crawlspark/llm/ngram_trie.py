@@ -8,13 +8,16 @@ Trie. Words are 48-bit hashes, cut into shards by their first bits. A shard's fi
 hashes, monotone), monotone pointers to where each context's followers begin, and quantised a(v); the second level holds the
 followers, made monotone by the context's rank in front, and quantised probabilities. Monotone sequences are Elias-Fano
 coded: fixed low bits, and high bits as gaps in a bit vector with counts for selection. Levels are files that a task maps
-into memory, reads, and removes. A pair is found by the context's rank, then by binary search among that context's followers
-alone. Probabilities are rounded down, to 1/65536 of the shard's range.
+into memory, reads, and removes. A pair is found by the context's rank, then by successor search among that context's
+followers alone: the value's high bits select a bucket, and the low bits decide inside it. Training and held-out pairs are
+looked up alike. Probabilities are rounded down, to 1/65536 of the shard's range.
 
-Job. Counts of single words give N, V, c and the heavy contexts (over 1 / (4 shards) of all words: a bounded list), whose
-followers are dealt over several shards. Documents are packed into one block for each batch and shard, pairs counted within
-a document first; a shard's task builds its tries from the training pairs and scores every pair. Pairs that training has not
-seen go on to a join with the word counts. Nothing is pruned: the model grows with the corpus.
+Job. Counts of single words give N, V, c and the heavy contexts (over 1 / (4 shards) of all words: a list of at most
+``HEAVY`` words), whose followers are dealt over several shards. A shard has about ``SHARD_WORDS`` training words, so their
+number follows the input. Documents are packed into one block for each batch and shard, which names only the documents that
+have pairs in it; texts longer than a batch are cut, each part with the word in front of it. A shard's task builds its tries
+from the training pairs and scores every pair. Pairs that training has not seen go on to a join with the word counts.
+Nothing is pruned: the model grows with the corpus.
 
 Null and empty texts have the end mark only. Without training rows all words are unseen. Rows equal in id and text score
 alike; null ids are scored.
@@ -23,6 +26,7 @@ alike; null ids are scored.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 import numpy as np
@@ -33,12 +37,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import staged, tasks
+from crawlspark.llm.shared import staged
 
 DISCOUNT, ADDED = 0.75, 0.1
 WORD_BITS, FOLLOWER_BITS = 48, 40
 START, END = 1, 2  # hashes kept free for the marks
-BATCH_BYTES, CACHE = 10_000_000, 600_000
+BATCH_BYTES, CACHE = 4_000_000, 150_000
+SHARD_WORDS, HEAVY, ASKED = 1_000_000, 1 << 18, 1 << 18
 U = np.uint64
 
 
@@ -66,22 +71,42 @@ class EliasFano:
 
     def __getitem__(self, index: np.ndarray) -> np.ndarray:
         """Values at positions."""
-        at = np.searchsorted(self.counts, index, "right") - 1
-        rest, word = (index - self.counts[at]).astype("uint64"), self.high[at]
-        place = np.zeros(len(index), "uint64")
-        for step in (32, 16, 8, 4, 2, 1):  # the bit of this rank in its word
+        out = (self._select(index, self.counts) - index).astype("uint64") << U(self.width)
+        for k in range(self.low.shape[1]):
+            out |= self.low[index, k].astype("uint64") << U(8 * k)
+        return out
+
+    def _select(self, rank: np.ndarray, counts: np.ndarray, flip: int = 0) -> np.ndarray:
+        """Places of the set bits of these ranks in the high bits, of the unset ones with ``flip`` all ones."""
+        at = np.searchsorted(counts, rank, "right") - 1
+        rest, word = (rank - counts[at]).astype("uint64"), self.high[at] ^ U(flip)
+        place = np.zeros(len(rank), "uint64")
+        for step in (32, 16, 8, 4, 2, 1):
             ones = np.bitwise_count((word >> place) & U((1 << step) - 1)).astype("uint64")
             beyond = rest >= ones
             rest = np.where(beyond, rest - ones, rest)
             place = np.where(beyond, place + U(step), place)
-        out = (at.astype("uint64") * U(64) + place - index.astype("uint64")) << U(self.width)
-        for k in range(self.low.shape[1]):
-            out |= self.low[index, k].astype("uint64") << U(8 * k)
-        return out
+        return at * 64 + place.astype("int64")
+
+    def _bucket(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions from which on values have at least the high bits of each value, and those where they have more."""
+        unset = np.arange(len(self.counts)) * 64 - self.counts
+        high = (value >> U(self.width)).astype("int64")
+        last = int(unset[-1])
+
+        def passed(k):  # positions before the k-th unset bit, counted from 1
+            inside = np.clip(k, 1, max(last, 1))
+            found = self._select(inside - 1, unset, 2**64 - 1) - (inside - 1) if last else np.full(len(k), self.n)
+            return np.where(k > last, self.n, np.where(k < 1, 0, found))
+        return passed(high), passed(high + 1)
 
     def find(self, value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The position of each value within its range of positions, -1 where it isn't there."""
-        low, high = begin.copy(), end.copy()
+        """The position of each value within its range of positions, -1 where it isn't there.
+
+        A successor search: the bucket of the value's high bits, cut to the range, then its low bits."""
+        first, behind = self._bucket(value)
+        low, high = np.maximum(begin, first), np.minimum(end, behind)
+        end = high.copy()
         while (open_ := low < high).any():
             at = np.flatnonzero(open_)
             middle = (low[at] + high[at]) // 2
@@ -175,24 +200,43 @@ def _mix(*keys) -> np.ndarray:
     return h
 
 
+_GAP = re.compile(r"[\x20\x09-\x0D]")
+
+
+def _parts(text: str):
+    """A text in parts of about ``BATCH_BYTES`` characters, cut at white space (a longer word stays whole)."""
+    begin = 0
+    while len(text) - begin > BATCH_BYTES and (gap := _GAP.search(text, begin + BATCH_BYTES)):
+        yield text[begin:gap.start()]
+        begin = gap.end()
+    yield text[begin:]
+
+
 def _batches(frames):
-    """Rows of documents in batches of bounded bytes and at most 60,000 rows."""
+    """(row, words, first part?, last part?) of documents in lists of bounded characters and at most 60,000 parts.
+
+    A row is its number in its frame, which comes with the list."""
+    hasher = Hasher()
     for rows in frames:
-        texts, begin, size = rows.column("text"), 0, 0
-        for k in range(rows.num_rows):
-            size += len(texts[k].as_py() or "")
-            if size > BATCH_BYTES or k - begin >= 60_000 or k == rows.num_rows - 1:
-                yield rows.slice(begin, k + 1 - begin)
-                begin, size = k + 1, 0
+        out, size = [], 0
+        for k, text in enumerate(rows.column("text")):
+            parts = list(_parts(text.as_py() or ""))
+            for p, part in enumerate(parts):
+                out.append((k, hasher(part), p == 0, p == len(parts) - 1))
+                size += len(part)
+                if size > BATCH_BYTES or len(out) >= 60_000:
+                    yield rows, out
+                    out, size = [], 0
+        if out:
+            yield rows, out
 
 
 def word_counts(training: DataFrame) -> DataFrame:
     """(word, c): hashes of words and marks with their counts in the training texts."""
     def run(frames):
-        hasher = Hasher()
-        for rows in _batches(frames):
-            found = [hasher(t.as_py()) for t in rows.column("text")]
-            words, counts = np.unique(np.concatenate(found + [np.full(len(found), END, "uint64"), np.full(len(found), START, "uint64")]), return_counts=True)
+        for _, found in _batches(frames):
+            ends = sum(last for *_, last in found)
+            words, counts = np.unique(np.concatenate([x for _, x, _, _ in found] + [np.repeat(np.array([END, START], "uint64"), ends)]), return_counts=True)
             for k in range(0, len(words), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(words[k:k + 100_000].astype("int64")), pa.array(counts[k:k + 100_000])], names=["word", "c"])
 
@@ -218,33 +262,40 @@ def _shard(context: np.ndarray, follower: np.ndarray, shards: int, heavy: np.nda
 
 
 def blocks(documents: DataFrame, shards: int, heavy: np.ndarray, spread: np.ndarray) -> DataFrame:
-    """Pairs of each batch for each shard: documents of the batch, then contexts, followers, place of the document, times."""
+    """Pairs of each batch for each shard: their documents, then contexts, followers, place of the document, times."""
     names = ["shard", "ids", "ties", "held", "context", "follower", "place", "times"]
 
     def run(frames):
-        hasher = Hasher()
-        for rows in _batches(frames):
-            found = [hasher(t.as_py()) for t in rows.column("text")]
-            sizes = np.array([len(x) + 1 for x in found])
-            place = np.repeat(np.arange(len(found), dtype="uint64"), sizes)
-            ends = np.cumsum(sizes)
-            follower = np.concatenate([y for x in found for y in (x, np.array([END], "uint64"))])
-            context = np.concatenate([np.array([START], "uint64"), follower[:-1]])
-            context[ends[:-1]] = START
+        before = START  # the word in front of a part that goes on
+        for rows, found in _batches(frames):
+            numbers = np.array([k for k, *_ in found])
+            follower, context = [], []
+            for _, words, first, last in found:
+                chain = np.concatenate([np.array([START if first else before], "uint64"), words, np.array([END] * last, "uint64")])
+                follower.append(chain[1:])
+                context.append(chain[:-1])
+                before = chain[-1]
+            place = np.repeat(numbers, [len(x) for x in follower]).astype("uint64")
+            follower, context = np.concatenate(follower), np.concatenate(context)
             _, at, times = np.unique(_mix(context, follower, place), return_index=True, return_counts=True)
-            context, follower, place = context[at], follower[at], place[at]
+            context, follower, place = context[at], follower[at], place[at].astype("int64")
             shard = _shard(context, follower, shards, heavy, spread)
             order = np.lexsort((context, shard))
-            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-            ids = np.array([x if (x := i.as_py()) is not None else -2**63 for i in rows.column("doc_id")], "int64")
-            shared = [_pack(ids), _pack(np.array(rows.column("tie").to_pylist(), "int64")), _pack(np.array(rows.column("held").to_pylist(), "bool"))]
+            heads = np.flatnonzero(np.diff(shard[order], prepend=-1))
+            known = np.unique(place)
+            ids, ties, held = (np.zeros(rows.num_rows, t) for t in ("int64", "int64", "bool"))
+            for array, column, null in ((ids, "doc_id", -2**63), (ties, "tie", 0), (held, "held", False)):
+                array[known] = [null if (x := rows.column(column)[k].as_py()) is None else x for k in known.tolist()]
             out = []
-            for s in np.flatnonzero(np.diff(cuts)):
-                o = order[cuts[s]:cuts[s + 1]]
+            for begin, end in zip(heads, np.append(heads[1:], len(order)), strict=True):
+                o = order[begin:end]
+                own, number = np.unique(place[o], return_inverse=True)
                 gaps = np.diff(context[o], prepend=U(0))
                 six = follower[o].astype("<u8").view("uint8").reshape(-1, 8)[:, :6]
-                out.append((int(s), *shared, _pack(gaps), _pack(np.ascontiguousarray(six)), _pack(place[o].astype("uint16")), _pack(times[o].astype("uint32"))))
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=pa.schema([("shard", pa.int32())] + [(n, pa.binary()) for n in names[1:]]))
+                out.append((int(shard[o[0]]), _pack(ids[own]), _pack(ties[own]), _pack(held[own]), _pack(gaps), _pack(np.ascontiguousarray(six)),
+                            _pack(number.astype("uint16")), _pack(times[o].astype("uint32"))))
+            for k in range(0, len(out), 1000):
+                yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out[k:k + 1000]], schema=pa.schema([("shard", pa.int32())] + [(n, pa.binary()) for n in names[1:]]))
 
     return documents.mapInArrow(run, "shard int, " + ", ".join(f"{n} binary" for n in names[1:]))
 
@@ -259,11 +310,11 @@ def _score_shard(frame: pd.DataFrame, heavy: np.ndarray, totals: np.ndarray, n:
         six = _unpack(r.follower, "uint8").reshape(-1, 6)
         wide = np.zeros((len(six), 8), "uint8")
         wide[:, :6] = six
-        parts.append((np.cumsum(_unpack(r.context, "uint64"), dtype="uint64"), wide.view("<u8").ravel(), _unpack(r.place, "uint16").astype("int64") + offset, _unpack(r.times, "uint32").astype("int64")))
+        parts.append((np.cumsum(_unpack(r.context, "uint64"), dtype="uint64"), wide.view("<u8").ravel(), _unpack(r.place, "uint16").astype("int32") + offset, _unpack(r.times, "uint32")))
         offset += len(ids)
     ids, ties, held = (np.concatenate(x) for x in zip(*keys, strict=True))
     context, follower, place, times = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
+    del parts, frame
     short = follower >> U(WORD_BITS - FOLLOWER_BITS)
     train = ~held[place]
     order = np.lexsort((short[train], context[train]))
@@ -271,7 +322,7 @@ def _score_shard(frame: pd.DataFrame, heavy: np.ndarray, totals: np.ndarray, n:
     new = np.ones(len(tc), bool)
     new[1:] = (tc[1:] != tc[:-1]) | (ts[1:] != ts[:-1])
     first = np.flatnonzero(new)
-    counts = np.add.reduceat(tt, first) if len(tt) else tt
+    counts = np.add.reduceat(tt, first, dtype="int64") if len(tt) else tt.astype("int64")
     pair_context = tc[first]
     names, begin = np.unique(pair_context, return_index=True)
     sums = np.add.reduceat(counts, begin).astype("float64") if len(counts) else np.zeros(0)
@@ -281,18 +332,16 @@ def _score_shard(frame: pd.DataFrame, heavy: np.ndarray, totals: np.ndarray, n:
     per_pair = np.repeat(sums, np.diff(np.append(begin, len(counts))))
     with tempfile.TemporaryDirectory() as folder:
         trie = Trie(folder, pair_context, ts[first], counts, per_pair)
-        log = np.zeros(len(context))
-        # Training pairs know their place in the second level from building it; the others are searched.
-        where = np.empty(len(tc), "int64")
-        where[order] = np.cumsum(new) - 1
-        log[train] = trie._read(trie.chance, where)
-        asked = np.flatnonzero(~train)
-        chance, left = trie.lookup(context[asked], short[asked])
+        del tc, ts, tt, order
+        chance, left = np.empty(len(context)), np.empty(len(context))
+        for k in range(0, len(context), ASKED):
+            chance[k:k + ASKED], left[k:k + ASKED] = trie.lookup(context[k:k + ASKED], short[k:k + ASKED])
         sizes = trie.sizes
-        del trie
-    unseen = np.isnan(chance)
-    hot = np.isin(context[asked], heavy) if len(heavy) else np.zeros(len(asked), bool)
-    log[asked] = np.where(unseen, np.where(hot, 0.0, left), chance)
+        del trie, short
+    gone = np.flatnonzero(np.isnan(chance))
+    hot = np.isin(context[gone], heavy) if len(heavy) else np.zeros(len(gone), bool)
+    chance[gone] = np.where(hot, 0.0, left[gone])
+    del left
     at = np.minimum(np.searchsorted(names, context), max(len(names) - 1, 0))
     c = np.where(names[at] == context, sums[at], 0.0) if len(names) else np.zeros(len(context))
     if len(heavy):  # a shard may hold a heavy context for held-out pairs only
@@ -304,10 +353,9 @@ def _score_shard(frame: pd.DataFrame, heavy: np.ndarray, totals: np.ndarray, n:
     def per_document(x):
         return np.bincount(place, x * times, len(ids))
     some = np.bincount(place, minlength=len(ids)) > 0
-    out = pd.DataFrame({"doc_id": ids, "tie": ties, "score": per_document(log), "base": per_document(base), "known": per_document(word & (c > 0)).astype("int64"),
+    out = pd.DataFrame({"doc_id": ids, "tie": ties, "score": per_document(chance), "base": per_document(base), "known": per_document(word & (c > 0)).astype("int64"),
                         "tokens": per_document(np.ones(len(context))).astype("int64"), "ends": per_document(follower == END).astype("int64")})[some]
-    gone = asked[unseen]
-    lost = pd.DataFrame({"doc_id": ids[place[gone]], "tie": ties[place[gone]], "word": follower[gone].astype("int64"), "behind": np.where(hot[unseen], context[gone].astype("int64"), 0), "tokens": times[gone]})
+    lost = pd.DataFrame({"doc_id": ids[place[gone]], "tie": ties[place[gone]], "word": follower[gone].astype("int64"), "behind": np.where(hot, context[gone].astype("int64"), 0), "tokens": times[gone]})
     near = np.isin(names, heavy) if len(heavy) else np.zeros(len(names), bool)
     kinds = pd.DataFrame({"word": names[near].astype("int64"), "tokens": sizes[near]})
     parts = [out.assign(kind=0), lost.assign(kind=1), kinds.assign(kind=2)]
@@ -324,12 +372,12 @@ def score(documents: DataFrame, held: Column, shards: int | None = None) -> Data
 
     ``held`` is a condition on doc_id: the rows that are not learned from.
     """
-    shards = shards or max(8, tasks(documents) * 2 // 3)
     rows = documents.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
     counts = staged(word_counts(rows.filter(~F.col("held"))), "words")
     n, v, ends = counts.filter(F.col("word") != START).agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.col("word") == END, F.col("c"))), F.lit(0))).first()
-    part = max(1.0, n / (4 * shards))
-    # At most 4 * shards words (and the start mark) can hold so large a share.
+    shards = shards or max(8, -(-n // SHARD_WORDS))
+    # At most 4 * shards, and no more than HEAVY, words (and the start mark) can hold so large a share.
+    part = max(1.0, n / min(4 * shards, HEAVY))
     found = sorted((r["word"], r["c"]) for r in counts.filter(F.col("c") >= part).collect() if r["word"] != END)
     heavy, totals = np.array([w for w, _ in found], "uint64"), np.array([c for _, c in found], "float64")
     spread = np.ceil(totals / part).astype("uint64")

@@ -164,6 +164,30 @@ def test_embedding_links(spark):
     assert sphere_filters.links(df.filter("vec_id > 5000")).count() == 0
 
 
+def test_links_of_every_length_and_of_rows_that_share_an_id(spark):
+    rng = np.random.default_rng(3)
+    data, wide = [], rng.standard_normal((40, 12))
+    data += [(k, v.tolist()) for k, v in enumerate(wide)] + [(100 + k, (v + 0.01).tolist()) for k, v in enumerate(wide[:10])]
+    data += [(200, [1.0, 2.0]), (201, [1.0, 2.0]), (202, [-2.0, 1.0]), (203, [1.0, 2.01]), (300, [3.0]), (301, [5.0]), (302, [-1.0]), (400, [1.0, 1.0, 1.0])]
+    data += [(500, [9.0, 0.0, 0.0, 0.0]), (500, [0.0, 9.0, 0.0, 0.0]), (501, [9.0, 0.1, 0.0, 0.0]), (499, [0.1, 9.0, 0.0, 0.0]), (501, [9.0, 0.1, 0.0, 0.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+
+    def cosine(a, b):
+        return len(a) == len(b) and np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b) >= 0.9
+    linked = [[j for j in range(len(data)) if j != i and cosine(data[i][1], data[j][1])] for i in range(len(data))]
+    want = []
+    for i, (key, _) in enumerate(data):
+        reached, todo = {i}, [i]
+        while todo:
+            new = set(linked[todo.pop()]) - reached
+            reached |= new
+            todo += new
+        least = min(data[j][0] for j in reached)
+        want.append((key, len(linked[i]), least, key == least))
+    assert sorted(map(tuple, sphere_filters.links(df).collect())) == sorted(want)
+    assert (500, 2, 500, True) in want and (500, 1, 499, False) in want
+
+
 def test_large_groups_are_tiled(spark, monkeypatch):
     monkeypatch.setattr(sphere_filters, "TILE", 16)
     rng = np.random.default_rng(4)
@@ -233,6 +257,29 @@ def test_elias_fano():
             assert (coded.find(absent, np.zeros(len(absent), "int64"), np.full(len(absent), n)) == -1).all()
 
 
+def test_successors_within_ranges():
+    rng = np.random.default_rng(8)
+    values = np.sort(np.concatenate([rng.integers(0, 1 << 20, 700, dtype="uint64"), np.arange(300, dtype="uint64") + np.uint64(5000)]))
+    coded = ngram_trie.EliasFano.encode(values, 1 << 20)
+    begin = rng.integers(0, 1000, 4000)
+    end = np.minimum(1000, begin + rng.integers(0, 300, 4000))
+    asked = np.where(rng.random(4000) < 0.7, values[np.minimum(begin + 3, 999)], rng.integers(0, 1 << 20, 4000, dtype="uint64"))
+    for a, b, x, place in zip(begin, end, asked, coded.find(asked, begin, end), strict=True):
+        there = np.flatnonzero(values[a:b] == x)
+        assert place == (a + there[0] if len(there) else -1)
+
+
+def test_long_texts_are_scored_in_parts(spark, monkeypatch):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, " ".join(rng.choices(["a", "b", "cc", "x" * 300], k=200))) for i in range(12)], "doc_id long, text string").repartition(2)
+    whole = {r.doc_id: r for r in ngram_trie.score(df, F.col("doc_id") > 9, 3).collect()}
+    monkeypatch.setattr(ngram_trie, "BATCH_BYTES", 100)
+    text = "ab " * 90 + "y" * 500 + "\tz"
+    assert list(ngram_trie._parts(text))[0] == ("ab " * 34).rstrip() and " ".join(ngram_trie._parts(text)).split() == text.split()
+    for r in ngram_trie.score(df, F.col("doc_id") > 9, 3).collect():
+        assert r[:5] == whole[r.doc_id][:5] and r.score == pytest.approx(whole[r.doc_id].score) and r.base_score == pytest.approx(whole[r.doc_id].base_score)
+
+
 def plain_scores(texts, held):
     tokens = {i: lower(t).encode().split() + [0] for i, t in texts.items()}
     count, pairs = Counter(), Counter()
