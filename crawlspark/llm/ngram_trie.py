@@ -42,8 +42,8 @@ from crawlspark.llm.shared import staged
 DISCOUNT, ADDED = 0.75, 0.1
 WORD_BITS, FOLLOWER_BITS = 48, 40
 START, END = 1, 2  # hashes kept free for the marks
-BATCH_BYTES, CACHE = 4_000_000, 150_000
-SHARD_WORDS, HEAVY, ASKED = 1_000_000, 1 << 18, 1 << 18
+BATCH_BYTES, CACHE = 7_000_000, 150_000
+SHARD_WORDS, HEAVY, ASKED = 2_200_000, 1 << 18, 1 << 18
 U = np.uint64
 
 
@@ -162,7 +162,9 @@ class Trie:
     def lookup(self, context: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of each pair's probability, NaN where it isn't kept, and log10 of its context's backoff, 0 for new contexts."""
         n = len(context)
-        rank = self.contexts.find(context, np.zeros(n, "int64"), np.full(n, self.contexts.n))
+        new = np.append(True, context[1:] != context[:-1]) if n else np.zeros(0, bool)
+        names = context[new]
+        rank = self.contexts.find(names, np.zeros(len(names), "int64"), np.full(len(names), self.contexts.n))[np.cumsum(new) - 1]
         known = np.flatnonzero(rank >= 0)
         chance, left = np.full(n, np.nan), np.zeros(n)
         r = rank[known]
@@ -316,14 +318,18 @@ def _score_shard(frame: pd.DataFrame, heavy: np.ndarray, totals: np.ndarray, n:
     context, follower, place, times = (np.concatenate(x) for x in zip(*parts, strict=True))
     del parts, frame
     short = follower >> U(WORD_BITS - FOLLOWER_BITS)
-    train = ~held[place]
-    order = np.lexsort((short[train], context[train]))
-    tc, ts, tt = context[train][order], short[train][order], times[train][order]
-    new = np.ones(len(tc), bool)
-    new[1:] = (tc[1:] != tc[:-1]) | (ts[1:] != ts[:-1])
+    # Each different pair once: how often training has it, and where it stands among the pairs.
+    order = np.lexsort((short, context))
+    new = np.ones(len(order), bool)
+    new[1:] = (context[order[1:]] != context[order[:-1]]) | (short[order[1:]] != short[order[:-1]])
     first = np.flatnonzero(new)
-    counts = np.add.reduceat(tt, first, dtype="int64") if len(tt) else tt.astype("int64")
-    pair_context = tc[first]
+    asked, asked_short = context[order[first]], short[order[first]]
+    counts = np.add.reduceat(np.where(held[place], 0, times)[order], first, dtype="int64") if len(first) else np.zeros(0, "int64")
+    which = np.empty(len(order), "int32")
+    which[order] = np.cumsum(new) - 1
+    del order, new, short
+    seen = counts > 0
+    counts, pair_context, pair_short = counts[seen], asked[seen], asked_short[seen]
     names, begin = np.unique(pair_context, return_index=True)
     sums = np.add.reduceat(counts, begin).astype("float64") if len(counts) else np.zeros(0)
     if len(heavy) and len(names):
@@ -331,13 +337,13 @@ def _score_shard(frame: pd.DataFrame, heavy: np.ndarray, totals: np.ndarray, n:
         sums = np.where(heavy[at] == names, totals[at], sums)
     per_pair = np.repeat(sums, np.diff(np.append(begin, len(counts))))
     with tempfile.TemporaryDirectory() as folder:
-        trie = Trie(folder, pair_context, ts[first], counts, per_pair)
-        del tc, ts, tt, order
-        chance, left = np.empty(len(context)), np.empty(len(context))
-        for k in range(0, len(context), ASKED):
-            chance[k:k + ASKED], left[k:k + ASKED] = trie.lookup(context[k:k + ASKED], short[k:k + ASKED])
+        trie = Trie(folder, pair_context, pair_short, counts, per_pair)
+        del pair_context, pair_short, per_pair
+        found = [trie.lookup(asked[k:k + ASKED], asked_short[k:k + ASKED]) for k in range(0, len(asked), ASKED)]
         sizes = trie.sizes
-        del trie, short
+        del trie
+    chance, left = (np.concatenate([x[k] for x in found] or [np.zeros(0)])[which] for k in (0, 1))
+    del found, which, asked, asked_short
     gone = np.flatnonzero(np.isnan(chance))
     hot = np.isin(context[gone], heavy) if len(heavy) else np.zeros(len(gone), bool)
     chance[gone] = np.where(hot, 0.0, left[gone])
