@@ -43,7 +43,7 @@ DISCOUNT, ADDED = 0.75, 0.1
 WORD_BITS, FOLLOWER_BITS = 48, 40
 START, END = 1, 2  # hashes kept free for the marks
 BATCH_BYTES, CACHE = 7_000_000, 150_000
-SHARD_WORDS, HEAVY, ASKED = 2_200_000, 1 << 18, 1 << 18
+SHARD_WORDS, HEAVY, ASKED = 1_400_000, 1 << 18, 1 << 18
 U = np.uint64
 
 
@@ -342,34 +342,38 @@ def _score_shard(frame: pd.DataFrame, heavy: np.ndarray, totals: np.ndarray, n:
         found = [trie.lookup(asked[k:k + ASKED], asked_short[k:k + ASKED]) for k in range(0, len(asked), ASKED)]
         sizes = trie.sizes
         del trie
-    chance, left = (np.concatenate([x[k] for x in found] or [np.zeros(0)])[which] for k in (0, 1))
-    del found, which, asked, asked_short
-    gone = np.flatnonzero(np.isnan(chance))
-    hot = np.isin(context[gone], heavy) if len(heavy) else np.zeros(len(gone), bool)
-    chance[gone] = np.where(hot, 0.0, left[gone])
-    del left
-    at = np.minimum(np.searchsorted(names, context), max(len(names) - 1, 0))
-    c = np.where(names[at] == context, sums[at], 0.0) if len(names) else np.zeros(len(context))
+    chance, left = (np.concatenate([x[k] for x in found] or [np.zeros(0)]) for k in (0, 1))
+    unseen = np.isnan(chance)
+    hot = np.isin(asked, heavy) if len(heavy) else np.zeros(len(asked), bool)
+    chance[unseen] = np.where(hot, 0.0, left)[unseen]
+    at = np.minimum(np.searchsorted(names, asked), max(len(names) - 1, 0))
+    c = np.where(names[at] == asked, sums[at], 0.0) if len(names) else np.zeros(len(asked))
     if len(heavy):  # a shard may hold a heavy context for held-out pairs only
-        h = np.minimum(np.searchsorted(heavy, context), len(heavy) - 1)
-        c = np.where(heavy[h] == context, totals[h], c)
-    word = context != START
+        h = np.minimum(np.searchsorted(heavy, asked), len(heavy) - 1)
+        c = np.where(heavy[h] == asked, totals[h], c)
+    word = asked != START
     base = np.where(word, np.log10((c + ADDED) / (n + ADDED * (v + 1))), 0.0)
+    known = word & (c > 0)
+    del found, left, at, c, asked, asked_short
 
     def per_document(x):
         return np.bincount(place, x * times, len(ids))
     some = np.bincount(place, minlength=len(ids)) > 0
-    out = pd.DataFrame({"doc_id": ids, "tie": ties, "score": per_document(chance), "base": per_document(base), "known": per_document(word & (c > 0)).astype("int64"),
-                        "tokens": per_document(np.ones(len(context))).astype("int64"), "ends": per_document(follower == END).astype("int64")})[some]
-    lost = pd.DataFrame({"doc_id": ids[place[gone]], "tie": ties[place[gone]], "word": follower[gone].astype("int64"), "behind": np.where(hot, context[gone].astype("int64"), 0), "tokens": times[gone]})
+    out = {"doc_id": ids[some], "tie": ties[some], "score": per_document(chance[which])[some], "base": per_document(base[which])[some], "known": per_document(known[which])[some],
+           "tokens": per_document(1)[some], "ends": per_document(follower == END)[some]}
+    gone = np.flatnonzero(unseen[which])
+    lost = {"doc_id": ids[place[gone]], "tie": ties[place[gone]], "word": follower[gone], "behind": np.where(hot[which[gone]], context[gone], U(0)), "tokens": times[gone]}
+    del context, follower, which, place, times
     near = np.isin(names, heavy) if len(heavy) else np.zeros(len(names), bool)
-    kinds = pd.DataFrame({"word": names[near].astype("int64"), "tokens": sizes[near]})
-    parts = [out.assign(kind=0), lost.assign(kind=1), kinds.assign(kind=2)]
-    return pd.concat([p.reindex(columns=_COLUMNS) for p in parts]).fillna({c: 0 for c in _COLUMNS if c != "kind"}).astype(_TYPES)
+    kinds = {"word": names[near], "tokens": sizes[near]}
+    parts = [(kind, len(x["tokens"]), x) for kind, x in enumerate((out, lost, kinds))]
+    columns = {"kind": np.concatenate([np.full(rows, kind, "int32") for kind, rows, _ in parts])}
+    for name, kind in list(_TYPES.items())[1:]:
+        columns[name] = np.concatenate([x[name].astype(kind) if name in x else np.zeros(rows, kind) for _, rows, x in parts])
+    return pd.DataFrame(columns)
 
 
 _TYPES = {"kind": "int32", "doc_id": "int64", "tie": "int64", "score": "float64", "base": "float64", "known": "int64", "tokens": "int64", "ends": "int64", "word": "int64", "behind": "int64"}
-_COLUMNS = list(_TYPES)
 _SCHEMA = "kind int, doc_id long, tie long, score double, base double, known long, tokens long, ends long, word long, behind long"
 
 
