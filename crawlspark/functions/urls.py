@@ -190,6 +190,12 @@ def percent_encode(text: Column, safe: str = "/") -> Column:
     return F.when(text.rlike(rf"\A{plain}\z"), text).otherwise(out)
 
 
+def composed(text: Column) -> Column:
+    """Unicode's composed form (NFC) of a text, by the ICU library that Spark carries; plain ASCII takes the short way."""
+    icu = F.try_reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.coalesce(icu, text)).otherwise(text)
+
+
 def remove_dot_segments(p: Column) -> Column:
     """Resolve ``.`` and ``..`` and merge repeated slashes. Only paths with a dot segment walk their segments."""
     merged = F.regexp_replace(p, "/{2,}", "/")
@@ -206,7 +212,7 @@ def remove_dot_segments(p: Column) -> Column:
 
 
 def normalize_url(df: DataFrame, column: str, out: str | None = None, default_scheme: str = "https") -> DataFrame:
-    """General normal form: scheme, case and IDNA form of the host, default port, percent-encoding, dot segments.
+    """General normal form: scheme, case and IDNA form of the host, default port, composed and percent-encoded path, dot segments.
 
     A transform instead of a column, so that each part is computed once and read by name. Query and fragment are
     carried as they are. Names with non-ASCII letters go through the JDK's IDNA conversion, inside the JVM.
@@ -221,7 +227,7 @@ def normalize_url(df: DataFrame, column: str, out: str | None = None, default_sc
     tidy = F.trim(F.regexp_replace(F.replace(absolute, F.lit("#!"), F.lit("?_escaped_fragment_=")), "[?& ]+$", ""))
     df = df.withColumn("_nu", tidy)
     nu = F.col("_nu")
-    df = df.withColumns({"_scheme": scheme(nu), "_netloc": netloc(nu), "_path": percent_decode(raw_path(nu)),
+    df = df.withColumns({"_scheme": scheme(nu), "_netloc": netloc(nu), "_path": composed(percent_decode(raw_path(nu))),
                          "_rest": F.regexp_extract(nu, r"(?s)^[^?#]*(.*)\z", 1)})
     loc = F.col("_netloc")
     df = df.withColumns({

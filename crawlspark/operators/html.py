@@ -2,8 +2,9 @@
 
 The scan is one left-to-right regular expression pass inside the JVM that follows the tokenizer of Python's
 ``html.parser``: comments, declarations, end tags and script or style text are stepped over, and each start tag is
-returned. All loops are possessive, so long pages neither backtrack nor grow the stack. It needs no shuffle and no
-Python worker.
+returned. All loops are possessive, so long pages neither backtrack nor grow the stack. Comments and CDATA sections that
+nothing closes are marked first, so no closing mark is looked for twice and the work grows with the text. It needs no shuffle
+and no Python worker.
 """
 
 from __future__ import annotations
@@ -27,9 +28,35 @@ _BETWEEN = (r"(?:[^<]++|<!--(?:.*?--\s*+>|[^>]*+>?)|<!\[CDATA\[.*?\]\]>|<[!?/][^
 _SCAN = rf"(?s){_BETWEEN}(?:(?=({_TAG}))(?:{_RAW}|{_TAG})|\z)"
 
 
+# Openings that need a closing mark, each with the text up to its last mark; a mark put into an opening voids it.
+_CLOSED = {"<!--": r"(?s)\A.*--\s*+>", "<![CDATA[": r"(?s)\A.*\]\]>"}
+_VOID = "\uffff"
+
+
+def _voided(opening: str) -> str:
+    return "<!" + _VOID + opening[2:]
+
+
+def _void_unclosed(html: Column) -> Column:
+    """Openings behind the last closing mark are made what they are to the tokenizer: declarations up to the next ``>``."""
+    for opening, closed in _CLOSED.items():
+        rest = F.regexp_replace(html, closed, "")
+        head = F.substring(html, F.lit(1), F.length(html) - F.length(rest))
+        html = F.when(html.contains(opening), F.concat(head, F.replace(rest, F.lit(opening), F.lit(_voided(opening))))).otherwise(html)
+    return html
+
+
 def start_tags(html: Column) -> Column:
     """Array of the start tag texts of a page, in document order."""
-    return F.filter(F.regexp_extract_all(html, F.lit(_SCAN), F.lit(1)), lambda t: t != "")
+    tags = F.regexp_extract_all(_void_unclosed(html), F.lit(_SCAN), F.lit(1))
+
+    def restored(tag: Column) -> Column:
+        back = tag
+        for opening in _CLOSED:
+            back = F.replace(back, F.lit(_voided(opening)), F.lit(opening))
+        return F.when(tag.contains(_VOID), back).otherwise(tag)
+
+    return F.transform(F.filter(tags, lambda t: t != ""), restored)
 
 
 def _unquote(raw: Column) -> Column:

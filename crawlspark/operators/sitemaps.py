@@ -22,10 +22,16 @@ def _text(inner: Column) -> Column:
     return F.when(cdata != "", cdata).otherwise(unescape(F.regexp_replace(inner, r"(?s)<[^>]*>", "")))
 
 
+def is_well_formed(xml: Column) -> Column:
+    """Whether Spark's XML parser gets through the root element; what follows it, and undeclared prefixes, don't count."""
+    tried = F.from_xml(xml, "`_bad` string, `_` string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return tried.isNotNull() & tried["_bad"].isNull()
+
+
 def locs(xml: Column) -> Column:
-    """Array of the ``loc`` texts of a sitemap; elements of other namespaces do not count."""
+    """Array of the ``loc`` texts of a sitemap; elements of other namespaces do not count, broken XML has none."""
     body = F.regexp_replace(xml, r"(?s)<!--.*?-->", "")
-    return F.transform(F.regexp_extract_all(body, F.lit(_LOC), F.lit(1)), _text)
+    return F.when(is_well_formed(xml), F.transform(F.regexp_extract_all(body, F.lit(_LOC), F.lit(1)), _text))
 
 
 def sitemap_locs(files: DataFrame, carry: list[str] | None = None) -> DataFrame:

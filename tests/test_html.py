@@ -1,5 +1,6 @@
 import html as html_lib
 import random
+import time
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -124,3 +125,22 @@ def test_documents(spark):
     docs = sorted((r.url[-6:], r.data_type_code) for r in H.document_links(links).collect())
     assert docs == [("/a.pdf", "PDF"), ("/c.doc", "DOC"), ("c.docx", "DOCX")]
     assert {r.url for r in H.page_links(links).collect()} == {"https://a.gov.si/b.PDF", "https://a.gov.si/d/"}
+
+
+def test_voided_openings_change_nothing(spark):
+    """The scan of marked texts finds what the scan of the plain texts finds."""
+    rng = random.Random(10)
+    pieces = ["<!--", "-->", "--", ">", "<![CDATA[", "]]>", "]]", "<a href=x>", "<b c='<!--'>", '<i d="<![CDATA[">', "<script>", "</script>", " ", "x", "<!", "-- >", "</p>", "<!>"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 16))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "html string")
+    plain = F.filter(F.regexp_extract_all("html", F.lit(H._SCAN), F.lit(1)), lambda t: t != "")
+    assert df.filter(~(H.start_tags(F.col("html")) == plain)).collect() == []
+
+
+def test_hostile_markup_takes_linear_time(spark):
+    for piece in ("<!--x>", "<![CDATA[>", "<!--><![CDATA[>", "<a b='", "</", "<script", "<!-- --"):
+        text = piece * (1_000_000 // len(piece)) + "<a href='/end'>"
+        df = spark.createDataFrame([(text,)], "html string").select(F.size(H.start_tags(F.col("html"))).alias("n"))
+        began = time.perf_counter()
+        df.first()
+        assert time.perf_counter() - began < 5, piece

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 from urllib.parse import urlparse
 
 import pytest
@@ -70,6 +71,16 @@ def canonical(spark, urls):
     return [r.url for r in U.canonicalize(df, "url").orderBy("i").collect()]
 
 
+def test_paths_are_composed(spark):
+    rng = random.Random(3)
+    pool = "eao\u0301\u0323\u0300\u0308\u0327U\u00c5\u212b\u1e09\uac01\u1100\u1161\u11a8\u03a9\u2126\u0915\u093c\ufb01\U0001f600 x"
+    texts = ["", "plain", "caf\u00e9", "cafe\u0301"] + ["".join(rng.choices(pool, k=rng.randint(1, 12))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    assert all(r.c == (None if r.t is None else unicodedata.normalize("NFC", r.t)) for r in df.select("t", U.composed(F.col("t")).alias("c")).collect())
+    both = spark.createDataFrame([("https://a.si/caf\u00e9/x.html",), ("https://a.si/cafe\u0301/x.html",), ("https://a.si/cafe%CC%81/x.html",), ("https://a.si/caf%C3%A9/x.html",)], "url string")
+    assert {r.url for r in U.canonicalize(both, "url").collect()} == {"https://a.si/caf%C3%A9/x.html"}
+
+
 def test_canonical_is_idempotent(spark):
     got = canonical(spark, list(CANONICAL))
     assert got == list(CANONICAL.values())

@@ -1,6 +1,8 @@
 import random
+import xml.etree.ElementTree as ElementTree
 from urllib.robotparser import RobotFileParser
 
+import pytest
 from pyspark.sql import functions as F
 
 from crawlspark.functions import urls as U
@@ -73,11 +75,22 @@ def test_saved_robots_give_the_same_verdicts(spark):
 
 def test_locs(spark):
     xml = ("<?xml version='1.0'?><urlset xmlns:image='i'><url><loc>https://a/x?a=1&amp;b=2</loc><image:loc>https://a/i.png</image:loc></url>"
-           "<!-- <loc>https://a/no</loc> --><url><loc><![CDATA[https://a/y?c&d]]></loc></url><url><loc a='1'>https://a/z</loc></url><loc>cut")
-    files = spark.createDataFrame([("u", 200, xml), ("v", 404, xml)], "url string, http_status int, xml string")
+           "<!-- <loc>https://a/no</loc> --><url><loc><![CDATA[https://a/y?c&d]]></loc></url><url><loc a='1'>https://a/z</loc></url></urlset>")
+    files = spark.createDataFrame([("u", 200, xml), ("v", 404, xml), ("w", 200, None), ("x", 200, "")], "url string, http_status int, xml string")
     assert [r.loc for r in S.sitemap_locs(files).collect()] == ["https://a/x?a=1&b=2", "https://a/y?c&d", "https://a/z"]
 
 
+def test_broken_sitemaps_have_no_locs(spark):
+    good = "<x><loc>https://a/</loc></x>"
+    broken = ["<x><loc>https://a/</loc>", "<x><loc>https://a/</loc></y>", "<x><loc>https://a/?b&c</loc></x>", "<x><loc>https://a/</loc><loc>cut", "<loc>https://a/</loc", "<x a=1><loc>https://a/</loc></x>",
+              "no XML", "<x><loc>https://a/</loc><</x>", "<x><loc>https://a/</loc>&nosuch;</x>"]
+    files = spark.createDataFrame([(str(k), 200, x) for k, x in enumerate([good, "<?xml version='1.0' encoding='UTF-8'?>\n" + good, *broken])], "url string, http_status int, xml string")
+    assert sorted((r.url, r.loc) for r in S.sitemap_locs(files).collect()) == [("0", "https://a/"), ("1", "https://a/")]
+    for text in broken:
+        with pytest.raises(ElementTree.ParseError):
+            ElementTree.fromstring(text)
+
+
 def test_tree_with_cycle(spark):
     def index(*urls):
         return "<x>" + "".join(f"<loc>{u}</loc>" for u in urls) + "</x>"
