@@ -11,6 +11,8 @@ from crawlspark.catalog.schedule import starts_sql
 from crawlspark.checkpoints import scratch_folder
 from crawlspark.plans.discovery import discover
 from crawlspark.plans.wave import crawl_wave, empty_state
+from crawlspark.operators import tables
+from crawlspark.sources import inputs
 from crawlspark.sources.store import CrawlStore
 
 
@@ -46,7 +48,16 @@ def _discovery(t):
     return store.page().select("id", "url", "page_type_code")
 
 
+def _popped(t):
+    """The fetches of all frontier pages, from a layout that is read by folder."""
+    folder = scratch_folder(t.spark, "fetches")
+    inputs.write_fetches(t.fx_fetches, folder, digits=2)
+    popped = tables.pop_frontier(t.fx_page)
+    return inputs.fetches_of(inputs.read_fetches(t.spark, folder), popped).select("seq", "requested_url", F.sha2("html", 256).alias("html_hash"))
+
+
 QUERIES = {
+    "popped_fetches": _popped,
     "wave_site": lambda t: _wave(t)["site"],
     "wave_page": _page,
     "wave_frontier": lambda t: _wave(t)["page"].filter("page_type_code = 'FRONTIER'").select("url").distinct(),
@@ -119,6 +130,7 @@ opened AS (SELECT DISTINCT seq, 0 AS level, url FROM roots
 """
 
 ORACLES = {
+    "popped_fetches": "SELECT seq, requested_url, sha256(html) AS html_hash FROM fx_fetches WHERE requested_url IN (SELECT url FROM fx_page WHERE page_type_code = 'FRONTIER')",
     "wave_requests": WAVE_SQL.replace("WITH", "WITH RECURSIVE", 1).replace("f.http_status, f.html,", "f.http_status, f.html, f.error,").rstrip() + _OPENED
         + starts_sql(_REQUESTS, "seq, kind, url, domain, ip, CAST(rq.delay AS BIGINT) AS delay, CAST(start AS BIGINT) AS start"),
     "wave_site": WAVE_SQL + """SELECT s.id, s.domain, CASE WHEN r.http_status <> 200 THEN '' ELSE 'User-agent: other' || chr(10) || 'Disallow: /' || chr(10) || chr(10)

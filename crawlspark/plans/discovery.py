@@ -9,6 +9,7 @@ from crawlspark.checkpoints import checkpointed
 from crawlspark.operators import tables
 from crawlspark.plans.wave import crawl_wave
 from crawlspark.schemas import conform
+from crawlspark.sources.inputs import fetches_of
 from crawlspark.sources.store import CrawlStore
 
 
@@ -43,6 +44,7 @@ def discover(store: CrawlStore, fetches: DataFrame, per_wave: int | None = None,
     wait for their host's and address' clocks, the table ``schedule`` says when each starts, a wave begins when the last
     request of the one before has started, and none begins at ``until`` or later.
 
+    Fetches laid out by :func:`crawlspark.sources.inputs.write_fetches` are read by folder, so a wave reads what it pops.
     Each wave starts from the committed files, so the plan does not grow. Its fetches are written out once, as a wave
     reads their text three times. Every page leaves the frontier once, so the loop ends on cyclic sites too.
     """
@@ -52,8 +54,7 @@ def discover(store: CrawlStore, fetches: DataFrame, per_wave: int | None = None,
         if popped.isEmpty():
             break
         popped = checkpointed(popped)
-        batch = fetches.join(popped.select(F.col("url").alias("requested_url")), "requested_url", "left_semi")
-        batch = checkpointed(batch.select(*fetches.columns))
+        batch = checkpointed(fetches_of(fetches, popped))
         fold(store, batch, popped=popped, now=now, **inputs)
         waves += 1
         now = None if now is None else max(now, store.now() or now)

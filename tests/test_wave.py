@@ -1,9 +1,14 @@
 import datetime
+import glob
+import hashlib
 import tempfile
 
+import pytest
+
 from crawlspark import schemas
 from crawlspark.plans.discovery import discover, fold
 from crawlspark.plans.wave import apply_wave, crawl_wave, empty_state
+from crawlspark.sources import inputs
 from crawlspark.sources.store import CrawlStore
 
 T0 = datetime.datetime(2024, 1, 1)
@@ -202,3 +207,34 @@ def test_discovery_obeys_its_schedule(spark):
     assert store.now() is None and store.clocks()[0].collect() == []
     assert discover(store, fetches(spark, *pages), now=0, until=6) == 2  # the third wave would begin at 10
     assert table(store.page().filter("page_type_code = 'FRONTIER'"), "url") == [(f"{A}/z/",)]
+
+
+def test_laid_out_fetches_are_read_by_folder(spark, tmp_path):
+    rows = [fetch(k, f"{A}/{k}/", "".join(f'<a href="/{n}">n</a>' for n in range(10, 18)) if k == 3 else None) for k in range(60)]
+    rows += [fetch(100 + k, f"{A}/{k}/", "again") for k in range(5)]
+    given = fetches(spark, *rows)
+    inputs.write_fetches(given, f"{tmp_path}/laid", digits=2)
+    laid = inputs.read_fetches(spark, f"{tmp_path}/laid")
+    assert table(laid.drop("url_part"), *given.columns) == table(given, *given.columns)
+
+    stores = []
+    for name, source in (("plain", given), ("laid", laid)):
+        store = CrawlStore(spark, f"{tmp_path}/store-{name}").reset([f"{A}/3/"])
+        discover(store, source, max_waves=2)
+        stores.append(table(store.page(), "id", "url", "page_type_code", "html_content"))
+    assert stores[0] == stores[1] and len(stores[0]) == 9
+
+    # Folders of other URLs are not opened: theirs hold no Parquet any more.
+    asked = [f"{A}/3/", f"{A}/17/", f"{A}/unknown/"]
+    kept = {hashlib.md5(u.encode()).hexdigest()[:2] for u in asked}
+    for name in glob.glob(f"{tmp_path}/laid/url_part=*/*.parquet"):
+        if name.split("url_part=")[1][:2] not in kept:
+            with open(name, "wb") as f:
+                f.write(b"no table")
+    spark.catalog.clearCache()
+    urls = spark.createDataFrame([(u,) for u in asked + asked], "url string")
+    found = inputs.fetches_of(inputs.read_fetches(spark, f"{tmp_path}/laid"), urls)
+    assert found.columns == given.columns and sorted(r.seq for r in found.collect()) == [3, 17, 103]
+    assert inputs.fetches_of(laid, urls.filter("url is null")).count() == 0
+    with pytest.raises(ValueError):
+        inputs.write_fetches(given, f"{tmp_path}/other", digits=5)
