@@ -20,7 +20,8 @@ strings must be sorted, over all documents, and equal ones brought together.
 
 Spans come back as one row for each document and shard, are joined with the documents, and united. Texts are UTF-8 bytes;
 matches end at document borders; strings are judged on the input. Null and empty texts have nothing to remove; rows that
-share an id are one document in the order of ids, so they don't remove each other's bytes; null ids come first.
+share an id stand at one place in the order of ids, so they don't remove each other's bytes, and each text of an id has its
+own spans; null ids come first.
 """
 
 from __future__ import annotations
@@ -141,13 +142,15 @@ def hot_anchors(documents: DataFrame) -> np.ndarray:
 
 def blocks(documents: DataFrame, shards: int, hot: np.ndarray | None = None) -> DataFrame:
     """Stretches of each batch for each shard. ``settled`` spans repeat an earlier document of the batch."""
-    names = ["ids", "text", "length", "anchor", "place", "places", "start", "reach", "settled_place", "settled_start", "settled_length"]
+    names = ["ids", "ties", "text", "length", "anchor", "place", "places", "start", "reach", "settled_place", "settled_start", "settled_length"]
     hot = np.zeros(0, "uint64") if hot is None else hot
 
     def pack(array, dtype):
         return zstandard.compress(np.ascontiguousarray(array.astype(dtype)).tobytes(), 3)
 
-    def batch(ids, texts, bases):
+    documents = documents if "tie" in documents.columns else documents.withColumn("tie", F.lit(0).cast("long"))
+
+    def batch(ids, ties, texts, bases):
         content = np.frombuffer(b"".join(texts), "uint8")
         ends = np.cumsum([len(t) for t in texts])
         start, count, anchor, document = stretches(content, ends)
@@ -206,7 +209,7 @@ def blocks(documents: DataFrame, shards: int, hot: np.ndarray | None = None) ->
         cuts = np.searchsorted(shard[order], np.arange(shards + 1))
         gone_order = np.argsort(gone_shard, kind="stable")
         gone_cuts = np.searchsorted(gone_shard[gone_order], np.arange(shards + 1))
-        shared = pack(ids, "int64")
+        shared, shared_ties = pack(ids, "int64"), pack(ties, "int64")
         for s in np.flatnonzero(np.diff(cuts) + np.diff(gone_cuts)):
             span = strings[cuts[s]:cuts[s + 1]] + LENGTH - 1
             g = gone_order[gone_cuts[s]:gone_cuts[s + 1]]
@@ -217,7 +220,7 @@ def blocks(documents: DataFrame, shards: int, hot: np.ndarray | None = None) ->
                 at = np.repeat(from_ - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 places = np.diff(place_cut)[own]
                 c = np.repeat(place_cut[own] - (np.cumsum(places) - places), places) + np.arange(places.sum())
-                yield (int(s), shared, pack(content[at], "uint8"), pack(n, "uint8"), pack(middle[own] - off, "uint8"), pack(document[texts_at[own]], "uint32"), pack(places, "uint32"),
+                yield (int(s), shared, shared_ties, pack(content[at], "uint8"), pack(n, "uint8"), pack(middle[own] - off, "uint8"), pack(document[lead[c]], "uint32"), pack(places, "uint32"),
                        pack(place_start[c] + np.repeat(off, places), "uint32"), pack(reach[c], "uint32"),
                        pack(gone_document[g], "uint32"), pack(gone_start[g], "uint32"), pack(gone_length[g], "uint32"))
                 g = g[:0]
@@ -225,11 +228,11 @@ def blocks(documents: DataFrame, shards: int, hot: np.ndarray | None = None) ->
     schema = pa.schema([("shard", pa.int32())] + [(n, pa.binary()) for n in names])
 
     def emit(parts):
-        ids, texts, bases = zip(*parts, strict=True)
+        ids, ties, texts, bases = zip(*parts, strict=True)
         rows, size = [], 0
-        for r in batch(np.array(ids, "int64"), texts, np.array(bases, "int64")):
+        for r in batch(np.array(ids, "int64"), np.array(ties, "int64"), texts, np.array(bases, "int64")):
             rows.append(dict(zip(schema.names, r, strict=True)))
-            size += len(r[2])
+            size += len(r[3])
             if size > PIECE_BYTES:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
                 rows, size = [], 0
@@ -238,7 +241,7 @@ def blocks(documents: DataFrame, shards: int, hot: np.ndarray | None = None) ->
     def run(frames):
         for frame in frames:
             parts, size = [], 0
-            for i, t in zip(frame.column("doc_id"), frame.column("text"), strict=True):
+            for i, tie, t in zip(frame.column("doc_id"), frame.column("tie"), frame.column("text"), strict=True):
                 text = (t.as_py() or "").encode()
                 # Positions in a batch have 24 bits: longer texts go in parts, each with the starts of its own strings.
                 for base in range(0, max(1, len(text)), BATCH_BYTES):
@@ -246,7 +249,7 @@ def blocks(documents: DataFrame, shards: int, hot: np.ndarray | None = None) ->
                     if size + len(part) > BATCH_BYTES and parts:
                         yield from emit(parts)
                         parts, size = [], 0
-                    parts.append((NULL if (x := i.as_py()) is None else x, part, base))
+                    parts.append((NULL if (x := i.as_py()) is None else x, tie.as_py(), part, base))
                     size += len(part)
             if parts:
                 yield from emit(parts)
@@ -363,22 +366,25 @@ def _shared(key: np.ndarray, ids: np.ndarray, has: np.ndarray) -> np.ndarray:
 
 
 def settle(frame: pd.DataFrame) -> pd.DataFrame:
-    """doc_id and spans (begin, end) to remove, as pairs of 32-bit numbers, from a shard's blocks."""
+    """doc_id, tie and spans (begin, end) to remove, as pairs of 32-bit numbers, from a shard's blocks."""
     def unpack(content, dtype):
         return np.frombuffer(zstandard.decompress(content), dtype)
 
-    texts, fields, places, gone = [], [], [], []
+    texts, fields, places, gone, named, base = [], [], [], [], [], 0
     for r in frame.itertuples(index=False):
         ids = unpack(r.ids, "int64")
+        named.append((ids, unpack(r.ties, "int64")))
+        n, place = unpack(r.places, "uint32").astype("int64"), unpack(r.place, "uint32").astype("int64")
         texts.append(unpack(r.text, "uint8"))
-        fields.append((unpack(r.length, "uint8").astype("int64"), unpack(r.anchor, "uint8").astype("int64"), ids[unpack(r.place, "uint32")], unpack(r.places, "uint32").astype("int64")))
-        places.append((unpack(r.start, "uint32").astype("int64"), unpack(r.reach, "uint32").astype("int64")))
+        fields.append((unpack(r.length, "uint8").astype("int64"), unpack(r.anchor, "uint8").astype("int64"), ids[place[np.cumsum(n) - n]], n))
+        places.append((place + base, unpack(r.start, "uint32").astype("int64"), unpack(r.reach, "uint32").astype("int64")))
         begin = unpack(r.settled_start, "uint32").astype("int64")
-        gone.append((ids[unpack(r.settled_place, "uint32")], begin, begin + unpack(r.settled_length, "uint32")))
+        gone.append((unpack(r.settled_place, "uint32").astype("int64") + base, begin, begin + unpack(r.settled_length, "uint32")))
+        base += len(ids)
     buffer = np.concatenate(texts + [np.zeros(112, "uint8")])
     del texts
     length, anchor, ids, n_places = (np.concatenate(x) for x in zip(*fields, strict=True))
-    start, reach = (np.concatenate(x) for x in zip(*places, strict=True))
+    owner_of, start, reach = (np.concatenate(x) for x in zip(*places, strict=True))
     first_place = np.cumsum(n_places) - n_places
 
     def placed(at, begin, end):
@@ -386,7 +392,7 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
         n = n_places[at]
         of = np.repeat(np.arange(len(at)), n)
         c = np.repeat(first_place[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return ids[at][of], start[c] + begin[of], start[c] + reach[c] + end[of]
+        return owner_of[c], start[c] + begin[of], start[c] + reach[c] + end[of]
     found = [tuple(np.concatenate(x) for x in zip(*gone, strict=True))]
     offset = np.cumsum(length) - length
     middle = offset + anchor
@@ -414,14 +420,16 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
     at, inside = owner[on], inside[on]
     found.append(placed(at, inside, inside + LENGTH))
 
-    ids, begin, end = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((begin, ids))
-    ids, begin, end = ids[order], begin[order], end[order]
-    cuts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1 if ids[0] > NULL else 0)) if len(ids) else np.zeros(0, "int64")
-    if len(ids) and (not len(cuts) or cuts[0]):
-        cuts = np.concatenate([[0], cuts])
-    rows = [(int(ids[a]), _united(begin[a:b], end[a:b]).astype("uint32").tobytes()) for a, b in zip(cuts, np.append(cuts[1:], len(ids)), strict=True)]
-    return pd.DataFrame(rows, columns=["doc_id", "spans"])
+    owner, begin, end = (np.concatenate(x) for x in zip(*found, strict=True))
+    all_ids, all_ties = (np.concatenate(x) for x in zip(*named, strict=True))
+    ids, ties = all_ids[owner], all_ties[owner]
+    order = np.lexsort((begin, ties, ids))
+    ids, ties, begin, end = ids[order], ties[order], begin[order], end[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])
+    cuts = np.flatnonzero(new)
+    rows = [(int(ids[a]), int(ties[a]), _united(begin[a:b], end[a:b]).astype("uint32").tobytes()) for a, b in zip(cuts, np.append(cuts[1:], len(ids)), strict=True)]
+    return pd.DataFrame(rows, columns=["doc_id", "tie", "spans"])
 
 
 def _united(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -433,12 +441,26 @@ def _united(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([begin[heads], reach[np.append(heads[1:], len(begin)) - 1]], 1)
 
 
-def spans(documents: DataFrame, shards: int | None = None) -> DataFrame:
-    """_id (null ids as the smallest number) and the lists of spans to remove from it, one list for each shard that has some."""
-    shards = shards or 2 * tasks(documents)
-    packed = blocks(documents.select("doc_id", "text"), shards, hot_anchors(documents))
-    found = packed.groupBy("shard").applyInPandas(settle, "doc_id long, spans binary")
-    return staged(found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("spans").alias("spans")), "spans")
+def tied(documents: DataFrame, key: str, tie: str) -> DataFrame:
+    """``documents`` with the id (null as the smallest number) and what tells the texts of an id apart: 0 where it has one text
+    only, else the text's hash. Unless an id has several texts, that is one narrow aggregation."""
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = documents.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL).cast("long")))
+    several = rows.groupBy(F.col(key).alias("_several")).agg(F.min(digest).alias("_low"), F.max(digest).alias("_high")).filter("_low <> _high").select("_several")
+    several = staged(several, "several")
+    if several.isEmpty():
+        return rows.withColumn(tie, F.lit(0).cast("long"))
+    (own,) = fresh(rows, "_several")
+    joined = rows.join(several.withColumnRenamed("_several", own), F.col(key) == F.col(own), "left")
+    return joined.withColumn(tie, F.when(F.col(own).isNotNull(), digest).otherwise(F.lit(0).cast("long"))).drop(own)
+
+
+def spans(rows: DataFrame, shards: int | None = None) -> DataFrame:
+    """_id, _tie (of ``rows``: doc_id, tie, text) and the lists of spans to remove, one list for each shard that has some."""
+    shards = shards or 2 * tasks(rows)
+    packed = blocks(rows, shards, hot_anchors(rows))
+    found = packed.groupBy("shard").applyInPandas(settle, "doc_id long, tie long, spans binary")
+    return staged(found.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_list("spans").alias("spans")), "spans")
 
 
 def remove(documents: DataFrame, shards: int | None = None, report: bool = False) -> DataFrame:
@@ -446,11 +468,10 @@ def remove(documents: DataFrame, shards: int | None = None, report: bool = False
 
     With ``report``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the remaining bytes instead.
     """
-    own_key, own_id, own_spans = fresh(documents, "_key", "_id", "_spans")
-    found = spans(documents, shards).toDF(own_id, own_spans)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL).cast("long"))
-    rows = (documents.select("doc_id", "text") if report else documents).withColumn(own_key, key)
-    joined = rows.join(found, F.col(own_key) == F.col(own_id), "left").drop(own_key, own_id)
+    own_key, own_tie, own_id, own_other, own_spans = fresh(documents, "_key", "_tie", "_id", "_other", "_spans")
+    rows = tied(documents.select("doc_id", "text") if report else documents, own_key, own_tie)
+    found = spans(rows.select("doc_id", F.col(own_tie).alias("tie"), "text"), shards).toDF(own_id, own_other, own_spans)
+    joined = rows.join(found, (F.col(own_key) == F.col(own_id)) & (F.col(own_tie) == F.col(own_other)), "left").drop(own_key, own_tie, own_id, own_other)
 
     def cut(text, lists):
         text = (text or "").encode()

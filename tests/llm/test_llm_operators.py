@@ -493,6 +493,27 @@ def test_repeated_passages(spark, odd, made, none, monkeypatch, batch):
     assert cut.columns == [*odd.columns, "_spans"] and cut.count() == len(ODD)
 
 
+@pytest.mark.parametrize("batch", [4_000_000, 300])
+def test_texts_of_one_id_have_spans_of_their_own(spark, monkeypatch, batch):
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
+    rng = random.Random(12)
+    a, x, y, z = ("".join(rng.choices("abcdefghij ", k=200)) for _ in range(4))
+    data = [(1, a), (5, a), (5, x), (5, x + a[:80]), (5, x), (7, x), (7, y + x[50:120]), (None, z), (None, y), (2, z[20:]), (9, y), (5, None), (None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    want = []
+    for i, t in data:
+        content = (t or "").encode()
+        before = [(o or "").encode() for j, o in data if (-1 if j is None else j) < (-1 if i is None else i)]
+        gone = bytearray(len(content))
+        for p in range(len(content) - 49):
+            if any(content[p:p + 50] in o for o in before):
+                gone[p:p + 50] = b"\1" * 50
+        kept = bytes(c for c, g in zip(content, gone, strict=True) if not g)
+        want.append((i, len(content), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
+    assert sorted(map(tuple, suffix_dedup.remove(df, 3, report=True).collect()), key=str) == sorted(want, key=str)
+    assert (5, 200, 0, 0, hashlib.sha256(x.encode()).hexdigest()) in want
+
+
 def test_runs_of_bytes_and_hot_anchors(spark, made, monkeypatch):
     rng = random.Random(4)
 
