@@ -377,12 +377,13 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
         n, place = unpack(r.places, "uint32").astype("int64"), unpack(r.place, "uint32").astype("int64")
         texts.append(unpack(r.text, "uint8"))
         fields.append((unpack(r.length, "uint8").astype("int64"), unpack(r.anchor, "uint8").astype("int64"), ids[place[np.cumsum(n) - n]], n))
-        places.append((place + base, unpack(r.start, "uint32").astype("int64"), unpack(r.reach, "uint32").astype("int64")))
+        places.append(((place + base).astype("int32"), unpack(r.start, "uint32").astype("int64"), unpack(r.reach, "uint32").astype("int64")))
         begin = unpack(r.settled_start, "uint32").astype("int64")
-        gone.append((unpack(r.settled_place, "uint32").astype("int64") + base, begin, begin + unpack(r.settled_length, "uint32")))
+        gone.append((unpack(r.settled_place, "uint32").astype("int32") + np.int32(base), begin, begin + unpack(r.settled_length, "uint32")))
         base += len(ids)
+    all_ids, all_ties = (np.concatenate(x) for x in zip(*named, strict=True))
     buffer = np.concatenate(texts + [np.zeros(112, "uint8")])
-    del texts
+    del texts, named
     length, anchor, ids, n_places = (np.concatenate(x) for x in zip(*fields, strict=True))
     owner_of, start, reach = (np.concatenate(x) for x in zip(*places, strict=True))
     first_place = np.cumsum(n_places) - n_places
@@ -420,15 +421,21 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
     at, inside = owner[on], inside[on]
     found.append(placed(at, inside, inside + LENGTH))
 
+    # Texts are numbered in the order of id and tie, so that spans sort by one number.
+    order = np.lexsort((all_ties, all_ids))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(all_ids[order]) != 0) | (np.diff(all_ties[order]) != 0)
+    number = np.empty(len(order), "uint64")
+    number[order] = np.cumsum(new) - 1
+    heads = order[new]
     owner, begin, end = (np.concatenate(x) for x in zip(*found, strict=True))
-    all_ids, all_ties = (np.concatenate(x) for x in zip(*named, strict=True))
-    ids, ties = all_ids[owner], all_ties[owner]
-    order = np.lexsort((begin, ties, ids))
-    ids, ties, begin, end = ids[order], ties[order], begin[order], end[order]
-    new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])
-    cuts = np.flatnonzero(new)
-    rows = [(int(ids[a]), int(ties[a]), _united(begin[a:b], end[a:b]).astype("uint32").tobytes()) for a, b in zip(cuts, np.append(cuts[1:], len(ids)), strict=True)]
+    del found, buffer, keys, owner_of, start, reach
+    owner = number[owner]
+    order = np.argsort(owner << U(32) | begin.astype("uint64"))
+    owner, begin, end = owner[order], begin[order], end[order]
+    cuts = np.flatnonzero(np.diff(owner)) + 1
+    rows = [(int(all_ids[heads[owner[a]]]), int(all_ties[heads[owner[a]]]), _united(begin[a:b], end[a:b]).astype("uint32").tobytes())
+            for a, b in zip([0, *cuts], [*cuts, len(owner)], strict=True) if a < b]
     return pd.DataFrame(rows, columns=["doc_id", "tie", "spans"])
 
 
