@@ -11,10 +11,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` below the shared folder and go on from the written rows: lineage is cut, a lost executor costs nothing."""
-    folder = scratch_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(folder)
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str = "stage", clean: bool = False) -> DataFrame:
+    """Write ``df`` below the shared folder and go on from the written rows: lineage is cut, a lost executor costs nothing.
+
+    With ``clean`` the shuffle files of the write go as soon as it ends, and not when the driver next collects its
+    garbage: the written rows don't need them, so they don't stand on disk beside the next shuffle.
+    """
+    folder, conf = scratch_folder(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES)
+    conf.set(DROP_SHUFFLES, "true" if clean else before)
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        conf.set(DROP_SHUFFLES, before)
     out = df.sparkSession.read.schema(df.schema).parquet(folder)
     out.staged_in = folder
     return out

@@ -467,7 +467,7 @@ def spans(rows: DataFrame, shards: int | None = None) -> DataFrame:
     shards = shards or 2 * tasks(rows)
     packed = blocks(rows, shards, hot_anchors(rows))
     found = packed.groupBy("shard").applyInPandas(settle, "doc_id long, tie long, spans binary")
-    return staged(found.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_list("spans").alias("spans")), "spans")
+    return staged(found.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_list("spans").alias("spans")), "spans", clean=True)
 
 
 def remove(documents: DataFrame, shards: int | None = None, report: bool = False) -> DataFrame:
