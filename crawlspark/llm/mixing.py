@@ -8,10 +8,12 @@ source's slot k takes block ``permute(k mod blocks)`` of pass ``k div blocks``,
 source's blocks for each pass, so no block comes a second time before all others came once, and none more than ``MOST``
 times. Slots meet blocks in a join by (source, block).
 
-Only one row per source goes to the driver: the number of sources must stay under ``SOURCES`` (an error otherwise).
-Positions of texts in their source's stream are prefix sums over id ranges, so no source has to fit one task. Runs with
+Sources are rows like any other, whatever their number: targets come from a water level, found by a few sums over the
+sources, and each shard's draw is made for ``GROUP`` sources at a time, neighbours in code point order, a group giving
+every shard an equal part of its slots. Only sums go to the driver. Positions of texts in their source's stream are prefix sums over id ranges, so no source has to fit one task. Runs with
 equal input and seed agree. Null sources are a source, the last; null and empty texts have size 0 and are never taken;
-rows that share an id are ordered by a hash of their text, equal ones are interchangeable. Null ids come first.
+rows that share an id are ordered by a hash of their text, equal ones are interchangeable and numbered, each with a place
+of its own in the stream. Null ids come first.
 """
 
 from __future__ import annotations
@@ -23,12 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import fresh, staged, tasks
+from crawlspark.llm.shared import fresh, released, staged, tasks
+from crawlspark.operators.ids import with_rank
 
 BLOCK = 32
 MOST = 3
 SHARDS = 64
-SOURCES = 100_000
+GROUP = 4096
 SLOT_RUN = 20_000
 
 
@@ -37,28 +40,29 @@ def size_of(text) -> F.Column:
     return F.when(text.isNull(), 0).otherwise(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+"))).cast("long")
 
 
-def targets(sizes: np.ndarray, weights: np.ndarray, most: float = MOST) -> np.ndarray:
-    """Words per source: the total by weight, at most ``most`` times a source's size, the excess reshared by weight."""
-    limit, total = sizes * float(most), float(sizes.sum())
-    out, free = np.zeros(len(sizes)), np.ones(len(sizes), bool)
-    left = total
-    while free.any():
-        share = np.where(free, weights * (left / weights[free].sum()), 0)
-        above = free & (share > limit)
-        if not above.any():
-            out[free] = share[free]
-            break
-        out[above] = limit[above]
-        free &= ~above
-        left = total - out[~free].sum()
-    return out
-
+def level(sources: DataFrame) -> float:
+    """Words per unit of weight at which the sources' targets, none above its ``limit``, meet the total size.
 
-def draw(slots: np.ndarray, shards: int, seed: int) -> np.ndarray:
+    A source whose share is above its limit gives the excess back, which lifts the level for the others; the level only
+    rises, so each round is one sum over the sources, and it ends when no further source reaches its limit.
+    """
+    total, found, before = None, 0.0, None
+    while found != before:
+        above = F.col("weight") * F.lit(found) > F.col("limit")
+        sums = sources.agg(F.sum("source_size").alias("total"), F.sum(F.when(above, F.col("limit"))).alias("held"),
+                           F.sum(F.when(~above, F.col("weight"))).alias("free")).first()
+        total = float(sums.total or 0)
+        if not sums.free:
+            return float("inf") if total and sums.held else 0.0
+        before, found = found, max(found, (total - (sums.held or 0.0)) / sums.free)
+    return found
+
+
+def draw(slots: np.ndarray, shards: int, seed: int, group: int = 0) -> np.ndarray:
     """Slots of each source (column) in each shard (row): multinomial draws over what is left, so that columns sum to ``slots``."""
     left, out = slots.astype("int64").copy(), np.zeros((shards, len(slots)), "int64")
     for k in range(shards):
-        rng, want = np.random.default_rng([seed, k]), int(left.sum() // (shards - k))
+        rng, want = np.random.default_rng([seed, group, k]), int(left.sum() // (shards - k))
         while want:
             got = np.minimum(rng.multinomial(want, left / left.sum()), left)
             out[k] += got
@@ -87,48 +91,70 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def positions(sizes: DataFrame) -> DataFrame:
-    """``start``: words of the same source before each row, rows in order of id. A prefix sum over ranges of ids."""
+    """``start``: words of the same source before each row, rows in order of id, a prefix sum over ranges of ids.
+    ``copy`` numbers rows that are equal in id, text and source, from 1; a range holds all of them."""
     order = ["doc_id", "tie"]
-    ranged = staged(sizes.repartitionByRange(tasks(sizes), *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "ranged")
+    ranged = staged(sizes.repartitionByRange(tasks(sizes), *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "ranged", clean=True)
     # One row for each source and range: the sums before it.
     parts = ranged.groupBy("source", "part").agg(F.sum("size").alias("words"))
     before = parts.withColumn("before", F.sum("words").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
     inner = Window.partitionBy("part", "source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
+    equal = Window.partitionBy("part", "source", *order).orderBy("inside")
+    # Rows of no words share their place; a tie in order is as good as any, as the rows are equal.
+    local = ranged.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0))).withColumn("copy", F.row_number().over(equal).cast("long"))
     joined = local.alias("l").join(before.alias("b"), (F.col("l.part") == F.col("b.part")) & F.col("l.source").eqNullSafe(F.col("b.source")))
-    return joined.select("l.doc_id", "l.tie", "l.source", "l.size", (F.col("inside") + F.coalesce("before", F.lit(0))).alias("start"))
-
-
-def plan(sizes: DataFrame, weights=None, most: float = MOST) -> list[dict]:
-    """One row per source, by code point, null last: its size, weight, target, blocks and slots. Weights default to 1, 2, 3, repeating."""
-    found = sizes.groupBy("source").agg(F.sum("size").alias("size")).limit(SOURCES + 1).collect()
-    if len(found) > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources")
-    found = sorted(((r["source"], int(r["size"])) for r in found), key=lambda s: (s[0] is None, s[0] or ""))
-    weight = np.array([1.0 + k % 3 for k in range(len(found))] if weights is None else [float(weights.get(s, 0)) for s, _ in found])
-    amount = np.array([n for _, n in found], "int64")
-    goal = targets(amount, weight, most) if amount.sum() and weight.sum() else np.zeros(len(found))
-    blocks = -(-amount // BLOCK)
-    whole = np.minimum(np.floor(goal / np.maximum(amount, 1) + 1e-12), most)  # full passes, then blocks of the next one
-    rest = np.rint((goal - whole * amount) * blocks / np.maximum(amount, 1))
-    slots = np.minimum(whole * blocks + rest, most * blocks).astype("int64")
-    return [{"source": s, "source_size": n, "weight": float(w), "target": float(g), "blocks": int(b), "slots": int(k)}
-            for (s, n), w, g, b, k in zip(found, weight, goal, blocks, slots, strict=True)]
+    placed = joined.select("l.doc_id", "l.tie", "l.source", "l.copy", "l.size", (F.col("inside") + F.coalesce("before", F.lit(0))).alias("start"))
+    return released(staged(placed, "placed", clean=True), ranged)
+
+
+def plan(sizes: DataFrame, weights: dict | None = None, most: float = MOST) -> DataFrame:
+    """One row per source: source, source_size, weight, target, blocks, slots and its rank from 0, by code point, null last.
+    Weights default to 1, 2, 3, repeating; of ``weights`` given, sources it doesn't name weigh nothing."""
+    found = staged(sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("_none", F.col("source").isNull()), "sources", clean=True)
+    ranked = with_rank(found, ["_none", "source"]).withColumn("rank", F.col("rank") - 1).drop("_none")
+    if weights is None:
+        ranked = ranked.withColumn("weight", (1 + F.col("rank") % 3).cast("double"))
+    else:
+        given = sizes.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "_named string, weight double")
+        ranked = ranked.join(given, F.col("source").eqNullSafe(F.col("_named")), "left").drop("_named").fillna(0.0, ["weight"])
+    ranked = staged(ranked.withColumn("limit", F.lit(float(most)) * F.col("source_size")), "ranked", clean=True)
+    at = level(ranked)
+    share = F.when(F.col("weight") == 0, 0.0).otherwise(F.col("weight") * F.lit(at))
+    full = F.greatest("source_size", F.lit(1).cast("long"))
+    goal = ranked.withColumns({"target": F.least(share, F.col("limit")), "blocks": F.expr(f"(source_size + {BLOCK - 1}) div {BLOCK}")})
+    # Full passes, then blocks of the next one.
+    goal = goal.withColumn("_whole", F.least(F.floor(F.col("target") / full + 1e-12).cast("double"), F.lit(float(most))))
+    rest = F.rint((F.col("target") - F.col("_whole") * F.col("source_size")) * F.col("blocks") / full)
+    slots = F.least(F.col("_whole") * F.col("blocks") + rest, F.lit(float(most)) * F.col("blocks")).cast("long")
+    out = goal.withColumn("slots", slots).select("source", "source_size", "weight", "target", "blocks", "slots", "rank")
+    return staged(out, "plan")
 
 
 def _key(seed: int, source: str | None) -> int:
     return int.from_bytes(hashlib.blake2b(f"{seed} {source is None} {source or ''}".encode(), digest_size=7).digest(), "big")
 
 
-def slots(spark, sources: list[dict], seed: int = 0, shards: int = SHARDS) -> DataFrame:
+def runs(sources: DataFrame, seed: int = 0, shards: int = SHARDS) -> DataFrame:
+    """The draws: shard, source, first and n (its slots of the source, counted per source), blocks, key."""
+    def drawn_of(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("rank")
+        counts = draw(frame["slots"].to_numpy("int64"), shards, seed, int(frame["group"].iloc[0]))
+        starts = np.cumsum(counts, 0) - counts
+        shard, at = np.nonzero(counts)
+        names = [None if pd.isna(s) else s for s in frame["source"]]
+        keys = np.array([_key(seed, s) for s in names], "int64")
+        return pd.DataFrame({"shard": shard.astype("int32"), "source": pd.Series([names[i] for i in at], dtype="object"), "first": starts[shard, at],
+                             "n": counts[shard, at], "blocks": np.maximum(1, frame["blocks"].to_numpy("int64"))[at], "key": keys[at]})
+
+    grouped = sources.select("source", "blocks", "slots", "rank", F.expr(f"rank div {GROUP}").alias("group")).groupBy("group")
+    return grouped.applyInPandas(drawn_of, "shard int, source string, first long, n long, blocks long, key long")
+
+
+def slots(sources: DataFrame, seed: int = 0, shards: int = SHARDS) -> DataFrame:
     """The mix: shard, source, slot (counted per source), pass, block."""
-    counts = draw(np.array([s["slots"] for s in sources], "int64"), shards, seed) if sources else np.zeros((shards, 0), "int64")
-    starts = np.cumsum(counts, 0) - counts
-    rows = [(k, s["source"], int(starts[k, i]), int(counts[k, i]), max(1, s["blocks"]), _key(seed, s["source"]))
-            for i, s in enumerate(sources) for k in range(shards) if counts[k, i]]
-    runs = spark.createDataFrame(rows, "shard int, source string, first long, n long, blocks long, key long")
+    drawn_runs = runs(sources, seed, shards)
     # A shard's share of a source is cut into runs first, and the runs are dealt out, so that no task makes all slots of a source.
-    cut = runs.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(SLOT_RUN).cast("long")))).repartition(tasks(runs), "shard", "source", "at")
+    cut = drawn_runs.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(SLOT_RUN).cast("long")))).repartition(tasks(sources), "shard", "source", "at")
     each = cut.select("shard", "source", "blocks", "key", F.explode(F.sequence(F.col("first") + F.col("at"), F.col("first") + F.least(F.col("at") + SLOT_RUN, F.col("n")) - 1)).alias("slot"))
 
     @F.pandas_udf("long")
@@ -140,13 +166,13 @@ def slots(spark, sources: list[dict], seed: int = 0, shards: int = SHARDS) -> Da
 
 
 def pieces(placed: DataFrame) -> DataFrame:
-    """The words of each text that fall into each block of its source: doc_id, tie, source, block, first (word in the text), words."""
+    """The words of each text that fall into each block of its source: doc_id, tie, source, copy, block, first (word in the text), words."""
     full = placed.filter(F.col("size") > 0)
     first, last = F.expr(f"start div {BLOCK}"), F.expr(f"(start + size - 1) div {BLOCK}")
     cut = full.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("block") * BLOCK - F.col("start"), F.lit(0).cast("long"))
     end = F.least((F.col("block") + 1) * BLOCK - F.col("start"), F.col("size"))
-    return cut.select("doc_id", "tie", "source", "block", begin.alias("first"), (end - begin).alias("words"))
+    return cut.select("doc_id", "tie", "source", "copy", "block", begin.alias("first"), (end - begin).alias("words"))
 
 
 def drawn(placed: DataFrame, mix: DataFrame) -> DataFrame:
@@ -161,12 +187,12 @@ def sizes(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.xxhash64("text").alias("tie"), F.col("source").cast("string").alias("source"), size_of(text).alias("size"))
 
 
-def mix(documents: DataFrame, weights=None, seed: int = 0, most: float = MOST) -> tuple[list[dict], DataFrame, DataFrame]:
+def mix(documents: DataFrame, weights: dict | None = None, seed: int = 0, most: float = MOST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sources, texts placed in their source's stream, slots of the mix) of ``documents`` (doc_id, text, source)."""
-    placed = staged(positions(sizes(documents)), "placed")
+    placed = positions(sizes(documents))
     sources = plan(placed, weights, most)
     # Written, so that Spark joins slots by their true size: what unfolds from a few rows looks small enough to broadcast.
-    return sources, placed, staged(slots(documents.sparkSession, sources, seed), "slots")
+    return sources, placed, staged(slots(sources, seed), "slots", clean=True)
 
 
 def taken_words(documents: DataFrame, weights=None, seed: int = 0) -> DataFrame:
@@ -178,8 +204,8 @@ def taken_words(documents: DataFrame, weights=None, seed: int = 0) -> DataFrame:
     sums = own.unionByName(took).groupBy("doc_id", "tie", "source").agg(F.max("size").alias("size"), F.sum("rows").alias("rows"), F.sum("words").alias("words"))
     # Rows that are equal in id, text and source share their words.
     each = sums.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-    table = documents.sparkSession.createDataFrame([(s["source"], s["source_size"], s["target"]) for s in sources], "_source string, source_size long, target double")
-    out = each.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source")))
+    # Written rows, so Spark broadcasts the sources only where they are few.
+    out = each.join(sources.select(F.col("source").alias("_source"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_source")))
     share = F.expr("words div rows") + F.when(F.col("row") <= F.col("words") % F.col("rows"), 1).otherwise(0)
     return out.select("doc_id", "source", "size", "source_size", "target", share.cast("long").alias("taken"))
 
@@ -191,11 +217,15 @@ def mixed_documents(documents: DataFrame, weights=None, seed: int = 0) -> DataFr
     ``n_chars`` is counted anew where the column exists.
     """
     _, placed, chosen = mix(documents, weights, seed)
-    runs = (drawn(placed, chosen).select("doc_id", "tie", "first", "words", F.explode("passes").alias("_pass"))
-            .groupBy("doc_id", "tie", "_pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_runs")))
-    own_id, own_tie, own_pass, own_runs, row_tie = fresh(documents, "_id", "_tie", "_pass", "_runs", "_row")
-    runs = runs.toDF(own_id, own_tie, own_pass, own_runs)
-    joined = documents.withColumn(row_tie, F.xxhash64("text")).join(runs, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(row_tie) == F.col(own_tie)))
+    key = ["doc_id", "tie", "source", "copy"]
+    taken = (drawn(placed, chosen).select(*key, "first", "words", F.explode("passes").alias("_pass"))
+             .groupBy(*key, "_pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_runs")))
+    own_id, own_tie, own_source, own_copy, own_pass, own_runs, row_tie, row_copy = fresh(
+        documents, "_id", "_tie", "_source", "_copy", "_pass", "_runs", "_row", "_number")
+    taken = taken.toDF(own_id, own_tie, own_source, own_copy, own_pass, own_runs)
+    rows = _numbered(documents, placed, row_tie, row_copy)
+    joined = rows.join(taken, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(row_tie) == F.col(own_tie))
+                       & F.col("source").cast("string").eqNullSafe(F.col(own_source)) & (F.col(row_copy) == F.col(own_copy)))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, chosen: pd.Series) -> pd.Series:
@@ -207,6 +237,27 @@ def mixed_documents(documents: DataFrame, weights=None, seed: int = 0) -> DataFr
     return out.select(*documents.columns)
 
 
+def _numbered(documents: DataFrame, placed: DataFrame, tie: str, number: str) -> DataFrame:
+    """``documents`` with the hash of the text and the number of each row among those equal to it in id, text and source.
+
+    Only rows of ids, texts and sources that stand twice are brought together for that.
+    """
+    rows = documents.withColumn(tie, F.xxhash64("text"))
+    twice = staged(placed.filter("copy = 2").select("doc_id", "tie", "source"), "twice", clean=True)
+    if twice.isEmpty():
+        return rows.withColumn(number, F.lit(1).cast("long"))
+    same = (F.col("doc_id").eqNullSafe(F.col("_t_id")) & (F.col(tie) == F.col("_t_tie"))
+            & F.col("source").cast("string").eqNullSafe(F.col("_t_source")))
+    own_id, own_tie, own_source = fresh(rows, "_id", "_tie", "_source")
+    twice = twice.toDF(own_id, own_tie, own_source)
+    same = (F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(tie) == F.col(own_tie))
+            & F.col("source").cast("string").eqNullSafe(F.col(own_source)))
+    others = [c for c, t in rows.dtypes if c not in ("text", tie) and "map<" not in t]
+    order = Window.partitionBy("doc_id", tie, F.col("source").cast("string")).orderBy(F.xxhash64(*others))
+    again = rows.join(twice, same, "left_semi").withColumn(number, F.row_number().over(order).cast("long"))
+    return rows.join(twice, same, "left_anti").withColumn(number, F.lit(1).cast("long")).unionByName(again)
+
+
 def _cut(text: str, runs: str) -> str:
     import json
     import re

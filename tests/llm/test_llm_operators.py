@@ -199,10 +199,57 @@ def test_large_groups_are_tiled(spark, monkeypatch):
 
 # 4
 
-def test_targets_are_capped_and_reshared():
-    t = mixing.targets(np.array([10, 100, 1000]), np.array([1.0, 2.0, 3.0]))
-    assert t.tolist() == [30.0, 300.0, 780.0]
-    assert mixing.targets(np.array([5, 0]), np.array([1.0, 2.0])).tolist() == [5.0, 0.0]
+def sequential_targets(sizes, weights, most=3.0):
+    """Round by round: who is above its limit stops there, the others share what is left."""
+    out, free, left = np.zeros(len(sizes)), np.ones(len(sizes), bool), float(sizes.sum())
+    while free.any():
+        share = np.where(free, weights * (left / weights[free].sum()), 0)
+        above = free & (share > most * sizes)
+        if not above.any():
+            out[free] = share[free]
+            break
+        out[above] = most * sizes[above]
+        free &= ~above
+        left = sizes.sum() - out[~free].sum()
+    return out
+
+
+def planned(spark, sizes, weights=None, names=None):
+    names = names or [f"s{k:06d}" for k in range(len(sizes))]
+    table = spark.createDataFrame([(n, int(x)) for n, x in zip(names, sizes, strict=True)], "source string, size long")
+    return mixing.plan(table, weights)
+
+
+def test_targets_are_capped_and_reshared(spark):
+    assert [r.target for r in planned(spark, [10, 100, 1000]).orderBy("rank").collect()] == [30.0, 300.0, 780.0]
+    assert [r.target for r in planned(spark, [5, 0]).orderBy("rank").collect()] == [5.0, 0.0]
+    assert planned(spark, []).collect() == []
+    assert [r.target for r in planned(spark, [0, 0]).collect()] == [0.0, 0.0]
+    assert sorted((r.source, r.target) for r in planned(spark, [7, 9], {"a": 2, "gone": 5}, ["a", "b"]).collect()) == [("a", 16.0), ("b", 0.0)]
+    assert [(r.source, r["rank"], r.weight) for r in planned(spark, [4, 4, 4], None, [None, "\U0001F600", "\uffee"]).orderBy("rank").collect()] == [
+        ("\uffee", 0, 1.0), ("\U0001F600", 1, 2.0), (None, 2, 3.0)]
+    sizes = np.random.default_rng(5).pareto(0.5, 400).astype("int64") % 10**7
+    want = sequential_targets(sizes, np.array([1.0 + k % 3 for k in range(400)]))
+    assert np.allclose([r.target for r in planned(spark, sizes).orderBy("rank").collect()], want, rtol=1e-12)
+
+
+def test_mix_of_very_many_sources(spark):
+    made = spark.range(120_000).select(F.col("id").alias("doc_id"), F.expr("concat('s', id)").alias("source"), F.expr("repeat('w ', cast(1 + id % 3 as int))").alias("text"))
+    sums = mixing.taken_words(made).agg(F.count("*"), F.sum("size"), F.sum("target"), F.sum("taken"), F.max(F.expr("taken / size"))).first()
+    assert sums[0] == 120_000 and sums[1] == pytest.approx(sums[2]) and sums[4] <= 3
+    # A source of one block is taken whole or not, so sums are near, not equal.
+    assert abs(sums[3] - sums[1]) < 0.25 * sums[1]
+
+
+def test_equal_rows_share_the_mix(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    made = spark.createDataFrame([(1, "a", text, 1), (1, "a", text, 2), (1, "b", text, 3), (2, "b", "x y z", 4), (None, None, None, 5), (None, None, text, 6), (None, None, text, 6)],
+                                 "doc_id long, source string, text string, _id int")
+    words = {s: n for s, n in mixing.taken_words(made).groupBy("source").agg(F.sum("taken")).collect()}
+    counted = Counter()
+    for r in mixing.mixed_documents(made).collect():
+        counted[r.source] += len(WORD.findall(r.text))
+    assert {s: n for s, n in words.items() if n} == dict(counted)
 
 
 def test_draws_fill_every_shard_and_meet_the_totals():

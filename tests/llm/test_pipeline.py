@@ -69,7 +69,7 @@ def test_mix_meets_its_targets(stages):
         taken[r.source] += n
         assert Counter(WORD.findall(r.text)) <= Counter(WORD.findall(originals[r.doc_id])) and r.n_chars == len(r.text)
     assert all(n <= 3 * sizes[i][1] for i, n in words.items())
-    for s in mixing.plan(mixing.sizes(before)):
+    for s in mixing.plan(mixing.sizes(before)).collect():
         assert abs(taken[s["source"]] - s["target"]) <= 2 * mixing.BLOCK
 
 
