@@ -129,8 +129,51 @@ opened AS (SELECT DISTINCT seq, 0 AS level, url FROM roots
       WHERE r.url = 'https://' || r.host || '/sitemap.xml' AND p.page_id % 9 <> 0),
 """
 
+# Waves until no page waits, as a recursive relation: every step holds all pages (kind p) and sites (kind s) after a wave, the
+# last one those of the fixpoint. What a fetch shows by itself (outcome, links, leaves of its host) is found once, before.
+_MAY = "(r.http_status = 404 OR (r.http_status = 200 AND may))"
+_RULE = f"NOT starts_with({_PATH}, '/the') AND NOT starts_with({_PATH}, '/p/1') AS may"
+DISCOVERY_SQL = rf"""WITH RECURSIVE
+f AS MATERIALIZED (SELECT o.*, md5(f.html) AS hash, split_part(o.requested_url, '/', 3) AS host, replace(split_part(o.requested_url, '/', 3), 'www.', '') AS domain,
+  CASE WHEN is_redirect THEN page_url ELSE o.requested_url END AS own_url FROM ({OUTCOME_SQL}) AS o JOIN fx_fetches f ON f.seq = o.seq),
+raw AS (SELECT o.seq, {_BASE.replace('requested_url', 'o.requested_url').replace('host', 'o.host')} || unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS url FROM f AS o JOIN fx_fetches g ON g.seq = o.seq
+  UNION ALL SELECT o.seq, {_BASE.replace('requested_url', 'o.requested_url').replace('host', 'o.host')} || regexp_extract(html, '^<div onclick=''location[^"]*"([^"]*)"', 1) FROM f AS o JOIN fx_fetches g ON g.seq = o.seq
+  WHERE starts_with(html, '<div onclick=''location')),
+targets AS MATERIALIZED (SELECT * FROM (SELECT DISTINCT seq, {canonical_sql('url')} AS url, {_RULE} FROM raw) AS l WHERE NOT {_DOC}),
+leaves AS MATERIALIZED (SELECT DISTINCT split_part(url, '/', 3) AS host, {canonical_sql('url')} AS url, may FROM (SELECT url, {_RULE} FROM pages WHERE page_id % 9 <> 0) AS l),
+answers AS MATERIALIZED (SELECT domain, http_status FROM fx_robots),
+st AS (
+SELECT 0 AS wave, 'p' AS kind, url, row_number() OVER (ORDER BY url) AS id, 'FRONTIER' AS type, CAST(NULL AS VARCHAR) AS hash FROM (SELECT DISTINCT url FROM pages WHERE page_id % 3 = 0) AS seeds
+UNION ALL
+SELECT * FROM (WITH p AS (SELECT * FROM st WHERE kind = 'p'),
+b AS (SELECT f.* FROM f JOIN p ON p.url = f.requested_url WHERE p.type = 'FRONTIER'),
+s AS (SELECT b.domain, b.host, b.seq, b.requested_url FROM b JOIN (SELECT domain, min(seq) AS seq FROM b WHERE ip IS NOT NULL GROUP BY domain) AS m ON m.seq = b.seq
+  WHERE b.domain NOT IN (SELECT url FROM st WHERE kind = 's')),
+site AS (SELECT url AS domain, type AS first_host FROM st WHERE kind = 's' UNION ALL SELECT domain, host FROM s),
+known AS (SELECT hash, min(url) AS url FROM p WHERE hash IS NOT NULL GROUP BY hash),
+d AS (SELECT b.seq, coalesce(known.url, first_value(own_url) OVER (PARTITION BY b.hash ORDER BY b.seq)) AS original_url FROM b LEFT JOIN known ON known.hash = b.hash WHERE outcome = 'HTML'),
+x AS (SELECT b.*, CASE WHEN original_url <> own_url THEN original_url END AS original, CASE WHEN original_url <> own_url THEN 'DUPLICATE' ELSE outcome END AS final
+  FROM b LEFT JOIN d ON d.seq = b.seq),
+found AS (SELECT x.seq, t.url FROM x JOIN site ON site.domain = x.domain JOIN answers r ON r.domain = site.first_host JOIN targets t ON t.seq = x.seq WHERE final = 'HTML' AND {_MAY}
+  UNION SELECT s.seq, l.url FROM s JOIN answers r ON r.domain = s.host JOIN leaves l ON l.host = s.host
+  WHERE {_MAY} AND ((r.http_status = 200 AND length(s.host) % 3 <> 0) OR starts_with(s.requested_url, 'https://'))),
+events AS (SELECT url, seq, 1 AS step FROM found UNION ALL SELECT page_url, seq, 0 FROM x WHERE is_redirect),
+fresh AS (SELECT url, (SELECT max(id) FROM p) + row_number() OVER (ORDER BY seq, step, url) AS id FROM
+  (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq, step) AS n FROM events WHERE url NOT IN (SELECT url FROM p)) AS e WHERE n = 1),
+changes AS (SELECT requested_url AS url, seq, 0 AS step, 'REDIRECT' AS type, CAST(NULL AS VARCHAR) AS hash FROM x WHERE is_redirect
+  UNION ALL SELECT own_url, seq, 1, final, CASE WHEN final = 'HTML' THEN hash END FROM x WHERE outcome <> 'CRAWLING'
+  UNION ALL SELECT requested_url, seq, -1, 'CRAWLING', NULL FROM x WHERE outcome = 'CRAWLING' AND NOT is_redirect),
+latest AS (SELECT url, type, hash FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC, step DESC) AS n FROM changes) AS c WHERE n = 1),
+after AS (SELECT 'p' AS kind, p.url, p.id, coalesce(latest.type, CASE WHEN p.type = 'FRONTIER' THEN 'CRAWLING' ELSE p.type END) AS type,
+    CASE WHEN latest.type IS NULL OR latest.type IN ('REDIRECT', 'FAILED', 'CRAWLING') THEN p.hash ELSE latest.hash END AS hash FROM p LEFT JOIN latest ON latest.url = p.url
+  UNION ALL SELECT 'p', fresh.url, fresh.id, coalesce(latest.type, 'FRONTIER'), latest.hash FROM fresh LEFT JOIN latest ON latest.url = fresh.url
+  UNION ALL SELECT 's', domain, 0, first_host, NULL FROM site)
+SELECT (SELECT max(wave) FROM p) + 1, * FROM after WHERE EXISTS (SELECT 1 FROM p WHERE type = 'FRONTIER')) AS step)
+"""
+
 ORACLES = {
     "popped_fetches": "SELECT seq, requested_url, sha256(html) AS html_hash FROM fx_fetches WHERE requested_url IN (SELECT url FROM fx_page WHERE page_type_code = 'FRONTIER')",
+    "discovery": DISCOVERY_SQL + "SELECT id, url, type AS page_type_code FROM st WHERE kind = 'p' AND wave = (SELECT max(wave) FROM st)",
     "wave_requests": WAVE_SQL.replace("WITH", "WITH RECURSIVE", 1).replace("f.http_status, f.html,", "f.http_status, f.html, f.error,").rstrip() + _OPENED
         + starts_sql(_REQUESTS, "seq, kind, url, domain, ip, CAST(rq.delay AS BIGINT) AS delay, CAST(start AS BIGINT) AS start"),
     "wave_site": WAVE_SQL + """SELECT s.id, s.domain, CASE WHEN r.http_status <> 200 THEN '' ELSE 'User-agent: other' || chr(10) || 'Disallow: /' || chr(10) || chr(10)

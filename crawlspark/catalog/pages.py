@@ -35,6 +35,7 @@ QUERIES = {
     "onclick_calls": lambda t: html.clickables(t.fx_pages, ["page_id"])
         .select("page_id", html.onclick_call(F.col("onclick")).alias("target")).filter("target IS NOT NULL"),
     "page_links": _find,
+    "page_scan": lambda t: html.scan(t.fx_pages, ["page_id"]).drop("pos"),
     "page_images": lambda t: html.find_images(t.fx_pages, ["page_id"]).select("page_id", "filename", "content_type"),
     "binary_split_documents": lambda t: html.document_links(_find(t, False)),
     "binary_split_links": lambda t: html.page_links(_find(t, False)),
@@ -86,6 +87,9 @@ ORACLES = {
     "onclick_assignments": "SELECT page_id, '/p/' || page_id AS target FROM pages WHERE page_id % 3 = 0",
     "onclick_calls": "SELECT page_id, '/q/' || page_id AS target FROM pages WHERE page_id % 3 = 1",
     "page_links": f"SELECT DISTINCT page_id, {_CANON} AS url FROM ({ALLOWED_LINKS}) AS a",
+    "page_scan": r"""SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS target, NULL AS filename, NULL AS content_type FROM fx_pages
+        UNION ALL SELECT page_id, regexp_extract(html, '^<div onclick=''location[^"]*"([^"]*)"', 1), NULL, NULL FROM fx_pages WHERE page_id % 3 < 2
+        UNION ALL SELECT page_id, NULL, '' || page_id, 'PNG' FROM fx_pages WHERE page_id % 2 = 0""",
     "page_images": "SELECT page_id, '' || page_id AS filename, 'PNG' AS content_type FROM pages WHERE page_id % 2 = 0",
     "binary_split_documents": f"""SELECT page_id, url, CASE WHEN ends_with(url, '.pdf') THEN 'PDF' ELSE 'DOCX' END AS data_type_code
         FROM ({_ALL_LINKS}) AS a WHERE ends_with(url, '.pdf') OR ends_with(url, '.docx')""",

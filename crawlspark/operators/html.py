@@ -147,12 +147,39 @@ def filled_links(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     """
     based = pages.select(F.col(key), F.concat(U.scheme(F.col(url)), F.lit("://"), U.netloc(F.col(url))).alias("_base")
                          if mode == "concat" else F.col(url).alias("_base"), F.col(html))
-    links = link_candidates(based, [key, "_base"], html)
+    return _completed(link_candidates(based, [key, "_base"], html), key, mode, pattern)
+
+
+def _completed(links: DataFrame, key: str, mode: str, pattern: str) -> DataFrame:
     links = links.select(key, U.netloc(F.col("_base")).alias("host"),
                          U.fill_url(F.col("target"), F.col("_base"), mode).alias("url"))
     return computed_once(links).filter(U.is_domain_allowed(F.col("url"), pattern)).distinct()
 
 
+def scan(pages: DataFrame, carry: list[str], html: str = "html", extensions: list[str] | None = None) -> DataFrame:
+    """What a crawl takes from a page, from one pass over its text: carry columns, pos, target, filename, content_type.
+
+    One row per start tag that has a link target or is an image with a known extension; the same targets and images as
+    :func:`link_candidates` and :func:`find_images` give. No shuffle: only these rows need to meet other tables.
+    """
+    found = _selected(pages, carry, html, lambda t: t.rlike(r"(?i)^<(?:a|img)[\s/>]|onclick"), ["href", "onclick", "src"])
+    clickable = (F.col("tag") == "a") | F.col("onclick").isNotNull()
+    found = found.select(*carry, "pos", F.when(clickable, link_target(F.col("href"), F.col("onclick"))).alias("target"),
+                         F.when(F.col("tag") == "img", F.col("src")).alias("src"))
+    found = computed_once(_named(found).withColumn("_known", F.lower("_ext").isin(extensions or C.IMAGE_EXTENSIONS)))
+    found = found.filter(F.col("target").isNotNull() | F.col("_known"))
+    return found.select(*carry, "pos", "target", F.when(F.col("_known"), _stem()).alias("filename"),
+                        F.when(F.col("_known"), U.extension_type(F.col("_ext"))).alias("content_type"))
+
+
+def scanned_links(scanned: DataFrame, pages: DataFrame, key: str, url: str, mode: str = "concat",
+                  pattern: str = C.ALLOWED_NETLOC) -> DataFrame:
+    """As :func:`filled_links`, of rows of :func:`scan` and the URLs of their pages."""
+    base = F.concat(U.scheme(F.col(url)), F.lit("://"), U.netloc(F.col(url))) if mode == "concat" else F.col(url)
+    targets = scanned.filter(F.col("target").isNotNull()).select(key, "target")
+    return _completed(targets.join(pages.select(key, base.alias("_base")), key), key, mode, pattern)
+
+
 def find_links(pages: DataFrame, policies: DataFrame | None = None, key: str = "page_id", url: str = "url",
                html: str = "html", mode: str = "concat", pattern: str = C.ALLOWED_NETLOC,
                robots_scope: str = "source") -> DataFrame:
@@ -173,14 +200,19 @@ def find_images(pages: DataFrame, carry: list[str], html: str = "html",
                 extensions: list[str] | None = None) -> DataFrame:
     """Images with a known extension: carry columns, pos, filename, content_type. Repeats stay."""
     found = _selected(pages, carry, html, lambda t: t.rlike(r"(?i)^<img[\s/>]"), ["src"])
-    found = found.filter(F.col("src").isNotNull())
+    found = _named(found.filter(F.col("src").isNotNull()))
+    return (found.filter(F.lower("_ext").isin(extensions or C.IMAGE_EXTENSIONS))
+            .select(*carry, "pos", _stem().alias("filename"), U.extension_type(F.col("_ext")).alias("content_type")))
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """Stage the file name and the extension of ``src``."""
     found = found.withColumn("_base", F.regexp_extract(U.path(F.col("src")), r"(?s)([^/]*)\z", 1))
-    base = F.col("_base")
-    found = found.withColumn("_ext", F.regexp_extract(base, r"(?s)^\.*[^.].*?(\.[^.]*)\z", 1))
-    ext = F.col("_ext")
-    return (found.filter(F.lower(ext).isin(extensions or C.IMAGE_EXTENSIONS))
-            .select(*carry, "pos", F.substring(base, F.lit(1), F.length(base) - F.length(ext)).alias("filename"),
-                    U.extension_type(ext).alias("content_type")))
+    return found.withColumn("_ext", F.regexp_extract("_base", r"(?s)^\.*[^.].*?(\.[^.]*)\z", 1))
+
+
+def _stem() -> Column:
+    return F.substring(F.col("_base"), F.lit(1), F.length("_base") - F.length("_ext"))
 
 
 def page_links(links: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def fold(store: CrawlStore, fetches: DataFrame, wave: int | None = None, popped:
         return store.wave()
     if now is not None:
         inputs |= {"now": now, "clocks": store.clocks()}
-    delta = crawl_wave(store.state(), fetches, **inputs)
+    delta = crawl_wave(store.state(), fetches, marks=store.marks(), **inputs)
     if popped is not None:
         missed = popped.join(fetches.select(F.col("requested_url").alias("url")), "url", "left_anti")
         missed = missed.join(delta["page"].select("id"), "id", "left_anti")

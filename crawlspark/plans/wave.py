@@ -1,7 +1,8 @@
 """One crawl wave: fold a batch of fetches into the crawl tables.
 
-A wave is a few jobs over narrow rows. Page text takes part in three of them only: hashing, the tag scan of pages that
-are no copies, and the write of the HTML rows. Pages are told apart by URL until ids are given, so that each wave meets
+A wave is a few jobs over narrow rows. Page text takes part in three of them only: hashing and one tag scan, which read
+it where it lies, and the write of the HTML rows, which alone moves it. The scan takes links and images in one pass, of
+copies too: that costs less than bringing all texts together with what is known about them. Pages are told apart by URL until ids are given, so that each wave meets
 the large ``page`` table in three narrow joins: by url for the batch, by hash for copies, by url for all that was found.
 
 Everything that depends on order uses ``seq``: the first fetch of a site, the first page with a text, the first finder
@@ -34,7 +35,7 @@ def _batch(page: DataFrame, fetches: DataFrame, expansions: DataFrame | None) ->
     return checkpointed(rows.withColumn("own_url", own).drop("has_text", "content_type", "error", "final_url"))
 
 
-def _sites(site: DataFrame, modes: DataFrame | None, batch: DataFrame, robots_files: DataFrame | None, agent: str, everywhere: bool):
+def _sites(site: DataFrame, modes: DataFrame | None, batch: DataFrame, robots_files: DataFrame | None, agent: str, everywhere: bool, last: int):
     """New site rows and their robots modes, (domain, id) of the batch, (domain, policy), and the first fetch of each new site.
 
     Policies are those of the batch's sites; ``everywhere`` takes all hosts with a robots file or a site row instead.
@@ -63,16 +64,15 @@ def _sites(site: DataFrame, modes: DataFrame | None, batch: DataFrame, robots_fi
         else:
             told = files.select("domain", "http_status", "content").unionByName(kept)
         policies = robots.policies(told, agent)
-    new = ids.assign_ids(described, ids.max_id(site), ["seq"])
+    new = ids.assign_ids(described, last, ["seq"])
     numbers = known.select("domain", "id").unionByName(new.select("domain", "id"))
     return conform(new, "site"), new_modes, numbers, policies, new.select("domain", "host", "seq", "current_url")
 
 
-def _page_links(fetches: DataFrame, parsed: DataFrame, policies: DataFrame | None, pattern: str, mode: str,
+def _page_links(scanned: DataFrame, parsed: DataFrame, policies: DataFrame | None, pattern: str, mode: str,
                 robots_scope: str) -> DataFrame:
     """Distinct canonical links per fetch: seq, url."""
-    pages = fetches.select("seq", "html").join(parsed.select("seq", "current_url"), "seq")
-    links = html.filled_links(pages, "seq", "current_url", "html", mode, pattern)
+    links = html.scanned_links(scanned, parsed, "seq", "current_url", mode, pattern)
     if policies is not None:
         source = robots_scope == "source"
         links = links.withColumn("domain", U.site_key(F.col("host") if source else U.netloc(F.col("url"))))
@@ -80,9 +80,9 @@ def _page_links(fetches: DataFrame, parsed: DataFrame, policies: DataFrame | Non
     return U.canonicalize(links.select("seq", "url"), "url").distinct()
 
 
-def _page_images(fetches: DataFrame, parsed: DataFrame) -> DataFrame:
-    pages = fetches.select("seq", "html").join(parsed.select("seq", "accessed_time", "own_url"), "seq")
-    return html.find_images(pages, ["seq", "accessed_time", "own_url"])
+def _page_images(scanned: DataFrame, parsed: DataFrame) -> DataFrame:
+    found = scanned.filter(F.col("filename").isNotNull()).select("seq", "pos", "filename", "content_type")
+    return found.join(parsed.select("seq", "accessed_time", "own_url"), "seq")
 
 
 def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: DataFrame | None = None,
@@ -90,7 +90,7 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
                agent: str = C.DEFAULT_AGENT, pattern: str = C.ALLOWED_NETLOC, mode: str = "concat",
                robots_scope: str = "source", edges: str = "discovery", max_url_length: int | None = None,
                max_filename_length: int | None = None, now: int | None = None,
-               clocks: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
+               clocks: tuple[DataFrame, DataFrame] | None = None, marks: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """What a batch of fetches adds to the tables.
 
     ``state`` holds the crawl tables. The result has new rows for ``site``, ``image``, ``page_data`` and ``link``, new
@@ -102,10 +102,16 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     ``robots_files`` or kept from an earlier wave; hosts with neither were not read and are not allowed. ``edges`` is ``discovery`` (a link counts where its URL was new) or
     ``all``. With ``now`` (seconds) the result has ``schedule``, when each request of the wave may start from then on, and
     ``clock``, when the hosts and addresses asked are free again; ``clocks`` are (domain, free_at) and (ip, free_at) before.
+    ``marks`` holds the largest id in use for page, site, image and page_data; a table it doesn't name is read for it.
     """
     page, site = state["page"], state["site"]
+    marks = marks or {}
+
+    def last(name: str) -> int:
+        return marks[name] if name in marks else ids.max_id(state[name])
+
     batch = _batch(page, fetches, expansions)
-    new_sites, new_modes, site_ids, policies, firsts = _sites(site, state.get("site_mode"), batch, robots_files, agent, robots_scope == "target")
+    new_sites, new_modes, site_ids, policies, firsts = _sites(site, state.get("site_mode"), batch, robots_files, agent, robots_scope == "target", last("site"))
 
     batch = tables.site_lookup(batch, site_ids)
 
@@ -117,7 +123,8 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     batch = checkpointed(batch.join(marked, "seq", "left"))
     parsed = batch.filter((F.col("outcome") == "HTML") & F.col("original_url").isNull())
 
-    images = checkpointed(_page_images(fetches, parsed))
+    scanned = checkpointed(html.scan(fetches.filter("html <> ''"), ["seq"]))
+    images = checkpointed(_page_images(scanned, parsed))
     too_long = F.lit(False) if max_filename_length is None else F.length("filename") > max_filename_length
     unfit = images.filter(too_long).select("seq").distinct()
     batch = batch.join(unfit.withColumn("_unfit", F.lit(True)), "seq", "left").withColumn(
@@ -125,7 +132,7 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
         .otherwise(F.col("outcome"))).drop("_unfit")
     images = images.join(unfit, "seq", "left_anti")
 
-    links = checkpointed(_page_links(fetches, parsed, policies, pattern, mode, robots_scope))
+    links = checkpointed(_page_links(scanned, parsed, policies, pattern, mode, robots_scope))
     documents = html.document_links(links, "seq").join(unfit, "seq", "left_anti")
     found = html.page_links(links)
     opened = None
@@ -152,7 +159,7 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
     rejects = fresh.filter(unkept).select("url", F.lit("url too long").alias("reason"))
     fresh = fresh.filter(~unkept).select(
         "url", "event.seq", "event.kind", "event.source", "event.site_id")
-    fresh = ids.assign_ids(fresh, ids.max_id(page), ["seq", "kind", "url"])
+    fresh = ids.assign_ids(fresh, last("page"), ["seq", "kind", "url"])
     numbered = needed.filter(F.col("id").isNotNull()).select("url", "id").unionByName(fresh.select("url", "id"))
 
     changed = _page_changes(batch, numbered, needed, fresh)
@@ -161,8 +168,8 @@ def crawl_wave(state: dict[str, DataFrame], fetches: DataFrame, robots_files: Da
         "site": new_sites,
         "site_mode": page.sparkSession.createDataFrame([], "domain string, mode string") if new_modes is None else new_modes,
         "page": _page_rows(page, fetches, changed),
-        "image": _with_page(images, numbered, state["image"], "image", ["seq", "pos"]),
-        "page_data": _page_data(batch, documents, numbered, state),
+        "image": _with_page(images, numbered, last("image"), "image", ["seq", "pos"]),
+        "page_data": _page_data(batch, documents, numbered, state["data_type"], last("page_data")),
         "link": _links(batch, found, fresh, numbered, state["link"], edges),
         "rejects": rejects,
     }
@@ -233,18 +240,18 @@ def _page_rows(page: DataFrame, fetches: DataFrame, changed: DataFrame) -> DataF
     return rows.unionByName(conform(kept, "page"))
 
 
-def _with_page(rows: DataFrame, numbered: DataFrame, table: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """Resolve ``own_url`` to ``page_id`` and give ids."""
+def _with_page(rows: DataFrame, numbered: DataFrame, last: int, name: str, order: list[str]) -> DataFrame:
+    """Resolve ``own_url`` to ``page_id`` and give the ids after ``last``."""
     owner = numbered.select(F.col("url").alias("own_url"), F.col("id").alias("page_id"))
-    return conform(ids.assign_ids(rows.join(owner, "own_url"), ids.max_id(table), order), name)
+    return conform(ids.assign_ids(rows.join(owner, "own_url"), last, order), name)
 
 
-def _page_data(batch: DataFrame, documents: DataFrame, numbered: DataFrame, state: dict[str, DataFrame]) -> DataFrame:
+def _page_data(batch: DataFrame, documents: DataFrame, numbered: DataFrame, data_type: DataFrame, last: int) -> DataFrame:
     linked = documents.join(batch.select("seq", "own_url"), "seq").select("seq", "url", "own_url", "data_type_code")
     fetched = batch.filter(F.col("outcome") == "BINARY").select(
         "seq", F.lit("").alias("url"), "own_url", F.col("document").alias("data_type_code"))
-    rows = tables.known_data_type(linked.unionByName(fetched), state["data_type"])
-    return _with_page(rows, numbered, state["page_data"], "page_data", ["seq", "url"])
+    rows = tables.known_data_type(linked.unionByName(fetched), data_type)
+    return _with_page(rows, numbered, last, "page_data", ["seq", "url"])
 
 
 def _links(batch: DataFrame, found: DataFrame, fresh: DataFrame, numbered: DataFrame, link: DataFrame,

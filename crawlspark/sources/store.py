@@ -1,13 +1,17 @@
 """Crawl tables as Parquet files, versioned by wave.
 
 Finished pages are only ever appended: a wave adds ``page_done/wave=k``, and lists in ``page_gone/wave=k`` the earlier
-rows it replaces. Pages still to visit carry no text and are rewritten as ``page_open/wave=k``. A wave counts once its
-marker in ``commits`` is written, which is last; running it again replaces what an interrupted run left behind. A wave that
-folds a batch of a stream names both in its marker, so a batch that comes again is known whatever wave it was.
+rows it replaces; inside a wave the rows of a type are a folder, so a reader of one type opens no other. Pages still to
+visit carry no text and are rewritten as ``page_open/wave=k``. A wave counts once its marker in ``commits`` is written,
+which is last; running it again replaces what an interrupted run left behind. A wave that folds a batch of a stream names
+both in its marker, so a batch that comes again is known whatever wave it was. The marker also keeps the largest ids given
+out, so the next wave numbers its rows without reading the tables.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +22,12 @@ from crawlspark.schemas import schema, seed_tables
 _APPENDED = ("data_type", "page_type", "site", "site_mode", "image", "page_data", "link")
 _OPEN = ("FRONTIER", "CRAWLING")
 _LOGGED = ("rejects", "schedule", "clock")
+# Tables with ids, and the files that hold them.
+_NUMBERED = {"page": ("page_open", "page_done"), "site": ("site",), "image": ("image",), "page_data": ("page_data",)}
 _EXTRA = {"schedule": "id long, seq long, kind string, url string, domain string, ip string, arrival long, delay long, start long",
           "clock": "kind string, name string, free_at long",
           "page_gone": "id long, in_wave int", "rejects": "url string, reason string", "site_mode": "domain string, mode string",
-          "commits": "committed boolean, stream string, batch long"}
+          "commits": "committed boolean, stream string, batch long, " + ", ".join(f"max_{n} long" for n in _NUMBERED)}
 
 
 class CrawlStore:
@@ -104,6 +110,20 @@ class CrawlStore:
         """When the last request of all scheduled waves starts; null without any."""
         return self._current("schedule").agg(F.max("start").alias("t")).first().t
 
+    def marks(self) -> dict[str, int]:
+        """The largest id given out in each numbered table, as the last marker says."""
+        row = self._raw("commits").filter(F.col("wave") == self._marked()).first()
+        return {n: row[f"max_{n}"] for n in _NUMBERED if row[f"max_{n}"] is not None}
+
+    def _marks_after(self, wave: int, before: dict[str, int]) -> dict[str, int]:
+        """Marks with the rows that a wave has just written; only its own files are read."""
+        tops = [self._raw(file).filter(F.col("wave") == wave).agg(F.max("id").alias("top")).select(F.lit(n).alias("name"), "top")
+                for n, files in _NUMBERED.items() for file in files]
+        found: dict[str, int] = {n: 0 for n in _NUMBERED} | before
+        for r in reduce(DataFrame.unionByName, tops).collect():
+            found[r.name] = max(found[r.name], r.top or 0)
+        return found
+
     def has_batch(self, stream: str, number: int) -> bool:
         """Whether a wave since the last reset has folded this batch."""
         return not self._current("commits").filter((F.col("stream") == stream) & (F.col("batch") == number)).isEmpty()
@@ -116,8 +136,8 @@ class CrawlStore:
             self._write(wave, delta["page"], delta, batch=batch)
         return wave
 
-    def _put(self, name: str, wave: int, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/wave={wave}")
+    def _put(self, name: str, wave: int, rows: DataFrame, *by: str) -> None:
+        rows.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{name}/wave={wave}")
 
     def _write(self, wave: int, page: DataFrame, rest: dict[str, DataFrame], first: bool = False, batch: tuple[str, int] | None = None) -> None:
         is_open = F.col("page_type_code").isin(*_OPEN)
@@ -128,11 +148,13 @@ class CrawlStore:
             gone = self.done_pages(with_wave=True).select("id", F.col("wave").alias("in_wave")).join(
                 page.select("id"), "id", "left_semi")
         self._put("page_gone", wave, gone if not first else empty_gone)
-        self._put("page_done", wave, page.filter(~is_open))
+        self._put("page_done", wave, page.filter(~is_open), "page_type_code")
         self._put("page_open", wave, waiting)
         for name in _APPENDED:
             self._put(name, wave, rest[name] if name in rest else self.spark.createDataFrame([], self._schema(name)))
         for name in _LOGGED:
             rows = rest[name] if name in rest else self.spark.createDataFrame([], self._schema(name))
             self._put(name, wave, rows.select(self._schema(name).names))
-        self._put("commits", wave, self.spark.createDataFrame([(not first, *(batch or (None, None)))], self._schema("commits")).coalesce(1))
+        marks = self._marks_after(wave, {} if first else self.marks())
+        row = (not first, *(batch or (None, None)), *(marks[n] for n in _NUMBERED))
+        self._put("commits", wave, self.spark.createDataFrame([row], self._schema("commits")).coalesce(1))

@@ -144,3 +144,16 @@ def test_hostile_markup_takes_linear_time(spark):
         began = time.perf_counter()
         df.first()
         assert time.perf_counter() - began < 5, piece
+
+
+def test_scan_finds_the_same_links_and_images(spark):
+    pieces = ['<a href="/x">', '<A HREF=\'/y&amp;z\' onclick="location.href = \'/o\'">', '<img src="/i/a.PNG">', "<img src='b.tar.gif?x=1' onclick=\"location.assign('/p')\">",
+              '<IMG/src=c.jpg>', '<img>', '<img src>', '<img src="/no.txt">', '<div onclick="location.href = \'/q\'">', "<abbr href='/no'>", '<!-- <a href="/c"> -->', "<script><a href='/s'></script>"]
+    rnd = random.Random(11)
+    pages = spark.createDataFrame([(k, "".join(rnd.choices(pieces, k=rnd.randint(0, 12)))) for k in range(200)] + [(200, None), (201, "")], "page_id long, html string")
+    found = H.scan(pages, ["page_id"]).collect()
+    links = sorted((r.page_id, r.target) for r in found if r.target is not None)
+    assert links == sorted(map(tuple, H.link_candidates(pages, ["page_id"]).collect())) and len(links) > 100
+    images = sorted((r.page_id, r.filename, r.content_type) for r in found if r.filename is not None)
+    assert images == sorted(map(tuple, H.find_images(pages, ["page_id"]).drop("pos").collect())) and len(images) > 100
+    assert all(r.target is not None or r.filename is not None for r in found)

@@ -238,3 +238,40 @@ def test_laid_out_fetches_are_read_by_folder(spark, tmp_path):
     assert inputs.fetches_of(laid, urls.filter("url is null")).count() == 0
     with pytest.raises(ValueError):
         inputs.write_fetches(given, f"{tmp_path}/other", digits=5)
+
+
+def test_ids_come_from_the_marker(spark, tmp_path, monkeypatch):
+    store = CrawlStore(spark, str(tmp_path / "store")).reset([f"{A}/a/", f"{A}/b/"])
+    assert store.marks() == {"page": 2, "site": 0, "image": 0, "page_data": 0}
+
+    def unread(*_):
+        raise AssertionError("a wave reads a table for its largest id")
+
+    monkeypatch.setattr("crawlspark.operators.ids.max_id", unread)
+    html = '<a href="/c">c</a><a href="/f.pdf">f</a><img src="/i.png"><img src="/j.png">'
+    fold(store, fetches(spark, fetch(1, f"{A}/a/", html)), robots_files=robots(spark, ("a.gov.si", 404, None)))
+    assert store.marks() == {"page": 3, "site": 1, "image": 2, "page_data": 1}
+    fold(store, fetches(spark, fetch(2, f"{A}/b/", '<a href="/d">d</a>')), robots_files=robots(spark, ("a.gov.si", 404, None)))
+    assert table(store.page(), "id", "url") == [(1, f"{A}/a/"), (2, f"{A}/b/"), (3, f"{A}/c/"), (4, f"{A}/d/")]
+    assert store.marks() == {"page": 4, "site": 1, "image": 2, "page_data": 1}
+    assert store.reset([]).marks() == {"page": 0, "site": 0, "image": 0, "page_data": 0}
+
+
+def test_pages_of_one_type_are_read_alone(spark, tmp_path):
+    store = CrawlStore(spark, str(tmp_path / "store")).reset([f"{A}/{n}/" for n in "abc"])
+    fold(store, fetches(spark, fetch(1, f"{A}/a/", "<p>x"), fetch(2, f"{A}/b/", None, error="net::ERR_FAILED at x")))
+    html = store.page().filter("page_type_code = 'HTML'").select("url", "html_content")
+    assert table(html, "url", "html_content") == [(f"{A}/a/", "<p>x")]
+    read = store.done_pages().filter("page_type_code = 'HTML'").select("url", "html_content")
+    assert [f.split("page_done/")[1].split("/part")[0] for f in read.inputFiles() if "page_done" in f] == ["wave=1/page_type_code=HTML"] or (
+        "PartitionFilters: [" in (plan := read._jdf.queryExecution().executedPlan().toString()) and "(page_type_code" in plan.split("PartitionFilters: [", 1)[1])
+
+
+def test_text_is_scanned_where_it_lies(spark):
+    from crawlspark.operators import html
+
+    rows = fetches(spark, *[fetch(k, f"{A}/{k}/", f'<a href="/x{k}">') for k in range(50)]).repartition(3)
+    scanned = html.scan(rows.filter("html <> ''"), ["seq"])
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "RoundRobin" in plan
+    assert table(scanned, "seq", "target") == sorted(((k, f"/x{k}") for k in range(50)), key=str)
