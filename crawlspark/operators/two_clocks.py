@@ -9,6 +9,11 @@ and addresses with several hosts couple the clocks, so no window over one key gi
 * **Maps.** On the free times of a component's clocks a request acts as a max-plus matrix: both its clocks become the
   larger of the two and of the arrival, plus the delay. Such matrices compose, so a component's line is cut into chunks at
   range partition borders, whose matrices (only clocks they touch; one constant a clock) are made in parallel.
+* **Busy clocks.** A full matrix grows with the square of the clocks, so it has the busiest ones of a component only, at
+  most ``BUSY``. The other clocks are rarely taken: what a chunk finds on them at its head is a constant, at first nothing,
+  then what the chunk before made of it in the last round. Rounds go on while a first request of a chunk starts before such
+  a clock is free. Starts only grow, towards the right ones, and are right once no clock is taken twice; each round settles
+  one more chunk of a line at least, most often all that are left.
 * **Tree.** Neighbouring chunks are composed pairwise up to the whole line, by joins and maxima over (component, block,
   from, to) rows. Then free times go down the tree: a block's left half starts with the block's times, its right half with
   what the left half makes of them. Depth is the logarithm of the number of chunks; no component is ever one group.
@@ -26,6 +31,7 @@ from crawlspark.operators import politeness, skew
 from crawlspark.operators.graph import connected
 
 CHUNK_ROWS = 100_000
+BUSY, SHARE = 64, 16  # clocks of a component in its matrices: at most so many, each with 1 / SHARE of a chunk's rows at least
 _CONSTANT = ""  # the source of a matrix entry that no clock feeds
 
 
@@ -68,9 +74,11 @@ def _walk(a: list, b: list, at: list, delay: list, free: dict) -> list:
     return out
 
 
-def _matrix(a: list, b: list, at: list, delay: list) -> list[tuple[str, str, object]]:
-    """Entries (from, to, weight) of what a chunk does to its clocks. Rows that two clocks share are one table."""
-    rows: dict[str, tuple[dict, object, object]] = {}  # clock: weights by source, what to add to them, constant
+def _matrix(a: list, b: list, at: list, delay: list, rare: dict | None = None) -> list[tuple[str, str, object]]:
+    """Entries (from, to, weight) of what a chunk does to its clocks. Rows that two clocks share are one table. The clocks
+    in ``rare`` are no sources, but have the given time (None: unknown, thus no bound) at the head, and have no entries."""
+    # clock: weights by source, what to add to them, constant
+    rows: dict[str, tuple[dict, object, object]] = {clock: ({}, 0, least) for clock, least in (rare or {}).items()}
     for one, two, start, wait in zip(a, b, at, delay, strict=True):
         table, more, least = rows.get(one) or ({one: 0}, 0, None)
         if two is not None:
@@ -92,6 +100,8 @@ def _matrix(a: list, b: list, at: list, delay: list) -> list[tuple[str, str, obj
             rows[two] = row
     out = []
     for clock, (table, more, least) in rows.items():
+        if rare and clock in rare:
+            continue
         out.append((_CONSTANT, clock, least))
         out += [(source, clock, weight + more) for source, weight in table.items()]
     return out
@@ -101,22 +111,63 @@ _LINE = ("_a", "_b", "_from", "delay")
 _BLOCK = ("part", "block")
 
 
-def _matrices(ranged: DataFrame, spanning: DataFrame, number: str) -> DataFrame:
-    """(part, block, src, dst, w) of each chunk of the components that several chunks share."""
+def _spanning(ranged: DataFrame, spanning: DataFrame) -> DataFrame:
+    """The rows of the chunks of components that several chunks share."""
     # At most two components of a chunk go on in another one, so this table is bounded by the number of chunks.
-    rows = ranged.join(F.broadcast(spanning), ["_part", "_chunk"]).select("_part", "block", "arrival", "id", *_LINE)
+    return ranged.join(F.broadcast(spanning), ["_part", "_chunk"]).select("_part", "block", "arrival", "id", *_LINE)
 
-    def run(key, frame):
-        import pandas as pd
 
-        frame = frame.sort_values(["arrival", "id"])
-        lists = [frame[c].where(frame[c].notna(), None).tolist() for c in _LINE]
-        found = pd.DataFrame(_matrix(*lists), columns=["src", "dst", "w"])
-        found.insert(0, "block", key[1])
-        found.insert(0, "part", key[0])
-        return found
+def _lists(line) -> list[list]:
+    line = line.sort_by([("arrival", "ascending"), ("id", "ascending")])
+    return [line.column(c).to_pylist() for c in _LINE]
 
-    return rows.groupBy("_part", "block").applyInPandas(run, f"part string, block long, src string, dst string, w {number}")
+
+def _dictionary(table, key: str, value: str) -> dict:
+    return dict(zip(table.column(key).to_pylist(), table.column(value).to_pylist(), strict=True))
+
+
+def _matrices(rows: DataFrame, rare: DataFrame, number: str) -> DataFrame:
+    """(part, block, src, dst, w) of each chunk; ``rare`` has its clocks that are rarely taken (part, block, clock, free)."""
+    def run(key, line, known):
+        import pyarrow as pa
+
+        found = _matrix(*_lists(line), _dictionary(known, "clock", "free")) if line.num_rows else []
+        src, dst, w = zip(*found, strict=True) if found else ((), (), ())
+        return pa.table({"part": pa.array([key[0].as_py()] * len(src), pa.string()), "block": pa.array([key[1].as_py()] * len(src), pa.int64()), "src": pa.array(src, pa.string()),
+                         "dst": pa.array(dst, pa.string()), "w": pa.array(w, pa.int64() if number == "long" else pa.float64())})
+
+    return rows.groupBy("_part", "block").cogroup(rare.groupBy(*_BLOCK)).applyInArrow(run, f"part string, block long, src string, dst string, w {number}")
+
+
+def _left(rows: DataFrame, rare: DataFrame, times: DataFrame, number: str) -> DataFrame:
+    """(part, block, clock, first, free) of the rare clocks of each chunk: the first start on one, and when it is free."""
+    known = rare.select(*_BLOCK, "clock", "free", F.lit(True).alias("rare")).unionByName(times.select(*_BLOCK, "clock", "free", F.lit(False).alias("rare")))
+
+    def run(key, line, known):
+        import pyarrow as pa
+
+        lists, first = _lists(line), {}
+        free = {c: t for c, t in _dictionary(known, "clock", "free").items() if t is not None}
+        for one, two, start in zip(*lists[:2], _walk(*lists, free), strict=True):
+            first.setdefault(one, start)
+            if two is not None:
+                first.setdefault(two, start)
+        clocks = [c for c, own in _dictionary(known, "clock", "rare").items() if own]
+        kind = pa.int64() if number == "long" else pa.float64()
+        return pa.table({"part": pa.array([key[0].as_py()] * len(clocks), pa.string()), "block": pa.array([key[1].as_py()] * len(clocks), pa.int64()), "clock": pa.array(clocks, pa.string()),
+                         "first": pa.array([first[c] for c in clocks], kind), "free": pa.array([free[c] for c in clocks], kind)})
+
+    return rows.groupBy("_part", "block").cogroup(known.groupBy(*_BLOCK)).applyInArrow(run, f"part string, block long, clock string, first {number}, free {number}")
+
+
+def _rare(rows: DataFrame, number: str) -> DataFrame:
+    """(part, block, clock, free) of the clocks that are not among a component's busiest, free unknown."""
+    taken = rows.select("_part", "block", F.explode(F.array("_a", "_b")).alias("clock")).filter("clock IS NOT NULL")
+    taken = checkpointed(taken.groupBy(F.col("_part").alias("part"), "block", "clock").agg(F.count(F.lit(1)).alias("n")))
+    size = rows.groupBy(F.col("_part").alias("part")).agg((F.count(F.lit(1)) / (SHARE * F.countDistinct("block"))).alias("least"))
+    clocks = taken.groupBy("part", "clock").agg(F.sum("n").alias("n")).join(size, "part").filter("n >= least")
+    busiest = clocks.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "clock"))).filter(F.col("place") <= BUSY)
+    return taken.join(busiest, ["part", "clock"], "left_anti").select(*_BLOCK, "clock", F.lit(None).cast(number).alias("free"))
 
 
 def _parents(rows: DataFrame, even: bool) -> DataFrame:
@@ -160,13 +211,26 @@ def _heads(ranged: DataFrame, sizes: DataFrame, number: str) -> DataFrame:
     times = ranged.sparkSession.createDataFrame([], f"part string, block long, clock string, free {number}")
     if most is None:  # no line is cut
         return times.select(F.col("block").alias("_head"), "clock", "free")
-    levels = [checkpointed(_matrices(ranged, blocks.select("_part", "_chunk", "block"), number))]
-    while 1 << len(levels) < most:
-        levels.append(checkpointed(_composed(levels[-1])))
-    for rows in reversed(levels):
-        times = checkpointed(_descended(times, rows))
+    rows = checkpointed(_spanning(ranged, blocks.select("_part", "_chunk", "block")))
+    rare = checkpointed(_rare(rows, number))
+    some = not rare.isEmpty()
+    before = Window.partitionBy("part", "clock").orderBy("block")
+    while True:
+        levels = [checkpointed(_matrices(rows, rare, number))]
+        while 1 << len(levels) < most:
+            levels.append(checkpointed(_composed(levels[-1])))
+        found = times
+        for level in reversed(levels):
+            found = checkpointed(_descended(found, level))
+        if not some:
+            break
+        left = checkpointed(_left(rows, rare, found, number).withColumn("before", F.lag("free").over(before)))
+        if left.filter("before > first").isEmpty():
+            break
+        rare = left.select(*_BLOCK, "clock", F.col("before").alias("free"))
+    found = found.unionByName(rare.filter("free IS NOT NULL"))
     named = blocks.select(F.col("_part").alias("part"), "block", "_chunk")
-    return times.join(named, [*_BLOCK]).select(F.col("_chunk").alias("_head"), "clock", "free")
+    return found.join(named, [*_BLOCK]).select(F.col("_chunk").alias("_head"), "clock", "free")
 
 
 def _numeric(requests: DataFrame) -> str:

@@ -89,6 +89,26 @@ def test_no_component_is_one_group(spark):
     assert len({r["_part"] for r in seen}) == 1 and max(r.n for r in seen) < 400
 
 
+@pytest.mark.parametrize("busy,spread", [(8, 200), (0, 4000)])
+def test_matrices_hold_busy_clocks_only(spark, monkeypatch, busy, spread):
+    """Many hosts on few addresses: entries of a chunk don't grow with the square of its hosts, and starts stay right."""
+    rows = made(12, 600, 60, 3, spread)
+    domains, addresses = {"d0": 33, "d7": 900}, {"i0": 90}
+    before = (spark.createDataFrame(list(domains.items()), "domain string, free_at long"), spark.createDataFrame(list(addresses.items()), "ip string, free_at long"))
+    monkeypatch.setattr(two_clocks, "BUSY", busy, raising=False)
+    plain, most = two_clocks._matrices, []
+
+    def look(*args):
+        found = plain(*args)
+        most.append(max((r["count"] for r in found.groupBy("part", "block").count().collect()), default=0))
+        return found
+
+    monkeypatch.setattr(two_clocks, "_matrices", look)
+    done = two_clocks.schedule(spark.createDataFrame(rows, SCHEMA), *before, chunk_rows=150)
+    assert {r.id: r.start for r in done.collect()} == loop(rows, domains, addresses)[0]
+    assert max(most) <= (busy + 1) * busy
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(f"n{k}", f"n{k + 1}") for k in range(40)] + [(f"m{rng.randrange(30)}", f"m{rng.randrange(30)}") for _ in range(25)] + [("x", "x2"), ("x", "x2")]
