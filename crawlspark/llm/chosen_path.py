@@ -11,7 +11,8 @@ standard deviations and its sizes allow it; of a tree node's such pairs a maximu
 hangs together with one row a document. What is still large after ``DEPTH`` levels (near copies, which nothing parts) goes
 out as a star. The components of all these edges are clusters: two documents that link and meet anywhere are in one.
 
-Links are decided on the full sets, cluster by cluster. A cluster is cut into blocks of about ``WEIGHT`` shingles, and every
+Links are decided on the full sets, cluster by cluster. Only the texts of clusters are moved: a sieve of bits keeps most
+others from the shuffle, and the join behind it is exact. A cluster is cut into blocks of about ``WEIGHT`` shingles, and every
 block holds the cluster's hub besides, the document that most edges lead to. A set moves once to its block, where posting
 lists count the common shingles of one document and all others of the block; hubs come first, and a document whose component
 is the block's largest need not be counted against its own kind. What the hub's links have not joined across blocks is then
@@ -40,6 +41,7 @@ COORDINATES, TREES, DEPTH, NODE = 128, 8, 3, 128
 DEVIATIONS = 5
 WEIGHT = 1 << 18  # shingles of a block
 FRAME = 8 * WEIGHT  # bytes of candidate rows compared in one call, about
+SIEVE = 64, 27  # bits of the sieve of wanted rows: for each of them, and at most (a power of two)
 CACHE, PART = 100_000, 512  # words whose hashes a task keeps; rows it works on at a time
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1, 2**63, COORDINATES, dtype="uint64") * np.uint64(2) + np.uint64(1)
@@ -303,10 +305,26 @@ def _joined(placed: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("pack").applyInPandas(lambda frame: _settled(frame, percent), "a long, b long")
 
 
+def sieved(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose (doc_id, tie) isn't in ``wanted``; no row that is wanted goes.
+
+    One bit for each hash, in bitmaps of 4 KB that are broadcast: 16 MB at most, whatever the number of rows.
+    """
+    bits = min(max((SIEVE[0] * wanted.count()).bit_length(), 15), SIEVE[1])
+    place = F.pmod(F.xxhash64("doc_id", "tie"), F.lit(1 << bits))
+    held = wanted.select(place.alias("_place")).distinct()
+    held = held.groupBy(F.shiftright("_place", 15).alias("_map")).agg(F.bitmap_construct_agg(F.col("_place").bitwiseAND(F.lit(32767))).alias("_bits"))
+    inner = F.col("_place").bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast((_place & 32767) >> 3 as int) + 1, 1)")), 16, 10).cast("int")
+    found = rows.withColumn("_place", place).join(F.broadcast(held), F.shiftright("_place", 15) == F.col("_map"))
+    return found.filter(F.getbit(byte, (inner.bitwiseAND(F.lit(7))).cast("int")) == 1).select(*rows.columns)
+
+
 def full_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(node, shingles) of the nodes in ``wanted`` (node, doc_id, tie), from the rows that have their id and text."""
     by_row = wanted.select("node", F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
-    rows = documents.select("doc_id", "text", text_tie().alias("tie")).join(by_row, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "text")
+    rows = sieved(documents.select("doc_id", "text", text_tie().alias("tie")), wanted)
+    rows = rows.join(by_row, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "text")
 
     def run(batches):
         shingle = Shingler(size)
