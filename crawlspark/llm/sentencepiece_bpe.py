@@ -29,10 +29,10 @@ SPACE = "▁"
 # Kinds of pieces in a model file: fixed values of its format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGE_TYPE = 2
-# Entries a dictionary may hold before it is emptied.
-WORDS, PAIRS = 1_000_000, 1_000_000
-# Bytes of text that one output batch stands for.
-BATCH_BYTES = 8_000_000
+# Entries a dictionary may hold before it is emptied; of words those of the time before stay at hand.
+WORDS, PAIRS = 100_000, 200_000
+# Characters of text that one output batch stands for.
+BATCH_BYTES = 2_000_000
 
 
 class Model:
@@ -76,6 +76,7 @@ class Model:
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
+        self.before: dict[int, dict[str, bytes]] = {}
 
     def merges(self, piece: int) -> list[tuple[float, str, str]] | None:
         """How a piece's own characters merge, the best-scored pair first, the leftmost among equals: after each merge its
@@ -179,8 +180,9 @@ class Model:
 
     def known(self, kept: dict[str, bytes], word: str, text: str) -> bytes:
         if len(kept) >= WORDS:
+            self.before[id(kept)] = dict(kept)
             kept.clear()
-        found = kept[word] = self.chunk(text).tobytes()
+        found = kept[word] = self.before.get(id(kept), {}).get(word) or self.chunk(text).tobytes()
         return found
 
     def encode(self, text: str) -> array:
@@ -244,6 +246,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
     schema = T.StructType([df.schema[c] for c in kept] + fields)
 
     def run(batches):
+        pa.default_memory_pool().release_unused()  # a worker may have run other stages before
         model = _model(content)
         for whole in batches:
             texts = whole.column(text)

@@ -689,3 +689,28 @@ def test_notices_that_stand_side_by_side_keep_their_labels(spark):
     df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id long, text string")
     found = {r.doc_id: set(r.labels.split(",")) - set(r.base_labels.split(",")) for r in license_scan.scan(df).collect()}
     assert found == {i: labels for i, (_, labels) in enumerate(cases)}
+
+
+def test_sieve_of_wanted_texts(spark, monkeypatch):
+    """Most texts outside the clusters stay out of the shuffle; none that is wanted goes, however few bits there are."""
+    rows = spark.createDataFrame([(k if k else None, f"text {k}") for k in range(3000)], "doc_id long, text string").withColumn("tie", chosen_path.text_tie())
+    wanted = rows.filter("doc_id % 60 = 0 OR doc_id IS NULL").select("doc_id", "tie")
+    ids = {r.doc_id for r in wanted.collect()}
+    for bits in (27, 4):
+        monkeypatch.setattr(chosen_path, "SIEVE", (64, bits))
+        got = [r.doc_id for r in chosen_path.sieved(rows, wanted).collect()]
+        assert ids <= set(got) and len(got) == len(set(got))
+        assert bits == 4 or len(got) < 300
+
+
+def test_kept_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(sentencepiece_bpe, "WORDS", 50)
+    with open(catalog.tokenizer_path(), "rb") as file:
+        content = file.read()
+    model, plain = sentencepiece_bpe.Model(content), sentencepiece_bpe.Model(content)
+    for k in range(300):
+        text = f"w{k % 70}x the\nq{k % 40} of"
+        line = [plain.chunk(f"▁w{k % 70}x"), plain.chunk("▁the"), [plain.bytes[10]], plain.chunk(f"q{k % 40}"), plain.chunk("▁of")]
+        assert list(model.encode(text)) == [i for part in line for i in part]
+        assert all(len(d) <= 50 for d in (model.words, model.bare, *model.before.values()))
+    assert model.before
