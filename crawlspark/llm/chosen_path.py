@@ -8,8 +8,9 @@ similarity s to another follows it through a picked coordinate with probability
 them on average, so pairs at the threshold keep meeting while others part. Tree nodes of up to ``NODE`` documents are compared
 exhaustively by signature, larger ones branch on. A pair may link if its signatures agree in at least the threshold less five
 standard deviations and its sizes allow it; of a tree node's such pairs a maximum spanning forest goes out, which says what
-hangs together with one row a document. What is still large after ``DEPTH`` levels (near copies, which nothing parts) goes
-out as a star. The components of all these edges are clusters: two documents that link and meet anywhere are in one.
+hangs together with one row a document. Near copies, which no coordinate parts, leave a large tree node before it branches:
+those that may link with one document, its hub, go out as its star, together with all that could link with any of them. What is still large after ``DEPTH`` levels goes out as a star, too. The components of all these edges are clusters: two
+documents that link and meet anywhere are in one.
 
 Links are decided on the full sets, cluster by cluster. Only the texts of clusters are moved: a sieve of bits keeps most
 others from the shuffle, and the join behind it is exact. A cluster is cut into blocks of about ``WEIGHT`` shingles, and every
@@ -39,6 +40,7 @@ from crawlspark.llm.shared import fresh, released, staged
 
 COORDINATES, TREES, DEPTH, NODE = 128, 8, 3, 128
 DEVIATIONS = 5
+HUBS, SHARE = 8, 8  # documents tried as the hub of a large tree node's near copies; the copies are 1 / SHARE of it at least
 WEIGHT = 1 << 18  # shingles of a block
 FRAME = 8 * WEIGHT  # bytes of candidate rows compared in one call, about
 SIEVE = 64, 27  # bits of the sieve of wanted rows: for each of them, and at most (a power of two)
@@ -160,6 +162,58 @@ def branch(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("node", "size", "brief", "path").mapInArrow(run, "node long, size long, brief binary, path long")
 
 
+def least_agreement(percent: int) -> int:
+    """Coordinates of ``COORDINATES`` in which the signatures of two documents that may link agree at least."""
+    share = percent / 100
+    return int(np.ceil(COORDINATES * (share - DEVIATIONS * (share * (1 - share) / COORDINATES) ** 0.5)))
+
+
+def hubs_of(rows: DataFrame, percent: int) -> DataFrame:
+    """(_path, hub, sign) of tree nodes where two of ``HUBS`` documents, taken by hash, may link: the one that agrees most."""
+    tried = [F.min_by(F.struct("node", "brief"), F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in range(HUBS)]
+    found = rows.groupBy(F.col("path").alias("_path")).agg(*tried)
+    found = found.select("_path", F.array(*[f"h{k}.node" for k in range(HUBS)]).alias("nodes"), F.concat(*[f"h{k}.brief" for k in range(HUBS)]).alias("signs"))
+    least = least_agreement(percent)
+
+    def run(batches):
+        for batch in batches:
+            path, best, sign = [], [], []
+            for p, nodes, signs in zip(*(batch.column(c).to_pylist() for c in ("_path", "nodes", "signs")), strict=True):
+                signs = np.frombuffer(signs, "uint8").reshape(HUBS, COORDINATES)
+                same = (signs[:, None] == signs).sum(2)
+                same[np.equal.outer(nodes, nodes)] = 0  # the same document drawn again
+                k = max(range(HUBS), key=lambda k: ((same[k] >= least).sum(), same[k].sum()))
+                if same[k].max() >= least:
+                    path.append(p), best.append(nodes[k]), sign.append(signs[k].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.int64()), pa.array(best, pa.int64()), pa.array(sign, pa.binary())], names=["_path", "hub", "sign"])
+
+    return found.mapInArrow(run, "_path long, hub long, sign binary")
+
+
+def measured(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Rows of the tree nodes in ``hubs`` with hub and ``same``, the number of coordinates in which they agree with it."""
+    def run(batches):
+        for batch in batches:
+            signs, hub = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "uint8").reshape(-1, COORDINATES) for c in ("brief", "sign"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "size", "brief", "path", "n", "hub")), pa.array((signs == hub).sum(1))],
+                                             names=["node", "size", "brief", "path", "n", "hub", "same"])
+
+    rows = rows.join(hubs, F.col("path") == F.col("_path")).select("node", "size", "brief", "path", "n", "hub", "sign")
+    return rows.mapInArrow(run, "node long, size long, brief binary, path long, n long, hub long, same long")
+
+
+def star_sizes(rows: DataFrame, percent: int) -> DataFrame:
+    """(_path, core) of the tree nodes in ``measured`` rows whose star is worth it: how many near copies the hub has.
+
+    Agreement is a distance turned round: what may link with a near copy of the hub agrees with the hub in twice the least
+    agreement less ``COORDINATES`` at least. That goes into the star, too, and must not outnumber the near copies.
+    """
+    least = least_agreement(percent)
+    core, near = (F.sum((F.col("same") >= x).cast("long")) for x in (least, 2 * least - COORDINATES))
+    found = rows.groupBy(F.col("path").alias("_path")).agg(core.alias("core"), near.alias("_near"), F.first("n").alias("_n"))
+    return found.filter((2 * F.col("core") >= F.col("_near")) & (SHARE * F.col("core") >= F.col("_n"))).select("_path", "core")
+
+
 def _forest(weight: np.ndarray) -> list[tuple[int, int]]:
     """Edges of a maximum spanning forest of a symmetric matrix; zero is no edge."""
     n = len(weight)
@@ -180,8 +234,7 @@ def _edges(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     frame = frame.drop_duplicates(["path", "node"]).sort_values(["path", "node"], ignore_index=True)
     path, ids, size = (frame[c].to_numpy() for c in ("path", "node", "size"))
     signs = np.frombuffer(b"".join(frame["brief"]), "uint8").reshape(-1, COORDINATES)
-    share = percent / 100
-    least = share - DEVIATIONS * (share * (1 - share) / COORDINATES) ** 0.5
+    least = least_agreement(percent) / COORDINATES
     heads = np.flatnonzero(np.append(True, path[1:] != path[:-1]))
     sizes = np.diff(np.append(heads, len(path)))
     # Nodes of two, most of all, at once.
@@ -214,18 +267,32 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     found, kept = [], []
     for depth in range(DEPTH + 1):
         kept.append(level)
-        small = level.filter(F.col("n") <= NODE)
+        small, large = level.filter(F.col("n") <= NODE), level.filter(F.col("n") > NODE)
+        if depth < DEPTH and not large.isEmpty():
+            hubs = staged(hubs_of(large, percent), "hubs")
+            kept.append(hubs)
+            if not hubs.isEmpty():
+                rows = staged(measured(large, hubs), "measured")
+                sizes = staged(star_sizes(rows, percent), "sizes")
+                kept += [rows, sizes]
+                rows = rows.join(sizes, F.col("path") == F.col("_path"))
+                star = rows.filter(F.col("same") >= 2 * least_agreement(percent) - COORDINATES).filter("node <> hub")
+                found.append(star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
+                # Near copies have met all that they may link with; the others go on without them.
+                rest = rows.filter(F.col("same") < least_agreement(percent)).select("node", "size", "brief", "path", (F.col("n") - F.col("core")).alias("n"))
+                small = small.unionByName(rest.filter(F.col("n").between(2, NODE)))
+                large = large.join(sizes, F.col("path") == F.col("_path"), "left_anti").unionByName(rest.filter(F.col("n") > NODE))
         packs = max(1, small.count() * 3 * COORDINATES // (2 * FRAME))
         packed = small.withColumn("pack", F.pmod(F.xxhash64("path"), F.lit(packs)))
         found.append(packed.groupBy("pack").applyInPandas(lambda frame: _edges(frame, percent), "a long, b long"))
-        large = level.filter(F.col("n") > NODE)
         if large.isEmpty():
             break
         if depth == DEPTH:
             hubs = large.groupBy("path").agg(F.min("node").alias("a")).withColumnRenamed("path", "_path")
             found.append(large.join(hubs, F.col("path") == F.col("_path")).select("a", F.col("node").alias("b")).filter("a <> b"))
         else:
-            level = staged(counted(branch(large, percent).dropDuplicates(["path", "node"])), "level")
+            children = staged(branch(large, percent).dropDuplicates(["path", "node"]), "children")
+            level = released(staged(counted(children), "level"), children)
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)

@@ -492,6 +492,66 @@ def test_large_groups_of_near_copies(spark, monkeypatch, weight, depth):
     assert found == brute_components(texts_of(df), 4, 80)
 
 
+def near_copies(rng, n, length, edits, words):
+    base = [f"{words}{k}" for k in range(length)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(rng.choice(edits)):
+            own[rng.randrange(length)] = f"{words}x{i}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_near_copies_leave_the_tree(spark, monkeypatch):
+    """A large group of near copies is made into rows of children about as often as it has rows, whatever the depth."""
+    monkeypatch.setattr(chosen_path, "NODE", 16)
+    real, made = chosen_path.branch, spark.sparkContext.accumulator(0)
+
+    def branch(rows, percent):
+        def run(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+        children = real(rows, percent)
+        return children.mapInArrow(run, children.schema)
+    monkeypatch.setattr(chosen_path, "branch", branch)
+    rng = random.Random(23)
+    texts = near_copies(rng, 300, 150, [0, 1, 2, 3], "w") + near_copies(rng, 30, 150, [0, 1, 9], "v") + [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(df, 4).collect()}
+    assert found == brute_components(texts_of(df), 4, 80)
+    assert made.value < 16 * len(texts)  # 19 times as many by the levels, each made twice, before
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_stars_leave_no_pair_behind(spark, percent):
+    """Two rows of a tree node whose signatures agree enough are in its star or both go on."""
+    rng = np.random.default_rng(percent)
+    base = rng.integers(0, 256, chosen_path.COORDINATES, dtype="uint8")
+    data = []
+    for path, shares in ((1, [0.05, 0.2]), (2, [0.05, 0.2, 0.45]), (3, [0.9]), (4, [0.02, 0.02, 0.02, 0.9])):
+        for k in range(120):
+            other = rng.random(chosen_path.COORDINATES) < shares[k % len(shares)]
+            data.append((1000 * path + k, 50, bytes(np.where(other, rng.integers(0, 256, chosen_path.COORDINATES, dtype="uint8"), base)), path))
+    rows = spark.createDataFrame([(*x, 120) for x in data], "node long, size long, brief binary, path long, n long")
+    hubs = chosen_path.hubs_of(rows, percent).cache()
+    found = chosen_path.measured(rows, hubs).cache()
+    cores = {r["_path"]: r.core for r in chosen_path.star_sizes(found, percent).collect()}
+    assert 1 in cores and 4 in cores and 3 not in cores
+    least = chosen_path.least_agreement(percent)
+    own = {r.node: r.same for r in found.collect()}
+    signs = {n: np.frombuffer(b, "uint8") for n, _, b, _ in data}
+    for r in hubs.collect():
+        nodes = [n for n, _, _, p in data if p == r["_path"]]
+        assert all(own[n] == int((signs[n] == signs[r.hub]).sum()) for n in nodes)
+        core = [n for n in nodes if own[n] >= least]
+        star = {n for n in nodes if own[n] >= 2 * least - chosen_path.COORDINATES}
+        if r["_path"] in cores:
+            assert len(star) <= 2 * len(core) and len(core) * chosen_path.SHARE >= len(nodes) and cores[r["_path"]] == len(core)
+        assert all(y in star for x in core for y in nodes if (signs[x] == signs[y]).sum() >= least)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, 90), (90, 95), (7, 7), (None, 3), (100, 90)]
     found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
