@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from crawlspark.llm import (catalog, chosen_path, components, license_scan, mixing, multiset_hash, ngram_trie, sentencepiece_bpe, sphere_filters, suffix_dedup, surrogates,
                             toxicity)
 
@@ -503,9 +504,8 @@ def near_copies(rng, n, length, edits, words):
     return out
 
 
-def test_near_copies_leave_the_tree(spark, monkeypatch):
-    """A large group of near copies is made into rows of children about as often as it has rows, whatever the depth."""
-    monkeypatch.setattr(chosen_path, "NODE", 16)
+def children_made(spark, monkeypatch):
+    """An accumulator of the rows that ``branch`` makes."""
     real, made = chosen_path.branch, spark.sparkContext.accumulator(0)
 
     def branch(rows, percent):
@@ -516,12 +516,31 @@ def test_near_copies_leave_the_tree(spark, monkeypatch):
         children = real(rows, percent)
         return children.mapInArrow(run, children.schema)
     monkeypatch.setattr(chosen_path, "branch", branch)
+    return made
+
+
+def test_near_copies_leave_the_tree(spark, monkeypatch):
+    """A large group of near copies is made into rows of children about as often as it has rows, whatever the depth."""
+    monkeypatch.setattr(chosen_path, "NODE", 16)
+    made = children_made(spark, monkeypatch)
     rng = random.Random(23)
     texts = near_copies(rng, 300, 150, [0, 1, 2, 3], "w") + near_copies(rng, 30, 150, [0, 1, 9], "v") + [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(30)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in chosen_path.near_duplicates(df, 4).collect()}
     assert found == brute_components(texts_of(df), 4, 80)
-    assert made.value < 16 * len(texts)  # 19 times as many by the levels, each made twice, before
+    assert made.value < 16 * len(texts)  # 22,222 before
+
+
+def test_near_copies_leave_the_pipeline_early(spark, monkeypatch):
+    """The pipeline's stage keeps one of each group, and near copies aren't made into children level by level."""
+    monkeypatch.setattr(chosen_path, "NODE", 16)
+    made = children_made(spark, monkeypatch)
+    rng = random.Random(29)
+    texts = near_copies(rng, 200, 150, [0, 1, 2, 3], "w") + [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.dedupe(spark, df, "").collect()}
+    assert kept == {top for _, top in brute_components(texts_of(df), 5, 80).values()}
+    assert made.value < 16 * len(texts)
 
 
 @pytest.mark.parametrize("percent", [60, 80, 90])
