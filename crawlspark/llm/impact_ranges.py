@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import staged, tasks
+from crawlspark.llm.shared import small_batches, staged, tasks
 
 TOKENS, ASKED, BEST, FRONT = 1 << 19, 4_000_000, 50, 64
 # Terms are runs of ASCII letters and digits and of all characters beyond ASCII; only A-Z change case.
@@ -74,7 +74,8 @@ def index(documents: DataFrame) -> DataFrame:
             yield _block(held, rows.schema.field("doc_id").type)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return staged(documents.select("doc_id", "text").mapInArrow(run, f"ids array<{kind}>, lengths array<long>, terms array<string>, df array<int>, docs array<int>, tf array<int>"), "index")
+    with small_batches(documents.sparkSession):
+        return staged(documents.select("doc_id", "text").mapInArrow(run, f"ids array<{kind}>, lengths array<long>, terms array<string>, df array<int>, docs array<int>, tf array<int>"), "index", large=True)
 
 
 class Ranges:
@@ -181,7 +182,8 @@ def frequencies(found: DataFrame, asked: list[str]) -> dict[str, int]:
         yield pa.RecordBatch.from_arrays([wanted, pa.array(total)], names=["term", "n"]).filter(pa.array(total > 0))
 
     counted = found.select("terms", "df").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return {r.term: r.n for r in counted.collect()}
+    with small_batches(found.sparkSession):
+        return {r.term: r.n for r in counted.collect()}
 
 
 def asked_chunks(items: DataFrame, limit: int = ASKED) -> Iterator[list[tuple[int, object, list[str]]]]:
@@ -256,7 +258,8 @@ def search(documents: DataFrame, items: DataFrame, k: int = BEST, found: DataFra
         rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("number", "salt").orderBy(*order))).filter(F.col("rank") <= k)
         rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("number").orderBy(*order))).filter(F.col("rank") <= k)
         # A chunk's ids are at most as large as the chunk.
-        rows = staged(rows.join(F.broadcast(names), "number").select("item_id", "rank", "doc_id", "score"), "ranked")
+        with small_batches(spark):
+            rows = staged(rows.join(F.broadcast(names), "number").select("item_id", "rank", "doc_id", "score"), "ranked")
         out.append(rows)
     if not out:
         return spark.createDataFrame([], f"item_id {item}, rank int, doc_id {doc}, score long")

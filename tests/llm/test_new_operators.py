@@ -7,9 +7,12 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from crawlspark.llm import compression_bands, impact_ranges, tiled_phrases
+from crawlspark.llm.shared import small_batches
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, rank int, term string, block long"
 LONG = "alpha beta gamma. " * 4000
@@ -73,6 +76,39 @@ def test_search_equals_brute_force(spark, documents, size, monkeypatch):
         assert sorted(map(tuple, got), key=key) == sorted(plain_search(documents, ITEMS, k), key=key)
 
 
+def group_mb(found):
+    """MB of the largest row group of a staged frame, and its rows."""
+    files = [r.f for r in found.sparkSession.read.parquet(found.staged_in).selectExpr("_metadata.file_path AS f").distinct().collect()]
+    read = [pq.ParquetFile(f.split(":", 1)[-1]).metadata for f in files]
+    return max(m.row_group(k).total_byte_size for m in read for k in range(m.num_row_groups)) / 1e6, found.count()
+
+
+def wide(spark, rows=40, words=30_000):
+    """Texts of words of their own, in one partition, and the words."""
+    texts = [(k, " ".join(f"{n:x}" for n in np.random.default_rng(k).integers(1 << 40, 1 << 44, words)), "en") for k in range(rows)]
+    return table(spark, texts).coalesce(1)
+
+
+def test_index_is_read_in_a_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(impact_ranges, "TOKENS", 30_000)
+    most, rows = group_mb(impact_ranges.index(wide(spark)))
+    assert rows == 40 and most < 10  # else a reader decodes all blocks of a file at once
+
+
+def test_python_gets_small_batches(spark):
+    rows = spark.range(48, numPartitions=1).selectExpr("id", "sequence(id, id + 262143) AS many")  # 2 MB each
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([b.num_rows]), "bytes": pa.array([b.nbytes])})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with small_batches(spark):
+        got = rows.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in got) == 48 and max(r.bytes for r in got) < 16e6
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_search_in_chunks_and_on_empty_tables(spark, documents, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = sorted(map(str, impact_ranges.search(table(spark, documents), items, 5).collect()))
