@@ -179,6 +179,29 @@ def test_phrases_of_odd_tables(spark):
     assert tiled_phrases.top_phrases(table(spark, [(1, None, None), (2, "", "en"), (3, "a b", "en")])).collect() == []
 
 
+def test_blocks_of_words_are_read_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(tiled_phrases, "TOKENS", 30_000)
+    most, rows = group_mb(tiled_phrases.blocks(wide(spark)))
+    assert rows >= 40 and most < 10  # else a reader decodes all blocks of a file at once
+
+
+def test_words_and_pairs_are_not_broadcast(spark, documents, monkeypatch):
+    plans, large, write = {}, set(), tiled_phrases.staged
+
+    def kept(df, name="stage", **more):
+        plans[name, len(plans)] = df._jdf.queryExecution().sparkPlan().toString()
+        large.update([name] if more.get("large") else [])
+        return write(df, name, **more)
+
+    monkeypatch.setattr(tiled_phrases, "staged", kept)
+    plans["phrases", 0] = tiled_phrases.phrases(table(spark, documents))._jdf.queryExecution().sparkPlan().toString()
+    assert {"blocks", "ranks"} <= large
+    joins = [line for plan in plans.values() for line in plan.splitlines() if "Join" in line]
+    assert sum("SortMergeJoin" in x for x in joins) >= 9
+    # Only the first place of each partition and the number of words of each language are small at any size.
+    assert not [x for x in joins if "BroadcastHashJoin" in x and "_part" not in x and "_lang" not in x]
+
+
 def test_tiles_count_like_a_dictionary():
     rng = np.random.default_rng(3)
     x, y = (np.minimum(rng.zipf(1.3, 50_000), 10**12) for _ in range(2))
