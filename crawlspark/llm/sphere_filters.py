@@ -177,14 +177,15 @@ def links(df: DataFrame, key: str = "vec_id", column: str = "embedding", cosine:
     met = decoded.select("node", F.length("content").alias("bytes"), F.explode("each").alias("filter"))
     counts = met.groupBy(F.col("bytes").alias("_bytes"), F.col("filter").alias("_filter")).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / TILE).cast("int")
-    dealt = met.join(counts, (F.col("filter") == F.col("_filter")) & (F.col("bytes") == F.col("_bytes"))).withColumn("blocks", blocks)
+    # A row here is a filter of a vector, but Spark sizes an exploded list by that of its vectors: hinted, or it would broadcast them.
+    dealt = met.join(counts.hint("merge"), (F.col("filter") == F.col("_filter")) & (F.col("bytes") == F.col("_bytes"))).withColumn("blocks", blocks)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     tiled = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
     pack = F.when(F.col("blocks") == 1, F.xxhash64("bytes", F.expr(f"filter div {PACK}"))).otherwise(F.xxhash64("bytes", "filter", low, high))
     placed = tiled.select("node", "bytes", "filter", low.alias("low"), high.alias("high"), side.alias("side"), pack.alias("pack"))
-    content = decoded.select(F.col("node").alias("_node"), "n", "content", "filters")
+    content = decoded.select(F.col("node").alias("_node"), "n", "content", "filters").hint("merge")
     full = placed.join(content, F.col("node") == F.col("_node")).drop("_node")
     found = staged(full.groupBy("pack").applyInPandas(lambda frame: compare(frame, cosine), "node long, links long, leader long"), "links")
 

@@ -189,6 +189,21 @@ def test_links_of_every_length_and_of_rows_that_share_an_id(spark):
     assert (500, 2, 500, True) in want and (500, 1, 499, False) in want
 
 
+def test_filters_of_vectors_are_not_broadcast(spark, monkeypatch):
+    plans, write = {}, sphere_filters.staged
+
+    def kept(df, name="stage", **more):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return write(df, name, **more)
+
+    monkeypatch.setattr(sphere_filters, "staged", kept)
+    v = np.random.default_rng(5).standard_normal((60, 8))
+    assert sphere_filters.links(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")).count() == 60
+    # These rows are an exploded list, which Spark sizes by the rows before.
+    assert "Generate explode" in plans["links"] and "SortMergeJoin" in plans["links"]
+    assert "BroadcastHashJoin" not in plans["links"]
+
+
 def test_large_groups_are_tiled(spark, monkeypatch):
     monkeypatch.setattr(sphere_filters, "TILE", 16)
     rng = np.random.default_rng(4)
